@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +17,23 @@ from pyspark.sql import functions as F
 HOT_KEYS = 4096
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package where neither PYTHONPATH nor the working folder has it."""
+    root = Path(__file__).resolve().parents[2]
+    paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in paths or Path.cwd().resolve() == root or getattr(sc, "_gatefold_shipped", False):
+        return
+    at = Path(tempfile.mkdtemp(prefix="gatefold-code-")) / "gatefold.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for f in (root / "gatefold").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(at))
+    sc._gatefold_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
