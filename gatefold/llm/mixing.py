@@ -43,7 +43,7 @@ def _target(dim: str, given: dict[str, float] | None, alpha: float) -> Column:
     one = Window.partitionBy(F.lit(1))
     if not given:
         # every value counts once: its first cell carries the tempered weight
-        return F.pow("_m", F.lit(alpha)) / F.sum(F.when(F.col("_first") == 1, F.pow("_m", F.lit(alpha))).otherwise(0.0)).over(one)
+        return F.pow("_m", F.lit(alpha)) / F.greatest(F.sum(F.when(F.col("_first") == 1, F.pow("_m", F.lit(alpha))).otherwise(0.0)).over(one), F.lit(1.0))
     named = F.col(dim).isin(*given)
     share = F.coalesce(*[F.when(F.col(dim) == v, F.lit(float(s))) for v, s in given.items()], F.lit(0.0))
     rest = F.sum(F.when(named, 0.0).otherwise(F.col("_t"))).over(one)
@@ -52,20 +52,20 @@ def _target(dim: str, given: dict[str, float] | None, alpha: float) -> Column:
 
 def rake(cells: DataFrame, dims=DIMS, targets: dict[str, dict[str, float]] | None = None, alpha: float = ALPHA, sweeps: int = SWEEPS) -> DataFrame:
     """cells (dims, tokens, docs) with p: the sampling probability of the cell's documents."""
-    t = cells.filter("tokens > 0").coalesce(1).withColumn("_t", F.col("tokens").cast("double"))
+    t = cells.coalesce(1).withColumn("_t", F.col("tokens").cast("double"))
     for d in dims:
         by = Window.partitionBy(d)
         order = Window.partitionBy(d).orderBy(*[c for c in dims if c != d])
         t = t.withColumn("_m", F.sum("_t").over(by)).withColumn("_first", F.row_number().over(order))
         t = t.withColumn(f"_target_{d}", _target(d, (targets or {}).get(d), alpha)).drop("_m", "_first")
-    t = t.withColumn("_w", F.col("_t") / F.sum("_t").over(Window.partitionBy(F.lit(1))))
+    t = t.withColumn("_w", F.col("_t") / F.greatest(F.sum("_t").over(Window.partitionBy(F.lit(1))), F.lit(1.0)))
     for _ in range(sweeps):
         for d in dims:
             now = F.sum("_w").over(Window.partitionBy(d))
             t = t.withColumn("_w", F.when(now > 0, F.col("_w") * F.col(f"_target_{d}") / now).otherwise(0.0))
-    ratio = F.col("_w") / F.col("_t")
-    t = t.withColumn("p", ratio / F.max(ratio).over(Window.partitionBy(F.lit(1))))
-    # null-safe key of the cell, as joins skip nulls
+    ratio = F.when(F.col("_t") > 0, F.col("_w") / F.col("_t"))
+    # documents without tokens weigh nothing and stay
+    t = t.withColumn("p", F.coalesce(F.try_divide(ratio, F.max(ratio).over(Window.partitionBy(F.lit(1)))), F.lit(1.0)))
     return t.select(*dims, "tokens", "docs", "p")
 
 
@@ -81,8 +81,8 @@ def mix(docs: DataFrame, dims=DIMS, targets=None, alpha: float = ALPHA, sweeps:
     cells = rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     fitted = rake(cells, dims, targets, alpha, sweeps).withColumn("_cell", _key([f"`{d}`" for d in dims])).select("_cell", "docs", "p").withColumnRenamed("docs", "_docs")
     u = unit_hash(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), seed)
-    out = join_hot(rows, fitted, ["_cell"], "_docs", "left").drop("_cell", "_docs")
-    return out.withColumn("p", F.coalesce("p", F.lit(1.0))).withColumn("kept", u < F.col("p"))
+    out = join_hot(rows, fitted, ["_cell"], "_docs").drop("_cell", "_docs")
+    return out.withColumn("kept", u < F.col("p"))
 
 
 def op10_mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
