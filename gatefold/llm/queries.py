@@ -11,10 +11,11 @@ from gatefold.llm.near_dedup import op1_near_dedup
 from gatefold.llm.quality import op5_kneser_ney
 from gatefold.llm.rans_ids import op6_rans_ids
 from gatefold.llm.sharding import OP9_SQL, op9_rendezvous_shards
+from gatefold.llm.suffix_dedup import op8_suffix_dedup
 
 
 def queries():
-    return {f.__name__: f for f in (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op9_rendezvous_shards, op10_mix_targets)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op8_suffix_dedup, op9_rendezvous_shards, op10_mix_targets)}
 
 
 def oracle_sql():
