@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gatefold.llm.common import join_hot, table
 from gatefold.llm.sharding import unit_hash
 
-DIMS, ALPHA, SWEEPS, SEED = ("source", "lang", "topic"), 0.7, 12, "mix1"
+DIMS, ALPHA, SWEEPS, SEED = ("source", "lang", "topic"), 0.9, 12, "mix1"
 
 
 def form_topic(text: str = "text") -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
 from gatefold.llm.byte_bpe import op7_byte_bpe
 from gatefold.llm.chat import op4_role_repair
 from gatefold.llm.line_dedup import OP3_SQL, op3_line_dedup
@@ -13,10 +17,12 @@ from gatefold.llm.rans_ids import op6_rans_ids
 from gatefold.llm.sharding import OP9_SQL, op9_rendezvous_shards
 from gatefold.llm.suffix_dedup import op8_suffix_dedup
 
+OPERATORS = (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op8_suffix_dedup, op9_rendezvous_shards, op10_mix_targets)
+
 
-def queries():
-    return {f.__name__: f for f in (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op8_suffix_dedup, op9_rendezvous_shards, op10_mix_targets)}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in OPERATORS}
 
 
-def oracle_sql():
+def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": OP3_SQL, "op9_rendezvous_shards": OP9_SQL, "op10_mix_targets": OP10_SQL}
