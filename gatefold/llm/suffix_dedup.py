@@ -39,7 +39,7 @@ from gatefold.llm.common import POWERS, batches, join_hot, mix64, prefix_hash, s
 LENGTH, GRAM = 400, 64
 #: Bits of an anchor's place in its buffer; a longer text is worked off in overlapping pieces.
 PLACE_BITS = 24
-PIECE = 8 << 20
+PIECE = 1 << 20
 #: Suffixes sorted at once.
 SORTED = 400_000
 
