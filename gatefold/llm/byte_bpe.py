@@ -217,7 +217,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "do
         bpe = codec(path)
         for b in it:
             texts = utf8(b.column(1))
-            for i, j in batches(texts):
+            for i, j in batches(texts, 4 << 20):
                 ids = bpe.encode([t.decode() for t in texts[i:j]])
                 yield pa.record_batch([b.column(0)[i:j], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -246,7 +246,7 @@ def round_trip(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in it:
             texts = utf8(b.column(1))
-            for i, j in batches(texts):
+            for i, j in batches(texts, 4 << 20):
                 ids = bpe.encode([t.decode() for t in texts[i:j]])
                 cols = [[len(x) for x in ids], [sha(" ".join(map(bpe.names.__getitem__, x)).encode()) for x in ids], [sha(bpe.decode(x)) for x in ids]]
                 yield pa.record_batch([b.column(0)[i:j], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names)

@@ -175,7 +175,7 @@ def windows(word: np.ndarray, size: int) -> np.ndarray:
     return mix64(out)
 
 
-def batches(rows: list[bytes], limit: int = 4 << 20):
+def batches(rows: list[bytes], limit: int = 1 << 20):
     """Index ranges of rows whose bytes sum to about limit; a longer row comes alone."""
     start = total = 0
     for i, r in enumerate(rows):
