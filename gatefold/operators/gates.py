@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite, log10_floor
+from gatefold.functions.storage import cut
 from gatefold.operators.thresholds import resolve
 from gatefold.operators.valley import SCATTER, Valley, density_valley
 
@@ -59,14 +60,14 @@ def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A",
     df holds scatter channels raw and markers transformed; config: (sample, marker, cfg_value); control:
     (marker, value) of a reference sample.  A channel that is absent passes its gate.
     """
-    s = scatter_bounds(df, sample, fsc_a, ssc_a)
+    s = cut(scatter_bounds(df, sample, fsc_a, ssc_a))
     out = df.join(s, sample)
     lf, ls = log10_floor(fsc_a), log10_floor(ssc_a)
     leuko = (lf > F.col("fsc_lo")) & (lf < F.col("fsc_hi")) & (ls > F.col("ssc_lo")) & (ls < F.col("ssc_hi"))
     out = out.withColumn("leukocytes", F.coalesce(leuko, F.lit(False))).drop("fsc_lo", "fsc_hi", "ssc_lo", "ssc_hi", "fsc_fallback")
     if fsc_h and fsc_h in df.columns:
         r = height_ratio(fsc_h, fsc_a)
-        b = singlet_bounds(out.filter("leukocytes"), sample, r, singlet_k).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+        b = cut(singlet_bounds(out.filter("leukocytes"), sample, r, singlet_k).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
         out = out.join(b, sample, "left").withColumn("single_cells", F.col("leukocytes") & F.coalesce((r > F.col("_lo")) & (r < F.col("_hi")), F.lit(False))).drop("_lo", "_hi")
     else:
         out = out.withColumn("single_cells", F.col("leukocytes"))
@@ -79,7 +80,7 @@ def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A",
         cfg = pick(config)
         ctl = pick(control)
         x = out.filter(parent).select(sample, col(marker).alias("value"))
-        t = resolve(x, [sample], "value", cfg, ctl)
+        t = cut(resolve(x, [sample], "value", cfg, ctl))
         used = t.withColumn("marker", F.lit(marker)) if used is None else used.unionByName(t.withColumn("marker", F.lit(marker)))
         b = t.select(sample, F.col("threshold").alias("_t"))
         hit = col(marker) > F.col("_t") if above else col(marker) < F.col("_t")

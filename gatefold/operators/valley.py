@@ -1,14 +1,17 @@
 """Density valley: the cut between two modes of a marker, for every group at once.
 
-Events are touched twice: for the range of each group and for its histogram, both with partial
-aggregation.  From then on a group is one row that holds its histogram as an array, so smoothing,
-peaks and the search over peak pairs are array expressions without a further shuffle.
+Events are touched twice, by built-in aggregates: for the range of each group and for its histogram, both
+with partial aggregation.  From then on a group is one row that holds its histogram as an array.  The
+search over pairs of peaks runs on those arrays, Arrow-batched in numpy: as nested array functions it
+is interpreted and took minutes for five groups with many peaks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,40 +68,59 @@ def smoothed(counts, bins: int, k: int):
     return F.transform(counts, lambda c, i: F.when((i >= k) & (i < bins - k), mean(i)).otherwise(c.cast("double")))
 
 
+def search(counts, s: Valley) -> tuple[int | None, float | None, int]:
+    """(bin of the valley, its relative depth, number of peaks) of one histogram, bins counted from 0.
+
+    Every pair of peaks far enough apart is a candidate: its valley is the first lowest bin between them,
+    its depth is relative to the lower peak, and enough of the histogram must lie right of the valley.
+    """
+    counts = np.asarray(counts)
+    k, n = max(1, int(s.smooth)), len(counts)
+    ys = counts.astype(float)
+    run = np.concatenate(([0], np.cumsum(counts)))
+    ys[k : n - k] = (run[2 * k + 1 :] - run[: -2 * k - 1]) / (2 * k + 1)
+    mid = ys[1:-1]
+    peaks = np.flatnonzero((mid >= ys[:-2]) & (mid >= ys[2:]) & (mid > s.peak_frac * ys.max())) + 1
+    tail = np.cumsum(ys[::-1])[::-1]
+    best: tuple[float, int, float] | None = None
+    for i, a in enumerate(peaks[:-1].tolist()):
+        rest = peaks[i + 1 :]
+        rest = rest[rest - a >= s.min_gap_frac * (n - 1)]
+        if not len(rest):
+            continue
+        seg = ys[a : rest[-1] + 1]
+        low = np.minimum.accumulate(seg)
+        first = np.maximum.accumulate(np.where(np.append(True, low[1:] < low[:-1]), np.arange(len(seg)), 0))
+        v = a + first[rest - a]
+        lesser = np.minimum(ys[a], ys[rest])
+        rel = (lesser - ys[v]) / lesser
+        score = np.where((rel > 0) & (rel >= s.min_rel_depth) & (tail[v] >= s.min_upper_frac * tail[0]), rel + 0.05 * (rest - a) / (n - 1), -1.0)
+        j = int(score.argmax())
+        if score[j] > (best[0] if best else 0.0):
+            best = (float(score[j]), int(v[j]), float(rel[j]))
+    return (None, None, len(peaks)) if best is None else (best[1], best[2], len(peaks))
+
+
 def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valley()) -> DataFrame:
     """keys, n, cut, rel_depth, n_peaks and reason (why there is no cut), one row a group of df."""
-    h = histogram(df, keys, value, s).withColumn("ys", smoothed(F.col("counts"), s.bins, max(1, int(s.smooth))))
-    ys, y = F.col("ys"), lambda i: F.get(F.col("ys"), i)
-    h = h.withColumn("_top", F.array_max("ys")).withColumn("_sum", F.aggregate("ys", F.lit(0.0), lambda a, v: a + v))
-    inner = F.sequence(F.lit(1), F.lit(s.bins - 2))
-    h = h.withColumn("peaks", F.filter(inner, lambda i: (y(i) >= y(i - 1)) & (y(i) >= y(i + 1)) & (y(i) > s.peak_frac * F.col("_top"))))
-    gap = s.min_gap_frac * (s.bins - 1)
-
-    def candidate(a, b):
-        low = F.array_min(F.slice(ys, a + 1, b - a + 1))
-        at = a + F.array_position(F.slice(ys, a + 1, b - a + 1), low).cast("int") - 1
-        lesser = F.least(y(a), y(b))
-        rel = (lesser - low) / lesser
-        upper = F.aggregate(F.slice(ys, at + 1, F.lit(s.bins)), F.lit(0.0), lambda t, v: t + v)
-        return F.struct((rel + 0.05 * (b - a) / float(s.bins - 1)).alias("score"), (-a).alias("a"), (-b).alias("b"), at.alias("v"), rel.alias("rel"), upper.alias("upper"))
-
-    pairs = F.flatten(F.transform("peaks", lambda a: F.transform(F.filter("peaks", lambda b: b - a >= gap), lambda b: candidate(a, b))))
-    h = h.withColumn("_pairs", F.when(F.size("peaks") >= 2, pairs))
-    good = F.filter("_pairs", lambda p: (p["rel"] > 0) & (p["rel"] >= s.min_rel_depth) & (p["upper"] >= s.min_upper_frac * F.col("_sum")))
-    # structs compare field by field: the best score, then the first pair
-    h = h.withColumn("_best", F.array_max(good))
+    h = histogram(df, keys, value, s)
+
+    @F.pandas_udf("bin int, rel double, peaks long")
+    def find(counts: pd.Series) -> pd.DataFrame:
+        got = [(None, None, None) if c is None else search(c, s) for c in counts]
+        return pd.DataFrame(got, columns=["bin", "rel", "peaks"]).astype({"bin": "Int32", "rel": "float64", "peaks": "Int64"})
+
+    h = h.withColumn("_v", find("counts"))
     reason = (
         F.when(F.col("n") < s.min_n, f"fewer than {s.min_n} finite values").when(~(F.col("hi") > F.col("lo")), "degenerate range")
-        .when(F.size("peaks") < 2, "unimodal: fewer than two peaks").when(F.col("_best").isNull(), "no peak pair separates enough")
+        .when(F.col("_v.peaks") < 2, "unimodal: fewer than two peaks").when(F.col("_v.bin").isNull(), "no peak pair separates enough")
     )
-    cut = F.col("lo") + (F.col("_best.v") + 0.5) * F.col("w")
-    return h.select(*keys, "n", cut.alias("cut"), F.col("_best.rel").alias("rel_depth"), F.size("peaks").cast("long").alias("n_peaks"), reason.alias("reason"))
+    cut = F.col("lo") + (F.col("_v.bin") + 0.5) * F.col("w")
+    return h.select(*keys, "n", cut.alias("cut"), F.col("_v.rel").alias("rel_depth"), F.col("_v.peaks").alias("n_peaks"), reason.alias("reason"))
 
 
 def valley_numpy(x, s: Valley = Valley()) -> tuple[float | None, float | None]:
     """The same search on one numpy array, for resampling loops inside a task: cut and relative depth."""
-    import numpy as np
-
     x = np.asarray(x, float)
     x = x[np.isfinite(x)]
     if len(x) < s.min_n:
@@ -109,24 +131,5 @@ def valley_numpy(x, s: Valley = Valley()) -> tuple[float | None, float | None]:
     x = x[(x >= lo) & (x <= hi)]
     w = (hi - lo) / s.bins
     counts = np.bincount(np.clip(np.ceil((x - lo) / w).astype(int), 1, s.bins) - 1, minlength=s.bins)
-    k = max(1, int(s.smooth))
-    ys = counts.astype(float)
-    run = np.cumsum(np.concatenate(([0], counts)))
-    ys[k : s.bins - k] = (run[2 * k + 1 :] - run[: -2 * k - 1]) / (2 * k + 1)
-    mid = ys[1:-1]
-    peaks = np.flatnonzero((mid >= ys[:-2]) & (mid >= ys[2:]) & (mid > s.peak_frac * ys.max())) + 1
-    tail = np.cumsum(ys[::-1])[::-1]
-    best = None
-    for i, a in enumerate(peaks):
-        for b in peaks[i + 1 :]:
-            if b - a < s.min_gap_frac * (s.bins - 1):
-                continue
-            v = a + int(np.argmin(ys[a : b + 1]))
-            lesser = min(ys[a], ys[b])
-            rel = (lesser - ys[v]) / lesser
-            if rel <= 0 or rel < s.min_rel_depth or tail[v] < s.min_upper_frac * tail[0]:
-                continue
-            score = rel + 0.05 * (b - a) / (s.bins - 1)
-            if best is None or score > best[0]:
-                best = (score, v, rel)
-    return (None, None) if best is None else (float(lo + (best[1] + 0.5) * w), float(best[2]))
+    v, rel, _ = search(counts, s)
+    return (None, None) if v is None else (float(lo + (v + 0.5) * w), rel)

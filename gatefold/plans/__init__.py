@@ -1 +1,4 @@
 """Queries over the driver tables, their SQL, and the batch pipeline."""
+
+from gatefold.plans import queries_gating  # noqa: F401
+from gatefold.plans.registry import QUERIES, SQL  # noqa: F401
