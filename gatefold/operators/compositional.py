@@ -80,7 +80,7 @@ def fisher_simulated(table: np.ndarray, draws: int = 20_000, seed: int = 42) ->
         t = np.zeros_like(table)
         np.add.at(t, (rows, rng.permutation(cols)), 1)
         hits += stat(t) <= own + 1e-7
-    return (hits + 1) / (draws + 1)
+    return float((hits + 1) / (draws + 1))
 
 
 def confounding(freq: DataFrame, covariates: DataFrame, groups: DataFrame, names: list[str], value: str = "pct_of_cd45_pos", sample: str = "sample_id", group: str = "group", alpha: float = 0.05, min_n: int = 6) -> DataFrame:

@@ -44,12 +44,13 @@ def against_reference(df: DataFrame, keys: list[str], group: str, value: str, re
 
     Without a reference, or where it is absent, the first group in sorted order stands in.
     """
-    d = df.filter(finite(value) & col(group).isNotNull()).select(*keys, F.col(group).alias("_g"), F.col(value).alias("_v"))
+    # without keys all rows are one family
+    d = df.filter(finite(value) & col(group).isNotNull()).select(*keys, F.col(group).alias("_g"), F.col(value).alias("_v"), F.lit(1).alias("_one"))
     groups = d.select("_g").distinct()
     first = groups.agg(F.coalesce(F.max(F.when(F.col("_g") == (reference or ""), F.col("_g"))), F.min("_g")).alias("_ref"))
     d = d.join(F.broadcast(first))  # one row
-    others = d.filter(F.col("_g") != F.col("_ref")).select(*keys, F.col("_g").alias("comparison")).distinct()
-    ref = d.filter(F.col("_g") == F.col("_ref")).join(others, keys)
+    others = d.filter(F.col("_g") != F.col("_ref")).select(*keys, "_one", F.col("_g").alias("comparison")).distinct()
+    ref = d.filter(F.col("_g") == F.col("_ref")).join(others, [*keys, "_one"])
     cmp_ = d.filter(F.col("_g") != F.col("_ref"))
     a = ref.select(*keys, F.col("_ref").alias("reference"), "comparison", F.lit("ref").alias("side"), "_v")
     b = cmp_.select(*keys, F.col("_ref").alias("reference"), F.col("_g").alias("comparison"), F.lit("cmp").alias("side"), "_v")
@@ -109,9 +110,9 @@ def signed_rank(df: DataFrame, keys: list[str], diff: str) -> DataFrame:
 def friedman(df: DataFrame, keys: list[str], block: str, condition: str, value: str) -> DataFrame:
     """keys, n_blocks, n_conditions and q: tie-corrected Friedman statistic over complete blocks."""
     d = df.filter(finite(value))
-    k = d.groupBy(*keys).agg(F.count_distinct(condition).alias("k"))
+    k = d.groupBy(*keys).agg(F.count_distinct(condition).alias("_k"))
     full = d.groupBy(*keys, block).agg(F.count_distinct(condition).alias("_c"))
-    full = full.join(k, keys).filter("_c = k").select(*keys, block)
+    full = full.join(k, keys).filter("_c = _k").select(*keys, block)
     d = d.join(full, [*keys, block]).withColumn("_r", avg_rank([*keys, block], value))
     per = d.groupBy(*keys, condition).agg(F.sum("_r").alias("_s"), F.count(F.lit(1)).alias("_b"))
     q = per.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s")).alias("_q"), F.max("_b").alias("n_blocks"), F.count(F.lit(1)).alias("n_conditions"))
