@@ -118,7 +118,7 @@ def f1_of(hit: np.ndarray, y: np.ndarray, total: float | None = None) -> tuple[f
     tp = float((hit & (y > 0)).sum())
     p = tp / hit.sum() if hit.any() else 0.0
     r = tp / (total or y.sum()) if (total or y.sum()) else 0.0
-    return (2 * p * r / (p + r) if p + r else 0.0), p, r
+    return float(2 * p * r / (p + r) if p + r else 0.0), float(p), float(r)
 
 
 def learn_gate(x: np.ndarray, y: np.ndarray, n_planes: int = 8, lambdas=(0, 0.5, 1, 2, 4, 8), holdout: float = 0.3, seed: int = 42, total: float | None = None, min_n: int = 20) -> dict | None:

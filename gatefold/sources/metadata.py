@@ -57,7 +57,7 @@ def parse_dates(df: DataFrame, column: str, reference: dt.date | None = None, ou
     century = F.when(F.length(F.regexp_extract(t, pat, 3)) == 4, y).when(y + 2000 > ref.year, y + 1900).otherwise(y + 2000)
     day, month = F.when(month_first, b).otherwise(a), F.when(month_first, a).otherwise(b)
     text = F.format_string("%04d-%02d-%02d", century, month, day)
-    named = [F.try_to_date(t, F.lit(f)) for f in ("d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d, yyyy")] if hasattr(F, "try_to_date") else [F.try_to_timestamp(t, F.lit(f)).cast("date") for f in ("d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d, yyyy")]
+    named = [F.try_to_date(t, f) for f in ("d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d, yyyy")]
     iso = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t.try_cast("date"))
     got = F.coalesce(iso, F.when(t.rlike(pat), text.try_cast("date")), *named)
     return d.withColumn(out or column, got).drop("_dm", "_md")
