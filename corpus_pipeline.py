@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gatefold.llm.byte_bpe import encode_documents
 from gatefold.llm.common import importable, stored, table
 from gatefold.llm.line_dedup import line_dedup
-from gatefold.llm.mixing import mix
+from gatefold.llm.mixing import mixed_sample
 from gatefold.llm.near_dedup import near_duplicates
 from gatefold.llm.quality import quality_filter
 
@@ -41,7 +41,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens follow the tempered source, language and topic shares."""
-    return mix(docs).filter("kept").select(*docs.columns)
+    return mixed_sample(docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

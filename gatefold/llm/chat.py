@@ -27,7 +27,7 @@ ROLES = ("system", "user", "assistant")
 NEXT = {None: ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
 FINAL = "assistant"
 #: costs of merging a turn into one of its role, of relabelling, of relabelling to or from system, of an empty turn
-MERGE, RELABEL, RELABEL_SYSTEM, INSERT = 2, 3, 5, 4
+MERGE, RELABEL, RELABEL_SYSTEM, INSERT = 1, 5, 6, 3
 GLUE, OPEN, CLOSE = "\n\n", "<|im_start|>", "<|im_end|>\n"
 
 

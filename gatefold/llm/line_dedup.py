@@ -42,16 +42,17 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, stats: bool = False) -> DataFrame:
     """docs with repeated lines removed from text; with stats also n_lines and n_dropped."""
     gone = repeated_lines(docs, doc_id, text, min_chars).groupBy("_id", "_th").agg(F.collect_set("pos").alias("_gone"))
-    rows = docs.withColumns({"_lid": F.col(doc_id), "_lth": F.xxhash64(text), "_lines": F.split(F.coalesce(text, F.lit("")), "\n")})
+    # the row travels as one struct, so its column names meet no other
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(row, F.col(doc_id).alias("_lid"), F.xxhash64(text).alias("_lth"), F.split(F.coalesce(text, F.lit("")), "\n").alias("_lines"))
     both = rows.join(gone, (rows["_lid"] == gone["_id"]) & (rows["_lth"] == gone["_th"]), "left")
     # the lines that stay, by position; array_except hashes, so a long document costs no more than its lines
     keep = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(keep, lambda i: F.get(F.col("_lines"), i)), "\n"))
-    out = {text: new}
-    if stats:
-        out |= {"n_lines": F.size("_lines").cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}
-    extra = ["n_lines", "n_dropped"] if stats else []
-    return both.withColumns(out).select(*docs.columns, *[c for c in extra if c not in docs.columns])
+    old = F.col("_row").getField(text)
+    new = F.when(F.col("_gone").isNull(), old).otherwise(F.array_join(F.transform(keep, lambda i: F.get(F.col("_lines"), i)), "\n"))
+    extra = {"n_lines": F.size("_lines").cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")} if stats else {}
+    own = [(new if c == text else F.col("_row").getField(c)).alias(c) for c in docs.columns if c not in extra]
+    return both.select(*own, *[v.alias(c) for c, v in extra.items()])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,14 +75,27 @@ def _key(dims) -> Column:
 
 
 def mix(docs: DataFrame, dims=DIMS, targets=None, alpha: float = ALPHA, sweeps: int = SWEEPS, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", topic: Column | None = None) -> DataFrame:
-    """docs with topic, n_tokens, p and kept."""
-    have = docs.drop("topic", "n_tokens", "p", "kept", "_cell")
-    rows = have.withColumn("topic", topic if topic is not None else form_topic(text)).withColumn("n_tokens", n_words(text)).withColumn("_cell", _key([f"`{d}`" for d in dims]))
+    """docs with topic, n_tokens, p and kept; columns of these names are replaced."""
+    return _mixed(docs, dims, targets, alpha, sweeps, seed, doc_id, text, topic, True)
+
+
+def mixed_sample(docs: DataFrame, dims=DIMS, targets=None, alpha: float = ALPHA, sweeps: int = SWEEPS, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", topic: Column | None = None) -> DataFrame:
+    """The rows and columns of docs that the sample keeps."""
+    return _mixed(docs, dims, targets, alpha, sweeps, seed, doc_id, text, topic, False)
+
+
+def _mixed(docs, dims, targets, alpha, sweeps, seed, doc_id, text, topic, report) -> DataFrame:
+    # the row travels as one struct, so its column names meet no other
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    names = {d: (topic if topic is not None else form_topic(text)) if d == "topic" else F.col(f"`{d}`") for d in dims}
+    rows = docs.select(row, F.col(doc_id).alias("_did"), n_words(text).alias("n_tokens"), *[v.alias(d) for d, v in names.items()]).withColumn("_cell", _key(dims))
     cells = rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    fitted = rake(cells, dims, targets, alpha, sweeps).withColumn("_cell", _key([f"`{d}`" for d in dims])).select("_cell", "docs", "p").withColumnRenamed("docs", "_docs")
-    u = unit_hash(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), seed)
-    out = join_hot(rows, fitted, ["_cell"], "_docs").drop("_cell", "_docs")
-    return out.withColumn("kept", u < F.col("p"))
+    fitted = rake(cells, dims, targets, alpha, sweeps).withColumn("_cell", _key(dims)).select("_cell", F.col("docs").alias("_docs"), "p")
+    u = unit_hash(F.coalesce(F.col("_did").cast("string"), F.lit("null")), seed)
+    out = join_hot(rows, fitted, ["_cell"], "_docs").withColumn("kept", u < F.col("p"))
+    extra = {c: F.col(c) for c in ("topic", "n_tokens", "p", "kept")} if report else {}
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in extra]
+    return (out if report else out.filter("kept")).select(*own, *extra.values())
 
 
 def op10_mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
