@@ -25,10 +25,10 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from gatefold.llm.common import batches, table, utf8
+from gatefold.llm.common import table, text_parts
 
 NONE = np.int64(1 << 40)
-LONG, CACHE = 256, 300_000
+LONG, CACHE = 256, 200_000
 
 
 class PairTable:
@@ -216,9 +216,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "do
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
         for b in it:
-            texts = utf8(b.column(1))
-            for i, j in batches(texts, 4 << 20):
-                ids = bpe.encode([t.decode() for t in texts[i:j]])
+            for i, j, texts in text_parts(b, 1):
+                ids = bpe.encode([t.decode() for t in texts])
                 yield pa.record_batch([b.column(0)[i:j], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, ids array<int>")
@@ -245,9 +244,8 @@ def round_trip(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",
         bpe = codec(path)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in it:
-            texts = utf8(b.column(1))
-            for i, j in batches(texts, 4 << 20):
-                ids = bpe.encode([t.decode() for t in texts[i:j]])
+            for i, j, texts in text_parts(b, 1):
+                ids = bpe.encode([t.decode() for t in texts])
                 cols = [[len(x) for x in ids], [sha(" ".join(map(bpe.names.__getitem__, x)).encode()) for x in ids], [sha(bpe.decode(x)) for x in ids]]
                 yield pa.record_batch([b.column(0)[i:j], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names)
 

@@ -187,6 +187,19 @@ def batches(rows: list[bytes], limit: int = 1 << 20):
         yield start, len(rows)
 
 
+def text_parts(batch, column: int, limit: int = 1 << 20):
+    """(i, j, texts) over an Arrow batch: only about limit bytes become Python objects at a time."""
+    import pyarrow.compute as pc
+
+    col = batch.column(column)
+    size = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    i = 0
+    while i < len(col):
+        j = max(i + 1, int(np.searchsorted(size, size[i] + limit, "right")) - 1)
+        yield i, j, utf8(col[i:j])
+        i = j
+
+
 def utf8(column) -> list[bytes]:
     """Arrow string column to bytes; null is empty."""
     import pyarrow as pa

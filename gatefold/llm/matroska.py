@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from gatefold.llm.common import table, utf8
+from gatefold.llm.common import table, text_parts
 
 #: Element ids of the public Matroska specification (fixed values).
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
@@ -353,15 +353,15 @@ def media_round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for i, j, texts, b in ((*x, b) for b in it for x in text_parts(b, 1)):
             rows = []
-            for t in utf8(b.column(1)):
+            for t in texts:
                 media = write(pad(t))
                 m = parse(media)
                 back = b"".join([media[o : o + s] for _, _, o, s, _, _ in m.packets])
                 rows.append((len(t), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(m, back)))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.record_batch([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
+            yield pa.record_batch([b.column(0)[i:j], *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
@@ -371,9 +371,8 @@ def text_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            texts = utf8(b.column(1))
-            for i in range(0, len(texts), 200):
-                yield pa.record_batch([b.column(0)[i : i + 200], pa.array([write(pad(t)) for t in texts[i : i + 200]], pa.binary())], ["doc_id", "media"])
+            for i, j, texts in text_parts(b, 1):
+                yield pa.record_batch([b.column(0)[i:j], pa.array([write(pad(t)) for t in texts], pa.binary())], ["doc_id", "media"])
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, media binary")
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gatefold.llm.common import batches, stored, table, utf8
+from gatefold.llm.common import stored, table, text_parts
 
 END, CACHE = 1, 1_500_000
 #: Marks that are cut off a word, and the first character that may combine.
@@ -290,9 +290,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "do
             return pa.record_batch([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([seg], pa.binary())], [x.split()[0] for x in SEGMENTS.split(", ")])
 
         for b in it:
-            texts, ids_of = utf8(b.column(1)), b.column(0).to_pylist()
-            for i, j in batches(texts, 2 << 20):
-                for k, x in zip(ids_of[i:j], tok.encode([t.decode() for t in texts[i:j]]), strict=True):
+            for i, j, texts in text_parts(b, 1):
+                for k, x in zip(b.column(0)[i:j].to_pylist(), tok.encode([t.decode() for t in texts]), strict=True):
                     keys.append(k)
                     data.append(x + tail)
                     held += len(data[-1]) // 4

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatefold.llm.common import POWERS, batches, join_hot, mix64, prefix_hash, span_hash, stored, table, utf8
+from gatefold.llm.common import POWERS, batches, join_hot, mix64, prefix_hash, span_hash, stored, table, text_parts
 
 LENGTH, GRAM = 400, 64
 #: Bits of an anchor's place in its buffer; a longer text is worked off in overlapping pieces.
@@ -97,9 +97,8 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            texts = utf8(b.column(1))
-            for i, j in batches(texts):
-                k, s, e, o, kh, ch = anchors(texts[i:j], length, gram)
+            for i, j, texts in text_parts(b, 1):
+                k, s, e, o, kh, ch = anchors(texts, length, gram)
                 ids = b.column(0)[i:j].take(pa.array(k))
                 yield pa.record_batch([pa.array(kh.view(np.int64)), pa.array(ch.view(np.int64)), ids, pa.array(s), pa.array((e - s + 1).astype(np.int32)), pa.array(o.astype(np.int32))], ["kh", "ch", "doc_id", "s", "n", "o"])
 
@@ -278,9 +277,9 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id:
     names = [f.split()[0] for f in fields.split(", ")]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for i, j, texts, b in ((*x, b) for b in it for x in text_parts(b, 1)):
             out = []
-            for t, s, n in zip(utf8(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for t, s, n in zip(texts, b.column(2)[i:j].to_pylist(), b.column(3)[i:j].to_pylist(), strict=True):
                 gone = runs = 0
                 if s:
                     s, n = np.array(s, np.int64), np.array(n, np.int64)
@@ -290,12 +289,12 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id:
                     new = np.flatnonzero(np.append(True, a[1:] > z[:-1]))
                     a, z = a[new].tolist(), z[np.append(new[1:], len(z)) - 1].tolist()
                     runs, gone = len(a), sum(z) - sum(a)
-                    t_kept = b"".join(t[i:j] for i, j in zip([0, *z], [*a, len(t)], strict=True))
+                    t_kept = b"".join(t[u:v] for u, v in zip([0, *z], [*a, len(t)], strict=True))
                 else:
                     t_kept = t
                 out.append((len(t), gone, runs, hashlib.sha256(t_kept).hexdigest(), t_kept))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: len(names) - 1]
-            yield pa.record_batch([b.column(0), *(pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds))], names)
+            yield pa.record_batch([b.column(0)[i:j], *(pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds))], names)
 
     return both.mapInArrow(run, fields)
 
