@@ -110,7 +110,7 @@ def spill_matrix(kw: dict[str, str]) -> tuple[list[str], list[list[float]]] | No
 
 def systematic(n: int, cap: int) -> np.ndarray:
     """Evenly spaced positions, at most cap of n."""
-    return np.arange(n) if cap <= 0 or n <= cap else np.unique(np.rint(np.linspace(0, n - 1, cap)).astype(int))
+    return np.arange(n) if cap <= 0 or n <= cap else np.unique(np.rint(np.linspace(1, n, cap)).astype(int)) - 1
 
 
 def read_files(files: DataFrame, columns: list[str] | None = None, max_events: int = 0) -> DataFrame:
