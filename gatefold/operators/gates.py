@@ -16,10 +16,9 @@ from gatefold.functions.numeric import col, finite, log10_floor
 from gatefold.functions.storage import cut
 from gatefold.operators.thresholds import resolve
 from gatefold.operators.valley import SCATTER, Valley, density_valley
+from gatefold.sources.defaults import VIABILITY
 
 GATES = ("all_events", "leukocytes", "single_cells", "live_cells", "cd45_pos")
-#: Names by which viability dyes are known (fixed values).
-VIABILITY = ("viab", "live", "dead", "zombie", "l/d", "ld", "7-?aad", "dapi", "fvs", "fvd", "aqua", "pi")
 
 
 def scatter_bounds(df: DataFrame, sample: str, fsc: str, ssc: str, settings: Valley = SCATTER, fallback_q: float = 0.60, fsc_hi_q: float = 0.999, ssc_q: tuple[float, float] = (0.005, 0.995)) -> DataFrame:
@@ -48,10 +47,9 @@ def height_ratio(fsc_h: str, fsc_a: str) -> Column:
 
 def viability_marker(markers: list[str], explicit: str | None = None) -> str | None:
     """The explicit marker if it is there, else the first that looks like a viability dye."""
-    if explicit:
-        return explicit if explicit in markers else None
-    pat = re.compile(r"(^|[^a-z0-9])(" + "|".join(VIABILITY) + r")", re.I)
-    return next((m for m in markers if pat.search(m)), None)
+    if explicit in markers:
+        return explicit
+    return next((m for m in markers if re.search(VIABILITY, m, re.I)), None)
 
 
 def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A", ssc_a: str = "SSC-A", fsc_h: str | None = "FSC-H", viability: str | None = None, cd45: str | None = "CD45", config: DataFrame | None = None, control: DataFrame | None = None, singlet_k: float = 3.0) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,7 @@ from gatefold.functions.numeric import col
 from gatefold.functions.storage import cut
 from gatefold.operators import compositional, conformance, diagnostics, gates, populations, ranks, thresholds
 from gatefold.operators.transforms import Transform
+from gatefold.sources import defaults
 from gatefold.sources.metadata import COVARIATES, RunConfig
 
 LOG = logging.getLogger("gatefold")
@@ -96,7 +97,7 @@ def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[
         known = samples if "is_control" in samples.columns else samples.withColumn("is_control", F.lit(False))
         qc = known.join(pct, "sample_id").join(src, "sample_id", "left").withColumn("cd45_source", F.coalesce("cd45_source", F.lit("skipped")))
         qc = out.put("staining_qc", gates.staining_verdict(qc, min_pct=c.min_cd45_pct, force=c.include_qc_failed).select("sample_id", "pct_cd45_of_live", "verdict", "qc_status", "included", F.coalesce("is_control", F.lit(False)).alias("is_control")))
-        spec = c.populations
+        spec = c.populations or defaults.POPULATIONS
         need = [m for m in populations.spec_markers(spec) if m in have]
         inside = gated.filter("cd45_pos")
         long = inside.select("sample_id", F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("value")) for m in need])).alias("r")).select("sample_id", "r.*")
@@ -111,8 +112,9 @@ def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[
         freq = out.put("population_frequencies", freq)
         out.put("populations_unavailable", populations.unavailable(thr, spec, events.columns, bounds=bounds))
         mfi = out.put("population_marker_mfi", populations.marker_summary(scored, pops, need, thr).join(qc.select("sample_id", "is_control", "qc_status"), "sample_id"))
-        if c.functional_blocks:
-            out.attempt("functional_markers", lambda: populations.functional(mfi, c.functional_blocks, spec))
+        blocks = c.functional_blocks or ({} if c.populations else defaults.FUNCTIONAL_BLOCKS)
+        if blocks:
+            out.attempt("functional_markers", lambda: populations.functional(mfi, blocks, spec))
         if c.ratios:
             out.attempt("population_ratios", lambda: populations.ratios(freq, c.ratios))
         groups = samples.select("sample_id", F.col(c.group_column).alias("group")) if c.group_column in samples.columns else None

@@ -12,14 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import norm_id
+from gatefold.sources.defaults import HEADERS, VALUES
 
-#: Header synonyms, canonical name first (fixed values; matched without case, blanks as underscores).
-HEADERS = {
-    "patient_id": ("patient_id", "patient", "subject", "subject_id", "pid", "id"), "cohort": ("cohort", "group", "study", "diagnosis"),
-    "age_years": ("age_years", "age"), "sex": ("sex", "gender"), "date_of_birth": ("date_of_birth", "dob", "birth_date"),
-    "height_cm": ("height_cm", "height"), "weight_kg": ("weight_kg", "weight"), "wbc_per_ul": ("wbc_per_ul", "wbc"),
-}
-SEX = {"m": "male", "male": "male", "f": "female", "female": "female", "w": "female"}
 #: Default covariates by the names that the loader gives them.
 COVARIATES = {"age": "age_years"}
 
@@ -63,7 +57,22 @@ def parse_dates(df: DataFrame, column: str, reference: dt.date | None = None, ou
     return d.withColumn(out or column, got).drop("_dm", "_md")
 
 
-def load_patients(spark: SparkSession, path: str, reference: dt.date | None = None, headers: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+def translate(column: str, table: dict[str, str]) -> Column:
+    """Values by dictionary, without case; compounds (/ , + 'und') token by token, a final ? becomes "(uncertain)".
+
+    A value of which no token is known passes through unchanged.
+    """
+    known = F.create_map(*[F.lit(x) for k, v in table.items() for x in (k.strip().lower(), v)])
+    look = lambda t: F.try_element_at(known, F.lower(t))
+    s = F.trim(F.col(column))
+    core = F.trim(F.regexp_replace(s, r"\?\s*$", ""))
+    tokens = F.filter(F.transform(F.split(core, r"\s*[/,+]\s*|\s+und\s+"), lambda t: F.trim(t)), lambda t: t != "")
+    some = F.exists(tokens, lambda t: look(t).isNotNull())
+    joined = F.concat(F.array_join(F.transform(tokens, lambda t: F.coalesce(look(t), t)), " / "), F.when(s.rlike(r"\?\s*$"), " (uncertain)").otherwise(""))
+    return F.coalesce(look(s), F.when(some, joined), s)
+
+
+def load_patients(spark: SparkSession, path: str, reference: dt.date | None = None, headers: dict[str, list[str]] | None = None, values: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """patient_id, cohort, age_years, sex and other known columns; unknown columns are left out.
 
     Heights and weights of 0 or less are null; an age that is missing comes from the date of birth.
@@ -71,7 +80,7 @@ def load_patients(spark: SparkSession, path: str, reference: dt.date | None = No
     raw = read_table(spark, path)
     known = headers or HEADERS
     at = {norm_header(c): c for c in reversed(raw.columns)}
-    have = {k: at[s] for k, names in known.items() for s in reversed(names) if s in at}
+    have = {k: at[norm_header(s)] for k, names in known.items() for s in reversed(names) if norm_header(s) in at}
     d = raw.select(*[F.col(f"`{c}`").alias(k) for k, c in have.items()])
     for c in ("age_years", "height_cm", "weight_kg", "wbc_per_ul"):
         if c in have:
@@ -83,9 +92,9 @@ def load_patients(spark: SparkSession, path: str, reference: dt.date | None = No
         d = parse_dates(d, "date_of_birth", reference)
         age = F.floor(F.datediff(F.lit(reference or dt.date.today()), "date_of_birth") / 365.25)
         d = d.withColumn("age_years", F.coalesce(F.col("age_years"), age) if "age_years" in have else age.cast("double"))
-    if "sex" in have:
-        table = F.create_map(*[F.lit(x) for kv in SEX.items() for x in kv])
-        d = d.withColumn("sex", F.coalesce(F.try_element_at(table, F.lower(F.trim("sex"))), F.trim("sex")))
+    for c, table in (values or VALUES).items():
+        if c in have:
+            d = d.withColumn(c, translate(c, table))
     return d.filter(F.trim("patient_id") != "")
 
 

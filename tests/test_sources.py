@@ -82,6 +82,20 @@ def test_patient_table(spark, tmp_path):
     assert {r.column: r.n_present for r in metadata.completeness(d).collect()}["height_cm"] == 1
 
 
+@pytest.mark.parametrize(("raw", "want"), [("Lunge", "lung"), ("lunge?", "lung (uncertain)"), ("Lunge / Haut", "lung / skin"), ("Haut und Knie?", "skin / knee (uncertain)"), ("Haut, Zeh", "skin / Zeh"), ("Zeh", "Zeh"), (None, None)])
+def test_value_translation(spark, raw, want):
+    d = spark.createDataFrame([(raw,)], "v string")
+    assert d.select(metadata.translate("v", metadata.VALUES["infection_focus"]).alias("t")).first().t == want
+
+
+def test_default_spec_is_well_formed():
+    from gatefold.operators import populations
+    from gatefold.sources import defaults
+
+    assert len(defaults.POPULATIONS) == 15 and len(populations.positive_markers(defaults.POPULATIONS)) == sum(d != "below" for s in defaults.POPULATIONS.values() for d in s.values())
+    assert populations.block_populations(defaults.FUNCTIONAL_BLOCKS["monocyte"], defaults.POPULATIONS, list(defaults.POPULATIONS)) == defaults.MONOCYTES
+
+
 @pytest.mark.parametrize(("raw", "want"), [(["03/04/2001", "13/04/2001"], dt.date(2001, 4, 3)), (["03/04/2001", "04/13/2001"], dt.date(2001, 3, 4)), (["03/04/31"], dt.date(1931, 4, 3)), (["2001-04-03"], dt.date(2001, 4, 3)), (["3 Apr 2001"], dt.date(2001, 4, 3)), (["soon"], None)])
 def test_date_order(spark, raw, want):
     d = metadata.parse_dates(spark.createDataFrame([(i, r) for i, r in enumerate(raw)], "i int, d string"), "d", dt.date(2025, 1, 1))
