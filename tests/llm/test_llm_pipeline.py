@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from test_operators import SCHEMA, brute_base, brute_components, brute_lines, corpus, docs, empty, frame, odd  # noqa: F401
+from test_llm_operators import SCHEMA, brute_base, brute_components, brute_lines, corpus, docs, empty, frame, odd  # noqa: F401
 
 import corpus_pipeline as p
 
