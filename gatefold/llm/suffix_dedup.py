@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -253,9 +254,10 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """doc_id, s, n: windows s .. s + n - 1 of the document are repeated."""
     rows = stored(anchor_rows(docs, length, gram), "anchors")
     often = rows.groupBy("kh").agg(F.count(F.lit(1)).alias("w")).filter("w > 1")
-    cand = stored(join_hot(rows, often, ["kh"], "w").drop("w"), "repeats")
+    # kept on the executors' disks: a lost one is computed again from the written anchors
+    cand = join_hot(rows, often, ["kh"], "w").drop("w").persist(StorageLevel.DISK_ONLY)
     classes = cand.groupBy("kh", "ch").agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("doc_id", "s", "n", "o")).alias("one"))
-    classes = stored(classes, "classes")
+    classes = classes.persist(StorageLevel.DISK_ONLY)
     whole = join_hot(cand, classes.filter("w > 1").select("kh", "ch", "w"), ["kh", "ch"], "w").select("doc_id", "s", F.col("n").cast("long").alias("n"))
     several = classes.groupBy("kh").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     open_ = join_hot(classes, several, ["kh"], "m").select("kh", "one.*", (F.col("w") == 1).alias("alone"))
