@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gatefold.llm.common import table, text_parts
 
 NONE = np.int64(1 << 40)
-LONG, CACHE = 256, 200_000
+LONG, CACHE = 256, 500_000
 
 
 class PairTable:
@@ -93,11 +94,12 @@ class ByteBPE:
                     pairs.append((a << 32) | b)
                     ranks.append(r)
         self.pairs = PairTable(np.array(pairs, np.int64), np.array(ranks, np.int64))
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.single = [i.to_bytes(4, sys.byteorder) for i in range(len(self.tokens))]
+        self.cache: dict[str, bytes] = {}
 
     # ------------------------------------------------------------ pieces
-    def merge_matrix(self, rows: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of pieces of similar length."""
+    def merge_matrix(self, rows: list[bytes]) -> list[bytes]:
+        """Ids (32-bit, packed) of pieces of similar length."""
         n, width = len(rows), max(map(len, rows))
         lens = np.array([len(r) for r in rows])
         ids = np.full((n, width), -1, np.int64)
@@ -105,15 +107,16 @@ class ByteBPE:
         rank = np.full((n, width), NONE, np.int64)  # of the pair that starts in this column
         if width > 1:
             rank[:, :-1] = self.pairs.get(ids[:, :-1], ids[:, 1:])
-        done: list[tuple[int, ...]] = [()] * n
+        done = [b""] * n
         who = np.arange(n)
         while len(who):
             at = rank.argmin(1)  # the leftmost of the least
             least = rank[np.arange(len(who)), at]
             over = least == NONE
             if over.any():
-                for i, row, k in zip(who[over].tolist(), ids[over].tolist(), lens[over].tolist(), strict=True):
-                    done[i] = tuple(row[:k])
+                packed, step = ids[over].astype(np.int32).tobytes(), 4 * width
+                for at0, (i, k) in enumerate(zip(who[over].tolist(), lens[over].tolist(), strict=True)):
+                    done[i] = packed[at0 * step : at0 * step + 4 * k]
                 stay = ~over
                 who, ids, rank, lens, at, least = who[stay], ids[stay], rank[stay], lens[stay], at[stay], least[stay]
                 if not len(who):
@@ -134,7 +137,7 @@ class ByteBPE:
             rank[r, left] = np.where(at > 0, before, rank[r, left])
         return done
 
-    def merge_long(self, piece: bytes) -> tuple[int, ...]:
+    def merge_long(self, piece: bytes) -> bytes:
         """One long piece: the same merges in the same order, from a heap of (rank, place)."""
         ids = self.byte[np.frombuffer(piece, np.uint8)]
         n = len(ids)
@@ -166,7 +169,7 @@ class ByteBPE:
         while i >= 0:
             out.append(ids[i])
             i = nxt[i]
-        return tuple(out)
+        return np.array(out, np.int32).tobytes()
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Put the ids of new pieces into the cache."""
@@ -175,7 +178,7 @@ class ByteBPE:
             b = p.encode()
             r = self.ranks.get(b)
             if r is not None:
-                self.cache[p] = (r,)
+                self.cache[p] = self.single[r]
             elif len(b) > LONG:
                 self.cache[p] = self.merge_long(b)
             else:
@@ -193,7 +196,7 @@ class ByteBPE:
             self.cache.clear()
         self.learn(set(chain.from_iterable(pieces)).difference(self.cache))
         get = self.cache.__getitem__
-        return [list(chain.from_iterable(map(get, p))) for p in pieces]
+        return [np.frombuffer(b"".join(map(get, p)), np.int32).tolist() for p in pieces]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
