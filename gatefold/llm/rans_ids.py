@@ -18,6 +18,7 @@ empty table gives no segments and no rows.  A damaged block raises CorruptBlock.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -36,6 +37,7 @@ from gatefold.llm.common import stored, table, text_parts
 END, CACHE = 1, 1_500_000
 #: Marks that are cut off a word, and the first character that may combine.
 MARKS, PLAIN = ".,;:!?", "\u0130"
+WIDE = re.compile(f"[{PLAIN}-\U0010ffff]").search
 SEGMENT, BLOCK, LANES, SCALE = 1 << 21, 1 << 15, 32, 18
 LOW = np.uint64(1 << 31)
 MAGIC = b"GFRANS01"
@@ -72,7 +74,7 @@ class Tokens(dict):
         self[""] = b""
 
     def __missing__(self, chunk: str) -> bytes:
-        if max(chunk) < PLAIN and chunk.islower():
+        if WIDE(chunk) is None and chunk.islower():
             if chunk.isalpha():
                 out = array("I", [t.id for t in self.model.tokenize(chunk if chunk.isascii() else chunk.translate(self.shown))]).tobytes()
                 self[chunk] = out
@@ -91,7 +93,7 @@ class Tokens(dict):
             self[""] = b""
         get = self.__getitem__
         # below PLAIN nothing combines and lower-casing is by character, as in the library
-        return [b"".join(map(get, (t.lower() if t.isascii() or max(t) < PLAIN else t).replace("\n", " ").split(" "))) for t in texts]
+        return [b"".join(map(get, (t if WIDE(t) else t.lower()).replace("\n", " ").split(" "))) for t in texts]
 
 
 @lru_cache(2)
@@ -174,7 +176,11 @@ def _unpack(d: bytes, at: int, kind: str) -> tuple[np.ndarray, int]:
 
 
 def write_segment(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
-    symbols, codes, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    # ids are bounded by the vocabulary, so counting by place needs no sort
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    codes = (np.cumsum(counts > 0) - 1)[ids]
+    counts = counts[symbols]
     freq = normalise(counts)
     t = Table(symbols, freq)
     n = len(ids)
