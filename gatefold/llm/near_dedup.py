@@ -37,7 +37,7 @@ TOKENS = 64
 #: Signature positions, of 64, that two sets must share to become candidates: 4.3 standard
 #: deviations below the mean at a similarity of 0.85, and 3.8 at 0.8.
 AGREE = {85: 42, 80: 39}
-HOT_NODES, PASSES = 4096, 64
+HOT_NODES = 4096
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -98,21 +98,26 @@ def sketches(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str =
 def branch(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Branch (key, depth, tree, rep, sig) until no node is over LIMIT; also the nodes given up at the last token.
 
-    Each pass takes the HOT_NODES largest nodes over LIMIT, a broadcast bounded at any size, and writes
-    only their members, under new keys; all others are done.
+    Each pass branches every node over LIMIT and writes only their members, under new keys; all others
+    are done.  The HOT_NODES largest go by broadcast, bounded at any size; if there are more, the surplus
+    is joined by shuffle, where no key holds more than 1/HOT_NODES of the rows.
     """
     done, at = None, rows
-    for _ in range(PASSES):
-        sizes = at.filter(F.col("depth") < DEPTH).groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > LIMIT)
-        hot = stored(sizes.orderBy(F.desc("m"), "key").limit(HOT_NODES), "hot")
-        if hot.limit(1).count() == 0:
+    for _ in range(1, DEPTH):
+        over = stored(at.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > LIMIT), "over")
+        n = over.count()
+        if not n:
             break
+        hot = over if n <= HOT_NODES else stored(over.orderBy(F.desc("m"), "key").limit(HOT_NODES), "hot")
         hot = F.broadcast(hot.select("key"))
-        rest = at.join(hot, "key", "left_anti")
+        split, rest = at.join(hot, "key"), at.join(hot, "key", "left_anti")
+        if n > HOT_NODES:
+            surplus = over.join(hot, "key", "left_anti").select("key")
+            split, rest = split.unionByName(rest.join(surplus, "key")), rest.join(surplus, "key", "left_anti")
         done = rest if done is None else done.unionByName(rest)
         # two bytes of the signature: the next token of this tree
         token = F.substring("sig", 1 + 2 * (F.col("tree") * DEPTH + F.col("depth")), F.lit(2))
-        at = stored(at.join(hot, "key").select(F.xxhash64("key", token).alias("key"), (F.col("depth") + 1).alias("depth"), "tree", "rep", "sig"), "branch")
+        at = stored(split.select(F.xxhash64("key", token).alias("key"), (F.col("depth") + 1).alias("depth"), "tree", "rep", "sig"), "branch")
     nodes = at if done is None else done.unionByName(at)
     given_up = at.filter(F.col("depth") >= DEPTH).groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("lead")).filter(F.col("m") > LIMIT)
     return nodes, given_up

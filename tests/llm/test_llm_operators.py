@@ -114,6 +114,24 @@ def test_near_duplicates_branch_large_nodes(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_near_duplicates_branch_more_large_nodes_than_are_broadcast(spark, monkeypatch):
+    """Nodes over the limit beyond the HOT_NODES largest of a pass are branched too."""
+    from gatefold.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "LIMIT", 8)
+    monkeypatch.setattr(near_dedup, "HOT_NODES", 1)
+    rng = random.Random(4)
+    rows = []
+    for g in range(4):
+        base = pseudo(rng, 120).split()
+        for i in range(20):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"new{rng.randrange(1000)}"
+            rows.append((100 * g + i, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == brute_components(rows, 3, 85)
+
+
 def test_components_of_a_path_and_a_star(spark):
     from gatefold.llm.graph import components
 
