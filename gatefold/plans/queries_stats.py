@@ -216,7 +216,7 @@ def _(spark, sf):
 
 
 def _points(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 4), lambda v: F.round(v.cast("double"), 4)).alias("xy"), "label").filter("vec_id < 400")
+    return table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 4), lambda v: F.round(v.cast("double"), 4)).alias("xy"), "label")
 
 
 @query("lisi_scores", """
@@ -226,7 +226,7 @@ c AS (SELECT vec_id, label, CAST(count(*) AS DOUBLE) AS c FROM d WHERE r <= 30 G
 SELECT vec_id, round(sum(c) * sum(c) / sum(c * c), 6) AS lisi FROM c GROUP BY 1
 """)
 def _(spark, sf):
-    p = _points(spark, sf)
+    p = _points(spark, sf).filter("vec_id < 400")  # as its SQL
     return diagnostics.lisi(diagnostics.neighbours(p, "vec_id", "xy", 30), p, "vec_id", "label").select("vec_id", r6("lisi"))
 
 

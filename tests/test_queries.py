@@ -41,6 +41,11 @@ def test_query_runs(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
 
 
+def test_batch_mixing_scores_all_vectors(spark):
+    n = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").count()
+    assert QUERIES["batch_mixing"](spark, "/root/testdata/sf0.01").first().n_cells_scored == n
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
