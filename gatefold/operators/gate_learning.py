@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col
-from gatefold.operators.polygons import Level, apply_strategy, rank_markers
+from gatefold.operators.polygons import Level, apply_strategy, inside, rank_markers
 from gatefold.operators.sampling import draw_key, largest
 
 FIXED, STEEP = 4, 800.0
@@ -206,30 +206,48 @@ def explain(df: DataFrame, target: str, markers: list[str], key: str, max_depth:
     return levels, report
 
 
-TRANSFER = "donor string, n_train long, n_test long, n_target_test long, f1 double, precision double, recall double"
-
-
 def transferability(df: DataFrame, target: str, markers: tuple[str, str], donor: str, key: str, min_donors: int = 3, max_donors: int = 8, max_cells: int = 20_000, seed: int = 42) -> DataFrame | None:
-    """Leave-one-donor-out: a gate learned without a donor, scored on that donor; one task a fold."""
+    """Leave-one-donor-out: a gate learned without a donor, scored on all rows of that donor; one task a fit.
+
+    max_cells bounds the training rows of a fold, by label: of a rare target at least 20, if there are.
+    """
     donors = [r[0] for r in df.filter(col(donor).isNotNull()).select(donor).distinct().orderBy(draw_key(seed, donor)).limit(max_donors).collect()]
     if len(donors) < min_donors:
         return None
     d = df.filter(col(donor).isin(donors)).select(F.col(donor).cast("string").alias("d"), col(markers[0]).cast("double").alias("x"), col(markers[1]).cast("double").alias("y"), F.coalesce(col(target), F.lit(False)).alias("t"), draw_key(seed, key).alias("h"))
-    # the bound of a fold's sample, drawn evenly from donors
-    d = d.withColumn("r", F.row_number().over(Window.partitionBy("d").orderBy("h"))).filter(F.col("r") <= max(1, 2 * max_cells // len(donors)))
-    folds = d.withColumn("fold", F.explode(F.array(*[F.lit(str(x)) for x in donors])))
+    names = [str(x) for x in donors]
+    count = {(r["d"], r["t"]): r["count"] for r in d.groupBy("d", "t").count().collect()}  # two rows a donor
+    take = {}
+    for f in names:
+        pos, neg = (sum(count.get((x, t), 0) for x in names if x != f) for t in (True, False))
+        if pos + neg > max_cells:
+            pos = min(pos, max(20, round(max_cells * pos / (pos + neg))))
+            neg = min(neg, max_cells - pos)
+        take[f] = (neg, pos)
+    # the bound of a fold's training rows, by label; no label of a donor can give more than it
+    pool = d.withColumn("r", F.row_number().over(Window.partitionBy("d", "t").orderBy("h", "x", "y"))).filter(F.col("r") <= max_cells)
+    folds = pool.withColumn("fold", F.explode(F.array(*[F.lit(x) for x in names]))).filter("fold <> d").drop("r")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["d"] == pdf["fold"]
-        train, test = pdf[~own].nsmallest(max_cells, "r"), pdf[own]
-        row = {"donor": pdf["fold"].iloc[0], "n_train": len(train), "n_test": len(test), "n_target_test": int(test["t"].sum()), "f1": None, "precision": None, "recall": None}
-        if train["t"].sum() >= 20 and test["t"].sum() >= 10:
+        f = pdf["fold"].iloc[0]
+        pdf = pdf.sort_values(["h", "d", "x", "y"])
+        train = pd.concat([pdf[pdf["t"] == bool(t)].head(take[f][t]) for t in (0, 1)])
+        g = None
+        if train["t"].sum() >= 20 and count.get((f, True), 0) >= 10:
             g = learn_gate(train[["x", "y"]].to_numpy(), train["t"].to_numpy(float), seed=seed)
-            if g:
-                row["f1"], row["precision"], row["recall"] = f1_of(in_polygon(test[["x", "y"]].to_numpy(), g["polygon"]), test["t"].to_numpy(float))
-        return pd.DataFrame([row])
-
-    return folds.groupBy("fold").applyInPandas(fit, TRANSFER)
+        return pd.DataFrame({"fold": [f], "n_train": [len(train)], "px": [g["polygon"][:, 0].tolist() if g else None], "py": [g["polygon"][:, 1].tolist() if g else None]})
+
+    fits = {r["fold"]: r for r in folds.groupBy("fold").applyInPandas(fit, "fold string, n_train long, px array<double>, py array<double>").collect()}
+    # the held-out donor is scored in full
+    gates = {f: list(zip(r["px"], r["py"], strict=True)) for f, r in fits.items() if r["px"]}
+    hit, known = F.lit(False), F.col("d").isin(list(gates))
+    for f, polygon in gates.items():
+        hit = F.when(F.col("d") == f, inside("x", "y", polygon)).otherwise(hit)
+    n = d.groupBy("d").agg(F.count(F.lit(1)).alias("n_test"), F.sum(F.col("t").cast("long")).alias("n_target_test"), F.sum((hit & F.col("t")).cast("long")).alias("tp"), F.sum(hit.cast("long")).alias("n_in"))
+    p, r = (F.coalesce(F.try_divide(F.col("tp"), of), F.lit(0.0)) for of in (F.col("n_in"), F.col("n_target_test")))
+    n_train = F.coalesce(*[F.when(F.col("d") == f, F.lit(fits[f]["n_train"] if f in fits else 0)) for f in names]).cast("long")
+    score = {"f1": F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)), "precision": p, "recall": r}
+    return n.select(F.col("d").alias("donor"), n_train.alias("n_train"), "n_test", "n_target_test", *[F.when(known, v).alias(k) for k, v in score.items()])
 
 
 def explain_labels(df: DataFrame, label: str, markers: list[str], key: str, max_labels: int = 6, min_cells: int = 200, seed: int = 42) -> dict[str, tuple[list[Level], list[dict]]]:

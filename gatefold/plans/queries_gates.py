@@ -75,13 +75,13 @@ def _learnable(spark, sf):
 
 @query("learn_convex_gate")
 def _(spark, sf):
-    levels, report = gate_learning.explain(_learnable(spark, sf), "target", ["m1", "m2", "m3", "m4"], "key", max_depth=2, max_cells=4000)
+    levels, report = gate_learning.explain(_learnable(spark, sf), "target", ["m1", "m2", "m3", "m4"], "key")
     return spark.createDataFrame(report, "depth int, marker_x string, marker_y string, f1 double, precision double, recall double, lam double")
 
 
 @query("gate_transferability")
 def _(spark, sf):
-    return gate_learning.transferability(_learnable(spark, sf), "target", ("m2", "m4"), "sample_id", "key", max_donors=4, max_cells=3000)
+    return gate_learning.transferability(_learnable(spark, sf), "target", ("m2", "m4"), "sample_id", "key")
 
 
 @query("gating_ml_export")
@@ -96,7 +96,7 @@ def _(spark, sf):
 def _(spark, sf):
     c = cells(spark, sf).select(F.col("grp").alias("sample_id"), F.lit("m1").alias("marker"), F.col("m1").alias("value"), F.xxhash64("*").alias("key"))
     t = c.select("sample_id", "marker").distinct().withColumn("threshold", F.lit(11.0)).withColumn("source", F.lit("valley"))
-    return uncertainty.thresholds(c, t, "key", boots=20, max_events=5000)
+    return uncertainty.thresholds(c, t, "key")
 
 
 @query("frequency_uncertainty", f"""

@@ -439,3 +439,13 @@ def test_subsample_plan(spark):
     c = spark.createDataFrame([("a", 100), ("b", 40)], "sample_id string, n long")
     take = lambda **k: {r.sample_id: r["take"] for r in sampling.plan_subsample(c, **k).collect()}
     assert take() == {"a": 40, "b": 40} and take(equalise=False) == {"a": 100, "b": 40} and take(equalise=False, total_cap=14) == {"a": 10, "b": 4} and take(total_cap=1) == {"a": 1, "b": 1}
+
+
+def test_transfer_scores_held_out_donors_in_full(spark):
+    """The cap binds on training rows alone and leaves enough of a rare target."""
+    rng = np.random.default_rng(12)
+    rows = [(f"D{d}", d * 2000 + i, i < 15, *map(float, rng.normal([4, 3.5] if i < 15 else [1, 1], 0.5))) for d in range(4) for i in range(1000)]
+    df = spark.createDataFrame(rows, "sample_id string, event_index long, target boolean, CD3 double, CD4 double")
+    t = gate_learning.transferability(df, "target", ("CD3", "CD4"), "sample_id", "event_index", max_cells=300).collect()
+    assert len(t) == 4 and {(r.n_train, r.n_test, r.n_target_test) for r in t} == {(300, 1000, 15)}
+    assert min(r.f1 for r in t) > 0.7
