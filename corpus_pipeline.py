@@ -45,9 +45,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and token ids of every document."""
+    """doc_id, n_tokens and token ids of every document, each decoded again and compared with its text."""
     importable(spark)
-    return encode_documents(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return encode_documents(docs, check=True).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_stage), ("near_dedup", near_stage), ("mixing", mixing_stage), ("byte_bpe", bpe_stage)]

@@ -212,8 +212,8 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids array<int>."""
+def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text", check: bool = False) -> DataFrame:
+    """doc_id, ids array<int>; with check every document is decoded again and must give its text."""
     path = path or default_path()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +221,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "do
         for b in it:
             for i, j, texts in text_parts(b, 1):
                 ids = bpe.encode([t.decode() for t in texts])
+                if check and any(bpe.decode(x) != t for x, t in zip(ids, texts, strict=True)):
+                    raise RuntimeError("decoded ids differ from their text")
                 yield pa.record_batch([b.column(0)[i:j], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, ids array<int>")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
 from test_llm_operators import SCHEMA, brute_base, brute_components, brute_lines, corpus, docs, empty, frame, odd  # noqa: F401
 
 import corpus_pipeline as p
@@ -53,3 +54,19 @@ def test_run(spark, tmp_path):
     out = p.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids"] and 0 < out.count() <= 12
     assert SCHEMA
+
+
+def test_bpe_stage_decodes(spark, monkeypatch):
+    """Ids that don't decode to their text stop the stage."""
+    from gatefold.llm import byte_bpe
+
+    class Lossy:
+        def encode(self, texts):
+            return [[1] for _ in texts]
+
+        def decode(self, ids):
+            return b"?"
+
+    monkeypatch.setattr(byte_bpe, "codec", lambda path: Lossy())
+    with pytest.raises(Exception, match="decoded ids differ"):
+        dict(p.STAGES)["byte_bpe"](spark, frame(spark, [(1, "some text")]), "").collect()
