@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -40,21 +41,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor and the driver see: spark.checkpoint.dir of the session.
 
-    Only where the session has none (tests, a laptop) a folder of our own is set.
+    Only a local session that has none (tests, a laptop) gets a folder of its own; on a cluster a
+    folder of one machine would lose rows, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="gatefold-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+#: Session setting under which a finished write's shuffle files go at once, not when the driver collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gatefold/{tag}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    try:
+        if before is not None:
+            spark.conf.set(FREE_SHUFFLES, "true")
+        df.write.options(**options).parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored() tables that no later step reads."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_hot(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatefold.llm.common import join_hot, stored
+from gatefold.llm.common import discard, join_hot, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,8 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
         parents = sons.join(up.select(F.col("c").alias("p"), "q"), "p", "left")
         jumped = join_hot(star, parents, ["p"], "w").select("c", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
         jumped = stored(jumped, "jump")
+        discard(now, star)
         todo = jumped.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("moved").alias("m")).filter("n > 1 or m").limit(1).count()
         now = jumped.select("c", "p").distinct()
         if not todo:
             return now.select(F.col("c").alias("v"), F.col("p").alias("root"))
         now = stored(now, "edges")
+        discard(jumped)

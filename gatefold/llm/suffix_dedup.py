@@ -11,12 +11,17 @@ document.  Sorting every suffix of a corpus is out of reach, so suffixes first m
 3.  Where an anchor has several classes, one row of each sends its bytes.  All suffixes that start in
     its windows are sorted: a bottom-up mergesort compares two suffixes by their longest common
     extension, which a binary search over prefix polynomial hashes finds in log2(length) steps.
-    Neighbours in that order that share `length` bytes are repeated.  Matches are verified on
+    Neighbours in that order that share `length` bytes are repeated.  These matches are verified on
     bytes: all of them for the first window of a run of matches, the last byte for each further one.
-4.  Windows that are repeated are marked in their documents and cut out.
+4.  An anchor of more than CONTEXTS classes (a passage in very many documents) doesn't meet in one task: its
+    contexts are cut to windows at neighbouring distances from the anchor, and meet by the bytes that all
+    windows of such a block have in common.  Groups that are still larger get narrower blocks, down to
+    single windows, which are counted by hash alone.  Nothing is dropped on the way but what is alone.
+5.  Windows that are repeated are marked in their documents and cut out.
 
 Hot strings: rows of a class are counted by partial aggregation and joined by join_hot, so copies never
-meet in one task.
+meet in one task.  What rests on hashes alone (two of 64 bits): equality of whole classes and of single
+windows of step 4; everything that is sorted is compared on bytes.
 
 Defined results: null or empty text has 0 bytes and nothing removed; texts shorter than length keep all
 bytes; repeated rows are repeated texts, so all their windows go; rows of one doc_id with different
@@ -35,7 +40,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatefold.llm.common import POWERS, batches, join_hot, mix64, prefix_hash, span_hash, stored, table, text_parts
+from gatefold.llm.common import POWERS, batches, discard, join_hot, mix64, prefix_hash, span_hash, stored, table, text_parts
 
 LENGTH, GRAM = 400, 64
 #: Bits of an anchor's place in its buffer; a longer text is worked off in overlapping pieces.
@@ -43,6 +48,8 @@ PLACE_BITS = 24
 PIECE = 1 << 20
 #: Suffixes sorted at once.
 SORTED = 400_000
+#: Most contexts of one anchor that meet in a task, and widths of the blocks of windows beyond it.
+CONTEXTS, WIDTHS = 256, (64, 8, 1)
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -209,7 +216,7 @@ def repeated_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, off
 
 
 def sort_contexts(contexts: DataFrame, length: int) -> DataFrame:
-    """doc_id, s, n of repeated windows; contexts: kh, doc_id, s, n, o, alone, data, an anchor's rows in one task."""
+    """doc_id, s, n of repeated windows; contexts: kh, doc_id, s, n, o, alone, data, a kh's rows in one task."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -250,8 +257,29 @@ def sort_contexts(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "doc_id long, s long, n long")
 
 
+def narrowed(contexts: DataFrame, width: int, length: int) -> DataFrame:
+    """Contexts cut into blocks of windows at `width` neighbouring distances from the anchor.
+
+    The new kh is a hash of the old one, the block and the bytes that all its windows share, so equal windows keep equal kh.
+    """
+    low, block = F.col("o") - F.col("n") + 1, F.col("block")
+    c = contexts.withColumn("block", F.explode(F.sequence(F.floor(low / width).cast("int"), F.floor(F.col("o") / width).cast("int"))))
+    far, near = F.least("o", block * width + width - 1), F.greatest(low, block * width)
+    common = F.substring("data", F.col("o") - block * width + 1, F.lit(length - width + 1))
+    n = (far - near + 1).alias("n")
+    skip = F.col("o") - far
+    return c.select(F.xxhash64("kh", "block", common).alias("kh"), F.xxhash64(F.lit(7), common).alias("ch"), "doc_id", (F.col("s") + skip).alias("s"), n, far.alias("o"), "alone", F.substring("data", skip + 1, far - near + length).alias("data"))
+
+
+CONTEXT = ("kh", "ch", "doc_id", "s", "n", "o", "alone", "data")
+
+
+def by_document(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("spans"))
+
+
 def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, s, n: windows s .. s + n - 1 of the document are repeated."""
+    """doc_id, spans: windows s .. s + n - 1 of the document are repeated, for each (s, n) of its spans."""
     rows = stored(anchor_rows(docs, length, gram), "anchors")
     often = rows.groupBy("kh").agg(F.count(F.lit(1)).alias("w")).filter("w > 1")
     # kept on the executors' disks: a lost one is computed again from the written anchors
@@ -259,23 +287,44 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     classes = cand.groupBy("kh", "ch").agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("doc_id", "s", "n", "o")).alias("one"))
     classes = classes.persist(StorageLevel.DISK_ONLY)
     whole = join_hot(cand, classes.filter("w > 1").select("kh", "ch", "w"), ["kh", "ch"], "w").select("doc_id", "s", F.col("n").cast("long").alias("n"))
+    done = stored(by_document(whole), "whole")
     several = classes.groupBy("kh").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    open_ = join_hot(classes, several, ["kh"], "m").select("kh", "one.*", (F.col("w") == 1).alias("alone"))
+    open_ = join_hot(classes, several, ["kh"], "m").select("kh", "ch", "m", "one.*", (F.col("w") == 1).alias("alone"))
     text = docs.select(F.col("doc_id").alias("_id"), F.encode(F.col("text"), "UTF-8").alias("_b"))
     data = F.substring("_b", (F.col("s") + 1).cast("int"), (F.col("n") + length - 1).cast("int"))
-    contexts = open_.join(text, open_["doc_id"].eqNullSafe(text["_id"])).select("kh", "doc_id", "s", "n", "o", "alone", data.alias("data"))
-    contexts = contexts.filter(F.length("data") == F.col("n") + length - 1)
-    return whole.unionByName(sort_contexts(contexts, length))
-
-
-def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text", keep: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with keep, the kept bytes."""
+    contexts = open_.join(text, open_["doc_id"].eqNullSafe(text["_id"])).select(*open_.columns, data.alias("data"))
+    contexts = stored(contexts.filter(F.length("data") == F.col("n") + length - 1), "contexts", **{"parquet.block.size": str(16 << 20)})
+    for x in (cand, classes):
+        x.unpersist()
+    discard(rows)
+    single = None
+    sortable, hot = contexts.filter(F.col("m") <= CONTEXTS).select(*CONTEXT), contexts.filter(F.col("m") > CONTEXTS).select(*CONTEXT)
+    for width in WIDTHS:
+        if not hot.limit(1).count():
+            break
+        parts = stored(narrowed(hot, width, length), "parts", **{"parquet.block.size": str(16 << 20)})
+        key = ["kh", "ch"]
+        met = join_hot(parts, parts.groupBy(*key).agg(F.count(F.lit(1)).alias("w")).filter("w > 1"), key, "w")
+        if width == 1:
+            single = met.filter("alone").select("doc_id", F.col("s").cast("long").alias("s"), F.col("n").cast("long").alias("n"))
+            break
+        sortable = sortable.unionByName(met.filter(F.col("w") <= CONTEXTS).select(*CONTEXT))
+        hot = met.filter(F.col("w") > CONTEXTS).select(*CONTEXT)
+    more = sort_contexts(sortable, length)
+    more = by_document(more if single is None else more.unionByName(single))
+    return done.unionByName(more).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text", keep: str | None = "bytes") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and what is kept.
+
+    keep: "bytes" gives kept (binary), "text" gives text, without the halves of characters that were cut in two.
+    """
     gram = min(gram, length)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    spans = repeated_spans(src, length, gram).groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("spans"))
-    spans = spans.withColumnRenamed("doc_id", "_id")
+    spans = repeated_spans(src, length, gram).withColumnRenamed("doc_id", "_id")
     both = src.join(spans, src["doc_id"].eqNullSafe(spans["_id"]), "left").select("doc_id", "text", F.col("spans.s").alias("s"), F.col("spans.n").alias("n"))
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + {None: "", "bytes": ", kept binary", "text": ", text string"}[keep]
     names = [f.split()[0] for f in fields.split(", ")]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,12 +343,13 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id:
                     t_kept = b"".join(t[u:v] for u, v in zip([0, *z], [*a, len(t)], strict=True))
                 else:
                     t_kept = t
-                out.append((len(t), gone, runs, hashlib.sha256(t_kept).hexdigest(), t_kept))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: len(names) - 1]
+                out.append((len(t), gone, runs, hashlib.sha256(t_kept).hexdigest(), t_kept.decode("utf-8", "ignore") if keep == "text" else t_kept))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if keep == "text" else pa.binary()][: len(names) - 1]
             yield pa.record_batch([b.column(0)[i:j], *(pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds))], names)
 
     return both.mapInArrow(run, fields)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents"), keep=False)
+    """The contract's columns, then the kept text and its length, as documents have them."""
+    return cut_repeats(table(spark, sf_dir, "documents"), keep="text").withColumn("n_chars", F.length("text").cast("long"))
