@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from gatefold.llm.common import stored, table, text_parts
 
 END, CACHE = 1, 1_500_000
+PART_BYTES = 128 << 20
 #: Marks that are cut off a word, and the first character that may combine.
 MARKS, PLAIN = ".,;:!?", "\u0130"
 WIDE = re.compile(f"[{PLAIN}-\U0010ffff]").search
@@ -62,14 +63,16 @@ class Tokens(dict):
     The tokenizer file splits at white space before anything else, so such chunks have the ids that
     they have in their text.  Lower-case letters alone are one piece and go straight to the library's
     BPE model; letters and one mark after them are two pieces; the library encodes other chunks.
+    A text that holds an added token of the file, written as in the file, goes to the library whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.whole, self.lib = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or "(?!)").search
+        self.lib.encode_special_tokens = True  # lower-casing and cutting must not make such a token
         self.model, self.shown = self.lib.model, byte_characters()
         self[""] = b""
 
@@ -93,7 +96,10 @@ class Tokens(dict):
             self[""] = b""
         get = self.__getitem__
         # below PLAIN nothing combines and lower-casing is by character, as in the library
-        return [b"".join(map(get, (t if WIDE(t) else t.lower()).replace("\n", " ").split(" "))) for t in texts]
+        return [
+            array("I", self.whole.encode(t, add_special_tokens=False).ids).tobytes() if self.added(t) else b"".join(map(get, (t if WIDE(t) else t.lower()).replace("\n", " ").split(" ")))
+            for t in texts
+        ]
 
 
 @lru_cache(2)
@@ -278,9 +284,14 @@ def default_path() -> str:
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text", end: int = END, parts: int | None = None) -> DataFrame:
-    """Segments of all documents in ascending doc_id order: by part, then seq."""
+    """Segments of all documents in ascending doc_id order: by part, then seq.
+
+    Without parts their number follows the bytes of the texts, so that no part outgrows a task.
+    """
     path = path or default_path()
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, part, seq = tokens(path), TaskContext.get().partitionId(), 0
