@@ -1,8 +1,9 @@
 """Mixing to target weights by iterative proportional fitting, with DataFrame functions alone.
 
 Tokens are summed by cell (source, language, topic).  The cell table, not the corpus, is raked: each
-step scales one marginal to its target share, in turn, for a fixed number of sweeps.  All steps run
-in one task over the cell table without a shuffle between them.  A document's probability is its
+step scales one marginal to its target share, in turn, for a fixed number of sweeps; what a marginal
+still misses by then is in the residual column.  All steps run in one task over the cell table without a
+shuffle between them, and the fitted cells are a written table.  A document's probability is its
 cell's fitted weight over the cell's tokens, scaled so that the largest is 1 (no document is ever
 repeated) and compared with a number hashed from its doc_id, so the sample doesn't depend on
 partitioning.
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gatefold.llm.common import join_hot, table
+from gatefold.llm.common import HOT_KEYS, join_hot, stored, table
 from gatefold.llm.sharding import unit_hash
 
 DIMS, ALPHA, SWEEPS, SEED = ("source", "lang", "topic"), 0.9, 12, "mix1"
@@ -51,7 +52,7 @@ def _target(dim: str, given: dict[str, float] | None, alpha: float) -> Column:
 
 
 def rake(cells: DataFrame, dims=DIMS, targets: dict[str, dict[str, float]] | None = None, alpha: float = ALPHA, sweeps: int = SWEEPS) -> DataFrame:
-    """cells (dims, tokens, docs) with p: the sampling probability of the cell's documents."""
+    """cells (dims, tokens, docs) with p: the sampling probability of the cell's documents; residual: the largest gap of a marginal share to its target."""
     t = cells.coalesce(1).withColumn("_t", F.col("tokens").cast("double"))
     for d in dims:
         by = Window.partitionBy(d)
@@ -63,10 +64,13 @@ def rake(cells: DataFrame, dims=DIMS, targets: dict[str, dict[str, float]] | Non
         for d in dims:
             now = F.sum("_w").over(Window.partitionBy(d))
             t = t.withColumn("_w", F.when(now > 0, F.col("_w") * F.col(f"_target_{d}") / now).otherwise(0.0))
+    gap = F.greatest(*[F.abs(F.sum("_w").over(Window.partitionBy(d)) - F.col(f"_target_{d}")) for d in dims], F.lit(0.0))
+    t = t.withColumn("_gap", gap)
+    t = t.withColumn("residual", F.max(F.when(F.col("_t") > 0, F.col("_gap")).otherwise(0.0)).over(Window.partitionBy(F.lit(1))))
     ratio = F.when(F.col("_t") > 0, F.col("_w") / F.col("_t"))
     # documents without tokens weigh nothing and stay
     t = t.withColumn("p", F.coalesce(F.try_divide(ratio, F.max(ratio).over(Window.partitionBy(F.lit(1)))), F.lit(1.0)))
-    return t.select(*dims, "tokens", "docs", "p")
+    return t.select(*dims, "tokens", "docs", "p", "residual")
 
 
 def _key(dims) -> Column:
@@ -90,9 +94,11 @@ def _mixed(docs, dims, targets, alpha, sweeps, seed, doc_id, text, topic, report
     names = {d: (topic if topic is not None else form_topic(text)) if d == "topic" else F.col(f"`{d}`") for d in dims}
     rows = docs.select(row, F.col(doc_id).alias("_did"), n_words(text).alias("n_tokens"), *[v.alias(d) for d, v in names.items()]).withColumn("_cell", _key(dims))
     cells = rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    fitted = rake(cells, dims, targets, alpha, sweeps).withColumn("_cell", _key(dims)).select("_cell", F.col("docs").alias("_docs"), "p")
+    fitted = stored(rake(cells, dims, targets, alpha, sweeps).withColumn("_cell", _key(dims)).select("_cell", F.col("docs").alias("_docs"), "p"), "cells")
     u = unit_hash(F.coalesce(F.col("_did").cast("string"), F.lit("null")), seed)
-    out = join_hot(rows, fitted, ["_cell"], "_docs").withColumn("kept", u < F.col("p"))
+    # a cell table of more keys than a broadcast may have is joined by shuffle, but for its heaviest cells
+    met = rows.join(F.broadcast(fitted), "_cell") if fitted.count() <= HOT_KEYS else join_hot(rows, fitted, ["_cell"], "_docs")
+    out = met.withColumn("kept", u < F.col("p"))
     extra = {c: F.col(c) for c in ("topic", "n_tokens", "p", "kept")} if report else {}
     own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in extra]
     return (out if report else out.filter("kept")).select(*own, *extra.values())
@@ -122,12 +128,12 @@ WITH d AS (
     k = 0
     for _ in range(SWEEPS):
         for x in DIMS:
-            out += f"w{k + 1} AS MATERIALIZED (SELECT a.source, a.lang, a.topic, t, w * g / sum(w) OVER (PARTITION BY a.{x}) AS w FROM w{k} a JOIN g_{x} b ON a.{x} = b.{x}),\n"
+            out += f"w{k + 1} AS MATERIALIZED (SELECT a.source, a.lang, a.topic, t, w * g / sum(w) OVER (PARTITION BY a.{x}) AS w FROM w{k} a JOIN g_{x} b ON a.{x} IS NOT DISTINCT FROM b.{x}),\n"
             k += 1
     out += f"""f AS (SELECT source, lang, topic, (w / t) / max(w / t) OVER () AS p FROM w{k})
 SELECT doc_id, d.source, d.lang, d.topic, CAST(n_tokens AS BIGINT) AS n_tokens, round(coalesce(p, 1.0), 9) AS p,
        (CAST(('0x' || substr(md5(doc_id || '|{SEED}'), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 < coalesce(p, 1.0) AS kept
-FROM d LEFT JOIN f ON d.source = f.source AND d.lang = f.lang AND d.topic = f.topic
+FROM d LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source AND d.lang IS NOT DISTINCT FROM f.lang AND d.topic IS NOT DISTINCT FROM f.topic
 """
     return out
 
