@@ -7,8 +7,8 @@ after inserting an empty turn where that is cheaper; the cheapest path is render
 broken by the order keep, merge, relabel, insert, so equal conversations repair equally.
 
 Defined results: turns are ordered by turn number (null first), then role and text; repeated rows are
-repeated turns; null text is empty; a null or unknown role has to be relabelled; the turns of a null
-conv_id form one conversation; an empty table gives an empty table.  A conversation becomes one
+repeated turns; null text is empty; a null or unknown role has to be relabelled; a turn with a null
+conv_id is a conversation of its own; an empty table gives an empty table.  A conversation becomes one
 string, so it must fit into one record.
 """
 
@@ -116,9 +116,10 @@ FIELDS = "n_turns long, n_out long, cost long, n_merged long, n_relabeled long,
 
 
 def repair_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row a conversation: what was repaired and the rendered text."""
+    """One row a conversation: what was repaired and the rendered text; a turn without conv_id is a conversation of its own."""
     one = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("t"), F.col(role).alias("r"), F.coalesce(F.col(text), F.lit("")).alias("x")).alias("s"))
-    convs = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("s")).alias("s"))
+    convs = one.filter("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("s")).alias("s"))
+    convs = convs.unionByName(one.filter("conv_id is null").select("conv_id", F.array("s").alias("s")))
     names = ["conv_id", *(x.split()[0] for x in FIELDS.split(", "))]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
