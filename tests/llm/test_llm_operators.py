@@ -114,6 +114,40 @@ def test_near_duplicates_branch_large_nodes(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+@pytest.mark.parametrize(("block", "shingles"), [(4, 10**6), (1000, 500)])
+def test_near_duplicates_of_wide_components(spark, monkeypatch, block, shingles):
+    """Components of many blocks: chains that link block by block, and large and small classes that stay apart."""
+    from gatefold.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SHINGLES", shingles)
+    monkeypatch.setattr(near_dedup, "agreement", lambda percent: 20)  # candidates far below the threshold
+    rng = random.Random(8)
+    base = pseudo(rng, 120).split()
+    rows = []
+    for g in range(5):  # groups of one origin, too far apart to be linked
+        own = [w if rng.random() < 0.9 else f"g{g}" for w in base]
+        for i in range((30, 14, 3, 1, 9)[g]):
+            if g == 1:  # a chain: only neighbours are linked
+                own[7 * i : 7 * i + 4] = [f"c{i}x{k}" for k in range(4)]
+            w = list(own)
+            if g != 1:
+                w[rng.randrange(len(w))] = f"new{rng.randrange(1000)}"
+            rows.append((100 * g + 7 * i % 83, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    want = brute_components(sorted(rows), 3, 85)
+    assert got == want and len({c for _, c in want.values()}) >= 5
+
+
+def test_trees_follow_the_recall():
+    from gatefold.llm.near_dedup import DEPTH, n_trees
+
+    for percent in (80, 85, 95):
+        n = n_trees(percent, 0.99)
+        miss = lambda t: (1 - (percent / 100) ** DEPTH) ** t  # noqa: B023, E731
+        assert miss(n) <= 0.01 < miss(n - 1)
+
+
 def test_near_duplicates_branch_more_large_nodes_than_are_broadcast(spark, monkeypatch):
     """Nodes over the limit beyond the HOT_NODES largest of a pass are branched too."""
     from gatefold.llm import near_dedup
@@ -141,15 +175,76 @@ def test_components_of_a_path_and_a_star(spark):
 
 
 # ---------------------------------------------------------------- 2
+def plain_reader(d: bytes) -> tuple[list[bytes], int]:
+    """A second, plain reader of the files written here: frames of unlaced and fixed-size, Xiph or EBML laced blocks, and clusters."""
+
+    def number(at, keep=False):
+        n = 9 - d[at].bit_length()
+        v = int.from_bytes(d[at : at + n], "big")
+        return (v if keep else v & ((1 << (7 * n)) - 1)), at + n, n
+
+    frames, clusters = [], 0
+
+    def block(at, end):
+        _, at, _ = number(at)
+        flags, at = d[at + 2], at + 3
+        lacing = flags >> 1 & 3
+        if not lacing:
+            frames.append(d[at:end])
+            return
+        n, at = d[at] + 1, at + 1
+        sizes = []
+        if lacing == 2:
+            sizes = [(end - at) // n] * n
+        elif lacing == 1:
+            for _ in range(n - 1):
+                size = 0
+                while d[at] == 255:
+                    size, at = size + 255, at + 1
+                sizes.append(size + d[at])
+                at += 1
+        else:
+            for k in range(n - 1):
+                v, at, w = number(at)
+                sizes.append(v if k == 0 else sizes[-1] + v - ((1 << (7 * w - 1)) - 1))
+        if lacing != 2:
+            sizes.append(end - at - sum(sizes))
+        for x in sizes:
+            frames.append(d[at : at + x])
+            at += x
+
+    def walk(at, end):
+        nonlocal clusters
+        while at < end:
+            name, at, _ = number(at, True)
+            size, at, _ = number(at)
+            if name in (0x18538067, 0x1F43B675, 0xA0):
+                clusters += name == 0x1F43B675
+                walk(at, at + size)
+            elif name in (0xA3, 0xA1):
+                block(at, at + size)
+            at += size
+
+    walk(0, len(d))
+    return frames, clusters
+
+
 def test_media_round_trip(docs, corpus):
-    from gatefold.llm.matroska import media_round_trip
+    from gatefold.llm.matroska import media_round_trip, text_media
 
+    media = {r[0]: bytes(r[1]) for r in text_media(docs).collect()}
     got = {r.doc_id: r for r in media_round_trip(docs).collect()}
     for i, t in corpus:
         raw = (t or "").encode()
         full = raw + b" " * (-len(raw) % 192 if raw else 192)
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-16:]))
+        packets, clusters = plain_reader(media[i])
+        assert (r.media_bytes, r.media_sha256) == (len(media[i]), hashlib.sha256(media[i]).hexdigest()) and b"".join(packets) == full
+        x = [b for b in full]
+        flips = sum((a >= 128) != (b >= 128) for a, b in itertools.pairwise(x))
+        assert f"clusters={clusters};" in r.feature and f"packets={len(packets)};" in r.feature
+        assert r.feature.endswith(f"sum={sum(x)};energy={sum(b * b for b in x)};flips={flips}")
 
 
 @pytest.mark.parametrize("kind", ["xiph", "ebml", "fixed"])
@@ -246,6 +341,21 @@ def test_role_repair_is_cheapest():
             assert cost == cheapest(roles, chat), roles
 
 
+def test_role_repair_of_odd_tables(spark):
+    """Nothing, clashing extra columns, long texts, and turns without a conversation, each of which stands alone."""
+    from gatefold.llm.chat import repair_conversations
+
+    schema = "conv_id long, turn int, role string, text string, s string, t int, r string, x string, n_turns long, cost long, rendered string"
+    assert repair_conversations(spark.createDataFrame([], schema)).count() == 0
+    extra = ("s", 1, "r", "x", 7, 8, "z")
+    long_text = "word " * 300_000
+    rows = [(1, 1, "assistant", long_text, *extra), (1, 0, "user", None, *extra), (1, 0, "user", None, *extra), *[(None, k % 3, "user", f"alone {k}", *extra) for k in range(50)], (None, None, None, None, *extra), (None, None, None, None, *extra)]
+    out = repair_conversations(spark.createDataFrame(rows, schema)).collect()
+    assert len(out) == 53 and sum(r.conv_id is None for r in out) == 52 and {r.n_turns for r in out if r.conv_id is None} == {1}
+    one = next(r for r in out if r.conv_id == 1)
+    assert one.n_turns == 3 and one.n_merged == 1 and long_text in one.rendered
+
+
 def test_role_repair_table(spark):
     from gatefold.llm.chat import repair_conversations
 
@@ -291,11 +401,90 @@ def test_kneser_ney_sums_to_one_and_backs_off():
     ctx = np.unique(u >> BITS)[:20]
     every = ((ctx[:, None] << BITS) | np.arange(1 << BITS)).ravel()
     total = np.exp(score(levels, every)).reshape(len(ctx), -1).sum(1)
-    assert np.allclose(total, 1, atol=0.02)
+    assert np.allclose(total, 1, atol=1e-9)
     assert np.allclose(score(levels, u), levels[-1].logp[np.searchsorted(levels[-1].codes, u)], atol=1e-6)
     assert len(levels) == ORDER and at[-1] == len(code)
 
 
+def brute_model(seqs, order):
+    """Interpolated modified Kneser-Ney over symbol sequences with dictionaries: (history, symbol) -> probability."""
+    top: Counter = Counter()
+    for q in seqs:
+        padded = [0] * (order - 1) + q
+        top.update(tuple(padded[i : i + order]) for i in range(len(q)))
+    tables = {order: dict(top)}
+    for k in range(order - 1, 0, -1):
+        lower: Counter = Counter(g[1:] for g in tables[k + 1])
+        tables[k] = dict(lower)
+
+    def cut(table):
+        t = [sum(1 for n in table.values() if n == k) for k in (1, 2, 3, 4)]
+        if min(t[:3]) == 0:
+            return [0, 0.75, 0.75, 0.75]
+        y = t[0] / (t[0] + 2 * t[1])
+        d = [1 - 2 * y * t[1] / t[0], 2 - 3 * y * t[2] / t[1], 3 - 4 * y * t[3] / t[2]]
+        return [0, *(min(max(x, 0.05), k - 0.05) for k, x in enumerate(d, 1))]
+
+    total, left, cuts = {}, {}, {}
+    for k, table in tables.items():
+        d = cuts[k] = cut(table)
+        for g, n in table.items():
+            total[g[:-1], k] = total.get((g[:-1], k), 0) + n
+            left[g[:-1], k] = left.get((g[:-1], k), 0) + d[min(n, 3)]
+
+    def p(g):
+        k = len(g)
+        if k == 0:
+            return 1 / 64
+        if (g[:-1], k) not in total:
+            return p(g[1:])
+        n = tables[k].get(g, 0)
+        return (n - cuts[k][min(n, 3)]) / total[g[:-1], k] + left[g[:-1], k] / total[g[:-1], k] * p(g[1:])
+
+    return p
+
+
+@pytest.mark.parametrize("limit", [1 << 28, 1])
+def test_quality_equals_brute_force(spark, monkeypatch, limit):
+    """Perplexity and verdict of every document, with a small language that shares a model, in one group of languages and in several."""
+    from gatefold.llm import quality as q
+
+    monkeypatch.setattr(q, "GROUP_BYTES", limit)
+    monkeypatch.setattr(q.groups_of, "__defaults__", (limit,))
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice(["Ther", "ing", "and", "über", "est.", "5%"]) + rng.choice(["a", "o", "", "ly"]) for _ in range(n))
+    rows = [(i, text(rng.choice([5, 15, 40, 90])), "en" if i % 3 else "de", "s") for i in range(160)]
+    rows += [(300, "x" * 400 + " a" * 40, "en", "s"), (301, "| ".join("qzxj" * 3 for _ in range(30)), "en", "s"), (400, text(30), "pt", "s"), (401, text(60), None, "s"), (402, None, "en", "s")]
+    rows.append((403, " ".join(f"{rng.choice('bcdfg')}{k}#&" for k in range(80)), "en", "s"))
+    got = {r.doc_id: r for r in q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    name = lambda x: x if x in ("en", "de") else "xx"
+    seq = {i: [int(q.CLASS[c]) for c in (t or "").encode() if c < 0xC0] for i, t, _, _ in rows}
+    mean = {}
+    for lang in ("en", "de", "xx"):
+        own = [i for i, _, x, _ in rows if name(x) == lang]
+        p = brute_model([seq[i] for i in own], q.ORDER)
+        for i in own:
+            padded = [0] * (q.ORDER - 1) + seq[i]
+            n = len((dict((r[0], r[1]) for r in rows)[i] or "").split())
+            if n:
+                mean[i] = -sum(np.log(p(tuple(padded[k : k + q.ORDER]))) for k in range(len(seq[i]))) / n
+    for i, m in mean.items():
+        assert got[i].lang == name(dict((r[0], r[2]) for r in rows)[i])
+        assert np.log(got[i].perplexity) == pytest.approx(m, abs=2e-5)
+    for lang in ("en", "de", "xx"):
+        own = [i for i in mean if got[i].lang == lang and not got[i].base_failed]
+        at = lambda v, width, share: (sorted(int(np.floor(max(-64, min(64, x)) / width)) for x in v)[int(np.ceil(share * len(v))) - 1] + 0.5) * width
+        mid = at([round(mean[i], 6) for i in own], 0.005, 0.5)
+        dev = [(round(mean[i], 6) - mid) * np.sqrt(got[i].n_words) for i in own]
+        a, wide = (at(dev, 0.05, 0.75) - at(dev, 0.05, 0.25)) / 1.349, 1 + 10 / len(own)
+        for i in own:
+            z = (mean[i] - mid) / wide / np.sqrt(a * a / got[i].n_words + (q.FLOOR * mid) ** 2)
+            if min(abs(z + q.LOW), abs(z - q.HIGH)) > 0.05:
+                assert got[i].kept == (-q.LOW <= z <= q.HIGH), (i, z)
+    assert not got[300].kept and not got[403].kept and not got[402].kept and got[402].perplexity is None
+    assert sum(got[i].kept for i in range(160)) > 0.95 * sum(not got[i].base_failed for i in range(160))
+
+
 def test_quality_rejects_noise_and_keeps_prose(spark):
     from gatefold.llm.quality import judge
 
@@ -337,10 +526,14 @@ def test_rans_table_equals_library(docs, corpus):
     from gatefold.llm import rans_ids as r
     from gatefold.llm.common import stored
 
-    lib = r.Tokens(r.default_path()).lib
-    got = {x.doc_id: x for x in r.read_documents(stored(r.encode_documents(docs, parts=3), "t")).collect()}
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(r.default_path())
+    added = [(500, "end <|endoftext|> here"), (501, "A<|startoftext|>b <|ENDOFTEXT|>"), (502, "<|endof text|>"), (503, "<|endoftext|>")]
+    more = docs.unionByName(frame(docs.sparkSession, added))
+    got = {x.doc_id: x for x in r.read_documents(stored(r.encode_documents(more, parts=3), "t")).collect()}
     at = 0
-    for i, t in corpus:
+    for i, t in [*corpus, *added]:
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 1]
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
@@ -422,6 +615,31 @@ def test_long_texts_come_in_pieces(monkeypatch):
     assert windows(whole) == windows(parts) == set(range(30_000 - 399))
 
 
+def test_passages_of_very_many_contexts(spark, monkeypatch):
+    """An anchor of more contexts than a task may get is split by the bytes its windows share, down to single windows."""
+    from gatefold.llm import suffix_dedup
+
+    rng = random.Random(14)
+    passage, other = pseudo(rng, 30), pseudo(rng, 30)
+    texts: list[str | None] = [f"{pseudo(rng, 12)} {passage} {pseudo(rng, 9)}" for _ in range(60)]
+    texts += [f"{pseudo(rng, 12)} {passage[: 70 + k]} {pseudo(rng, 9)}" for k in range(20)] + [f"{pseudo(rng, 5)}{other}{pseudo(rng, 5)}" for _ in range(5)] + texts[:4] + ["a" * 300, None]
+    rows = list(enumerate(texts))
+    want = brute_cut(texts, 80)
+    for most in (3, 20):
+        monkeypatch.setattr(suffix_dedup, "CONTEXTS", most)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.cut_repeats(frame(spark, rows), 80, 16).collect()}
+        assert got == dict(enumerate(want))
+
+
+def test_kept_text_is_whole_characters(spark):
+    from gatefold.llm.suffix_dedup import cut_repeats
+
+    rows = [(1, "é" + "ab" * 30 + "ü" + "x"), (2, "\u4e2d" + "ab" * 30 + "\u4e2d")]
+    got = {r.doc_id: r.text for r in cut_repeats(frame(spark, rows), 41, 8, keep="text").collect()}
+    want = {i: k.decode("utf-8", "ignore") for (i, _), (_, _, _, k) in zip(rows, brute_cut([t for _, t in rows], 41), strict=True)}
+    assert got == want
+
+
 # ---------------------------------------------------------------- 9
 def test_rendezvous_moves_rows_only_into_the_new_shard(docs):
     from gatefold.llm.sharding import shard_documents
@@ -458,6 +676,7 @@ def test_raking_meets_targets(spark):
         for v, share in want[dim].items():
             assert abs(sum(x for c, x in w.items() if c[k] == v) / total - share) < 1e-6
     assert abs(max(r.p for r in rows) - 1) < 1e-12
+    assert 0 <= rows[0].residual < 1e-6 < rake(df, targets=want, sweeps=1).first().residual
 
 
 def test_mixing_samples_near_its_weights(spark):
@@ -481,6 +700,35 @@ def operators():
     }
 
 
+LONG = " ".join(f"word{k % 7919}x{k % 13}" for k in range(130_000))
+
+
+def test_texts_longer_than_a_part(spark):
+    """Texts of over 1 MB, the size of the parts that become Python objects at a time, beside short ones."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from gatefold.llm import byte_bpe, matroska, near_dedup, quality, rans_ids
+    from gatefold.llm.common import stored
+
+    assert len(LONG) > 1 << 20
+    rows = [(1, "a short text of some words"), (2, LONG), (3, LONG[:-9]), (4, "b"), (5, None)]
+    df = frame(spark, rows).coalesce(1)
+    text = dict(rows)
+    near = {r.doc_id: r for r in near_dedup.near_duplicates(df, 3, 85).collect()}
+    assert near[2].n_shingles == len(shingles(LONG, 3)) and [near[k].component_id for k in (1, 2, 3, 4)] == [1, 2, 2, 4]
+    media = {r.doc_id: r for r in matroska.media_round_trip(df).collect()}
+    assert all(media[i].n_bytes == len((t or "").encode()) for i, t in rows)
+    base = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert base[2].n_words == 130_000 and base[4].n_words == 1
+    lib = Tokenizer.from_file(rans_ids.default_path())
+    ids = {r.doc_id: r for r in rans_ids.read_documents(stored(rans_ids.encode_documents(df, parts=2), "t")).collect()}
+    assert all(ids[i].n_tokens == len(lib.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows)
+    bpe = {r.doc_id: r for r in byte_bpe.round_trip(df).collect()}
+    assert all(bpe[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest() for i, t in rows)
+    assert tiktoken and text[2] == LONG
+
+
 @pytest.mark.parametrize("name", ["near", "media", "lines", "quality", "filter", "rans", "bpe", "suffix", "shards", "mix"])
 def test_odd_and_empty_tables(name, odd, empty):
     op = operators()[name]
