@@ -12,7 +12,7 @@ from gatefold.operators.polygons import Level
 from gatefold.operators.transforms import Transform
 from gatefold.plans import figures
 from gatefold.plans.inputs import CELLS_SQL, SUPPLIER_SQL, cells, embedding_columns, supplier_values, table
-from gatefold.plans.queries_gating import POPS, SPEC, _scored, _thresholds, r6
+from gatefold.plans.queries_gating import _MFI, _SCORED, POPS, SPEC, _scored, _thresholds, r6
 from gatefold.plans.registry import query
 from gatefold.sources import events as ev
 from gatefold.sources import fcs, metadata
@@ -186,20 +186,34 @@ def _(spark, sf):
     return figures.marker_limits(table(spark, sf, "events"), ["value"]).select("marker", r6("low"), r6("high"))
 
 
-@query("figure_density_curve")
+@query("figure_density_curve", f"""
+WITH {CELLS_SQL}, s AS (SELECT grp, CAST(count(*) AS DOUBLE) AS n, min(m1) AS lo, max(m1) AS hi, least(stddev_samp(m1), (quantile_cont(m1, 0.75) - quantile_cont(m1, 0.25)) / 1.34) AS spread FROM cells GROUP BY 1),
+h AS (SELECT *, 0.9 * spread * pow(n, -0.2) AS h FROM s), b AS (SELECT c.grp, n, lo, hi, h, least(2047, CAST(floor((m1 - lo) / (hi - lo) * 2048) AS INTEGER)) AS bin, count(*) AS c FROM cells c JOIN h ON c.grp = h.grp GROUP BY ALL),
+g AS (SELECT *, lo + (bin + 0.5) * (hi - lo) / 2048 AS center, lo + i * (hi - lo) / 127 AS x FROM b CROSS JOIN range(0, 128) AS r(i))
+SELECT grp, round(any_value(x), 6) AS x, round(sum(c * exp(-pow((x - center) / h, 2) / 2)) / any_value(n * h * 2.5066282746310002), 6) AS density FROM g GROUP BY grp, i
+""")
 def _(spark, sf):
-    return figures.density_curve(cells(spark, sf), ["grp"], "m1", 128)
+    return figures.density_curve(cells(spark, sf), ["grp"], "m1", 128).select("grp", r6("x"), r6("density"))
 
 
-@query("figure_hexbin")
+@query("figure_hexbin", f"""
+WITH {CELLS_SQL}, r AS (SELECT grp, min(m2) AS x0, max(m2) AS x1, min(m1) AS y0, max(m1) AS y1 FROM cells GROUP BY 1),
+d AS (SELECT c.grp, (m2 - x0) / (x1 - x0) * 40 AS u, (m1 - y0) / (y1 - y0) * 40 / 1.7320508075688772 AS v FROM cells c JOIN r ON c.grp = r.grp),
+n AS (SELECT *, (u - round(u)) * (u - round(u)) + 3 * (v - round(v)) * (v - round(v)) <= (u - (floor(u) + 0.5)) * (u - (floor(u) + 0.5)) + 3 * (v - (floor(v) + 0.5)) * (v - (floor(v) + 0.5)) AS near FROM d)
+SELECT grp, CASE WHEN near THEN round(u) ELSE floor(u) + 0.5 END AS hx, CASE WHEN near THEN round(v) ELSE floor(v) + 0.5 END AS hy, count(*) AS count FROM n GROUP BY ALL
+""")
 def _(spark, sf):
     return figures.hexbin(cells(spark, sf), ["grp"], "m2", "m1", 40)
 
 
-@query("figure_marker_heatmap")
+@query("figure_marker_heatmap", f"""
+WITH {_SCORED}, {_MFI}, m AS (SELECT population, marker, quantile_cont(median_asinh, 0.5) AS value, count(DISTINCT sample_id) AS n_samples FROM s GROUP BY 1, 2)
+SELECT population, marker, round(value, 6) AS value, n_samples, round(CASE WHEN stddev_samp(value) OVER w < 1e-8 THEN 0.0 ELSE (value - avg(value) OVER w) / stddev_samp(value) OVER w END, 5) AS z FROM m WINDOW w AS (PARTITION BY marker)
+""")
 def _(spark, sf):
     s, t = _scored(spark, sf)
-    return figures.marker_heatmap(populations.marker_summary(s, POPS, ["m2", "m3"], t))
+    m = populations.marker_summary(s, POPS, ["m2", "m3"], t).withColumn("median_asinh", r6("median_asinh"))
+    return figures.marker_heatmap(m).select("population", "marker", r6("value"), "n_samples", F.round("z", 5).alias("z"))
 
 
 @query("figure_p_annotation", """
@@ -212,11 +226,14 @@ def _(spark, sf):
     return table(spark, sf, "events").select("event_id", F.when(m.startswith("p:"), "trend").otherwise(m).alias("mark"))
 
 
-@query("uncertainty_annotation")
+@query("uncertainty_annotation", f"""
+WITH {SUPPLIER_SQL}, m AS (SELECT grp, quantile_cont(value, 0.5) AS med FROM sv GROUP BY 1), u AS (SELECT quantile_cont(qty / 10, 0.5) AS u FROM sv), r AS (SELECT med AS ref FROM m WHERE grp = (SELECT min(grp) FROM m))
+SELECT 'p' AS population, grp AS comparison, round(u, 6) AS gate_u_pct_points, round(abs(med - ref) / u, 4) AS difference_over_gate_u FROM m, u, r WHERE grp <> (SELECT min(grp) FROM m)
+""")
 def _(spark, sf):
     s = supplier_values(spark, sf)
     g = ranks.compare_groups(s.select("sample_id", F.lit("p").alias("population"), "value"), s.select("sample_id", "group"), "value")
     u = s.select("sample_id", F.lit("p").alias("population"), (F.col("qty") / 10).alias("u_pct_points"))
-    return uncertainty.annotate(g, u)
+    return uncertainty.annotate(g, u).select("population", "comparison", r6("gate_u_pct_points"), F.round("difference_over_gate_u", 4).alias("difference_over_gate_u"))
 
 

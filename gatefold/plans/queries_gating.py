@@ -302,11 +302,35 @@ def _(spark, sf):
     return gates.staining_verdict(c, pct="pct").select("c_custkey", "qc_status", "included")
 
 
-@query("gate_chain")
+def _cut_sql(x: str, src: str, settings: Valley = Valley()) -> str:
+    """The valley cut of x by sample_id."""
+    return f"(WITH {valley_sql('sample_id', x, src, settings)} SELECT g.sample_id, g.lo + (ok.v - 0.5) * g.w AS cut FROM g JOIN ok ON ok.sample_id = g.sample_id AND ok.r = 1)"
+
+
+_CHAIN = f"""
+c0 AS (SELECT sample_id, m2 * 1000 AS fa, m2 * (500 + m4) AS fh, m3 * 100 AS sa, m1 - 10 AS viab, m1 AS cd45, log10(greatest(m2 * 1000, 1.0)) AS lf, log10(greatest(m3 * 100, 1.0)) AS ls FROM cells),
+q0 AS (SELECT sample_id, quantile_cont(lf, 0.6) AS fb, quantile_cont(lf, 0.999) AS hi FROM c0 GROUP BY 1), k0 AS (SELECT q0.sample_id, coalesce(v.cut, fb) AS flo, hi AS fhi FROM q0 LEFT JOIN {_cut_sql('lf', 'c0', gates.SCATTER)} v ON v.sample_id = q0.sample_id),
+w0 AS (SELECT c0.sample_id, any_value(flo) AS flo, any_value(fhi) AS fhi, quantile_cont(ls, 0.005) AS slo, quantile_cont(ls, 0.995) AS shi FROM c0 JOIN k0 ON k0.sample_id = c0.sample_id AND lf > flo AND lf < fhi GROUP BY 1),
+c1 AS (SELECT c0.*, fh / greatest(fa, 1.0) AS ratio FROM c0 JOIN w0 ON w0.sample_id = c0.sample_id AND lf > flo AND lf < fhi AND ls > slo AND ls < shi),
+m1_ AS (SELECT sample_id, quantile_cont(ratio, 0.5) AS med, stddev_samp(ratio) AS sd FROM c1 GROUP BY 1), d1 AS (SELECT c1.sample_id, 1.4826 * quantile_cont(abs(ratio - med), 0.5) AS mad FROM c1 JOIN m1_ ON m1_.sample_id = c1.sample_id GROUP BY 1),
+b1 AS (SELECT m1_.sample_id, med - 3 * CASE WHEN mad > 0 THEN mad ELSE sd END AS lo, med + 3 * CASE WHEN mad > 0 THEN mad ELSE sd END AS hi FROM m1_ JOIN d1 ON d1.sample_id = m1_.sample_id),
+c2 AS (SELECT c1.* FROM c1 JOIN b1 ON b1.sample_id = c1.sample_id AND ratio > lo AND ratio < hi),
+t2 AS (SELECT f.sample_id, coalesce(v.cut, f.fb) AS t FROM (SELECT sample_id, quantile_cont(viab, 0.9) AS fb FROM c2 GROUP BY 1) f LEFT JOIN {_cut_sql('viab', 'c2')} v ON v.sample_id = f.sample_id),
+c3 AS (SELECT c2.* FROM c2 JOIN t2 ON t2.sample_id = c2.sample_id AND viab < t),
+t3 AS (SELECT f.sample_id, coalesce(v.cut, f.fb) AS t FROM (SELECT sample_id, quantile_cont(cd45, 0.9) AS fb FROM c3 GROUP BY 1) f LEFT JOIN {_cut_sql('cd45', 'c3')} v ON v.sample_id = f.sample_id),
+c4 AS (SELECT c3.* FROM c3 JOIN t3 ON t3.sample_id = c3.sample_id AND cd45 > t),
+n AS (SELECT sample_id, 1 AS i, 'all_events' AS gate, count(*) AS n FROM c0 GROUP BY 1 UNION ALL SELECT sample_id, 2, 'leukocytes', count(*) FROM c1 GROUP BY 1 UNION ALL SELECT sample_id, 3, 'single_cells', count(*) FROM c2 GROUP BY 1
+  UNION ALL SELECT sample_id, 4, 'live_cells', count(*) FROM c3 GROUP BY 1 UNION ALL SELECT sample_id, 5, 'cd45_pos', count(*) FROM c4 GROUP BY 1),
+a AS (SELECT s.sample_id, g.i, g.gate, coalesce(n.n, 0) AS n FROM (SELECT DISTINCT sample_id FROM c0) s CROSS JOIN (SELECT DISTINCT i, gate FROM n) g LEFT JOIN n ON n.sample_id = s.sample_id AND n.i = g.i)"""
+
+
+@query("gate_chain", f"""
+WITH {CELLS_SQL}, {_CHAIN} SELECT sample_id, gate, CAST(n AS BIGINT) AS count, round(100.0 * n / greatest(coalesce(lag(n) OVER o, n), 1), 6) AS pct_of_parent, round(100.0 * n / greatest(first_value(n) OVER o, 1), 6) AS pct_of_all FROM a WINDOW o AS (PARTITION BY sample_id ORDER BY i)
+""")
 def _(spark, sf):
     c = cells(spark, sf).select("sample_id", (F.col("m2") * 1000).alias("FSC-A"), (F.col("m2") * (500 + F.col("m4"))).alias("FSC-H"), (F.col("m3") * 100).alias("SSC-A"), (F.col("m1") - 10).alias("viability"), F.col("m1").alias("CD45"))
     gated, _ = gates.gate_events(c, viability="viability")
-    return gates.gate_counts(gated)
+    return gates.gate_counts(gated).select("sample_id", "gate", "count", r6("pct_of_parent"), r6("pct_of_all"))
 
 
 # ---------------------------------------------------------------- populations

@@ -6,10 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gatefold.operators import clusters, compositional, conformance, diagnostics, ranks
-from gatefold.plans.inputs import SUPPLIER_SQL, cells, embedding_columns, supplier_values, table
-from gatefold.plans.queries_gating import POPS, _scored, r6
+from gatefold.functions.storage import cut
+from gatefold.plans.inputs import SUPPLIER_SQL, embedding_columns, supplier_values, table
+from gatefold.plans.queries_gating import _MFI, _SCORED, POPS, _scored, r6
 from gatefold.plans.registry import query
 
+#: Marker summaries of populations with at least 20 cells, a row a measure.
+_STATE = """ms AS (SELECT population, marker, unnest(['median_asinh', 'pct_positive']) AS measure, unnest([median_asinh, pct_positive]) AS value, n_cells, r_name AS grp FROM s JOIN nation ON n_name = sample_id JOIN region ON n_regionkey = r_regionkey WHERE n_cells >= 20)"""
 _RANK = "rank() OVER (PARTITION BY {k} ORDER BY {v}) + (count(*) OVER (PARTITION BY {k}, {v}) - 1) / 2.0"
 
 
@@ -37,6 +40,52 @@ def _(spark, sf):
     return t.select("comparison", "n_reference", "n_comparison", r6("median_reference"), r6("median_comparison"), r6("w"), r6("z"), r6("cliffs_delta"))
 
 
+def p_normal_sql(z: str) -> str:
+    """Two-sided normal p by the series of positive terms z**(2n+1) / (2n+1)!!, exact to the last digits."""
+    return f"(1 - sqrt(2 / pi()) * exp(-({z}) * ({z}) / 2) * list_sum(list_transform(range(0, 150), lambda n: exp((2 * n + 1) * ln(greatest(abs({z}), 1e-300)) + n * ln(2) + lgamma(n + 1) - lgamma(2 * n + 2)))))"
+
+
+def p_chi4_sql(x: str) -> str:
+    """Upper tail of chi-square with four degrees of freedom."""
+    return f"exp(-({x}) / 2) * (1 + ({x}) / 2)"
+
+
+def p_t_sql(t: str, df: str) -> str:
+    """Two-sided p of Student's t with whole degrees of freedom: a finite sum in the angle atan(t / sqrt(df))."""
+    th = f"atan(abs({t}) / sqrt({df}))"
+    even = f"sin({th}) * list_sum(list_transform(range(0, ({df}) // 2), lambda k: exp(2 * k * ln(cos({th})) + lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi())))"
+    odd = f"2 / pi() * ({th} + sin({th}) * coalesce(list_sum(list_transform(range(0, ({df} - 1) // 2), lambda k: exp((2 * k + 1) * ln(cos({th})) + lgamma(k + 1) - lgamma(k + 1.5)) * sqrt(pi()) / 2)), 0))"
+    return f"1 - CASE WHEN ({df}) % 2 = 0 THEN {even} ELSE {odd} END"
+
+
+def bh_sql(src: str, p: str, by: str = "1", out: str = "p_adj_BH") -> str:
+    """src with Benjamini-Hochberg values of p within by."""
+    return f"""SELECT * EXCLUDE (_raw), CASE WHEN {p} IS NOT NULL THEN least(1.0, min(_raw) OVER (PARTITION BY {by}, {p} IS NULL ORDER BY {p} DESC, _raw ROWS UNBOUNDED PRECEDING)) END AS {out}
+    FROM (SELECT *, {p} * count({p}) OVER (PARTITION BY {by}, {p} IS NULL) / row_number() OVER (PARTITION BY {by}, {p} IS NULL ORDER BY {p}) AS _raw FROM {src})"""
+
+
+def rank_sum_sql(src: str, keys: str, group: str = "grp", value: str = "value", family: str = "1") -> str:
+    """CTEs rs (rank-sum statistics, p_value, BH) and kw (Kruskal-Wallis of five groups) of src(keys, group, value), first group as reference."""
+    k = keys
+    on = lambda a, b: " AND ".join(f"{a}.{x.strip()} = {b}.{x.strip()}" for x in k.split(","))
+    rank = lambda part: f"rank() OVER (PARTITION BY {part} ORDER BY v) + (count(*) OVER (PARTITION BY {part}, v) - 1) / 2.0"
+    return f"""i0 AS (SELECT {k}, {group} AS g, {value} AS v, (SELECT min({group}) FROM {src}) AS ref FROM {src}),
+i1 AS (SELECT {k}, ref AS reference, g AS comparison, FALSE AS r, v FROM i0 WHERE g <> ref UNION ALL
+  SELECT {', '.join('a.' + x.strip() for x in k.split(','))}, a.ref, o.g, TRUE, a.v FROM i0 a JOIN (SELECT DISTINCT {k}, g FROM i0 WHERE g <> ref) o ON {on('a', 'o')} WHERE a.g = a.ref),
+i2 AS (SELECT *, {rank(k + ', comparison')} AS rk FROM i1),
+i3 AS (SELECT {k}, comparison, sum(c * c * c - c) AS ties FROM (SELECT {k}, comparison, v, CAST(count(*) AS DOUBLE) AS c FROM i1 GROUP BY ALL) GROUP BY {k}, comparison),
+i4 AS (SELECT {k}, reference, comparison, CAST(sum(r::INT) AS DOUBLE) AS n1, CAST(sum((NOT r)::INT) AS DOUBLE) AS n2, sum(CASE WHEN r THEN rk END) AS r1, sum(CASE WHEN NOT r THEN rk END) AS r2,
+  quantile_cont(CASE WHEN r THEN v END, 0.5) AS median_reference, quantile_cont(CASE WHEN NOT r THEN v END, 0.5) AS median_comparison, avg(CASE WHEN r THEN v END) AS mean_reference, avg(CASE WHEN NOT r THEN v END) AS mean_comparison,
+  stddev_samp(CASE WHEN r THEN v END) AS sd_reference, stddev_samp(CASE WHEN NOT r THEN v END) AS sd_comparison FROM i2 GROUP BY {k}, reference, comparison HAVING sum(r::INT) >= 3 AND sum((NOT r)::INT) >= 3),
+i5 AS (SELECT i4.*, r1 - n1 * (n1 + 1) / 2 - n1 * n2 / 2 AS w, n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1))) AS var, 2 * (r2 - n2 * (n2 + 1) / 2) / (n1 * n2) - 1 AS delta FROM i4 JOIN i3 ON {on('i4', 'i3')} AND i4.comparison = i3.comparison),
+i6 AS (SELECT *, CASE WHEN var > 0 THEN (w - sign(w) * 0.5) / sqrt(var) END AS z FROM i5), i7 AS (SELECT *, {p_normal_sql('z')} AS p_value FROM i6),
+rs AS ({bh_sql('i7', 'p_value', family)}),
+j0 AS (SELECT {k}, g, v, {rank(k)} AS rk FROM i0), j1 AS (SELECT {k}, g, sum(rk) AS s, CAST(count(*) AS DOUBLE) AS n FROM j0 GROUP BY {k}, g),
+j2 AS (SELECT {k}, sum(c * c * c - c) AS ties FROM (SELECT {k}, v, CAST(count(*) AS DOUBLE) AS c FROM i0 GROUP BY {k}, v) GROUP BY {k}),
+j3 AS (SELECT {k}, sum(n) AS n, count(*) AS k, min(n) AS least_n, sum(s * s / n) AS q FROM j1 GROUP BY {k}),
+kw AS (SELECT {', '.join('j3.' + x.strip() for x in k.split(','))}, n, k, least_n, (12.0 * q / (n * (n + 1)) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h FROM j3 JOIN j2 ON {on('j3', 'j2')})"""
+
+
 _TAIL = "(1.0 / (1.0 + 0.3275911 * abs(z) / sqrt(2.0)))"
 _P = f"{_TAIL} * (0.254829592 + {_TAIL} * (-0.284496736 + {_TAIL} * (1.421413741 + {_TAIL} * (-1.453152027 + {_TAIL} * 1.061405429)))) * exp(-z * z / 2.0)"
 
@@ -102,17 +151,48 @@ def _(spark, sf):
     return ranks.spearman(supplier_values(spark, sf), ["group"], "value", "qty").select("group", "n", r6("rho"))
 
 
-@query("group_comparison_stats")
-def _(spark, sf):
-    s = supplier_values(spark, sf)
-    return ranks.compare_groups(s.select("sample_id", F.lit("all").alias("population"), "value"), s.select("sample_id", "group"), "value")
+# two populations, so that families and omnibus tests have more than one
+_TWO = f"""{SUPPLIER_SQL}, tp AS (SELECT 'all' AS population, grp, value FROM sv UNION ALL SELECT 'qty', grp, qty FROM sv)"""
+
+
+def _two(s):
+    both = F.array(F.struct(F.lit("all").alias("population"), F.col("value").alias("v")), F.struct(F.lit("qty").alias("population"), F.col("qty").alias("v")))
+    return s.select("sample_id", F.explode(both).alias("r")).select("sample_id", "r.population", F.col("r.v").alias("value"))
 
 
-@query("paired_comparison_stats")
+@query("group_comparison_stats", f"""
+WITH {_TWO}, {rank_sum_sql('tp', 'population')}
+SELECT rs.population, reference, comparison, CAST(n1 AS BIGINT) AS n_reference, CAST(n2 AS BIGINT) AS n_comparison, round(median_reference, 4) AS median_reference, round(median_comparison, 4) AS median_comparison, round(mean_reference, 4) AS mean_reference,
+       round(mean_comparison, 4) AS mean_comparison, round(sd_reference, 4) AS sd_reference, round(sd_comparison, 4) AS sd_comparison, round_even(delta, 3) AS cliffs_delta, round(p_value, 6) AS p_value, round(p_adj_BH, 6) AS "p_adj_BH",
+       round({p_chi4_sql('h')}, 6) AS p_omnibus_kruskal, round(median_comparison / median_reference, 6) AS fold_change, p_adj_BH < 0.05 AS "significant_BH" FROM rs JOIN kw USING (population)
+""")
+def _(spark, sf):
+    s = supplier_values(spark, sf)
+    t = ranks.compare_groups(_two(s), s.select("sample_id", "group"), "value")
+    four = [F.round(c, 4).alias(c) for c in ("median_reference", "median_comparison", "mean_reference", "mean_comparison", "sd_reference", "sd_comparison")]
+    return t.select("population", "reference", "comparison", "n_reference", "n_comparison", *four, "cliffs_delta", *[r6(c) for c in ("p_value", "p_adj_BH", "p_omnibus_kruskal", "fold_change")], "significant_BH")
+
+
+@query("paired_comparison_stats", f"""
+WITH {_ORD}, a AS (SELECT o.pair, o.cond, o.v, r.v AS ref FROM o LEFT JOIN o r ON r.pair = o.pair AND r.cond = '1-URGENT' WHERE o.cond <> '1-URGENT'), b AS (SELECT cond, pair, ref AS x, v AS y FROM a WHERE ref IS NOT NULL),
+seen AS (SELECT cond, count(*) AS pairs FROM (SELECT DISTINCT c.cond, p.pair FROM (SELECT DISTINCT cond FROM a) c JOIN o p ON p.cond IN (c.cond, '1-URGENT')) GROUP BY 1),
+m AS (SELECT cond, count(*) AS n_pairs, quantile_cont(x, 0.5) AS median_reference, quantile_cont(y, 0.5) AS median_comparison, quantile_cont(y - x, 0.5) AS median_paired_difference FROM b GROUP BY 1 HAVING count(*) >= 5),
+e AS (SELECT cond, x - y AS d, abs(x - y) AS a FROM b WHERE x <> y), k AS (SELECT cond, d, a, {_RANK.format(k='cond', v='a')} AS rk FROM e), t AS (SELECT cond, sum(c * c * c - c) AS ties FROM (SELECT cond, a, CAST(count(*) AS DOUBLE) AS c FROM e GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT cond, CAST(count(*) AS DOUBLE) AS n, sum(CASE WHEN d > 0 THEN rk ELSE 0 END) AS v, sum(rk) AS total FROM k GROUP BY 1),
+z AS (SELECT m.*, seen.pairs, 1 - 2 * v / total AS rb, (v - n * (n + 1) / 4 - sign(v - n * (n + 1) / 4) * 0.5) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48) AS z FROM m JOIN s USING (cond) JOIN t USING (cond) JOIN seen USING (cond)),
+p AS (SELECT *, {p_normal_sql('z')} AS p_value FROM z), h AS ({bh_sql('p', 'p_value')}),
+f0 AS (SELECT pair FROM o GROUP BY 1 HAVING count(DISTINCT cond) = (SELECT count(DISTINCT cond) FROM o)), f1 AS (SELECT pair, cond, v, {_RANK.format(k='pair', v='v')} AS rk FROM o JOIN f0 USING (pair)),
+f2 AS (SELECT cond, sum(rk) AS s, CAST(count(*) AS DOUBLE) AS b FROM f1 GROUP BY 1), f3 AS (SELECT sum(s * s) AS q, max(b) AS b, CAST(count(*) AS DOUBLE) AS c FROM f2), f4 AS (SELECT sum(c * c * c - c) AS ties FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM f1 GROUP BY pair, v)),
+f AS (SELECT (12 * q - 3 * b * b * c * (c + 1) * (c + 1)) / (b * c * (c + 1) - ties / (c - 1)) AS q FROM f3, f4)
+SELECT 'all' AS population, '1-URGENT' AS reference_condition, cond AS comparison_condition, n_pairs, CAST(pairs - n_pairs AS BIGINT) AS n_incomplete_pairs_dropped, round(median_reference, 3) AS median_reference, round(median_comparison, 3) AS median_comparison,
+       round(median_paired_difference, 3) AS median_paired_difference, round(rb, 6) AS rank_biserial, round(p_value, 6) AS p_value, round(p_adj_BH, 6) AS "p_adj_BH", round({p_chi4_sql('q')}, 6) AS p_omnibus_friedman FROM h, f
+""")
 def _(spark, sf):
     o = _orders(spark, sf).withColumn("sample_id", F.concat_ws("/", "pair", "cond"))
     f = o.select("sample_id", F.lit("all").alias("population"), F.col("v").alias("pct_of_cd45_pos"))
-    return ranks.compare_paired(f, o.select("sample_id", F.col("pair").cast("string").alias("pair"), F.col("cond").alias("condition")))
+    t = ranks.compare_paired(f, o.select("sample_id", F.col("pair").cast("string").alias("pair"), F.col("cond").alias("condition")))
+    three = [F.round(c, 3).alias(c) for c in ("median_reference", "median_comparison", "median_paired_difference")]
+    return t.select("population", "reference_condition", "comparison_condition", "n_pairs", "n_incomplete_pairs_dropped", *three, *[r6(c) for c in ("rank_biserial", "p_value", "p_adj_BH", "p_omnibus_friedman")])
 
 
 # ---------------------------------------------------------------- composition
@@ -165,38 +245,90 @@ def _(spark, sf):
     return compositional.cramers_v(table(spark, sf, "documents"), "lang", "source").select("n", "n_a", "n_b", F.round("chi2", 5).alias("chi2"), r6("v"))
 
 
-@query("confounding_diagnostics")
+def _covariates(s):
+    return s.select("sample_id", F.col("qty").alias("age"), (F.col("sample_id") % 13).cast("double").alias("load"), F.when(F.col("sample_id") % 2 == 0, "F").otherwise("M").alias("sex"))
+
+
+_COV = f"{SUPPLIER_SQL}, cv AS (SELECT grp, value, unnest(['age', 'load']) AS covariate, unnest([qty, CAST(sample_id % 13 AS DOUBLE)]) AS x FROM sv)"
+
+
+@query("confounding_diagnostics", f"""
+WITH {_COV}, {rank_sum_sql('cv', 'covariate', 'grp', 'x')},
+sr AS (SELECT covariate, {_RANK.format(k='covariate', v='x')} AS a, {_RANK.format(k='covariate', v='value')} AS b FROM cv), sp AS (SELECT covariate, CAST(count(*) AS BIGINT) AS n, corr(a, b) AS rho FROM sr GROUP BY 1),
+st AS (SELECT *, rho * sqrt((n - 2) / (1 - rho * rho)) AS t FROM sp),
+u AS (SELECT covariate, CAST(NULL AS VARCHAR) AS population, 'cohort' AS comparison, 'Kruskal-Wallis' AS test, CAST(NULL AS DOUBLE) AS rho, {p_chi4_sql('h')} AS p, CAST(n AS BIGINT) AS n FROM kw
+  UNION ALL SELECT covariate, 'all', 'outcome', 'Spearman', rho, {p_t_sql('t', '(n - 2)')}, n FROM st), h AS ({bh_sql('u', 'p')})
+SELECT covariate, population, comparison, test, round(rho, 6) AS rho, round(p, 6) AS p_value, n, round(p_adj_BH, 6) AS "p_adj_BH",
+       CASE WHEN comparison = 'outcome' THEN CASE WHEN p_adj_BH < 0.05 AND covariate IN (SELECT covariate FROM h WHERE comparison = 'cohort' AND p_adj_BH < 0.05) THEN 'HIGH' ELSE 'low' END END AS confounder_risk FROM h
+""")
 def _(spark, sf):
     s = supplier_values(spark, sf)
-    cov = s.select("sample_id", F.col("qty").alias("age"), F.when(F.col("sample_id") % 2 == 0, "F").otherwise("M").alias("sex"))
-    return compositional.confounding(s.select("sample_id", F.lit("all").alias("population"), F.col("value").alias("pct_of_cd45_pos")), cov, s.select("sample_id", "group"), ["age", "sex"])
+    c = compositional.confounding(s.select("sample_id", F.lit("all").alias("population"), F.col("value").alias("pct_of_cd45_pos")), _covariates(s), s.select("sample_id", "group"), ["age", "load"])
+    return c.select("covariate", "population", "comparison", "test", r6("rho"), r6("p_value"), "n", r6("p_adj_BH"), "confounder_risk")
 
 
-@query("rank_ancova")
+@query("confounding_categorical")
 def _(spark, sf):
     s = supplier_values(spark, sf)
-    cov = s.select("sample_id", F.col("qty").alias("age"), F.when(F.col("sample_id") % 2 == 0, "F").otherwise("M").alias("sex"))
-    return compositional.rank_ancova(s.select("sample_id", F.lit("all").alias("population"), F.col("value").alias("pct_of_cd45_pos")), cov, s.select("sample_id", "group"), ["age", "sex"])
+    return compositional.confounding(s.select("sample_id", F.lit("all").alias("population"), F.col("value").alias("pct_of_cd45_pos")), _covariates(s), s.select("sample_id", "group"), ["age", "sex"])
 
 
-# ---------------------------------------------------------------- diagnostics
-@query("threshold_drift", f"""
-WITH {SUPPLIER_SQL}, g AS (SELECT grp, quantile_cont(value, 0.5) AS med, stddev_samp(value) AS sd, count(*) AS n FROM sv GROUP BY 1), h AS (SELECT max(med) - min(med) AS gap, quantile_cont(sd, 0.5) AS within_sd, sum(n) AS n, count(*) AS k FROM g)
-SELECT 'price' AS marker, CAST(n AS BIGINT) AS n_samples, k AS n_groups, round(gap, 3) AS gap, round(within_sd, 3) AS spread FROM h
+def _rss(tag: str, by: str) -> str:
+    """CTE: residual sum of squares of the ranked outcome on age and sex, all centred within by (Frisch-Waugh-Lovell)."""
+    c = lambda x: f"{x} - avg({x}) OVER (PARTITION BY {by})"
+    return f"""{tag}0 AS (SELECT {c('y')} AS y, {c('age')} AS a, {c('sex')} AS b FROM rk), {tag}1 AS (SELECT sum(y * y) AS yy, sum(a * a) AS aa, sum(b * b) AS bb, sum(a * b) AS ab, sum(a * y) AS ay, sum(b * y) AS byy FROM {tag}0),
+{tag} AS (SELECT yy - (ay * (ay * bb - byy * ab) + byy * (byy * aa - ay * ab)) / (aa * bb - ab * ab) AS rss FROM {tag}1)"""
+
+
+@query("rank_ancova", f"""
+WITH {SUPPLIER_SQL}, rk AS (SELECT grp, qty AS age, CASE WHEN sample_id % 2 = 0 THEN 0.0 ELSE 1.0 END AS sex, {_RANK.format(k='1', v='value')} AS y FROM sv), {_rss('r', '1')}, {_rss('f', 'grp')},
+n AS (SELECT count(*) AS n, count(DISTINCT grp) AS g FROM rk), t AS (SELECT n, n - g - 2 AS df2, g - 1 AS df1, ((r.rss - f.rss) / (g - 1)) / (f.rss / (n - g - 2)) AS fs FROM n, r, f),
+x AS (SELECT *, df2 / (df2 + df1 * fs) AS x FROM t)
+SELECT 'all' AS population, CAST(n AS BIGINT) AS n, CAST(df2 AS BIGINT) AS residual_df, round(fs, 5) AS "F_group", round(pow(x, df2 / 2.0) * (1 + df2 / 2.0 * (1 - x)), 6) AS p_group_adjusted, 'fitted' AS status, 'age,sex' AS covariates FROM x
 """)
 def _(spark, sf):
     s = supplier_values(spark, sf)
-    d = diagnostics.threshold_drift(s.select("sample_id", F.lit("price").alias("marker"), F.col("value").alias("threshold"), F.lit("valley").alias("source")), s.select("sample_id", "group"))
-    return d.select("marker", "n_samples", "n_groups", F.round("median_gap_between_groups", 3).alias("gap"), F.round("typical_within_group_sd", 3).alias("spread"))
+    a = compositional.rank_ancova(s.select("sample_id", F.lit("all").alias("population"), F.col("value").alias("pct_of_cd45_pos")), _covariates(s), s.select("sample_id", "group"), ["age", "sex"])
+    return a.select("population", "n", "residual_df", F.round("F_group", 5).alias("F_group"), r6("p_group_adjusted"), "status", "covariates")
 
 
-@query("marker_state_stats")
+# ---------------------------------------------------------------- diagnostics
+_DRIFT = f"""{SUPPLIER_SQL}, th AS (SELECT grp, sample_id, unnest(['price', 'qty']) AS marker, unnest([value, qty + CASE WHEN grp = 'ASIA' THEN 2 ELSE 0 END]) AS value, CASE WHEN sample_id % 3 = 0 THEN 'control_q995' ELSE 'valley' END AS source FROM sv)"""
+
+
+@query("threshold_drift", f"""
+WITH {_DRIFT}, {rank_sum_sql('th', 'marker')}, g AS (SELECT marker, grp, quantile_cont(value, 0.5) AS med, stddev_samp(value) AS sd, count(*) AS n FROM th GROUP BY 1, 2),
+h AS (SELECT marker, max(med) - min(med) AS gap, quantile_cont(sd, 0.5) AS within_sd, sum(n) AS n, count(*) AS k FROM g GROUP BY 1), sc AS (SELECT marker, arg_max(source, c) AS dominant_source FROM (SELECT marker, source, count(*) AS c FROM th GROUP BY 1, 2) GROUP BY 1),
+p AS (SELECT marker, {p_chi4_sql('h')} AS p FROM kw), b AS ({bh_sql('p', 'p')})
+SELECT marker, CAST(h.n AS BIGINT) AS n_samples, h.k AS n_groups, round(gap, 3) AS gap, round(within_sd, 3) AS spread, round_even(gap / within_sd, 2) AS gap_over_sd, round(p, 6) AS p_value, round(p_adj_BH, 6) AS "p_adj_BH", dominant_source,
+       CASE WHEN p_adj_BH < 0.05 AND round_even(gap / within_sd, 2) >= 1 THEN 'FLAGGED' WHEN p < 0.05 THEN 'watch' ELSE '' END AS drift_flag
+FROM h JOIN b USING (marker) JOIN sc USING (marker)
+""")
+def _(spark, sf):
+    s = supplier_values(spark, sf)
+    moved = F.col("qty") + F.when(F.col("group") == "ASIA", 2).otherwise(0)
+    t = s.select("sample_id", F.explode(F.array(F.struct(F.lit("price").alias("marker"), F.col("value").alias("threshold")), F.struct(F.lit("qty").alias("marker"), moved.alias("threshold")))).alias("r"), F.when(F.col("sample_id") % 3 == 0, "control_q995").otherwise("valley").alias("source"))
+    d = diagnostics.threshold_drift(t.select("sample_id", "r.marker", "r.threshold", "source"), s.select("sample_id", "group"))
+    return d.select("marker", "n_samples", "n_groups", F.round("median_gap_between_groups", 3).alias("gap"), F.round("typical_within_group_sd", 3).alias("spread"), "gap_over_sd", r6("p_value"), r6("p_adj_BH"), "dominant_source", "drift_flag")
+
+
+@query("marker_state_stats", f"""
+WITH {_SCORED}, {_MFI}, {_STATE}, {rank_sum_sql('ms', 'population, marker, measure', 'grp', 'value', 'measure')},
+cc AS (SELECT population, marker, measure, grp, CAST(sum(n_cells) AS BIGINT) AS cells FROM ms GROUP BY ALL)
+SELECT rs.population, rs.marker, rs.measure, reference, comparison, CAST(n1 AS BIGINT) AS n_reference, CAST(n2 AS BIGINT) AS n_comparison, a.cells AS cells_reference, b.cells AS cells_comparison, round(median_comparison - median_reference, 5) AS delta_median, round(delta, 6) AS cliffs_delta,
+       round(p_value, 6) AS p_value, round(p_adj_BH, 6) AS "p_adj_BH", CASE WHEN kw.k > 2 AND kw.least_n >= 3 THEN round({p_chi4_sql('h')}, 6) END AS p_omnibus_kruskal
+FROM rs JOIN kw ON kw.population = rs.population AND kw.marker = rs.marker AND kw.measure = rs.measure
+JOIN cc a ON a.population = rs.population AND a.marker = rs.marker AND a.measure = rs.measure AND a.grp = reference JOIN cc b ON b.population = rs.population AND b.marker = rs.marker AND b.measure = rs.measure AND b.grp = comparison
+""")
 def _(spark, sf):
     from gatefold.operators import populations
 
     s, t = _scored(spark, sf)
-    m = populations.marker_summary(s, POPS, ["m2", "m3"], t)
-    return diagnostics.differential_state(m, cells(spark, sf).select("sample_id", F.col("grp").alias("group")).distinct())
+    m = cut(populations.marker_summary(s, POPS, ["m2", "m3"], t), "summary")
+    m = m.withColumns({"median_asinh": F.round("median_asinh", 6), "pct_positive": F.round("pct_positive", 6)})
+    g = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("sample_id"), F.col("r_name").alias("group"))
+    d = diagnostics.differential_state(m, g)
+    return d.select("population", "marker", "measure", "reference", "comparison", "n_reference", "n_comparison", "cells_reference", "cells_comparison", F.round("delta_median", 5).alias("delta_median"), *[r6(c) for c in ("cliffs_delta", "p_value", "p_adj_BH", "p_omnibus_kruskal")])
 
 
 @query("subcluster_shifts", f"""
@@ -204,15 +336,16 @@ WITH c AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, label % 2 AS popul
 occ AS (SELECT population, sub, g, 100.0 * count(*) / sum(count(*)) OVER (PARTITION BY population, g) AS occ FROM c GROUP BY 1, 2, 3),
 s AS (SELECT population, sub, g AS study, FALSE AS is_ref, e0 FROM c WHERE g <> 'r' UNION ALL SELECT population, sub, o.study, TRUE, e0 FROM c, (SELECT unnest(['s', 't']) AS study) o WHERE g = 'r'),
 k AS (SELECT *, {_RANK.format(k='population, sub, study', v='e0')} AS rk FROM s),
-a AS (SELECT population, sub, study, sum(is_ref::INT) AS n1, sum((NOT is_ref)::INT) AS n2, sum(CASE WHEN NOT is_ref THEN rk END) AS r2 FROM k GROUP BY 1, 2, 3 HAVING sum(is_ref::INT) >= 20 AND sum((NOT is_ref)::INT) >= 20)
-SELECT CAST(a.population AS INTEGER) AS population, CAST(a.sub AS INTEGER) AS subcluster, a.study, CAST(n1 AS BIGINT) AS n_reference, CAST(n2 AS BIGINT) AS n_study, round_even(r.occ, 3) AS occupancy_pct_reference, round_even(x.occ, 3) AS occupancy_pct_study
+a AS (SELECT population, sub, study, sum(is_ref::INT) AS n1, sum((NOT is_ref)::INT) AS n2, sum(CASE WHEN NOT is_ref THEN rk END) AS r2, quantile_cont(CASE WHEN is_ref THEN e0 END, 0.5) AS m1, quantile_cont(CASE WHEN NOT is_ref THEN e0 END, 0.5) AS m2 FROM k GROUP BY 1, 2, 3 HAVING sum(is_ref::INT) >= 20 AND sum((NOT is_ref)::INT) >= 20)
+SELECT CAST(a.population AS INTEGER) AS population, CAST(a.sub AS INTEGER) AS subcluster, a.study, CAST(n1 AS BIGINT) AS n_reference, CAST(n2 AS BIGINT) AS n_study, round_even(r.occ, 3) AS occupancy_pct_reference, round_even(x.occ, 3) AS occupancy_pct_study,
+       round_even(m2 - m1, 4) AS median_delta, round_even(2 * (r2 - n2 * (n2 + 1) / 2.0) / (n1 * n2) - 1, 4) AS cliffs_delta
 FROM a JOIN occ r ON r.population = a.population AND r.sub = a.sub AND r.g = 'r' JOIN occ x ON x.population = a.population AND x.sub = a.sub AND x.g = a.study
 """)
 def _(spark, sf):
     e = embedding_columns(spark, sf, 1)
     c = e.select("e0", (F.col("label") % 2).alias("population_label"), F.when(F.col("label") < 5, 1).otherwise(2).alias("subcluster"), F.when(F.col("vec_id") % 3 == 0, "r").when(F.col("vec_id") % 3 == 1, "s").otherwise("t").alias("g"))
     s = diagnostics.subcluster_shifts(c, ["e0"], "g", "r")
-    return s.select("population", "subcluster", "study", "n_reference", "n_study", "occupancy_pct_reference", "occupancy_pct_study")
+    return s.select("population", "subcluster", "study", "n_reference", "n_study", "occupancy_pct_reference", "occupancy_pct_study", "median_delta", "cliffs_delta")
 
 
 def _points(spark, sf):
@@ -220,13 +353,13 @@ def _points(spark, sf):
 
 
 @query("lisi_scores", """
-WITH p AS (SELECT vec_id, label, list_transform(embedding[1:4], lambda v: round(CAST(v AS DOUBLE), 4)) AS x FROM embeddings WHERE vec_id < 400),
+WITH p AS (SELECT vec_id, label, list_transform(embedding[1:4], lambda v: round(CAST(v AS DOUBLE), 4)) AS x FROM embeddings),
 d AS (SELECT a.vec_id, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY pow(a.x[1] - b.x[1], 2) + pow(a.x[2] - b.x[2], 2) + pow(a.x[3] - b.x[3], 2) + pow(a.x[4] - b.x[4], 2), b.vec_id) AS r FROM p a JOIN p b ON a.vec_id <> b.vec_id),
 c AS (SELECT vec_id, label, CAST(count(*) AS DOUBLE) AS c FROM d WHERE r <= 30 GROUP BY 1, 2)
 SELECT vec_id, round(sum(c) * sum(c) / sum(c * c), 6) AS lisi FROM c GROUP BY 1
 """)
 def _(spark, sf):
-    p = _points(spark, sf).filter("vec_id < 400")  # as its SQL
+    p = _points(spark, sf)
     return diagnostics.lisi(diagnostics.neighbours(p, "vec_id", "xy", 30), p, "vec_id", "label").select("vec_id", r6("lisi"))
 
 
