@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,13 @@ from pyspark.sql import DataFrame
 def cut(df: DataFrame, tag: str = "table") -> DataFrame:
     """Write a per-sample table and read it back, so that plans built on it stay small and a lost executor replays nothing.
 
-    The folder is spark.checkpoint.dir of the session; one of our own is set only where there is none.
+    The folder is spark.checkpoint.dir of the session; a local session that has none gets one of its own.
     """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="gatefold-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/gatefold/{tag}-{uuid.uuid4().hex}"

@@ -1,8 +1,7 @@
 """The gate chain all -> leukocytes -> single cells -> live -> CD45+, its counts and the staining verdict.
 
-Bounds are small per-sample tables; events meet them by a join on the sample and stay one narrow,
-generated stage.  Each bound is measured inside the gate before it, so a chain of g gates reads the
-events g times and never moves them.
+Bounds are small per-sample tables.  Each is measured inside the gate before it, on a table of the chain's
+channels that is written once; events meet all bounds in one join on the sample and are never moved for a gate.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite, log10_floor
+from gatefold.functions.quantiles import quantiles
 from gatefold.functions.storage import cut
 from gatefold.operators.thresholds import resolve
 from gatefold.operators.valley import SCATTER, Valley, density_valley
@@ -24,20 +24,21 @@ GATES = ("all_events", "leukocytes", "single_cells", "live_cells", "cd45_pos")
 def scatter_bounds(df: DataFrame, sample: str, fsc: str, ssc: str, settings: Valley = SCATTER, fallback_q: float = 0.60, fsc_hi_q: float = 0.999, ssc_q: tuple[float, float] = (0.005, 0.995)) -> DataFrame:
     """sample, fsc_lo, fsc_hi, ssc_lo, ssc_hi on log10 scale, and whether fsc_lo is a fallback."""
     e = df.select(F.col(sample).alias("_s"), log10_floor(fsc).alias("_f"), log10_floor(ssc).alias("_y"))
-    cut = density_valley(e, ["_s"], "_f", settings).select("_s", "cut")
-    q = e.filter(finite("_f")).groupBy("_s").agg(F.percentile("_f", F.array(F.lit(fallback_q), F.lit(fsc_hi_q))).alias("q"))
-    x = q.join(cut, "_s", "left").select("_s", F.coalesce("cut", F.col("q")[0]).alias("fsc_lo"), F.col("q")[1].alias("fsc_hi"), F.col("cut").isNull().alias("fsc_fallback"))
-    inside = e.join(x, "_s").filter((F.col("_f") > F.col("fsc_lo")) & (F.col("_f") < F.col("fsc_hi")))
-    y = inside.groupBy("_s").agg(F.percentile("_y", F.array(*map(F.lit, ssc_q))).alias("b"))
-    return x.join(y, "_s", "left").select(F.col("_s").alias(sample), "fsc_lo", "fsc_hi", F.col("b")[0].alias("ssc_lo"), F.col("b")[1].alias("ssc_hi"), "fsc_fallback")
+    v = density_valley(e, ["_s"], "_f", settings, (fallback_q, fsc_hi_q))
+    x = cut(v.select("_s", F.coalesce("cut", "q0").alias("fsc_lo"), F.col("q1").alias("fsc_hi"), F.col("cut").isNull().alias("fsc_fallback")), "scatter")
+    inside = e.join(x, "_s").filter((F.col("_f") > F.col("fsc_lo")) & (F.col("_f") < F.col("fsc_hi"))).select("_s", "_y")
+    y = quantiles(inside, ["_s"], "_y", list(ssc_q))
+    return x.join(y, "_s", "left").select(F.col("_s").alias(sample), "fsc_lo", "fsc_hi", F.col("q")[0].alias("ssc_lo"), F.col("q")[1].alias("ssc_hi"), "fsc_fallback")
 
 
 def singlet_bounds(df: DataFrame, sample: str, ratio: Column, k: float = 3.0) -> DataFrame:
     """sample, median, mad, lo, hi: median -/+ k scaled MADs of the ratio (its sd where the MAD is 0)."""
     e = df.select(F.col(sample).alias("_s"), ratio.alias("_r")).filter(finite("_r"))
-    med = e.groupBy("_s").agg(F.percentile("_r", F.lit(0.5)).alias("median"), F.stddev_samp("_r").alias("_sd"))
-    mad = e.join(med, "_s").groupBy("_s").agg((1.4826 * F.percentile(F.abs(F.col("_r") - F.col("median")), F.lit(0.5))).alias("_mad"))
-    b = med.join(mad, "_s").withColumn("mad", F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(F.col("_sd")))
+    med = cut(quantiles(e, ["_s"], "_r", [0.5]).select("_s", F.col("q")[0].alias("median")), "median")
+    away = e.join(med, "_s").select("_s", F.abs(F.col("_r") - F.col("median")).alias("_d"))
+    mad = quantiles(away, ["_s"], "_d", [0.5]).select("_s", (1.4826 * F.col("q")[0]).alias("_mad"))
+    sd = e.groupBy("_s").agg(F.stddev_samp("_r").alias("_sd"))
+    b = med.join(mad, "_s").join(sd, "_s").withColumn("mad", F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(F.col("_sd")))
     return b.select(F.col("_s").alias(sample), "median", "mad", (F.col("median") - k * F.col("mad")).alias("lo"), (F.col("median") + k * F.col("mad")).alias("hi"))
 
 
@@ -58,32 +59,43 @@ def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A",
     df holds scatter channels raw and markers transformed; config: (sample, marker, cfg_value); control:
     (marker, value) of a reference sample.  A channel that is absent passes its gate.
     """
-    s = cut(scatter_bounds(df, sample, fsc_a, ssc_a))
-    out = df.join(s, sample)
+    # what bounds are measured on: the channels of the chain, written once; df itself is read for the result alone
+    have = [c for c in dict.fromkeys([fsc_a, ssc_a, fsc_h, viability, cd45]) if c and c in df.columns]
+    d = cut(df.select(sample, *[col(c) for c in have]), "channels")
+    steps: list[tuple[str, str, DataFrame | None, Column]] = []
     lf, ls = log10_floor(fsc_a), log10_floor(ssc_a)
-    leuko = (lf > F.col("fsc_lo")) & (lf < F.col("fsc_hi")) & (ls > F.col("ssc_lo")) & (ls < F.col("ssc_hi"))
-    out = out.withColumn("leukocytes", F.coalesce(leuko, F.lit(False))).drop("fsc_lo", "fsc_hi", "ssc_lo", "ssc_hi", "fsc_fallback")
-    if fsc_h and fsc_h in df.columns:
-        r = height_ratio(fsc_h, fsc_a)
-        b = cut(singlet_bounds(out.filter("leukocytes"), sample, r, singlet_k).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
-        out = out.join(b, sample, "left").withColumn("single_cells", F.col("leukocytes") & F.coalesce((r > F.col("_lo")) & (r < F.col("_hi")), F.lit(False))).drop("_lo", "_hi")
+    s = cut(scatter_bounds(d, sample, fsc_a, ssc_a).drop("fsc_fallback"), "scatter")
+    steps.append(("leukocytes", "", s, (lf > F.col("fsc_lo")) & (lf < F.col("fsc_hi")) & (ls > F.col("ssc_lo")) & (ls < F.col("ssc_hi"))))
+    inside = d.join(s, sample).filter(steps[0][3]).drop("fsc_lo", "fsc_hi", "ssc_lo", "ssc_hi")
+    r = height_ratio(fsc_h, fsc_a) if fsc_h in have else None
+    if r is not None:
+        b = cut(singlet_bounds(inside, sample, r, singlet_k).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")), "singlets")
+        steps.append(("single_cells", "leukocytes", b, (r > F.col("_lo")) & (r < F.col("_hi"))))
+        inside = inside.join(b, sample).filter(steps[-1][3]).drop("_lo", "_hi")
     else:
-        out = out.withColumn("single_cells", F.col("leukocytes"))
+        steps.append(("single_cells", "leukocytes", None, F.lit(True)))
     used = None
     for gate, parent, marker, above in (("live_cells", "single_cells", viability, False), ("cd45_pos", "live_cells", cd45, True)):
-        if not marker or marker not in df.columns:
-            out = out.withColumn(gate, F.col(parent))
+        if marker not in have:
+            steps.append((gate, parent, None, F.lit(True)))
             continue
-        pick = lambda d: None if d is None else d.filter(F.col("marker") == marker)  # noqa: B023, E731
-        cfg = pick(config)
-        ctl = pick(control)
-        x = out.filter(parent).select(sample, col(marker).alias("value"))
-        t = cut(resolve(x, [sample], "value", cfg, ctl))
+        pick = lambda t: None if t is None else t.filter(F.col("marker") == marker)  # noqa: B023, E731
+        t = cut(resolve(inside.select(sample, col(marker).alias("value")), [sample], "value", pick(config), pick(control)), "thresholds")
         used = t.withColumn("marker", F.lit(marker)) if used is None else used.unionByName(t.withColumn("marker", F.lit(marker)))
-        b = t.select(sample, F.col("threshold").alias("_t"))
-        hit = col(marker) > F.col("_t") if above else col(marker) < F.col("_t")
-        out = out.join(b, sample, "left").withColumn(gate, F.col(parent) & F.coalesce(hit, F.lit(False))).drop("_t")
-    return out.withColumn("all_events", F.lit(True)), used
+        limit = f"_{gate}"
+        hit = col(marker) > F.col(limit) if above else col(marker) < F.col(limit)
+        b = t.select(sample, F.col("threshold").alias(limit))
+        steps.append((gate, parent, b, hit))
+        inside = inside.join(b, sample).filter(hit).drop(limit)
+    # one row of bounds a sample, joined once
+    bounds = None
+    for _, _, b, _ in steps:
+        if b is not None:
+            bounds = b if bounds is None else bounds.join(b, sample, "left")
+    out = df.join(bounds, sample).withColumn("all_events", F.lit(True))
+    for gate, parent, _, hit in steps:
+        out = out.withColumn(gate, F.coalesce(hit, F.lit(False)) & (F.col(parent) if parent else F.lit(True)))
+    return out.drop(*[c for c in bounds.columns if c != sample]), used
 
 
 def gate_counts(gated: DataFrame, sample: str = "sample_id", gates: tuple[str, ...] = GATES) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
+from gatefold.functions.quantiles import quantiles
 from gatefold.operators.valley import Valley, density_valley
 
 
@@ -16,17 +17,14 @@ def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame |
     the control's quantile (value, and any of the keys; over min_control values), the group's own fallback quantile.
     """
     x = col(value)
-    valley = density_valley(values, keys, value, settings).select(*keys, "cut")
-    own = values.filter(finite(x)).groupBy(*keys).agg(F.percentile(x, F.lit(fallback_q)).alias("fallback"))
-    t = own.join(valley, keys, "left")
+    t = density_valley(values, keys, value, settings, (fallback_q,)).select(*keys, "cut", F.col("q0").alias("fallback"))
     if config is not None:
         t = t.join(config.select(*keys, "cfg_value"), keys, "left")
     else:
         t = t.withColumn("cfg_value", F.lit(None).cast("double"))
     if control is not None:
         own_keys = [k for k in keys if k in control.columns]
-        c = control.filter(finite(x)).groupBy(*own_keys).agg(F.percentile(x, F.lit(control_q)).alias("ctrl"), F.count(F.lit(1)).alias("_n"))
-        c = c.filter(F.col("_n") > min_control).drop("_n")
+        c = quantiles(control, own_keys, x, [control_q]).filter(F.col("n") > min_control).select(*own_keys, F.col("q")[0].alias("ctrl"))
         # without keys of its own the control is one row for all groups
         t = t.join(c, own_keys, "left") if own_keys else t.join(F.broadcast(c), how="left")
     else:

@@ -1,7 +1,7 @@
 """Density valley: the cut between two modes of a marker, for every group at once.
 
-Events are touched twice, by built-in aggregates: for the range of each group and for its histogram, both
-with partial aggregation.  From then on a group is one row that holds its histogram as an array.  The
+Events are touched by built-in aggregates alone: for the range of each group (two passes, see
+functions/quantiles) and for its histogram, all with partial aggregation.  From then on a group is one row that holds its histogram as an array.  The
 search over pairs of peaks runs on those arrays, Arrow-batched in numpy: as nested array functions it
 is interpreted and took minutes for five groups with many peaks.
 """
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
+from gatefold.functions.quantiles import quantiles
+from gatefold.functions.storage import cut
 
 
 @dataclass(frozen=True)
@@ -43,23 +45,22 @@ def setting_grid(base: Valley = Valley()) -> list[Valley]:
     return [replace(base, bins=b, smooth=s, min_rel_depth=d) for b in (160, 220, 300) for s in (3, 4, 6) for d in (0.22, 0.30, 0.38)]
 
 
-def value_ranges(df: DataFrame, keys: list[str], value: str, s: Valley) -> DataFrame:
-    """keys, n and the quantile range lo .. hi of the finite values."""
-    x = col(value)
-    r = df.filter(finite(x)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile(x, F.array(F.lit(s.low_q), F.lit(s.high_q))).alias("_q"))
+def value_ranges(df: DataFrame, keys: list[str], value: str, s: Valley, extra: tuple[float, ...] = ()) -> DataFrame:
+    """keys, n and the quantile range lo .. hi of the finite values; q0, q1, ...: extra quantiles of the same pass."""
+    r = quantiles(df, keys, value, [s.low_q, s.high_q, *extra])
     # rounding keeps the last bit of an interpolation from moving a value to the next bin
-    return r.select(*keys, "n", F.round(F.col("_q")[0], 9).alias("lo"), F.round(F.col("_q")[1], 9).alias("hi"))
+    return r.select(*keys, "n", F.round(F.col("q")[0], 9).alias("lo"), F.round(F.col("q")[1], 9).alias("hi"), *[F.col("q")[2 + i].alias(f"q{i}") for i in range(len(extra))])
 
 
-def histogram(df: DataFrame, keys: list[str], value: str, s: Valley) -> DataFrame:
+def histogram(df: DataFrame, keys: list[str], value: str, s: Valley, extra: tuple[float, ...] = ()) -> DataFrame:
     """keys, n, lo, hi, w and counts: an array of right-closed equal bins (the first one closed on both sides)."""
     x = col(value)
-    ranges = value_ranges(df, keys, value, s).withColumn("w", (F.col("hi") - F.col("lo")) / s.bins)
+    ranges = cut(value_ranges(df, keys, value, s, extra), "ranges").withColumn("w", (F.col("hi") - F.col("lo")) / s.bins)
     bin_ = F.greatest(F.lit(1), F.least(F.lit(s.bins), F.ceil((x - F.col("lo")) / F.col("w")).cast("int")))
     binned = df.filter(finite(x)).select(*keys, x.alias(value)).join(ranges.filter("n >= " + str(s.min_n) + " and hi > lo"), keys).filter((x >= F.col("lo")) & (x <= F.col("hi")))
     per = binned.groupBy(*keys, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("c")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(1), F.lit(s.bins)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0)))
-    return ranges.join(per, keys, "left").select(*keys, "n", "lo", "hi", "w", F.when(F.col("_m").isNotNull(), dense).alias("counts"))
+    return ranges.join(per, keys, "left").select(*keys, "n", "lo", "hi", "w", *[f"q{i}" for i in range(len(extra))], F.when(F.col("_m").isNotNull(), dense).alias("counts"))
 
 
 def smoothed(counts, bins: int, k: int):
@@ -101,9 +102,9 @@ def search(counts, s: Valley) -> tuple[int | None, float | None, int]:
     return (None, None, len(peaks)) if best is None else (best[1], best[2], len(peaks))
 
 
-def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valley()) -> DataFrame:
-    """keys, n, cut, rel_depth, n_peaks and reason (why there is no cut), one row a group of df."""
-    h = histogram(df, keys, value, s)
+def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valley(), extra: tuple[float, ...] = ()) -> DataFrame:
+    """keys, n, cut, rel_depth, n_peaks and reason (why there is no cut), one row a group of df; q0, ...: extra quantiles."""
+    h = histogram(df, keys, value, s, extra)
 
     @F.pandas_udf("bin int, rel double, peaks long")
     def find(counts: pd.Series) -> pd.DataFrame:
@@ -115,8 +116,8 @@ def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valle
         F.when(F.col("n") < s.min_n, f"fewer than {s.min_n} finite values").when(~(F.col("hi") > F.col("lo")), "degenerate range")
         .when(F.col("_v.peaks") < 2, "unimodal: fewer than two peaks").when(F.col("_v.bin").isNull(), "no peak pair separates enough")
     )
-    cut = F.col("lo") + (F.col("_v.bin") + 0.5) * F.col("w")
-    return h.select(*keys, "n", cut.alias("cut"), F.col("_v.rel").alias("rel_depth"), F.col("_v.peaks").alias("n_peaks"), reason.alias("reason"))
+    at = F.col("lo") + (F.col("_v.bin") + 0.5) * F.col("w")
+    return h.select(*keys, "n", at.alias("cut"), F.col("_v.rel").alias("rel_depth"), F.col("_v.peaks").alias("n_peaks"), reason.alias("reason"), *[f"q{i}" for i in range(len(extra))])
 
 
 def valley_numpy(x, s: Valley = Valley()) -> tuple[float | None, float | None]:
