@@ -18,8 +18,14 @@ from pyspark.sql import functions as F
 HOT_KEYS = 4096
 
 
+#: Bytes of an Arrow batch, by default 64 MB for each task on either side of the socket.
+BATCH_BYTES, BATCH_CONF, BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package where neither PYTHONPATH nor the working folder has it."""
+    """Let Python workers import this package where neither PYTHONPATH nor the working folder has it, and get texts in small batches."""
+    if spark.conf.get(BATCH_CONF, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     root = Path(__file__).resolve().parents[2]
     paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
