@@ -170,7 +170,9 @@ def choose_k(cells: DataFrame, features: list[str], group: str, reference: str,
 
     ref = cells.filter((col(group) == reference) & col(population).isNotNull())
     w = Window.partitionBy(population).orderBy(draw_key(seed, key), key)
-    ref = ref.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(population))).withColumn("_r", F.row_number().over(w)).filter((F.col("_n") >= min_ref) & (F.col("_r") <= sample_n))
+    n = ref.groupBy(population).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_ref)
+    # a limit on row_number is a top-k inside each task before the shuffle
+    ref = ref.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample_n).join(n, population)
 
     def fit(pdf):
         import pandas as pd
@@ -192,8 +194,8 @@ def subclusters(cells: DataFrame, features: list[str], group: str, reference: st
     from gatefold.operators.sampling import draw_key
 
     ref = cells.filter((col(group) == reference) & col(population).isNotNull())
-    w = Window.partitionBy(population)
-    ref = ref.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_r", F.row_number().over(w.orderBy(draw_key(seed, key), key))).filter((F.col("_n") >= min_ref) & (F.col("_r") <= sample_n))
+    n = ref.groupBy(population).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_ref)
+    ref = ref.withColumn("_r", F.row_number().over(Window.partitionBy(population).orderBy(draw_key(seed, key), key))).filter(F.col("_r") <= sample_n).join(n, population)
 
     def fit(pdf):
         import pandas as pd

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
+from gatefold.functions.quantiles import quantiles
 from gatefold.functions.tails import p_chi2, p_normal
 from gatefold.operators.compositional import cramers_v, cramers_verdict
-from gatefold.operators.ranks import against_reference, bh_adjust, kruskal, rank_sum
+from gatefold.operators.ranks import against_reference, bh_adjust, kruskal, rank_sum, rank_sum_counts
 from gatefold.operators.transforms import align_quantiles
 
 
@@ -56,14 +57,17 @@ def differential_state(summary: DataFrame, groups: DataFrame, measures: tuple[st
 def subcluster_shifts(cells: DataFrame, markers: list[str], group: str, reference: str, population: str = "population_label", sub: str = "subcluster", min_cells: int = 20) -> DataFrame:
     """Effect sizes of markers and occupancy by (population, subcluster, study).  No p-value: cells aren't replicates.
 
-    Cliff's delta uses the exact ranks of all cells.
+    Cliff's delta uses the exact ranks of all cells, from counts of their values.
     """
     d = cells.filter(col(group).isNotNull() & col(population).isNotNull() & col(sub).isNotNull()).select(F.col(population).alias("population"), F.col(sub).alias("subcluster"), F.col(group).alias("_g"), *markers)
     size = d.groupBy("population", "subcluster", "_g").agg(F.count(F.lit(1)).alias("n"))
     occ = size.withColumn("occ", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("population", "_g")))
     long = d.select("population", "subcluster", "_g", F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("x")) for m in markers])).alias("r")).select("population", "subcluster", "_g", "r.*")
     keys = ["population", "subcluster", "marker"]
-    t = rank_sum(against_reference(long, keys, "_g", "x", reference), keys, "x").filter((F.col("n_reference") >= min_cells) & (F.col("n_comparison") >= min_cells))
+    t = rank_sum_counts(long, keys, "_g", "x", reference).filter((F.col("n_reference") >= min_cells) & (F.col("n_comparison") >= min_cells))
+    med = quantiles(long, [*keys, "_g"], "x", [0.5])
+    of = lambda side: med.select(*keys, F.col("_g").alias(side), F.col("q")[0].alias(f"median_{side}"))
+    t = t.join(of("reference"), [*keys, "reference"]).join(of("comparison"), [*keys, "comparison"])
     side = lambda name: occ.select("population", "subcluster", F.col("_g").alias(name), F.col("occ").alias(f"occupancy_pct_{name}"))
     t = t.join(side("reference"), ["population", "subcluster", "reference"]).join(side("comparison"), ["population", "subcluster", "comparison"])
     return t.select(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import all_of, any_of, col, finite
+from gatefold.functions.quantiles import quantiles
 from gatefold.operators.valley import INTERMEDIATE, Valley, density_valley
 
 Spec = dict[str, dict]
@@ -78,12 +79,13 @@ def intermediate_bounds(events: DataFrame, thresholds: DataFrame, spec: Spec, sa
     return density_valley(up, [sample, "marker"], "x", settings).filter(F.col("cut").isNotNull()).select(sample, "marker", F.col("cut").alias("threshold"))
 
 
-def _test(m: str, d: str) -> Column:
+def _test(m: str, d: str, at: dict[str, Column] | None = None) -> Column:
+    limit = (at or {}).get(m, col(thr(m)))
     if d == ABOVE:
-        return col(m) > col(thr(m))
+        return col(m) > limit
     if d == BELOW:
-        return col(m) < col(thr(m))
-    return (col(m) > col(thr(m))) & (col(m) < col(upper(m)))
+        return col(m) < limit
+    return (col(m) > limit) & (col(m) < col(upper(m)))
 
 
 def _usable(m: str, d: str, have: set[str]) -> Column:
@@ -100,14 +102,14 @@ def availability(spec: dict, have: set[str]) -> Column:
     return all_of(ok)
 
 
-def membership(spec: dict, have: set[str]) -> Column:
-    """Null where the population can't be scored, else whether the event belongs to it."""
+def membership(spec: dict, have: set[str], at: dict[str, Column] | None = None) -> Column:
+    """Null where the population can't be scored, else whether the event belongs to it; at: thresholds in place of a marker's own."""
     direct, some = requirements(spec)
     if any(m not in have for m in direct) or (some and not any(m in have for m in some)):
         return F.lit(None).cast("boolean")
-    parts = [F.coalesce(_test(m, d), F.lit(False)) for m, d in direct.items()]
+    parts = [F.coalesce(_test(m, d, at), F.lit(False)) for m, d in direct.items()]
     if some:
-        parts.append(any_of([F.coalesce(_test(m, d), F.lit(False)) for m, d in some.items() if m in have]))
+        parts.append(any_of([F.coalesce(_test(m, d, at), F.lit(False)) for m, d in some.items() if m in have]))
     return F.when(availability(spec, have), all_of(parts))
 
 
@@ -155,16 +157,17 @@ def frequencies(scored: DataFrame, populations: list[str], parent: str, sample:
 def marker_summary(scored: DataFrame, populations: list[str], markers: list[str], thresholds: DataFrame, sample: str = "sample_id", min_cells: int = 10, prefix: str = "is_") -> DataFrame:
     """sample, population, n_cells, marker, median_asinh and pct_positive of populations of at least min_cells.
 
-    Events are unfolded only into the populations they belong to and then into markers; medians are
-    mergeable aggregates, so rows combine before the shuffle.
+    Events are unfolded only into the populations they belong to and then into markers; counts and medians
+    are aggregates whose rows combine before the shuffle.
     """
     member = F.filter(F.array(*[F.when(F.coalesce(col(prefix + p), F.lit(False)), F.lit(p)) for p in populations]), lambda p: p.isNotNull())
     values = F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("x")) for m in markers])
     long = scored.select(sample, F.explode(member).alias("population"), values.alias("v")).select(sample, "population", F.explode("v").alias("r")).select(sample, "population", "r.*")
     t = thresholds.select(sample, "marker", "threshold")
     g = long.join(t, [sample, "marker"], "left").filter(finite("x")).groupBy(sample, "population", "marker")
-    out = g.agg(F.count(F.lit(1)).alias("n_cells"), F.percentile("x", F.lit(0.5)).alias("median_asinh"), (100.0 * F.avg((F.col("x") > F.col("threshold")).cast("double"))).alias("pct_positive"))
-    return out.filter(F.col("n_cells") >= min_cells)
+    out = g.agg(F.count(F.lit(1)).alias("n_cells"), (100.0 * F.avg((F.col("x") > F.col("threshold")).cast("double"))).alias("pct_positive"))
+    med = quantiles(long, [sample, "population", "marker"], "x", [0.5]).select(sample, "population", "marker", F.col("q")[0].alias("median_asinh"))
+    return out.filter(F.col("n_cells") >= min_cells).join(med, [sample, "population", "marker"]).select(sample, "population", "marker", "n_cells", "median_asinh", "pct_positive")
 
 
 def block_populations(block: dict, spec: Spec, available: list[str]) -> list[str]:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
+from gatefold.functions.quantiles import order_bin
+from gatefold.functions.storage import cut
 from gatefold.functions.tails import p_chi2, p_normal, p_t
 
 
@@ -83,6 +85,38 @@ def rank_sum(sides: DataFrame, keys: list[str], value: str) -> DataFrame:
     return s.drop("_rr", "_rc", "ties").filter("n_reference > 0 and n_comparison > 0")
 
 
+def rank_sum_counts(df: DataFrame, keys: list[str], group: str, value: str, reference: str | None = None) -> DataFrame:
+    """rank_sum of tables whose groups may be as large as the data: ranks follow from counts of values.
+
+    Equal values are counted first, by group; the reference's counts, not its rows, meet every other group.  A
+    value's rank is what lies in lower bins of its key (a small window) plus what lies below it in its bin.
+    """
+    d = df.filter(finite(value) & col(group).isNotNull()).groupBy(*keys, F.col(group).alias("_g"), col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    first = df.filter(col(group).isNotNull()).agg(F.coalesce(F.max(F.when(col(group) == (reference or ""), col(group))), F.min(group)).alias("_ref"))
+    d = cut(d.join(F.broadcast(first)), "counts")  # one row
+    is_ref = F.col("_g") == F.col("_ref")
+    others = d.filter(~is_ref).select(*keys, "_ref", F.col("_g").alias("comparison")).distinct()
+    ref = d.filter(is_ref).select(*keys, "_ref", "_v", F.col("_c").alias("a"), F.lit(0).cast("long").alias("b")).join(others, [*keys, "_ref"])
+    both = ref.unionByName(d.filter(~is_ref).select(*keys, "_ref", "_v", F.lit(0).cast("long").alias("a"), F.col("_c").alias("b"), F.col("_g").alias("comparison")))
+    k = [*keys, "reference", "comparison"]
+    v = both.withColumnRenamed("_ref", "reference").groupBy(*k, "_v").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn("_b", order_bin(F.col("_v"))).withColumn("t", F.col("a") + F.col("b"))
+    v = cut(v, "values")
+    per = v.groupBy(*k, "_b").agg(F.sum("t").alias("_t"))
+    per = per.withColumn("_before", F.sum("_t").over(Window.partitionBy(*k).orderBy("_b")) - F.col("_t")).drop("_t")
+    v = v.join(per, [*k, "_b"])
+    t = F.col("t").cast("double")
+    rank = F.col("_before") + F.sum("t").over(Window.partitionBy(*k, "_b").orderBy("_v")) - t + (t + 1) / 2
+    v = v.withColumn("_r", rank)
+    s = v.groupBy(*k).agg(F.sum("a").alias("n_reference"), F.sum("b").alias("n_comparison"), F.sum(F.col("a") * F.col("_r")).alias("_rr"), F.sum(F.col("b") * F.col("_r")).alias("_rc"), F.sum(t * t * t - t).alias("ties"))
+    n1, n2 = F.col("n_reference").cast("double"), F.col("n_comparison").cast("double")
+    n = n1 + n2
+    w = F.col("_rr") - n1 * (n1 + 1) / 2
+    var = n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1)))
+    c = w - n1 * n2 / 2
+    s = s.withColumn("w", w).withColumn("z", F.when(var > 0, F.try_divide(c - F.signum(c) * 0.5, F.sqrt(var)))).withColumn("cliffs_delta", 2 * (F.col("_rc") - n2 * (n2 + 1) / 2) / (n1 * n2) - 1)
+    return s.drop("_rr", "_rc", "ties").filter("n_reference > 0 and n_comparison > 0")
+
+
 def kruskal(df: DataFrame, keys: list[str], group: str, value: str) -> DataFrame:
     """keys, n, n_groups, min_group, h and df of a tie-corrected Kruskal-Wallis test."""
     d = df.filter(finite(value) & col(group).isNotNull()).withColumn("_r", avg_rank(keys, value))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import asinh_scaled, col, finite, sinh_scaled
+from gatefold.functions.quantiles import order_statistics, quantiles
+from gatefold.functions.storage import cut
 
 
 # ---------------------------------------------------------------- logicle
@@ -134,7 +136,8 @@ def interpolate(x: Column, kx: Column, ky: Column, n: int | None = None) -> Colu
 def logicle_parameters(df: DataFrame, keys: list[str], value: str, m: float = 4.5, a: float = 0.0, neg_q: float = 0.05) -> DataFrame:
     """keys, w, t, m, a: automatic logicle parameters of each group from its maximum and its negative tail."""
     x = col(value)
-    got = df.filter(finite(x)).groupBy(*keys).agg(F.max(x).alias("top"), F.percentile(F.when(x < 0, x), F.lit(neg_q)).alias("r"))
+    got = df.filter(finite(x)).groupBy(*keys).agg(F.max(x).alias("top"))
+    got = got.join(quantiles(df.filter(x < 0), keys, x, [neg_q]).select(*keys, F.col("q")[0].alias("r")), keys, "left")
     t = F.when(F.col("top") > 0, F.col("top")).otherwise(262144.0)
     w = F.when(F.col("r") < 0, F.greatest(F.lit(0.0), F.least((m - F.log10(t / F.abs("r"))) / 2, F.lit(m / 2)))).otherwise(0.0)
     return got.select(*keys, w.alias("w"), t.alias("t"), F.lit(m).alias("m"), F.lit(a).alias("a"))
@@ -148,15 +151,12 @@ def cofactor_quartiles(df: DataFrame, keys: list[str], value: str, low: float =
     they are selected once by Spark, and a bisection needs no further pass over the data.
     """
     x = col(value)
-    cut = df.filter(finite(x)).groupBy(*keys).agg(F.percentile(x, F.array(F.lit(low), F.lit(high))).alias("_q"))
-    bg = df.filter(finite(x)).join(cut, keys).filter((x > F.col("_q")[0]) & (x < F.col("_q")[1]))
-    n = F.count(F.lit(1))
-    probe = lambda p, up: (F.ceil if up else F.floor)((F.col("n") - 1) * p)
-    sizes = bg.groupBy(*keys).agg(n.alias("n"))
-    pos = sizes.select(*keys, "n", *[probe(p, up).alias(f"_{p}_{up}".replace(".", "")) for p in (0.25, 0.75) for up in (False, True)])
-    ranked = bg.select(*keys, x.alias("_x")).withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_x")) - 1).join(pos, keys)
-    pick = lambda p, up: F.max(F.when(F.col("_r") == F.col(f"_{p}_{up}".replace(".", "")), F.col("_x")))
-    return ranked.groupBy(*keys).agg(F.max("n").alias("n"), pick(0.25, False).alias("q25_lo"), pick(0.25, True).alias("q25_hi"), pick(0.75, False).alias("q75_lo"), pick(0.75, True).alias("q75_hi"))
+    limits = cut(quantiles(df, keys, x, [low, high]).select(*keys, F.col("q").alias("_q")), "background")
+    bg = df.filter(finite(x)).join(limits, keys).filter((x > F.col("_q")[0]) & (x < F.col("_q")[1])).select(*keys, x.alias("_v"))
+    probe = lambda n, p, up: (F.ceil if up else F.floor)((n - 1) * p)
+    s = order_statistics(bg, keys, "_v", lambda n: F.array_distinct(F.array(*[probe(n, p, up) for p in (0.25, 0.75) for up in (False, True)])))
+    pick = lambda p, up: F.col("at")[probe(F.col("n"), p, up)]
+    return s.select(*keys, "n", pick(0.25, False).alias("q25_lo"), pick(0.25, True).alias("q25_hi"), pick(0.75, False).alias("q75_lo"), pick(0.75, True).alias("q75_hi"))
 
 
 def solve_cofactor(n: int, q25: tuple[float, float], q75: tuple[float, float], target: float = 0.5, lo: float = 1.0, hi: float = 5000.0, steps: int = 40) -> float | None:
@@ -185,11 +185,20 @@ def derive_cofactors(df: DataFrame, sample: str, marker: str, value: str, fallba
     return {s: float(np.median(v)) if v else fallback for s, v in by.items()}
 
 
-def pool_cofactor(by_sample: dict[str, float], max_samples: int = 8, warn_ratio: float = 2.0) -> tuple[float, bool]:
-    """One cofactor for a panel from at most max_samples evenly spaced samples, and whether they disagree."""
-    names = list(by_sample)
-    if len(names) > max_samples:
-        names = [names[i] for i in np.rint(np.linspace(0, len(names) - 1, max_samples)).astype(int)]
+def spaced(names: list, most: int) -> list:
+    """At most `most` of the names, evenly spaced in their order."""
+    return names if len(names) <= most else [names[i] for i in np.rint(np.linspace(0, len(names) - 1, most)).astype(int)]
+
+
+def pooled_logicle(df: DataFrame, order: list[str], sample: str = "sample_id", marker: str = "marker", value: str = "value", max_samples: int = 8, m: float = 4.5, a: float = 0.0) -> DataFrame:
+    """marker, w, t, m, a: logicle parameters of a panel, from all events of at most max_samples of its samples, evenly spaced in the given order."""
+    use = spaced(list(order), max_samples)
+    return logicle_parameters(df.filter(F.col(sample).isin(use)), [marker], value, m, a)
+
+
+def pool_cofactor(by_sample: dict[str, float], max_samples: int = 8, warn_ratio: float = 2.0, order: list[str] | None = None) -> tuple[float, bool]:
+    """One cofactor for a panel from at most max_samples samples, evenly spaced in the given order (by default that of their names), and whether they disagree."""
+    names = spaced([s for s in order if s in by_sample] if order else sorted(by_sample), max_samples)
     v = [by_sample[s] for s in names]
     return float(np.median(v)), max(v) / min(v) > warn_ratio
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
-from gatefold.operators.populations import requirements, score
+from gatefold.operators.populations import membership, requirements, upper, wide_thresholds
+from gatefold.operators.populations import thr as thr_name
 from gatefold.operators.sampling import draw_key
 from gatefold.operators.valley import setting_grid, valley_numpy
 
@@ -75,28 +76,22 @@ def thresholds(values: DataFrame, thr: DataFrame, key: str, sample: str = "sampl
 def frequency_uncertainty(events: DataFrame, thr: DataFrame, u: DataFrame, spec: dict, parent: str, sample: str = "sample_id") -> DataFrame:
     """sample, population, term, u_pct_points: half the spread of a frequency when one threshold moves by its uncertainty.
 
-    All displaced thresholds are counted in one pass: each population gets a column for every marker it
-    reads and either sign.
+    All displaced thresholds are counted in one pass over the events: each population is scored with every marker it
+    reads moved up and down, as columns of one aggregation.
     """
-    moved = thr.select(sample, "marker", "threshold").join(u.select(sample, "marker", "u_combined"), [sample, "marker"], "left")
-    markers = sorted({m for s in spec.values() for part in requirements(s) for m in part})
-    parts, names = [], []
-    n = events.groupBy(sample).agg(F.sum(F.coalesce(col(parent), F.lit(False)).cast("long")).alias("_n"))
-    for m in markers:
-        use = {p: s for p, s in spec.items() if any(m in part for part in requirements(s))}
-        counts = None
-        for sign in (-1, 1):
-            t = moved.withColumn("threshold", F.when((F.col("marker") == m) & finite("u_combined"), F.col("threshold") + sign * F.col("u_combined")).otherwise(F.col("threshold")))
-            c = score(events, t, use, parent, sample).groupBy(sample).agg(*[F.sum(col("is_" + p).cast("long")).alias(f"{i}_{sign}") for i, p in enumerate(use)])
-            counts = c if counts is None else counts.join(c, sample)
-        rows = F.array(*[F.struct(F.lit(p).alias("population"), (F.abs(F.col(f"`{i}_1`") - F.col(f"`{i}_-1`")) / 2.0).alias("half")) for i, p in enumerate(use)])
-        known = u.filter((F.col("marker") == m) & finite("u_combined")).select(sample)
-        parts.append(counts.join(known, sample).join(n, sample).select(sample, F.lit(m).alias("term"), "_n", F.explode(rows).alias("r")).select(sample, "term", F.col("r.population").alias("population"), (100.0 * F.col("r.half") / F.greatest("_n", F.lit(1))).alias("u_pct_points")))
-        names.append(m)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    have = sorted(m for m in {m for s in spec.values() for part in requirements(s) for m in part} if m in events.columns)
+    wide = wide_thresholds(thr, have, sample).join(wide_thresholds(u.withColumn("threshold", F.col("u_combined")), have, sample, name=lambda m: f"u_{m}"), sample, "left")
+    wide = wide.withColumns({upper(m): F.lit(None).cast("double") for m in have})
+    d = events.join(wide, sample, "left")
+    inside = F.coalesce(col(parent), F.lit(False))
+    use = [(p, m) for p, s in spec.items() for m in have if any(m in part for part in requirements(s))]
+    count = lambda p, m, sign: F.sum((inside & membership(spec[p], set(have), {m: col(thr_name(m)) + sign * col(f"u_{m}")})).cast("long"))
+    aggs = [count(p, m, sign).alias(f"_{i}_{k}") for i, (p, m) in enumerate(use) for k, sign in enumerate((-1, 1))]
+    known = [F.max(col(f"u_{m}")).alias(f"_u_{i}") for i, m in enumerate(have)]
+    n = d.groupBy(sample).agg(F.sum(inside.cast("long")).alias("_n"), *known, *aggs)
+    rows = F.array(*[F.struct(F.lit(m).alias("term"), F.lit(p).alias("population"), F.col(f"_u_{have.index(m)}").alias("u"), (F.abs(F.col(f"_{i}_1") - F.col(f"_{i}_0")) / 2.0).alias("half")) for i, (p, m) in enumerate(use)])
+    e = n.select(sample, "_n", F.explode(rows).alias("r")).filter(F.col("r.u").isNotNull())
+    return e.select(sample, F.col("r.term").alias("term"), F.col("r.population").alias("population"), (100.0 * F.col("r.half") / F.greatest("_n", F.lit(1))).alias("u_pct_points"))
 
 
 def combine(budget: DataFrame, sample: str = "sample_id") -> DataFrame:

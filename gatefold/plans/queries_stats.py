@@ -83,7 +83,7 @@ rs AS ({bh_sql('i7', 'p_value', family)}),
 j0 AS (SELECT {k}, g, v, {rank(k)} AS rk FROM i0), j1 AS (SELECT {k}, g, sum(rk) AS s, CAST(count(*) AS DOUBLE) AS n FROM j0 GROUP BY {k}, g),
 j2 AS (SELECT {k}, sum(c * c * c - c) AS ties FROM (SELECT {k}, v, CAST(count(*) AS DOUBLE) AS c FROM i0 GROUP BY {k}, v) GROUP BY {k}),
 j3 AS (SELECT {k}, sum(n) AS n, count(*) AS k, min(n) AS least_n, sum(s * s / n) AS q FROM j1 GROUP BY {k}),
-kw AS (SELECT {', '.join('j3.' + x.strip() for x in k.split(','))}, n, k, least_n, (12.0 * q / (n * (n + 1)) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h FROM j3 JOIN j2 ON {on('j3', 'j2')})"""
+kw AS (SELECT {', '.join('j3.' + x.strip() for x in k.split(','))}, n, k, least_n, (12.0 * q / (n * (n + 1)) - 3 * (n + 1)) / nullif(1 - ties / (n * n * n - n), 0) AS h FROM j3 JOIN j2 ON {on('j3', 'j2')})"""
 
 
 _TAIL = "(1.0 / (1.0 + 0.3275911 * abs(z) / sqrt(2.0)))"
