@@ -62,3 +62,13 @@ def pretty_label(c: Column | str) -> Column:
     """Underscores as blanks, first letter upper case."""
     x = F.regexp_replace(col(c), "_+", " ")
     return F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1 << 20))
+
+
+def functional_key(block: str = "block", population: str = "population", marker: str = "marker") -> Column:
+    """The panel of a functional marker: "block: population, marker"."""
+    return F.concat(col(block), F.lit(": "), col(population), F.lit(", "), col(marker))
+
+
+def state_key(population: str = "population", marker: str = "marker") -> Column:
+    """The panel of a marker of a population: "population, marker"."""
+    return F.concat(col(population), F.lit(", "), col(marker))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col
-from gatefold.operators.polygons import Level, apply_strategy, inside, rank_markers
+from gatefold.operators.polygons import POLYGON, Level, apply_strategy, inside, polygon_rows, rank_markers
 from gatefold.operators.sampling import draw_key, largest
 
 FIXED, STEEP = 4, 800.0
@@ -256,6 +256,45 @@ def explain_labels(df: DataFrame, label: str, markers: list[str], key: str, max_
     return {n: explain(df.withColumn("_target", F.coalesce(col(label) == n, F.lit(False))), "_target", markers, key, seed=seed) for n in names}
 
 
+PROPOSALS = "target string, depth int, marker_x string, marker_y string, f1 double, precision double, recall double, lam double"
+
+
+def _tables(spark, found: dict[str, tuple[list[Level], list[dict]]]) -> tuple[DataFrame, DataFrame]:
+    summary = [(name, *(r[k] for k in ("depth", "marker_x", "marker_y", "f1", "precision", "recall", "lam"))) for name, (_, report) in found.items() for r in report]
+    polygons = [row for name, (levels, _) in found.items() for row in polygon_rows(name, levels)]
+    return spark.createDataFrame(summary, PROPOSALS), spark.createDataFrame(polygons, POLYGON)
+
+
+def explain_unmatched(cells: DataFrame, features: list[str], per_cluster: DataFrame, key: str, cluster: str = "cluster", max_clusters: int = 4, min_cells: int = 200, purity_max: float = 80.0, seed: int = 42, **options) -> tuple[DataFrame, DataFrame, int] | None:
+    """Gate proposals for the largest clusters that no population describes: a summary, polygons, and how many clusters were left out.
+
+    per_cluster: the first table of clusters.agreement.  None if every cluster is described.
+    """
+    open_ = per_cluster.filter((F.col("n_cells") >= min_cells) & (F.col("interpretation").startswith("UNDESCRIBED") | (F.col("purity_pct") <= purity_max)))
+    n = open_.count()
+    if not n or len([f for f in features if f in cells.columns]) < 2:
+        return None
+    names = [r["cluster"] for r in open_.orderBy(F.desc("n_cells"), "cluster").limit(max_clusters).collect()]
+    have = [f for f in features if f in cells.columns]
+    found = {str(k): explain(cells.withColumn("_target", F.coalesce(col(cluster) == F.lit(k), F.lit(False))), "_target", have, key, seed=seed, **options) for k in names}
+    summary, polygons = _tables(cells.sparkSession, found)
+    about = per_cluster.select(F.col("cluster").cast("string").alias("target"), "dominant_gate_label", F.col("purity_pct").alias("cluster_purity_pct"))
+    return summary.join(F.broadcast(about), "target"), polygons, max(0, n - max_clusters)  # one row a cluster
+
+
+def explain_external(cells: DataFrame, label: str, markers: list[str], key: str, donor: str = "sample_id", max_labels: int = 6, min_cells: int = 200, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Strategies of the largest external labels: summary, polygons, and how well a gate carries over to unseen donors."""
+    found = {str(k): v for k, v in explain_labels(cells, label, markers, key, max_labels, min_cells, seed).items()}
+    transfer = None
+    for name, (levels, _) in found.items():
+        if levels:
+            t = transferability(cells.withColumn("_target", F.coalesce(col(label) == name, F.lit(False))), "_target", (levels[0].marker_x, levels[0].marker_y), donor, key, seed=seed)
+            if t is not None:
+                t = t.withColumn("target", F.lit(name))
+                transfer = t if transfer is None else transfer.unionByName(t)
+    return *_tables(cells.sparkSession, found), transfer
+
+
 def join_labels(cells: DataFrame, labels: DataFrame, keys: tuple[str, str] = ("sample_id", "event_index"), min_match: int = 100) -> DataFrame:
     """cells with external_label by key, never by position; too few matches are an error."""
     out = cells.join(labels.select(*keys, "external_label"), list(keys), "left")

@@ -373,12 +373,6 @@ def _(spark, sf):
     return compositional.cramers_v(e, "batch", "grp").select(r6("v"), compositional.cramers_verdict("v").alias("verdict"))
 
 
-@query("batch_mixing")
-def _(spark, sf):
-    p = _points(spark, sf).withColumn("batch", F.when(F.col("vec_id") % 2 == 0, "a").otherwise("b"))
-    return diagnostics.batch_mixing(p, "vec_id", "xy", "batch")[0]
-
-
 # ---------------------------------------------------------------- clusters
 _AGREE = """c AS (SELECT CAST(vec_id % 7 % 4 AS INTEGER) AS cluster, CASE WHEN label = 9 THEN 'Other x' ELSE 'p' || (label % 4) END AS lab FROM embeddings),
 n AS (SELECT cluster, lab, count(*) AS n FROM c GROUP BY 1, 2), w AS (SELECT *, sum(n) OVER (PARTITION BY cluster) AS c_n, sum(n) OVER (PARTITION BY lab) AS p_n, sum(n) OVER () AS all_n,
@@ -432,9 +426,13 @@ def _(spark, sf):
 
 
 # ---------------------------------------------------------------- joins and conformance
-@query("external_label_join", "SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+@query("external_label_join", "SELECT d.doc_id, d.lang, CAST(l.quality AS VARCHAR) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    from gatefold.operators.gate_learning import join_labels
+
+    c = table(spark, sf, "documents").select(F.lit("all").alias("sample_id"), F.col("doc_id").alias("event_index"), "lang")
+    lab = table(spark, sf, "labels").select(F.lit("all").alias("sample_id"), F.col("doc_id").alias("event_index"), F.col("quality").cast("string").alias("external_label"))
+    return join_labels(c, lab).select(F.col("event_index").alias("doc_id"), "lang", F.col("external_label").alias("quality"))
 
 
 _BASE = """m{h} AS (SELECT marker, count(*) AS n, quantile_cont(threshold, 0.5) AS med FROM {t} GROUP BY 1), s{h} AS (SELECT t.marker, 1.4826 * quantile_cont(abs(threshold - med), 0.5) AS mad FROM {t} t JOIN m{h} ON t.marker = m{h}.marker GROUP BY 1)"""

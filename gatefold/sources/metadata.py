@@ -26,8 +26,11 @@ def sniff(first_line: str) -> str:
     return ";" if first_line.count(";") > first_line.count(",") else ","
 
 
-def read_table(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """A CSV with ; or , as its first line has it, all columns as text."""
+def read_table(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """A CSV with ; or , as its first line has it, all columns as text; UTF-8, or latin1 where the file isn't that."""
+    if encoding is None:
+        odd = spark.read.text(path).filter(F.contains("value", F.lit("\ufffd"))).limit(1).count()
+        encoding = "ISO-8859-1" if odd else "UTF-8"
     head = spark.read.text(path).limit(1).collect()
     sep = sniff(head[0][0]) if head else ","
     return spark.read.options(header=True, sep=sep, encoding=encoding).csv(path)
@@ -130,6 +133,25 @@ def sample_map_template(files: DataFrame) -> DataFrame:
     return files.select("file", F.regexp_replace("file", r"(?i)[.]fcs$", "").alias("sample_id"), *[F.lit("").alias(c) for c in ("patient_id", "timepoint", "is_control", "well", "panel")])
 
 
+def group_of(smap: DataFrame, patients: DataFrame, column: str) -> DataFrame:
+    """sample_id and group: a column of the patient table, through the sample map; blank values are no group."""
+    p = patients.select(norm_id("patient_id").alias("_k"), F.col(column).cast("string").alias("group")).filter("group is not null and group <> ''")
+    return smap.filter("sample_id is not null").select("sample_id", norm_id("patient_id").alias("_k")).join(p, "_k").select("sample_id", "group")
+
+
+def batch_of(column: str, smap: DataFrame, patients: DataFrame | None = None, keywords: DataFrame | None = None) -> DataFrame | None:
+    """sample_id and batch: a column of the sample map, else of the patient table, else the acquisition date if there are several."""
+    if column in smap.columns:
+        return smap.select("sample_id", F.col(column).cast("string").alias("batch"))
+    if patients is not None and column in patients.columns and "patient_id" in smap.columns:
+        return group_of(smap, patients, column).withColumnRenamed("group", "batch")
+    if keywords is not None:
+        from gatefold.sources.events import date_batches
+
+        return date_batches(keywords)
+    return None
+
+
 def attach_patients(df: DataFrame, smap: DataFrame, patients: DataFrame, sample: str = "sample_id") -> DataFrame:
     """df with its sample's patient columns; ids compare without case and blanks, the patient table's spelling wins."""
     s = smap.select(F.col("sample_id").alias("_s"), norm_id("patient_id").alias("_k"))
@@ -138,6 +160,42 @@ def attach_patients(df: DataFrame, smap: DataFrame, patients: DataFrame, sample:
 
 
 # ---------------------------------------------------------------- absolute counts
+def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet of a workbook, its first row as header, all cells as text.  A count sheet is small; it is read on the driver."""
+    import io
+    import zipfile
+    from xml.etree import ElementTree as ET
+
+    raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    tag = lambda e: e.tag.rsplit("}", 1)[-1]
+    with zipfile.ZipFile(io.BytesIO(raw)) as z:
+        names = z.namelist()
+        shared = ["".join(t.text or "" for t in si.iter() if tag(t) == "t") for si in ET.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
+        sheet = ET.fromstring(z.read(min((n for n in names if re.match(r"xl/worksheets/sheet\d+[.]xml$", n)), key=lambda n: int(re.search(r"\d+", n).group()))))
+
+    def place(ref: str) -> int:
+        at = 0
+        for c in re.match("[A-Z]+", ref).group():
+            at = at * 26 + ord(c) - 64
+        return at - 1
+
+    def text(c) -> str | None:
+        v = next((e.text for e in c.iter() if tag(e) in ("v", "t")), None)
+        return shared[int(v)] if c.get("t") == "s" and v is not None else v
+
+    rows = [{place(c.get("r")): text(c) for c in r if tag(c) == "c"} for r in sheet.iter() if tag(r) == "row"]
+    width = 1 + max((k for r in rows for k in r), default=-1)
+    table = [[r.get(k) for k in range(width)] for r in rows]
+    header = [h or f"column_{k}" for k, h in enumerate(table[0])] if table else []
+    return spark.createDataFrame(table[1:], ", ".join(f"`{h}` string" for h in header))
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """sample_key, population, cells_per_ul of a count table, CSV or workbook; the first column names the sample."""
+    d = read_xlsx(spark, path) if path.lower().endswith(".xlsx") else read_table(spark, path)
+    return unpivot_counts(d, d.columns[0])
+
+
 def unpivot_counts(df: DataFrame, sample: str) -> DataFrame:
     """(sample_key, population, cells_per_ul) of a wide table of text cells.
 
