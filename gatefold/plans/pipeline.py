@@ -1,7 +1,7 @@
 """The batch pipeline: events to gates, thresholds, populations, per-sample tables, tests and diagnostics.
 
-One lazily built plan a table.  Small per-sample tables (bounds, thresholds, frequencies) are written once and read by
-everything after them; events are never cached raw.  Optional analyses fail alone and are listed in the manifest.
+One lazily built plan a table.  Gated events with their transformed markers, and small per-sample tables (bounds,
+thresholds, frequencies), are written once and read by everything after them; events are never cached raw.  Optional analyses fail alone and are listed in the manifest.
 """
 
 from __future__ import annotations
@@ -10,16 +10,18 @@ import argparse
 import datetime as dt
 import json
 import logging
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatefold.functions.numeric import col
+from gatefold.functions.numeric import col, functional_key
 from gatefold.functions.storage import cut
-from gatefold.operators import compositional, conformance, diagnostics, gates, populations, ranks, thresholds
-from gatefold.operators.transforms import Transform
-from gatefold.sources import defaults
+from gatefold.operators import clusters, compositional, conformance, diagnostics, embedding, gate_learning, gates, polygons, populations, ranks, sampling, thresholds, uncertainty
+from gatefold.operators.transforms import Logicle, Transform, compensate, derive_cofactors, pool_cofactor, pooled_logicle, scale_features, select_features, spaced
+from gatefold.plans import figures
+from gatefold.sources import defaults, fcs, metadata
 from gatefold.sources.metadata import COVARIATES, RunConfig
 
 LOG = logging.getLogger("gatefold")
@@ -49,6 +51,7 @@ class Run:
 
     def __init__(self, config: RunConfig, inputs: list[str] | None = None) -> None:
         self.config, self.tables, self.manifest = config, {}, Manifest(config, inputs or [])
+        self.gating_ml: str | None = None
 
     def put(self, name: str, df: DataFrame, write: bool = True) -> DataFrame:
         self.tables[name] = cut(df, name) if write else df
@@ -67,21 +70,50 @@ class Run:
 
     def save(self, root: str, fmt: str = "parquet") -> None:
         for n, df in self.tables.items():
-            (df.write.option("header", True) if fmt == "csv" else df.write).format(fmt).mode("overwrite").save(f"{root.rstrip('/')}/{n}")
+            flat = df.drop(*[c for c, t in df.dtypes if t == "binary" or t.startswith(("array", "map"))]) if fmt == "csv" else df
+            (flat.write.option("header", True) if fmt == "csv" else flat.write).format(fmt).mode("overwrite").save(f"{root.rstrip('/')}/{n}")
 
 
 def load_session(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
 
 
-def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[str], scatter: tuple[str, str, str] = ("FSC-A", "SSC-A", "FSC-H"), cd45: str = "CD45", baseline: dict[str, DataFrame] | None = None, batch: str | None = None) -> Run:
-    """events: sample_id, event_index, raw scatter and marker channels; samples: sample_id, the group column,
-    and optionally is_control, covariates and a batch column."""
+def prepared(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[str], spill: tuple[list[str], list[list[float]]] | None, out: Run) -> tuple[DataFrame, Transform]:
+    """events compensated and transformed on one scale for all samples, which evenly spaced samples decide where none is configured."""
+    if spill:
+        events = compensate(events, *spill)
+    have = [m for m in markers if m in events.columns]
+    tr = Transform(config.transform, config.cofactor or 150.0)
+    if config.transform != "none" and not (config.transform == "arcsinh" and config.cofactor):
+        order = [r[0] for r in samples.select("sample_id").orderBy("sample_id").collect()]  # a cohort's samples
+        use = spaced(order, config.pool_samples)
+        long = events.filter(F.col("sample_id").isin(use)).select("sample_id", F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).cast("double").alias("value")) for m in have])).alias("r")).select("sample_id", "r.*")
+        if config.transform == "arcsinh":
+            by = derive_cofactors(long, "sample_id", "marker", "value")
+            cofactor, apart = pool_cofactor(by, config.pool_samples, order=use) if by else (150.0, False)
+            tr = Transform("arcsinh", cofactor)
+            out.manifest.data["notes"].append(f"cofactor {cofactor:.4g} from {len(by)} samples" + (", which disagree" if apart else ""))
+        else:
+            p = {r["marker"]: Logicle(w=r["w"], t=r["t"], m=r["m"], a=r["a"]) for r in pooled_logicle(long, use, max_samples=config.pool_samples).collect()}  # one row a marker
+            tr = Transform("logicle", logicle=p)
+    return events.withColumns({m: tr.forward(m, m) for m in have}), tr
+
+
+def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[str], scatter: tuple[str, str, str] = ("FSC-A", "SSC-A", "FSC-H"), cd45: str = "CD45", baseline: dict[str, DataFrame] | None = None, batch: str | None = None, patients: DataFrame | None = None, counts: DataFrame | None = None, labels: DataFrame | None = None, spill: tuple[list[str], list[list[float]]] | None = None, keywords: DataFrame | None = None) -> Run:
+    """All tables of a run.
+
+    events: sample_id, event_index, raw scatter and marker channels; samples: sample_id and optionally file, patient_id, the
+    group column, is_control, covariates, pairs and a batch column; patients: by patient_id; counts: (sample_key, population,
+    cells_per_ul); labels: (sample_id, event_index, external_label); spill: channels and their spillover matrix.
+    """
     out = Run(config)
     c = config
     with out.manifest:
-        tr = Transform(c.transform, c.cofactor or 150.0)
-        e = events.withColumns({m: tr.forward(m, m) for m in markers if m in events.columns})
+        if patients is not None and "patient_id" in samples.columns:
+            own = [x for x in samples.columns if x not in patients.columns or x == "patient_id"]
+            samples = cut(metadata.attach_patients(samples.select(*[x for x in own if x != "patient_id"]), samples, patients), "samples")
+            out.attempt("patient_completeness", lambda: metadata.completeness(patients))
+        e, tr = prepared(events, c, samples, markers, spill, out)
         have = [m for m in markers if m in events.columns]
         viability = gates.viability_marker(have, c.viability_marker)
         rows = c.threshold_rows()
@@ -91,27 +123,37 @@ def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[
             names = spark.createDataFrame(rows, "marker string, cfg_value double")
             cfg = samples.select("sample_id").join(F.broadcast(names))  # the configuration's few markers
         gated, used = gates.gate_events(e, fsc_a=scatter[0], ssc_a=scatter[1], fsc_h=scatter[2], viability=viability, cd45=cd45, config=cfg, singlet_k=c.singlet_mad_k)
-        counts = out.put("gate_counts", gates.gate_counts(gated))
-        pct = counts.filter("gate = 'cd45_pos'").select("sample_id", F.col("pct_of_parent").alias("pct_cd45_of_live"))
+        # transformed markers and gates, written once: thresholds, scores, uncertainty and cells all read them
+        gated = cut(gated.select("sample_id", *[x for x in ("event_index",) if x in events.columns], *have, *gates.GATES), "gated")
+        chain = out.put("gate_counts", gates.gate_counts(gated))
+        pct = chain.filter("gate = 'cd45_pos'").select("sample_id", F.col("pct_of_parent").alias("pct_cd45_of_live"))
         src = used.filter(F.col("marker") == cd45).select("sample_id", F.col("source").alias("cd45_source")) if used is not None else pct.select("sample_id", F.lit("skipped").alias("cd45_source"))
         known = samples if "is_control" in samples.columns else samples.withColumn("is_control", F.lit(False))
         qc = known.join(pct, "sample_id").join(src, "sample_id", "left").withColumn("cd45_source", F.coalesce("cd45_source", F.lit("skipped")))
         qc = out.put("staining_qc", gates.staining_verdict(qc, min_pct=c.min_cd45_pct, force=c.include_qc_failed).select("sample_id", "pct_cd45_of_live", "verdict", "qc_status", "included", F.coalesce("is_control", F.lit(False)).alias("is_control")))
+        status = qc.select("sample_id", "is_control", "qc_status")
         spec = c.populations or defaults.POPULATIONS
         need = [m for m in populations.spec_markers(spec) if m in have]
         inside = gated.filter("cd45_pos")
         long = inside.select("sample_id", F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("value")) for m in need])).alias("r")).select("sample_id", "r.*")
         thr = thresholds.resolve(long, ["sample_id", "marker"], "value", cfg)
         thr = thresholds.peer_check(cut(thr), ["marker"])
-        thr = out.put("thresholds_used", thr.join(qc.select("sample_id", "is_control", "qc_status"), "sample_id", "left"))
+        thr = out.put("thresholds_used", thr.join(status, "sample_id", "left"))
         out.attempt("threshold_scale_qc", lambda: thresholds.scale_qc(thr, ["marker"]))
         bounds = cut(populations.intermediate_bounds(gated, thr, spec, parent="cd45_pos"))
         scored = populations.score(gated, thr, spec, "cd45_pos", bounds=bounds)
         pops = list(spec)
-        freq = populations.frequencies(scored, pops, "cd45_pos").join(qc.select("sample_id", "is_control", "qc_status"), "sample_id")
+        freq = populations.frequencies(scored, pops, "cd45_pos").join(status, "sample_id")
+        if counts is not None and {"patient_id", "file"} <= set(samples.columns):
+            matched = metadata.match_counts(counts, samples)
+            freq = freq.join(matched, ["sample_id", "population"], "left")
+        elif "wbc_per_ul" in samples.columns:
+            freq = metadata.absolute_from_wbc(freq, samples.withColumn("wbc_per_ul", F.col("wbc_per_ul").cast("double")))
         freq = out.put("population_frequencies", freq)
+        if "cells_per_ul" in freq.columns:
+            out.attempt("absolute_counts_qc", lambda: figures.counts_qc(freq.filter("cells_per_ul is not null")))
         out.put("populations_unavailable", populations.unavailable(thr, spec, events.columns, bounds=bounds))
-        mfi = out.put("population_marker_mfi", populations.marker_summary(scored, pops, need, thr).join(qc.select("sample_id", "is_control", "qc_status"), "sample_id"))
+        mfi = out.put("population_marker_mfi", populations.marker_summary(scored, pops, need, thr).join(status, "sample_id"))
         blocks = c.functional_blocks or ({} if c.populations else defaults.FUNCTIONAL_BLOCKS)
         if blocks:
             out.attempt("functional_markers", lambda: populations.functional(mfi, blocks, spec))
@@ -119,19 +161,33 @@ def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[
             out.attempt("population_ratios", lambda: populations.ratios(freq, c.ratios))
         groups = samples.select("sample_id", F.col(c.group_column).alias("group")) if c.group_column in samples.columns else None
         ok = gates.qc_pass(freq)
+        spread = None
+        if c.uncertainty:
+            spread = _uncertainty(out, c, inside, gated, thr, spec, need, freq)
         if groups is not None:
             value = ranks.abundance_measure(freq)
-            out.attempt("group_comparison_stats", lambda: ranks.compare_groups(ok, groups, value, reference=c.reference_group))
-            out.attempt("marker_state_stats", lambda: diagnostics.differential_state(gates.qc_pass(mfi), groups, reference=c.reference_group))
+            compared = lambda: ranks.compare_groups(ok, groups, value, reference=c.reference_group, min_n=c.min_group_n)
+            out.attempt("group_comparison_stats", lambda: uncertainty.annotate(compared(), spread, value == "pct_of_cd45_pos") if spread is not None else compared())
+            out.attempt("marker_state_stats", lambda: diagnostics.differential_state(gates.qc_pass(mfi), groups, reference=c.reference_group, min_cells=c.min_cells, min_n=c.min_group_n))
+            if "functional_markers" in out.tables:
+                out.attempt("functional_marker_stats", lambda: ranks.compare_groups(gates.qc_pass(out.tables["functional_markers"]).withColumn("population", functional_key()), groups, "pct_positive", reference=c.reference_group))
+            if "population_ratios" in out.tables:
+                out.attempt("ratio_stats", lambda: ranks.compare_groups(gates.qc_pass(out.tables["population_ratios"].withColumnRenamed("ratio", "population").join(status, "sample_id")), groups, "value", reference=c.reference_group))
             out.attempt("compositional_concordance", lambda: compositional.concordance(ranks.compare_groups(ok, groups, reference=c.reference_group), ranks.compare_groups(compositional.clr(ok), groups, "clr", reference=c.reference_group)))
             out.attempt("threshold_drift_stats", lambda: diagnostics.threshold_drift(gates.qc_pass(thr), groups, spec))
             names = [n for n in (COVARIATES.get(v, v) for v in c.covariates) if n in samples.columns]
             if names:
                 out.attempt("confounding_diagnostics", lambda: compositional.confounding(ok, samples.select("sample_id", *names), groups, names))
                 out.attempt("covariate_adjusted_stats", lambda: compositional.rank_ancova(ok, samples.select("sample_id", *names), groups, names))
-        if batch and groups is not None:
-            v = compositional.cramers_v(samples, batch, c.group_column)
+        if c.pair_column in samples.columns and c.condition_column in samples.columns:
+            pairs = samples.select("sample_id", F.col(c.pair_column).alias("pair"), F.col(c.condition_column).alias("condition"))
+            out.attempt("paired_comparison_stats", lambda: ranks.compare_paired(ok, pairs, reference=c.reference_condition))
+        by_batch = metadata.batch_of(batch or c.batch_column or "batch", samples, patients, keywords)
+        if by_batch is not None and groups is not None:
+            v = compositional.cramers_v(by_batch.join(groups, "sample_id"), "batch", "group")
             out.attempt("batch_group_confounding", lambda: v.withColumn("verdict", compositional.cramers_verdict("v")))
+        if c.embedding or c.clusters:
+            _cells(out, c, scored, samples, groups, by_batch, labels, status, have, tr)
         if baseline:
             out.attempt("specification_conformance", lambda: conformance.marker_conformance(thr, baseline["markers"], ["marker"]))
             out.attempt("specification_conformance_populations", lambda: conformance.population_conformance(freq, baseline["populations"]))
@@ -140,12 +196,99 @@ def run(events: DataFrame, config: RunConfig, samples: DataFrame, markers: list[
     return out
 
 
+def _uncertainty(out: Run, c: RunConfig, inside: DataFrame, gated: DataFrame, thr: DataFrame, spec: dict, need: list[str], freq: DataFrame) -> DataFrame | None:
+    """Threshold and frequency uncertainty tables; the combined one, if it could be made."""
+    values = inside.select("sample_id", F.col("event_index").alias("key"), F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("value")) for m in need])).alias("r")).select("sample_id", "key", "r.*") if "event_index" in inside.columns else None
+    if values is None:
+        out.manifest.data["skipped"]["threshold_uncertainty"] = "events have no event_index"
+        return None
+    out.attempt("threshold_uncertainty", lambda: uncertainty.thresholds(values, thr, "key", boots=c.uncertainty_boot, seed=c.seed, max_events=c.uncertainty_max_events))
+    if "threshold_uncertainty" in out.tables:
+        out.attempt("uncertainty_budget", lambda: uncertainty.frequency_uncertainty(gated, thr, out.tables["threshold_uncertainty"], spec, "cd45_pos"))
+    if "uncertainty_budget" not in out.tables:
+        return None
+    out.attempt("population_frequencies_uncertainty", lambda: freq.join(uncertainty.combine(out.tables["uncertainty_budget"]), ["sample_id", "population"], "left"))
+    u = out.tables.get("population_frequencies_uncertainty")
+    return None if u is None else gates.qc_pass(u).filter("u_pct_points is not null")
+
+
+def _cells(out: Run, c: RunConfig, scored: DataFrame, samples: DataFrame, groups: DataFrame | None, by_batch: DataFrame | None, labels: DataFrame | None, status: DataFrame, have: list[str], tr: Transform) -> None:
+    """The cell table, a bounded draw of each included sample (cells_per_sample, max_cells), and what is done on it."""
+    if "event_index" not in scored.columns:
+        out.manifest.data["skipped"]["cells"] = "events have no event_index"
+        return
+    ok = gates.qc_pass(scored.filter("cd45_pos").join(status, "sample_id"))
+    sizes = cut(ok.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    quota = sampling.plan_subsample(sizes, cap=c.cells_per_sample, total_cap=c.max_cells)
+    keep = ["sample_id", "event_index", "population_label", *have]
+    cells = sampling.draw(ok.select(*keep), quota, "sample_id", "event_index", c.seed)
+    if groups is not None:
+        cells = cells.join(groups, "sample_id", "left")
+    if by_batch is not None:
+        cells = cells.join(by_batch, "sample_id", "left")
+    cells = cut(cells, "cells")
+    if c.correct_batch and groups is not None and by_batch is not None:
+        cells, said = diagnostics.correct_batch(cells, "batch", "group", have, c.batch_max_cramers_v)
+        out.manifest.data["notes"].append(f"batches {said}")
+    features = select_features(have, defaults.LINEAGE)
+    scaled = scale_features(cells, features)
+    z = [f + "_z" for f in features if f + "_z" in scaled.columns]
+    if c.embedding and len(z) >= 2:
+        try:
+            scaled = embedding.project(scaled, embedding.fit_pca(scaled, z))
+        except ValueError as error:
+            out.manifest.data["skipped"]["embedding"] = str(error)
+    if c.clusters and len(z) >= 2:
+        try:
+            scaled = clusters.unsupervised(scaled.withColumn("_key", F.concat_ws("|", "sample_id", "event_index")), z, "_key", c.n_clusters, c.som_side, seed=c.seed).drop("_key")
+        except ValueError as error:
+            out.manifest.data["skipped"]["clusters"] = str(error)
+    cells = out.put("cells", scaled.drop(*z))
+    if "cluster" in cells.columns:
+        per, pop = clusters.agreement(cells)
+        out.attempt("cluster_agreement", lambda: per)
+        out.attempt("population_cluster_agreement", lambda: pop)
+        if "umap_1" in cells.columns:
+            out.attempt("cluster_centroids", lambda: figures.cluster_centroids(cells))
+        if c.explain_clusters:
+            out.attempt("cluster_gate_proposals", lambda: _proposals(out, c, cells.withColumn("_key", F.xxhash64("sample_id", "event_index")), features, per, tr))
+    if groups is not None:
+        out.attempt("cohort_composition", lambda: clusters.composition(cells, "group", "population_label"))
+        if c.subclusters and c.reference_group:
+            keyed = cells.withColumn("_key", F.concat_ws("|", "sample_id", "event_index"))
+            out.attempt("subcluster_k_selection", lambda: clusters.choose_k(keyed, features, "group", c.reference_group, "_key", seed=c.seed))
+            out.attempt("subcluster_shifts", lambda: diagnostics.subcluster_shifts(clusters.subclusters(keyed, features, "group", c.reference_group, "_key", seed=c.seed), features, "group", c.reference_group, min_cells=c.min_cells))
+    if "batch" in cells.columns and "umap_1" in cells.columns:
+        points = cells.withColumn("_key", F.concat_ws("|", "sample_id", "event_index")).withColumn("_xy", F.array("umap_1", "umap_2"))
+        out.attempt("batch_mixing", lambda: (diagnostics.batch_mixing(points, "_key", "_xy", "batch", k=c.mixing_k, n_perm=c.mixing_permutations, seed=c.seed) or (None,))[0])
+    if labels is not None:
+        out.attempt("external_label_gates", lambda: gate_learning.explain_external(gate_learning.join_labels(cells, labels, min_match=c.external_labels_min_match).withColumn("_key", F.xxhash64("sample_id", "event_index")), "external_label", features, "_key", seed=c.seed)[0])
+    if c.export_fcs:
+        coded, legend = fcs.category_codes(cells, "population_label", "Population")
+        out.attempt("population_codes", lambda: legend)
+        raw = coded.withColumns({m: tr.inverse(m, m) for m in have})
+        out.attempt("fcs_files", lambda: fcs.export(raw, "sample_id", [*have, "Population"]))
+
+
+def _proposals(out: Run, c: RunConfig, cells: DataFrame, features: list[str], per: DataFrame, tr: Transform) -> DataFrame | None:
+    found = gate_learning.explain_unmatched(cells, features, per, "_key", max_clusters=c.max_explained, seed=c.seed)
+    if found is None:
+        return None
+    summary, shapes, left = found
+    out.manifest.data["notes"].append(f"{left} undescribed clusters without a gate proposal")
+    linear = out.put("cluster_gate_polygons", polygons.linear_table(shapes, tr))
+    if c.export_gating_ml:
+        out.gating_ml = polygons.gating_ml([r.asDict() for r in linear.collect()])  # a few polygons
+    return summary
+
+
 def baseline_of(done: Run) -> dict[str, DataFrame]:
     """Summaries that a later run is compared with; no event leaves a run."""
     return {"markers": conformance.marker_baseline(done.tables["thresholds_used"], ["marker"]), "populations": conformance.population_baseline(done.tables["population_frequencies"])}
 
 
-def main(argv: list[str] | None = None) -> int:
+def options() -> argparse.ArgumentParser:
+    """Inputs, outputs and every field of the configuration as a flag of its own."""
     p = argparse.ArgumentParser(description="Cohort event analytics")
     p.add_argument("--events", required=True, help="Parquet of events, or a folder of FCS files")
     p.add_argument("--samples", required=True, help="CSV: sample_id, file, group column, covariates")
@@ -154,22 +297,73 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--outdir", default="results")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--max-events-per-file", type=int, default=0)
-    p.add_argument("--batch-column")
-    a = p.parse_args(argv)
+    p.add_argument("--patients", help="CSV of patients by patient_id")
+    p.add_argument("--absolute-counts", help="CSV or workbook of absolute counts")
+    p.add_argument("--labels", help="CSV of external labels by sample and event")
+    p.add_argument("--spillover", help="CSV: channel names, then the matrix")
+    p.add_argument("--baseline", help="folder of a baseline that --write-baseline wrote")
+    p.add_argument("--write-baseline", help="folder for this run's baseline")
+    p.add_argument("--save-config", help="YAML with the run's settings and thresholds")
+    p.add_argument("--scatter", default="FSC-A,SSC-A,FSC-H")
+    p.add_argument("--cd45", default="CD45")
+    for k, f in RunConfig.__dataclass_fields__.items():
+        if "dict" in str(f.type):
+            continue  # tables belong in the configuration file
+        flag, kind = "--" + k.replace("_", "-"), str(f.type).split(" ")[0]
+        if kind == "bool":
+            p.add_argument(flag, dest=k, default=None, action=argparse.BooleanOptionalAction)
+        elif kind.startswith("tuple"):
+            p.add_argument(flag, dest=k, type=lambda v: tuple(v.split(",")))
+        else:
+            p.add_argument(flag, dest=k, type={"int": int, "float": float}.get(kind, str))
+    return p
+
+
+def main(argv: list[str] | None = None) -> int:
+    a = options().parse_args(argv)
     spark = SparkSession.builder.appName("gatefold").getOrCreate()
     markers = a.markers.split(",")
-    samples = spark.read.option("header", True).csv(a.samples)
+    config = RunConfig.load(a.config)
+    config = replace(config, **{k: getattr(a, k) for k in RunConfig.__dataclass_fields__ if getattr(a, k, None) is not None})
+    samples = metadata.read_table(spark, a.samples)
+    if "is_control" in samples.columns:
+        samples = samples.withColumn("is_control", F.lower(F.trim("is_control")).isin("true", "t", "1", "yes", "y"))
+    keywords = None
     if a.events.lower().endswith(".parquet"):
         events = spark.read.parquet(a.events)
     else:
-        from gatefold.sources import fcs
-
         events = fcs.scan(spark, a.events, markers, max_events=a.max_events_per_file).withColumn("file", F.regexp_extract("file", r"([^/]+)$", 1)).join(samples.select("file", "sample_id"), "file")
-    done = run(events, RunConfig.load(a.config), samples, markers, batch=a.batch_column)
+    spill = None
+    if a.spillover:
+        m = metadata.read_table(spark, a.spillover)
+        spill = (m.columns, [[float(v) for v in r] for r in m.collect()])  # channels by channels
+    done = run(
+        events, config, samples, markers, tuple(a.scatter.split(",")), a.cd45, load_session(spark, a.baseline, ["markers", "populations"]) if a.baseline else None,
+        patients=metadata.load_patients(spark, a.patients) if a.patients else None, counts=metadata.read_counts(spark, a.absolute_counts) if a.absolute_counts else None,
+        labels=metadata.read_labels(spark, a.labels) if a.labels else None, spill=spill, keywords=keywords,
+    )
     done.save(a.outdir, a.format)
-    done.manifest.save(Path(a.outdir) / "manifest.json") if "://" not in a.outdir else None
+    if a.write_baseline:
+        for n, t in baseline_of(done).items():
+            t.write.mode("overwrite").parquet(f"{a.write_baseline.rstrip('/')}/{n}")
+    if a.save_config:
+        config.save(a.save_config, [r.asDict() for r in done.tables["thresholds_used"].orderBy("sample_id", "marker").collect()])  # samples by markers
+    texts = {"manifest.json": json.dumps(done.manifest.data, indent=1, default=str)} | ({"gates.xml": done.gating_ml} if done.gating_ml else {})
+    for name, text in texts.items():
+        put_text(spark, f"{a.outdir.rstrip('/')}/{name}", text)
     return 0
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text in any store that Spark reaches."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

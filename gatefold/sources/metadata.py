@@ -274,6 +274,27 @@ class RunConfig:
     correct_batch: bool = False
     batch_max_cramers_v: float = 0.6
     fail_on_drift: bool = False
+    pool_samples: int = 8
+    min_cells: int = 20
+    min_group_n: int = 3
+    pair_column: str | None = None
+    condition_column: str | None = None
+    reference_condition: str | None = None
+    batch_column: str | None = None
+    uncertainty: bool = True
+    embedding: bool = True
+    clusters: bool = True
+    n_clusters: int = 12
+    som_side: int = 10
+    subclusters: bool = True
+    mixing_k: int = 30
+    mixing_permutations: int = 20
+    explain_clusters: bool = True
+    max_explained: int = 4
+    external_labels_min_match: int = 100
+    export_fcs: bool = False
+    export_gating_ml: bool = True
+    colors: dict = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str | Path) -> RunConfig:

@@ -7,6 +7,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gatefold.plans import QUERIES, SQL
 
@@ -71,7 +72,7 @@ def test_pipeline_finds_the_planted_difference(spark, tmp_path):
     from gatefold.sources.metadata import RunConfig
 
     ev, samples = planted(spark)
-    cfg = RunConfig(populations={"T": {"CD3": "above"}, "CD4 T": {"CD3": "above", "CD4": "above"}, "not T": {"CD3": "below"}}, ratios={"CD4/T": ("CD4 T", "T")}, functional_blocks={"b": {"markers": ["CD4"], "require": "CD3"}}, reference_group="HC")
+    cfg = RunConfig(populations={"T": {"CD3": "above"}, "CD4 T": {"CD3": "above", "CD4": "above"}, "not T": {"CD3": "below"}}, ratios={"CD4/T": ("CD4 T", "T")}, functional_blocks={"b": {"markers": ["CD4"], "require": "CD3"}}, reference_group="HC", cofactor=150.0, uncertainty=False, embedding=False, clusters=False)
     done = pipeline.run(ev, cfg, samples, ["CD45", "CD3", "CD4"])
     assert done.manifest.data["status"] == "completed" and not done.manifest.data["skipped"]
     g = {r.population: r for r in done.tables["group_comparison_stats"].collect()}
@@ -85,6 +86,46 @@ def test_pipeline_finds_the_planted_difference(spark, tmp_path):
     assert pipeline.load_session(spark, f"{tmp_path}/out", ["gate_counts"])["gate_counts"].count() == 40
 
 
+def test_pipeline_makes_every_table(spark, tmp_path):
+    """Patients, counts, pairs, uncertainty, clusters, batches, labels and exports of one planted run."""
+    from gatefold.plans import pipeline
+    from gatefold.sources.metadata import RunConfig
+
+    ev, samples = planted(spark)
+    n = samples.count()
+    ids = [r.sample_id for r in samples.orderBy("sample_id").collect()]
+    smap = spark.createDataFrame([(s, f" p{i} ", f"{s}.fcs", "ab"[i % 2], f"pair{i // 2}", ["pre", "post"][i % 2]) for i, s in enumerate(ids)], "sample_id string, patient_id string, file string, batch string, pair string, timepoint string")
+    smap = smap.join(samples.select("sample_id", "cohort"), "sample_id")
+    patients = spark.createDataFrame([(f"P{i}", 30.0 + i, "FM"[i % 2]) for i in range(n)], "patient_id string, age_years double, sex string")
+    counts = spark.createDataFrame([(f"p{i}", "T", 800.0 + i) for i in range(n)], "sample_key string, population string, cells_per_ul double")
+    labels = ev.select("sample_id", "event_index", F.when(F.col("CD3") > 1000, "t").otherwise("other").alias("external_label"))
+    cfg = RunConfig(
+        populations={"T": {"CD3": "above"}, "CD4 T": {"CD3": "above", "CD4": "above"}}, ratios={"CD4/T": ("CD4 T", "T")}, functional_blocks={"b": {"markers": ["CD4"], "require": "CD3"}}, reference_group="HC", pair_column="pair",
+        condition_column="timepoint", uncertainty_boot=12, n_clusters=4, som_side=3, cells_per_sample=400, export_fcs=True, subclusters=False, max_explained=1,
+    )
+    done = pipeline.run(ev, cfg, smap, ["CD45", "CD3", "CD4"], patients=patients, counts=counts, labels=labels, spill=(["CD45", "CD3", "CD4"], [[1.0, 0.0, 0.0], [0.0, 1.0, 0.02], [0.0, 0.0, 1.0]]))
+    assert done.manifest.data["status"] == "completed" and not done.manifest.data["skipped"], done.manifest.data["skipped"]
+    want = {"patient_completeness", "absolute_counts_qc", "threshold_uncertainty", "uncertainty_budget", "population_frequencies_uncertainty", "group_comparison_stats", "functional_marker_stats", "ratio_stats", "confounding_diagnostics",
+            "covariate_adjusted_stats", "batch_group_confounding", "cells", "cluster_agreement", "population_cluster_agreement", "cluster_centroids", "cohort_composition", "batch_mixing", "external_label_gates", "population_codes", "fcs_files"}
+    assert want <= set(done.tables), want - set(done.tables)
+    assert "cofactor" in " ".join(done.manifest.data["notes"])
+    f = done.tables["population_frequencies"]
+    assert f.filter("population = 'T' and cells_per_ul is not null").count() == n
+    assert done.tables["cells"].groupBy("sample_id").count().agg(F.max("count")).first()[0] <= 400
+    assert done.tables["fcs_files"].count() == n
+
+
+def test_command_line_reaches_every_setting(spark, tmp_path):
+    from gatefold.plans import pipeline
+    from gatefold.sources.metadata import RunConfig
+
+    plain = [k for k, f in RunConfig.__dataclass_fields__.items() if "dict" not in str(f.type)]
+    a = pipeline.options().parse_args(["--events", "e.parquet", "--samples", "s.csv", "--config", "c.yaml", "--markers", "A,B", "--singlet-mad-k", "2.5", "--no-clusters", "--covariates", "age,sex", "--seed", "7"])
+    assert all(hasattr(a, k) for k in plain) and (a.singlet_mad_k, a.clusters, a.covariates, a.seed, a.embedding) == (2.5, False, ("age", "sex"), 7, None)
+    pipeline.put_text(spark, f"file://{tmp_path}/out/manifest.json", "{}")
+    assert (tmp_path / "out/manifest.json").read_text() == "{}"
+
+
 def test_stream_scores_landed_samples(spark, tmp_path):
     from gatefold.streaming.landing import score_stream, stream_samples
 
