@@ -1,7 +1,6 @@
 """Exact quantiles of groups of any size by two passes, with memory that doesn't depend on distinct values.
 
-The first pass counts values by a monotone bin of their sign, exponent and the first bits of their
-mantissa: at most a few thousand bins a group, combined before the shuffle.  Cumulative counts tell in
+The first pass counts values by a monotone bin of their sign and the logarithm of their size: at most a few thousand bins a group, combined before the shuffle.  Cumulative counts tell in
 which bins the wanted order statistics lie.  Only rows of bins that hold several different values are
 read again, counted by value.  `percentile` would hold every distinct value of a group in one buffer.
 """
@@ -15,17 +14,12 @@ from gatefold.functions.numeric import col, finite
 from gatefold.functions.storage import cut
 
 #: Bins of one power of two; rows of a table of wanted bins that may be broadcast.
-MANTISSA, BROADCAST_ROWS = 256, 100_000
+STEPS, BROADCAST_ROWS = 256, 100_000
 
 
 def order_bin(x: Column) -> Column:
-    """A whole number that never falls where x rises: (exponent, mantissa bits) of the double.
-
-    Where the logarithm rounds across a power of two, the mantissa term is -1 or MANTISSA and gives the same bin.
-    """
-    a = F.abs(x)
-    e = F.floor(F.log2(a))
-    b = (e + 1100) * MANTISSA + F.floor((a / F.pow(F.lit(2.0), e) - 1) * MANTISSA)
+    """A whole number that never falls where x rises: the logarithm of its size in steps, which is monotone, with its sign."""
+    b = F.floor((F.log2(F.abs(x)) + 1100) * STEPS)
     return F.when(x > 0, b).when(x < 0, -b).otherwise(F.lit(0)).cast("long")
 
 

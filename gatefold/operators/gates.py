@@ -15,25 +15,27 @@ from gatefold.functions.numeric import col, finite, log10_floor
 from gatefold.functions.quantiles import quantiles
 from gatefold.functions.storage import cut
 from gatefold.operators.thresholds import resolve
-from gatefold.operators.valley import SCATTER, Valley, density_valley
+from gatefold.operators.valley import SCATTER, Valley, density_valley, narrow
 from gatefold.sources.defaults import VIABILITY
 
 GATES = ("all_events", "leukocytes", "single_cells", "live_cells", "cd45_pos")
 
 
-def scatter_bounds(df: DataFrame, sample: str, fsc: str, ssc: str, settings: Valley = SCATTER, fallback_q: float = 0.60, fsc_hi_q: float = 0.999, ssc_q: tuple[float, float] = (0.005, 0.995)) -> DataFrame:
+def scatter_bounds(df: DataFrame, sample: str, fsc: str, ssc: str, settings: Valley = SCATTER, fallback_q: float = 0.60, fsc_hi_q: float = 0.999, ssc_q: tuple[float, float] = (0.005, 0.995), written: bool = False) -> DataFrame:
     """sample, fsc_lo, fsc_hi, ssc_lo, ssc_hi on log10 scale, and whether fsc_lo is a fallback."""
-    e = df.select(F.col(sample).alias("_s"), log10_floor(fsc).alias("_f"), log10_floor(ssc).alias("_y"))
-    v = density_valley(e, ["_s"], "_f", settings, (fallback_q, fsc_hi_q))
+    columns = [F.col(sample).alias("_s"), log10_floor(fsc).alias("_f"), log10_floor(ssc).alias("_y")]
+    e = df.select(*columns) if written else narrow(df, columns)
+    v = density_valley(e, ["_s"], "_f", settings, (fallback_q, fsc_hi_q), True)
     x = cut(v.select("_s", F.coalesce("cut", "q0").alias("fsc_lo"), F.col("q1").alias("fsc_hi"), F.col("cut").isNull().alias("fsc_fallback")), "scatter")
     inside = e.join(x, "_s").filter((F.col("_f") > F.col("fsc_lo")) & (F.col("_f") < F.col("fsc_hi"))).select("_s", "_y")
     y = quantiles(inside, ["_s"], "_y", list(ssc_q))
     return x.join(y, "_s", "left").select(F.col("_s").alias(sample), "fsc_lo", "fsc_hi", F.col("q")[0].alias("ssc_lo"), F.col("q")[1].alias("ssc_hi"), "fsc_fallback")
 
 
-def singlet_bounds(df: DataFrame, sample: str, ratio: Column, k: float = 3.0) -> DataFrame:
+def singlet_bounds(df: DataFrame, sample: str, ratio: Column, k: float = 3.0, written: bool = False) -> DataFrame:
     """sample, median, mad, lo, hi: median -/+ k scaled MADs of the ratio (its sd where the MAD is 0)."""
-    e = df.select(F.col(sample).alias("_s"), ratio.alias("_r")).filter(finite("_r"))
+    columns = [F.col(sample).alias("_s"), ratio.alias("_r")]
+    e = (df.select(*columns) if written else narrow(df, columns)).filter(finite("_r"))
     med = cut(quantiles(e, ["_s"], "_r", [0.5]).select("_s", F.col("q")[0].alias("median")), "median")
     away = e.join(med, "_s").select("_s", F.abs(F.col("_r") - F.col("median")).alias("_d"))
     mad = quantiles(away, ["_s"], "_d", [0.5]).select("_s", (1.4826 * F.col("q")[0]).alias("_mad"))
@@ -64,12 +66,12 @@ def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A",
     d = cut(df.select(sample, *[col(c) for c in have]), "channels")
     steps: list[tuple[str, str, DataFrame | None, Column]] = []
     lf, ls = log10_floor(fsc_a), log10_floor(ssc_a)
-    s = cut(scatter_bounds(d, sample, fsc_a, ssc_a).drop("fsc_fallback"), "scatter")
+    s = cut(scatter_bounds(d, sample, fsc_a, ssc_a, written=True).drop("fsc_fallback"), "scatter")
     steps.append(("leukocytes", "", s, (lf > F.col("fsc_lo")) & (lf < F.col("fsc_hi")) & (ls > F.col("ssc_lo")) & (ls < F.col("ssc_hi"))))
     inside = d.join(s, sample).filter(steps[0][3]).drop("fsc_lo", "fsc_hi", "ssc_lo", "ssc_hi")
     r = height_ratio(fsc_h, fsc_a) if fsc_h in have else None
     if r is not None:
-        b = cut(singlet_bounds(inside, sample, r, singlet_k).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")), "singlets")
+        b = cut(singlet_bounds(inside, sample, r, singlet_k, True).select(sample, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")), "singlets")
         steps.append(("single_cells", "leukocytes", b, (r > F.col("_lo")) & (r < F.col("_hi"))))
         inside = inside.join(b, sample).filter(steps[-1][3]).drop("_lo", "_hi")
     else:
@@ -80,7 +82,7 @@ def gate_events(df: DataFrame, sample: str = "sample_id", fsc_a: str = "FSC-A",
             steps.append((gate, parent, None, F.lit(True)))
             continue
         pick = lambda t: None if t is None else t.filter(F.col("marker") == marker)  # noqa: B023, E731
-        t = cut(resolve(inside.select(sample, col(marker).alias("value")), [sample], "value", pick(config), pick(control)), "thresholds")
+        t = cut(resolve(inside.select(sample, col(marker).alias("value")), [sample], "value", pick(config), pick(control), written=True), "thresholds")
         used = t.withColumn("marker", F.lit(marker)) if used is None else used.unionByName(t.withColumn("marker", F.lit(marker)))
         limit = f"_{gate}"
         hit = col(marker) > F.col(limit) if above else col(marker) < F.col(limit)

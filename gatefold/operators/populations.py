@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import all_of, any_of, col, finite
 from gatefold.functions.quantiles import quantiles
-from gatefold.operators.valley import INTERMEDIATE, Valley, density_valley
+from gatefold.operators.valley import INTERMEDIATE, Valley, density_valley, narrow
 
 Spec = dict[str, dict]
 ABOVE, BELOW, BETWEEN = "above", "below", "intermediate"
@@ -162,7 +162,8 @@ def marker_summary(scored: DataFrame, populations: list[str], markers: list[str]
     """
     member = F.filter(F.array(*[F.when(F.coalesce(col(prefix + p), F.lit(False)), F.lit(p)) for p in populations]), lambda p: p.isNotNull())
     values = F.array(*[F.struct(F.lit(m).alias("marker"), col(m).alias("x")) for m in markers])
-    long = scored.select(sample, F.explode(member).alias("population"), values.alias("v")).select(sample, "population", F.explode("v").alias("r")).select(sample, "population", "r.*")
+    base = narrow(scored, [sample, member.alias("_in"), values.alias("v")]).filter(F.size("_in") > 0)
+    long = base.select(sample, F.explode("_in").alias("population"), "v").select(sample, "population", F.explode("v").alias("r")).select(sample, "population", "r.*")
     t = thresholds.select(sample, "marker", "threshold")
     g = long.join(t, [sample, "marker"], "left").filter(finite("x")).groupBy(sample, "population", "marker")
     out = g.agg(F.count(F.lit(1)).alias("n_cells"), (100.0 * F.avg((F.col("x") > F.col("threshold")).cast("double"))).alias("pct_positive"))

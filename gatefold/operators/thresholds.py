@@ -10,14 +10,14 @@ from gatefold.functions.quantiles import quantiles
 from gatefold.operators.valley import Valley, density_valley
 
 
-def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame | None = None, control: DataFrame | None = None, control_q: float = 0.995, fallback_q: float = 0.90, settings: Valley = Valley(), min_control: int = 100) -> DataFrame:
+def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame | None = None, control: DataFrame | None = None, control_q: float = 0.995, fallback_q: float = 0.90, settings: Valley = Valley(), min_control: int = 100, written: bool = False) -> DataFrame:
     """keys, threshold, source and needs_review.
 
     Priority: config (keys, cfg_value), the density valley unless it lies below the control's quantile,
     the control's quantile (value, and any of the keys; over min_control values), the group's own fallback quantile.
     """
     x = col(value)
-    t = density_valley(values, keys, value, settings, (fallback_q,)).select(*keys, "cut", F.col("q0").alias("fallback"))
+    t = density_valley(values, keys, value, settings, (fallback_q,), written).select(*keys, "cut", F.col("q0").alias("fallback"))
     if config is not None:
         t = t.join(config.select(*keys, "cfg_value"), keys, "left")
     else:

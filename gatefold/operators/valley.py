@@ -102,8 +102,18 @@ def search(counts, s: Valley) -> tuple[int | None, float | None, int]:
     return (None, None, len(peaks)) if best is None else (best[1], best[2], len(peaks))
 
 
-def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valley(), extra: tuple[float, ...] = ()) -> DataFrame:
-    """keys, n, cut, rel_depth, n_peaks and reason (why there is no cut), one row a group of df; q0, ...: extra quantiles."""
+def narrow(df: DataFrame, columns: list) -> DataFrame:
+    """The columns alone, written once, so that passes over them don't repeat the joins and expressions behind them."""
+    return cut(df.select(*columns), "narrow")
+
+
+def density_valley(df: DataFrame, keys: list[str], value: str, s: Valley = Valley(), extra: tuple[float, ...] = (), written: bool = False) -> DataFrame:
+    """keys, n, cut, rel_depth, n_peaks and reason (why there is no cut), one row a group of df; q0, ...: extra quantiles.
+
+    written: df is a table that is cheap to read three times.
+    """
+    if not written:
+        df = narrow(df.filter(finite(value)), [*keys, col(value).alias(value)])
     h = histogram(df, keys, value, s, extra)
 
     @F.pandas_udf("bin int, rel double, peaks long")

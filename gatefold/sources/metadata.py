@@ -29,7 +29,7 @@ def sniff(first_line: str) -> str:
 def read_table(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """A CSV with ; or , as its first line has it, all columns as text; UTF-8, or latin1 where the file isn't that."""
     if encoding is None:
-        odd = spark.read.text(path).filter(F.contains("value", F.lit("\ufffd"))).limit(1).count()
+        odd = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
         encoding = "ISO-8859-1" if odd else "UTF-8"
     head = spark.read.text(path).limit(1).collect()
     sep = sniff(head[0][0]) if head else ","

@@ -136,3 +136,49 @@ def test_valley_finds_a_small_upper_mode():
 def test_setting_grid():
     g = setting_grid()
     assert len(set(g)) == 27 and all(isinstance(s, Valley) for s in g)
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "signs", "outliers"])
+def test_quantiles_are_exact(spark, kind):
+    from gatefold.functions.quantiles import order_bin, quantiles
+
+    rng = np.random.default_rng(3)
+    make = {
+        "spread": lambda n: rng.lognormal(3, 2, n), "ties": lambda n: rng.integers(0, 7, n).astype(float), "signs": lambda n: np.concatenate([rng.normal(0, 1, n - 3), [0.0, -0.0, 1e-300]]),
+        "outliers": lambda n: np.concatenate([rng.normal(5, 1e-6, n - 2), [1e12, -1e12]]),
+    }[kind]
+    data = {g: make(n) for g, n in (("a", 1), ("b", 2), ("c", 1001), ("d", 5000)) if n > 3 or kind in ("spread", "ties")}
+    rows = [(g, float(v)) for g, x in data.items() for v in x] + [("a", None), ("c", float("nan")), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = {r.g: r for r in quantiles(df, ["g"], "x", probs).collect()}
+    assert set(got) == set(data)
+    for g, x in data.items():
+        assert got[g].n == len(x) and np.allclose(got[g].q, np.quantile(x, probs), rtol=1e-12, atol=1e-300)
+    whole = np.concatenate(list(data.values()))
+    assert np.allclose(quantiles(df, [], "x", [0.5]).first().q, [np.quantile(whole, 0.5)], rtol=1e-12)
+    ordered = [r.b for r in df.filter("x is not null and not isnan(x)").select("x", order_bin(F.col("x")).alias("b")).orderBy("x").collect()]
+    assert ordered == sorted(ordered)
+
+
+def test_pooled_scales_follow_the_given_order(spark):
+    assert transforms.spaced(list("abcdefghij"), 4) == ["a", "d", "g", "j"]
+    by = {"b": 300.0, "a": 100.0, "c": 200.0}
+    assert transforms.pool_cofactor(by, 2)[0] == 150.0 and transforms.pool_cofactor(by, 2, order=["b", "a", "c"])[0] == 250.0
+    rows = [(s, "m", v * k) for k, s in enumerate("abc", 1) for v in (-10.0, -5.0, 100.0, 2000.0)]
+    p = transforms.pooled_logicle(spark.createDataFrame(rows, "sample_id string, marker string, value double"), ["c", "a", "b"], max_samples=2).first()
+    assert p.t == 6000.0  # c and b
+
+
+def test_rank_sums_from_counts_equal_rank_sums(spark):
+    from gatefold.operators import ranks
+
+    rng = np.random.default_rng(1)
+    rows = [(k, g, float(v)) for k in "xy" for g, n in (("a", 40), ("b", 30), ("c", 25)) for v in rng.integers(-4, 5, n) * 1.5 + (g == "b")]
+    df = spark.createDataFrame(rows, "k string, g string, v double")
+    one = {(r.k, r.comparison): r for r in ranks.rank_sum(ranks.against_reference(df, ["k"], "g", "v"), ["k"], "v").collect()}
+    two = {(r.k, r.comparison): r for r in ranks.rank_sum_counts(df, ["k"], "g", "v").collect()}
+    assert set(one) == set(two) and len(one) == 4
+    for key, r in one.items():
+        for c in ("n_reference", "n_comparison", "w", "z", "cliffs_delta"):
+            assert two[key][c] == pytest.approx(r[c], rel=1e-12)

@@ -135,3 +135,54 @@ def test_config_round_trip(tmp_path):
     c.save(tmp_path / "c.yaml", [{"marker": "CD3", "threshold": 1.5, "source": "valley", "needs_review": False}, {"marker": "CD3", "threshold": 9, "source": "valley", "needs_review": False}])
     d = metadata.RunConfig.load(tmp_path / "c.yaml")
     assert d.populations == c.populations and d.ratios == {"r": ("T", "B")} and d.threshold_rows() == [("CD3", 1.5)]
+
+
+def workbook(path, rows):
+    """A minimal workbook: shared strings for text, plain cells for numbers."""
+    import zipfile
+
+    shared: list[str] = []
+    body = ""
+    for i, row in enumerate(rows, 1):
+        body += f'<row r="{i}">'
+        for k, v in enumerate(row):
+            ref = f"{'ABCDEF'[k]}{i}"
+            if isinstance(v, str):
+                shared.append(v)
+                body += f'<c r="{ref}" t="s"><v>{len(shared) - 1}</v></c>'
+            elif v is not None:
+                body += f'<c r="{ref}"><v>{v}</v></c>'
+        body += "</row>"
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><t>{s}</t></si>" for s in shared) + "</sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+
+
+def test_counts_of_a_workbook(spark, tmp_path):
+    from gatefold.sources import metadata
+
+    workbook(tmp_path / "c.xlsx", [["sample", "in 1 mL blood", "T", "B"], ["S1", None, 1200, "250,0"], ["", None, None, None], ["S2", None, 900, None]])
+    got = sorted((r.sample_key, r.population, r.cells_per_ul) for r in metadata.read_counts(spark, f"file://{tmp_path}/c.xlsx").collect())
+    assert got == [("S1", "B", 0.25), ("S1", "T", 1.2), ("S2", "T", 0.9)]
+
+
+def test_encoding_is_found(spark, tmp_path):
+    from gatefold.sources import metadata
+
+    for name, code in (("a", "utf-8"), ("b", "latin1")):
+        (tmp_path / f"{name}.csv").write_bytes("id;Ort\n1;Köln\n".encode(code))
+        assert metadata.read_table(spark, f"file://{tmp_path}/{name}.csv").first().Ort == "Köln"
+
+
+def test_batches_come_from_the_first_table_that_has_them(spark):
+    from gatefold.sources import metadata
+
+    smap = spark.createDataFrame([("s1", " p1 ", "x"), ("s2", "P2", "y"), ("s3", None, "x")], "sample_id string, patient_id string, plate string")
+    patients = spark.createDataFrame([("P1", "HC", "m"), ("p2", "", "n")], "patient_id string, cohort string, site string")
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    assert rows(metadata.batch_of("plate", smap, patients)) == [("s1", "x"), ("s2", "y"), ("s3", "x")]
+    assert rows(metadata.batch_of("site", smap, patients)) == [("s1", "m"), ("s2", "n")]
+    assert rows(metadata.group_of(smap, patients, "cohort")) == [("s1", "HC")]
+    kw = spark.createDataFrame([("s1", {"$DATE": "1"}), ("s2", {"$DATE": "2"})], "sample_id string, keywords map<string,string>")
+    assert rows(metadata.batch_of("none", smap, patients, kw)) == [("s1", "1"), ("s2", "2")] and metadata.batch_of("none", smap, patients) is None
