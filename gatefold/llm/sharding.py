@@ -10,6 +10,8 @@ offsets (a table of shards x buckets), and rows are numbered inside their bucket
 
 Defined results: a null key is the key 'null'; equal keys go to the same shard and take successive
 slots (ties ordered by size and checksum); null text has size 1 and checksum 0.
+
+Limit: rows of one key are numbered in one task, so keys must be nearly unique, as record keys are.
 """
 
 from __future__ import annotations
