@@ -25,35 +25,35 @@ def order_bin(x: Column) -> Column:
 
 def order_statistics(df: DataFrame, keys: list[str], value: Column | str, positions) -> DataFrame:
     """keys, n and at: a map from position (from 0) to the value there; positions: n -> array column of positions."""
-    d = df.filter(finite(value)).select(*keys, col(value).cast("double").alias("_x"))
-    d = d.withColumn("_b", order_bin(F.col("_x")))
+    d = df.filter(finite(value)).select(*keys, col(value).cast("double").alias("_q_x"))
+    d = d.withColumn("_q_b", order_bin(F.col("_q_x")))
     by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    h = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    h = h.withColumn("_upto", F.sum("_c").over(by.orderBy("_b"))).withColumn("n", F.sum("_c").over(by))
-    h = h.withColumn("_before", F.col("_upto") - F.col("_c")).withColumn("_want", F.filter(positions(F.col("n")), lambda p: (p >= F.col("_before")) & (p < F.col("_upto"))))
-    want = cut(h.filter(F.size("_want") > 0).select(*keys, "n", "_b", "_before", "_lo", "_hi", "_want"), "bins")
-    known = want.filter("_lo = _hi").select(*keys, "n", F.explode("_want").alias("p"), F.col("_lo").alias("v"))
-    mixed = want.filter("_lo < _hi")
+    h = d.groupBy(*keys, "_q_b").agg(F.count(F.lit(1)).alias("_q_c"), F.min("_q_x").alias("_q_lo"), F.max("_q_x").alias("_q_hi"))
+    h = h.withColumn("_q_upto", F.sum("_q_c").over(by.orderBy("_q_b"))).withColumn("n", F.sum("_q_c").over(by))
+    h = h.withColumn("_q_before", F.col("_q_upto") - F.col("_q_c")).withColumn("_q_want", F.filter(positions(F.col("n")), lambda p: (p >= F.col("_q_before")) & (p < F.col("_q_upto"))))
+    want = cut(h.filter(F.size("_q_want") > 0).select(*keys, "n", "_q_b", "_q_before", "_q_lo", "_q_hi", "_q_want"), "bins")
+    known = want.filter("_q_lo = _q_hi").select(*keys, "n", F.explode("_q_want").alias("p"), F.col("_q_lo").alias("v"))
+    mixed = want.filter("_q_lo < _q_hi")
     if rows := mixed.count():
-        join_keys = [*keys, "_b"]
+        join_keys = [*keys, "_q_b"]
         side = mixed.select(*join_keys)
-        again = d.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, join_keys).groupBy(*join_keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
-        again = again.withColumn("_in", F.sum("_c").over(Window.partitionBy(*join_keys).orderBy("_x"))).join(mixed.select(*join_keys, "n", "_before", "_want"), join_keys)
-        last = F.col("_before") + F.col("_in")
-        hit = F.filter("_want", lambda p: (p < last) & (p >= last - F.col("_c")))
-        known = known.unionByName(again.select(*keys, "n", F.explode(hit).alias("p"), F.col("_x").alias("v")))
+        again = d.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, join_keys).groupBy(*join_keys, "_q_x").agg(F.count(F.lit(1)).alias("_q_c"))
+        again = again.withColumn("_q_in", F.sum("_q_c").over(Window.partitionBy(*join_keys).orderBy("_q_x"))).join(mixed.select(*join_keys, "n", "_q_before", "_q_want"), join_keys)
+        last = F.col("_q_before") + F.col("_q_in")
+        hit = F.filter("_q_want", lambda p: (p < last) & (p >= last - F.col("_q_c")))
+        known = known.unionByName(again.select(*keys, "n", F.explode(hit).alias("p"), F.col("_q_x").alias("v")))
     return known.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("p", "v"))).alias("at"))
 
 
 def quantiles(df: DataFrame, keys: list[str], value: Column | str, probs: list[float]) -> DataFrame:
     """keys, n and q: interpolated quantiles (the usual h = (n - 1) p) of the finite values."""
-    lo = lambda n, p: F.floor((n - 1) * F.lit(float(p)))
-    hi = lambda n, p: F.ceil((n - 1) * F.lit(float(p)))
-    s = order_statistics(df, keys, value, lambda n: F.array_distinct(F.array(*[f(n, p) for p in probs for f in (lo, hi)])))
-    n = F.col("n")
+    grid = F.array(*[F.lit(float(p)) for p in probs])
+    both = lambda n: F.flatten(F.transform(grid, lambda p: F.array(F.floor((n - 1) * p), F.ceil((n - 1) * p))))
+    s = order_statistics(df, keys, value, lambda n: F.array_distinct(both(n)))
+    n, at = F.col("n"), F.col("at")
 
-    def at(p: float) -> Column:
-        a, b = F.col("at")[lo(n, p)], F.col("at")[hi(n, p)]
-        return a + (b - a) * ((n - 1) * F.lit(float(p)) - lo(n, p))
+    def between(p: Column) -> Column:
+        a, b = at[F.floor((n - 1) * p)], at[F.ceil((n - 1) * p)]
+        return a + (b - a) * ((n - 1) * p - F.floor((n - 1) * p))
 
-    return s.select(*keys, "n", F.array(*[at(p) for p in probs]).alias("q"))
+    return s.select(*keys, "n", F.transform(grid, between).alias("q"))

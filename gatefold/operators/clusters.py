@@ -87,7 +87,7 @@ def by_size(df: DataFrame, cluster: str) -> DataFrame:
     """Clusters renumbered 1, 2, ... by size, the largest first."""
     n = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("_n"))
     order = n.withColumn("_new", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("_n"), cluster))).select(cluster, "_new")
-    return df.join(F.broadcast(order), cluster).withColumn(cluster, F.col("_new")).drop("_new")  # one row a cluster
+    return df.join(order, cluster).withColumn(cluster, F.col("_new")).drop("_new")  # one row a cluster; its size decides the join
 
 
 def unsupervised(df: DataFrame, features: list[str], key: str, n_clusters: int = 12, side: int = 10, epochs: int = 10, seed: int = 42) -> DataFrame:

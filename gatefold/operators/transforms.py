@@ -245,7 +245,8 @@ def scale_features(df: DataFrame, features: list[str], method: str = "robust", s
 def align_quantiles(df: DataFrame, value: str, batch: str, out: str, grid: int = 101, min_n: int = 10) -> DataFrame:
     """df with `out`: value mapped, batch by batch, from the batch's quantile grid onto the pooled one.
 
-    One pass makes the grids (an array a batch); rows meet their batch's grid by a join on batch.
+    One pass makes the grids (an array a batch); rows meet their batch's grid by a join on batch.  It is meant for the
+    bounded cell table: percentile holds a batch's distinct values.
     """
     x = col(value)
     probs = F.array(*[F.lit(i / (grid - 1)) for i in range(grid)])

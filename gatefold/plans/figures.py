@@ -18,7 +18,8 @@ def density_curve(df: DataFrame, keys: list[str], value: str, points: int = 512,
     """
     x = col(value)
     ok = df.filter(finite(x))
-    s = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).filter("n > 1 and hi > lo")
+    s = ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd")).filter("n > 1 and hi > lo")
+    s = s.join(quantiles(ok, keys, x, [0.25, 0.75]).select(*keys, "q"), keys)
     spread = F.least(F.col("sd"), (F.col("q")[1] - F.col("q")[0]) / 1.34)
     s = s.withColumn("h", 0.9 * F.when(spread > 0, spread).otherwise(F.col("sd")) * F.pow(F.col("n").cast("double"), F.lit(-0.2))).drop("q", "sd")
     b = ok.join(s, keys).withColumn("bin", F.least(F.lit(bins - 1), F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int")))
@@ -43,9 +44,8 @@ def hexbin(df: DataFrame, keys: list[str], x: str, y: str, n: int = 80) -> DataF
 
 def marker_limits(df: DataFrame, markers: list[str]) -> DataFrame:
     """marker, low, high: colour limits at the 1st and 99th percentile."""
-    one = df.agg(*[F.percentile(F.when(finite(m), col(m)), F.array(F.lit(0.01), F.lit(0.99))).alias(f"_{i}") for i, m in enumerate(markers)])
-    rows = F.array(*[F.struct(F.lit(m).alias("marker"), F.col(f"_{i}")[0].alias("low"), F.col(f"_{i}")[1].alias("high")) for i, m in enumerate(markers)])
-    return one.select(F.explode(rows).alias("r")).select("r.*")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).cast("double").alias("v")) for m in markers])).alias("r")).select("r.*")
+    return quantiles(long, ["marker"], "v", [0.01, 0.99]).select("marker", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
 
 
 def group_bars(freq: DataFrame, groups: DataFrame, value: str = "pct_of_cd45_pos", sample: str = "sample_id", group: str = "group") -> DataFrame:

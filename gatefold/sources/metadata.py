@@ -217,9 +217,10 @@ def match_counts(counts: DataFrame, smap: DataFrame) -> DataFrame:
     by_patient = keys.join(smap.select("sample_id", norm_id("patient_id").alias("_k")), norm_id("sample_key") == F.col("_k")).select("sample_key", "sample_id", F.lit(1).alias("how"))
     stem = F.upper(F.regexp_replace("file", r"(?i)[.]fcs$", ""))
     k = norm_id(F.regexp_replace("sample_key", r"(?i)[.]fcs$", ""))
-    cut = F.substring(stem, F.length(stem) - F.length(k), F.lit(1))
-    fits = (stem == k) | (F.endswith(stem, k) & cut.isin("_", " ", "-"))
-    by_file = keys.join(F.broadcast(smap.select("sample_id", "file")), fits).select("sample_key", "sample_id", F.lit(2).alias("how"))  # a cohort's file list
+    # the stem and what follows each of its delimiters, so that keys meet files by equality
+    tails = lambda s: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda i: F.substring(s, i, F.lit(1)).isin("_", " ", "-")), lambda i: F.substring(s, i + 1, F.length(s)))
+    ends = smap.select("sample_id", stem.alias("_s")).select("sample_id", F.explode(F.array_distinct(F.concat(F.array("_s"), tails(F.col("_s"))))).alias("_k"))
+    by_file = keys.withColumn("_k", k).join(ends.filter("_k <> ''"), "_k").select("sample_key", "sample_id", F.lit(2).alias("how"))
     both = by_patient.unionByName(by_file)
     first = both.groupBy("sample_key").agg(F.min("how").alias("how"))
     hits = both.join(first, ["sample_key", "how"])
