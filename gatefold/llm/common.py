@@ -63,15 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, tag: str, parts: tuple[str, ...] = (), **options: str) -> DataFrame:
+    """Write df as Parquet in the shared folder, in a folder for each value of parts, and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gatefold/{tag}-{uuid.uuid4().hex}"
     before = spark.conf.get(FREE_SHUFFLES, None)
     try:
         if before is not None:
             spark.conf.set(FREE_SHUFFLES, "true")
-        df.write.options(**options).parquet(path)
+        df.write.options(**options).partitionBy(*parts).parquet(path)
     finally:
         if before is not None:
             spark.conf.set(FREE_SHUFFLES, before)

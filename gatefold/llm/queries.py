@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gatefold.llm.byte_bpe import op7_byte_bpe
 from gatefold.llm.chat import op4_role_repair
 from gatefold.llm.line_dedup import OP3_SQL, op3_line_dedup
+from gatefold.llm.manifest import OP11_SQL, op11_merkle_manifest
 from gatefold.llm.matroska import op2_matroska
 from gatefold.llm.mixing import OP10_SQL, op10_mix_targets
 from gatefold.llm.near_dedup import op1_near_dedup
@@ -17,7 +18,7 @@ from gatefold.llm.rans_ids import op6_rans_ids
 from gatefold.llm.sharding import OP9_SQL, op9_rendezvous_shards
 from gatefold.llm.suffix_dedup import op8_suffix_dedup
 
-OPERATORS = (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op8_suffix_dedup, op9_rendezvous_shards, op10_mix_targets)
+OPERATORS = (op1_near_dedup, op2_matroska, op3_line_dedup, op4_role_repair, op5_kneser_ney, op6_rans_ids, op7_byte_bpe, op8_suffix_dedup, op9_rendezvous_shards, op10_mix_targets, op11_merkle_manifest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op9_rendezvous_shards": OP9_SQL, "op10_mix_targets": OP10_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op9_rendezvous_shards": OP9_SQL, "op10_mix_targets": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
