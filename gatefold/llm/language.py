@@ -99,7 +99,8 @@ class Landmarks:
         return np.concatenate([f, np.ones((len(f), 1))], axis=1)
 
 
-def landmarks(sets: list[np.ndarray]) -> Landmarks:
+def landmarks(sets: list[np.ndarray], root: np.ndarray | None = None) -> Landmarks:
+    """Landmarks from their n-grams; root, if it is known, isn't worked out again."""
     columns = np.zeros((SIZE, len(sets)), np.float32)
     grams, starts = np.concatenate(sets), [0]
     for k, g in enumerate(sets):
@@ -107,10 +108,12 @@ def landmarks(sets: list[np.ndarray]) -> Landmarks:
         starts += [starts[-1] + x for x in (cut[1:] - cut[0]).tolist()][:ORDERS]
         scale = 1 / np.sqrt(np.maximum(np.diff(cut), 1))
         columns[g, k] = scale[g >> BITS]
-    kernel = products(grams, np.array(starts), columns)
-    value, vector = np.linalg.eigh((kernel + kernel.T) / 2)
-    good = value > 1e-6 * value[-1]
-    return Landmarks(columns, (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T)
+    if root is None:
+        kernel = products(grams, np.array(starts), columns)
+        value, vector = np.linalg.eigh((kernel + kernel.T) / 2)
+        good = value > 1e-6 * value[-1]
+        root = (vector[:, good] / np.sqrt(value[good])) @ vector[:, good].T
+    return Landmarks(columns, root)
 
 
 @dataclass
@@ -137,7 +140,8 @@ def sampled_sets(rows: DataFrame, sample: int) -> DataFrame:
     n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     h = F.xxhash64(F.lower("text"))
     unit = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
-    few = rows.join(n, "lang").filter(unit < 1.5 * sample / F.col("n")).groupBy("lang", h.alias("h")).agg(F.min(F.lower("text")).alias("text"))
+    # one row a language, and the model holds 1 MB of weights for each
+    few = rows.join(F.broadcast(n), "lang").filter(unit < 1.5 * sample / F.col("n")).groupBy("lang", h.alias("h")).agg(F.min(F.lower("text")).alias("text"))
     first = few.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("_k") <= sample).drop("_k")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,12 +172,14 @@ def fit(rows: DataFrame, sample: int = SAMPLE, total: int = LANDMARKS) -> Model
     each = max(PER_LANGUAGE, total // len(names))
     pick = Window.partitionBy("lang").orderBy(F.size("grams") > WIDE, "h")
     marks = sets.withColumn("_k", F.row_number().over(pick)).filter(F.col("_k") <= each).orderBy("lang", "h").select("grams").collect()
-    base = landmarks([np.array(r[0], np.int32) for r in marks])
-    shared = spark.sparkContext.broadcast((base, {x: i for i, x in enumerate(names)}, np.array([1 / count[x] for x in names])))
+    chosen = [np.array(r[0], np.int32) for r in marks]
+    base = landmarks(chosen)
+    # the n-grams, from which a task builds the columns: the dense table would be a hundred times as large
+    shared = spark.sparkContext.broadcast((chosen, base.root, {x: i for i, x in enumerate(names)}, np.array([1 / count[x] for x in names])))
 
     def sums(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, place, weight = shared.value
-        gram = target = 0.0
+        chosen, root, place, weight = shared.value
+        base, gram, target = landmarks(chosen, root), 0.0, 0.0
         for b in it:
             lists, lang = b.column(1), np.array([place[x] for x in b.column(0).to_pylist()])
             starts = lists.offsets.to_numpy().astype(np.int64)
