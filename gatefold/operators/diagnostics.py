@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
+from gatefold.functions.ordering import places
 from gatefold.functions.quantiles import quantiles
+from gatefold.functions.storage import cut
 from gatefold.functions.tails import p_chi2, p_normal
 from gatefold.operators.compositional import cramers_v, cramers_verdict
+from gatefold.operators.neighbours import nearest
 from gatefold.operators.ranks import against_reference, bh_adjust, kruskal, rank_sum, rank_sum_counts
 from gatefold.operators.transforms import align_quantiles
 
@@ -77,18 +80,9 @@ def subcluster_shifts(cells: DataFrame, markers: list[str], group: str, referenc
     )
 
 
-def neighbours(points: DataFrame, key: str, coords: str, k: int, max_points: int = 4000, seed: str = "nn") -> DataFrame:
-    """key, neighbour, place: the k nearest other points of a bounded, hash-drawn sample (max_points, a documented limit).
-
-    coords is an array column.  The sample is one broadcast array of at most max_points points; each row ranks
-    it in place, so no pair of rows is shuffled.
-    """
-    draw = points.select(key, coords).orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")).cast("binary")), key).limit(max_points)
-    all_ = draw.agg(F.collect_list(F.struct(F.col(key).alias("j"), F.col(coords).alias("c"))).alias("_all"))
-    d2 = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u.cast("double") - v) * (u.cast("double") - v)), F.lit(0.0), lambda t, v: t + v)
-    each = draw.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).join(F.broadcast(all_))
-    near = F.slice(F.array_sort(F.transform(F.filter("_all", lambda p: p["j"] != F.col(key)), lambda p: F.struct(d2(F.col(coords), p["c"]).alias("d2"), p["j"].alias("j")))), 1, k)
-    return each.select(key, F.posexplode(near).alias("place", "n")).select(key, F.col("n.j").alias("neighbour"), (F.col("place") + 1).alias("place"))
+def neighbours(points: DataFrame, key: str, coords: str, k: int) -> DataFrame:
+    """key, neighbour, place: the k nearest other points of every point; coords is an array column."""
+    return nearest(points, key, coords, k).drop("d2")
 
 
 def lisi(edges: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -98,24 +92,22 @@ def lisi(edges: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame
     return s.select(key, (F.col("_n") * F.col("_n") / F.col("_q")).alias("lisi"))
 
 
-def batch_mixing(points: DataFrame, key: str, coords: str, batch: str, group: str | None = None, k: int = 30, n_perm: int = 20, max_points: int = 4000, min_cells: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame | None] | None:
-    """Observed median LISI against permuted labels, and the confounding of batch with group.
+def batch_mixing(points: DataFrame, key: str, coords: str, batch: str, group: str | None = None, k: int = 30, n_perm: int = 20, min_cells: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame | None] | None:
+    """Observed median LISI against permuted labels, and the confounding of batch with group, over all points.
 
-    The neighbour graph is built once; every permutation only reassigns labels to it.
+    The neighbour graph is built once and written; every permutation only reassigns labels to it: the point at a place in
+    the order of keys gets the label at that place in the order of hashes.
     """
     pts = points.filter(col(batch).isNotNull())
-    edges = neighbours(pts, key, coords, k, max_points).persist()
+    edges = cut(neighbours(pts, key, coords, k), "edges")
     ids = edges.select(key).distinct()
-    lab = pts.join(ids, key).select(key, F.col(batch).alias("_b"))
+    lab = cut(pts.join(ids, key).select(key, F.col(batch).alias("_b")), "labels")
     if lab.count() < min_cells:
-        edges.unpersist()
         return None
-    order = Window.partitionBy("perm").orderBy("_h", key)
-    plain = Window.partitionBy("perm").orderBy(key)
     perms = lab.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(n_perm)))).withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "perm", F.col(key).cast("string")).cast("binary")))
-    a = perms.select("perm", "_b", F.row_number().over(order).alias("r"))
-    b = perms.select("perm", key, F.row_number().over(plain).alias("r"))
-    shuffled = b.join(a, ["perm", "r"]).select("perm", F.col(key).alias("neighbour"), "_b").unionByName(lab.select(F.lit(0).alias("perm"), F.col(key).alias("neighbour"), "_b"))
+    a = places(perms, ["perm"], ["_h", key], "r").select("perm", "_b", "r")
+    b = places(lab.select(key), [], [key], "r")
+    shuffled = a.join(b, "r").select("perm", F.col(key).alias("neighbour"), "_b").unionByName(lab.select(F.lit(0).alias("perm"), F.col(key).alias("neighbour"), "_b"))
     c = edges.join(shuffled, "neighbour").groupBy("perm", key, "_b").agg(F.count(F.lit(1)).cast("double").alias("_c"))
     s = c.groupBy("perm", key).agg((F.sum("_c") * F.sum("_c") / F.sum(F.col("_c") * F.col("_c"))).alias("lisi"))
     med = s.groupBy("perm").agg(F.percentile("lisi", F.lit(0.5)).alias("m"))

@@ -1,4 +1,4 @@
-"""Two-dimensional embeddings: principal components over distributed moments, a saved model, and projection into it."""
+"""Principal components over distributed moments, a saved model, and projection into it; layout.py has the neighbour embedding."""
 
 from __future__ import annotations
 
@@ -16,11 +16,7 @@ class MissingFeatures(ValueError):
 
 
 def fit_pca(df: DataFrame, features: list[str]) -> dict:
-    """Mean, scale and two leading axes from one aggregation of first and second moments.
-
-    The embedding is linear and deterministic; it stands in for a neighbour embedding and doesn't claim
-    to equal one.
-    """
+    """Mean, scale and two leading axes from one aggregation of first and second moments."""
     x = [F.when(finite(f), col(f)).otherwise(0.0) for f in features]
     k = len(features)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
@@ -38,7 +34,7 @@ def fit_pca(df: DataFrame, features: list[str]) -> dict:
     return {"features": features, "mean": [float(one[f"m{i}"]) for i in range(k)], "scale": scale.tolist(), "axes": axes.tolist()}
 
 
-def project(df: DataFrame, model: dict, out: tuple[str, str] = ("umap_1", "umap_2")) -> DataFrame:
+def project(df: DataFrame, model: dict, out: tuple[str, str] = ("pc_1", "pc_2")) -> DataFrame:
     """df with two coordinates; a feature that the model needs and df lacks is an error."""
     gone = [f for f in model["features"] if f not in df.columns]
     if gone:

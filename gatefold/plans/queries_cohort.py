@@ -211,7 +211,7 @@ def _(spark, sf):
 # ---------------------------------------------------------------- mixing of batches
 @query("batch_mixing", """
 WITH p AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN 'a' ELSE 'b' END AS b, list_transform(embedding[1:4], lambda v: round(CAST(v AS DOUBLE), 4)) AS x FROM embeddings),
-s AS (SELECT * FROM p ORDER BY md5('nn|' || vec_id), vec_id LIMIT 4000),
+s AS (SELECT * FROM p),
 d AS (SELECT a.vec_id, c.vec_id AS nb, row_number() OVER (PARTITION BY a.vec_id ORDER BY pow(a.x[1] - c.x[1], 2) + pow(a.x[2] - c.x[2], 2) + pow(a.x[3] - c.x[3], 2) + pow(a.x[4] - c.x[4], 2), c.vec_id) AS r FROM s a JOIN s c ON a.vec_id <> c.vec_id),
 e AS (SELECT vec_id, nb FROM d WHERE r <= 30), q AS (SELECT vec_id, b, perm FROM s CROSS JOIN range(1, 21) AS t(perm)),
 l1 AS (SELECT perm, b, row_number() OVER (PARTITION BY perm ORDER BY md5('42|' || perm || '|' || vec_id), vec_id) AS r FROM q), l2 AS (SELECT perm, vec_id, row_number() OVER (PARTITION BY perm ORDER BY vec_id) AS r FROM q),

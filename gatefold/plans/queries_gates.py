@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
-from gatefold.functions.storage import cut
-from gatefold.operators import embedding, gate_learning, polygons, populations, ranks, uncertainty
+from gatefold.functions.storage import cut, storage_root
+from gatefold.operators import embedding, gate_learning, layout, neighbours, polygons, populations, ranks, uncertainty
 from gatefold.operators.polygons import Level
 from gatefold.operators.transforms import Transform
 from gatefold.plans import figures
@@ -116,7 +117,38 @@ def _(spark, sf):
 def _(spark, sf):
     e = embedding_columns(spark, sf, 6)
     m = embedding.fit_pca(e, [f"e{i}" for i in range(6)])
-    return embedding.project(e, m).select("vec_id", "umap_1", "umap_2")
+    return embedding.project(e, m).select("vec_id", "pc_1", "pc_2")
+
+
+@query("nearest_neighbours", """
+WITH p AS (SELECT vec_id, list_transform(embedding[1:4], lambda v: round(CAST(v AS DOUBLE), 4)) AS x FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS neighbour, pow(a.x[1] - b.x[1], 2) + pow(a.x[2] - b.x[2], 2) + pow(a.x[3] - b.x[3], 2) + pow(a.x[4] - b.x[4], 2) AS d2 FROM p a JOIN p b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, neighbour) AS place FROM d)
+SELECT vec_id, neighbour, CAST(place AS INTEGER) AS place, round(d2, 9) AS d2 FROM r WHERE place <= 10
+""")
+def _(spark, sf):
+    return neighbours.nearest(_points(spark, sf), "vec_id", "xy", 10).select("vec_id", "neighbour", "place", F.round("d2", 9).alias("d2"))
+
+
+def _points(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 4), lambda v: F.round(v.cast("double"), 4)).alias("xy"))
+
+
+@query("neighbour_embedding")
+def _(spark, sf):
+    return layout.layout(_points(spark, sf), "vec_id", "xy", 15).select("vec_id", F.col("x").alias("umap_1"), F.col("y").alias("umap_2"))
+
+
+@query("layout_projection", "SELECT vec_id, true AS lands_on_itself FROM embeddings WHERE embedding[1] IS NOT NULL")
+def _(spark, sf):
+    # places of a stored layout are given, so that the projection alone is at work
+    p = embedding_columns(spark, sf, 4)
+    made = p.select("vec_id", (F.col("e0") * 10).alias("x"), (F.col("e1") * 10).alias("y"))
+    path = f"{storage_root(spark)}/layout-{uuid.uuid4().hex}"
+    layout.save(p, "vec_id", made, ["e0", "e1", "e2", "e3"], [0.0] * 4, [1.0] * 4, path, k=15)
+    new = layout.place_new(p, "vec_id", layout.load(spark, path)).withColumnsRenamed({"x": "nx", "y": "ny"})
+    near = F.greatest(F.abs(F.col("x") - F.col("nx")), F.abs(F.col("y") - F.col("ny"))) < 1e-9
+    return made.join(new, "vec_id").select("vec_id", near.alias("lands_on_itself"))
 
 
 # ---------------------------------------------------------------- metadata and files
