@@ -1,21 +1,23 @@
 """Quality rules: base counts of every text and a band of n-gram perplexity for each language.
 
-The language model is a character model: texts become strings of 64 symbol classes (letters without case,
-digits, marks, bytes of other characters), of which Spark counts all ORDER-grams of all documents by
-language.  Interpolated modified Kneser-Ney smoothing turns the counts into sorted arrays of n-gram
-codes with log probabilities, and of contexts with back-off weights, one task a language.
-64 ** ORDER = 2**24 codes bound a language's arrays at any corpus size, language codes are two letters,
-and models are broadcast in groups of languages of at most GROUP_BYTES, each group scoring its own documents.
-
-A document's perplexity is that of its words: the negative log probability of all its symbols over the
-number of its words.  It is rejected if its base counts fail, or if that mean lies outside its language's
-band around the median of all documents that pass the base rules: LOW standard errors below, HIGH above.
-The mean of n words scatters with a / sqrt(n), with a robust estimate of a for each language, and by FLOOR of the
-median from text to text.
-
-Defined results: null or empty text has no words and fails; null and odd languages, and languages of fewer
-than MIN_DOCS documents, share one model and band, 'xx'; bands of few documents are wider, by 10 / documents;
-repeated rows are counted each time and judged alike; an empty table gives an empty table; other columns don't matter.
+The language model is a character model: texts become strings of 32 symbol classes (letters without case, capitals,
+digits, marks, symbols, blanks; bytes of other characters share the letters' classes), of which Spark counts all ORDER-grams
+of the documents that may teach: at least MIN_WORDS words, at most one symbol character for ten words, at most
+CAPITALS of the letters capitals.  Every language starts from the counts of all languages together, scaled
+to PRIOR symbols, so a language of few documents is mostly the pooled model and a large one its own, without a switch.
+Interpolated modified Kneser-Ney smoothing turns the counts into sorted arrays of n-gram codes with log
+probabilities, and of contexts with back-off weights, one task a language.  32 ** ORDER = 2**25 codes bound a language's
+arrays at any corpus size, language codes are two letters, and models are broadcast in groups of languages of
+at most GROUP_BYTES, each group scoring its own documents.
+
+A document's perplexity is that of its symbols, whichever documents taught.  It is rejected if its base counts fail, or if its mean
+surprise lies outside its language's band: LOW standard errors below and HIGH above the median of all documents that pass
+the base rules.  The mean of n symbols scatters with a / sqrt(n), with a robust estimate of a for each language, and by FLOOR of the
+median from text to text; median and a are shrunk towards those of all documents by SHRINK documents.
+
+Defined results: null or empty text has no words and fails; null and odd languages are one language, 'xx'; bands of
+few documents are wider, by 10 / documents; repeated rows are counted each time and judged alike; an empty table gives an
+empty table; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -31,12 +33,15 @@ from pyspark.sql import functions as F
 
 from gatefold.llm.common import MIX2, SPACE, Words, discard, mix64, prefix_hash, span_hash, stored, table, text_parts, windows
 
-ORDER, BITS = 4, 6
+ORDER, BITS = 5, 5
 #: Standard errors below and above the median, and a text's own scatter as a share of the median.
-LOW, HIGH, FLOOR = 2.5, 4.0, 0.01
-#: Documents from which a language has a model of its own; bins for one unit of mean surprise, which are as many at any size:
-#: values beyond MOST count as MOST, which no quartile comes near.
-MIN_DOCS, BIN, MOST = 50, 200, 64.0
+LOW, HIGH, FLOOR = 4.0, 4.0, 0.01
+#: Symbols of the pooled model that every language starts from; documents by which its band is shrunk towards the pooled one.
+PRIOR, SHRINK = 1 << 17, 10
+#: Bins for one unit of mean surprise, which are as many at any size: values beyond MOST count as MOST, which no quartile comes near.
+BIN, MOST = 200, 64.0
+#: Of documents that teach: words for one symbol character, share of capitals among letters.
+SYMBOL_WORDS, CAPITALS = 10, 0.3
 GROUP_BYTES = 256 << 20
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Characters that count as symbols (fixed values).
@@ -44,16 +49,15 @@ SYMBOLS = "#*$%&|<>"
 
 
 def symbol_classes() -> np.ndarray:
-    """Class of each byte: 0 boundary, 1 blank, 2 newline, letters, digit, marks, the rest, trailing bytes of UTF-8."""
-    c = np.full(256, 48, np.uint8)
-    c[0], c[10] = 0, 2
-    c[[32, 9, 11, 12, 13]] = 1
-    for k in range(26):
-        c[65 + k] = c[97 + k] = 3 + k
-    c[48:58] = 29
-    for k, m in enumerate(".,;:!?'\"-()|#*$%&<>"):
-        c[ord(m)] = 30 + min(k, 17)
-    c[128:192] = 49 + np.arange(64) % 15
+    """Class of each byte: 0 boundary, 1 blank, letters, digit, mark, symbol, capital; other characters by their trailing bytes, among the letters."""
+    c = np.full(256, 31, np.uint8)
+    c[0] = 0
+    c[[32, 9, 10, 11, 12, 13]] = 1
+    c[97:123] = 2 + np.arange(26)
+    c[48:58] = 28
+    c[[ord(m) for m in ".,;:!?'\"-()"]] = 29
+    c[[ord(m) for m in SYMBOLS]] = 30
+    c[128:192] = 2 + np.arange(64) % 26
     return c
 
 
@@ -68,12 +72,15 @@ def language(lang):
     return F.when(low.rlike("^[a-z]{2}$"), low).otherwise("xx")
 
 
-def shared_languages(docs: DataFrame, lang: str = "lang", min_docs: int = MIN_DOCS):
-    """The model's name for each row's language: its own, or 'xx' where that has fewer than min_docs documents."""
-    n = docs.groupBy(language(F.col(lang)).alias("l")).count()
-    own = [r[0] for r in n.filter(F.col("count") >= min_docs).select("l").collect()]  # two letters: at most 677
-    code = language(F.col(lang))
-    return F.when(code.isin(own), code).otherwise("xx") if own else F.lit("xx")
+def teaching(texts: list[bytes]) -> np.ndarray:
+    """Whether each text may teach the model."""
+    raw = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    edge = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+    count = lambda x: np.add.reduceat(x, edge[:-1], dtype=np.int64) if len(texts) else np.zeros(0, np.int64)
+    gap = SPACE[raw]
+    words = count(np.concatenate((gap[:-1] & ~gap[1:], [False])))
+    capitals, small = count((raw >= 65) & (raw <= 90)), count((raw >= 97) & (raw <= 122))
+    return (words >= MIN_WORDS) & (SYMBOL_WORDS * count(SYMBOL_BYTE[raw]) <= words) & (capitals <= CAPITALS * (capitals + small))
 
 
 def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,8 +106,8 @@ def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[np.cumsum(inside[:-1]) > 0], np.concatenate(([0], np.cumsum(lens)))
 
 
-def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", names=None) -> DataFrame:
-    """(lang, code, n) over all documents; names: model of each row, by default its language."""
+def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, code, n) over all documents that may teach."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -115,9 +122,9 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", names=
 
         for b in it:
             for i, j, texts in text_parts(b, 1, 2 << 20):
-                langs = np.array(b.column(0)[i:j].to_pylist(), str)
-                for x in np.unique(langs).tolist():
-                    code, _ = codes_of([texts[k] for k in np.flatnonzero(langs == x)])
+                langs, teach = np.array(b.column(0)[i:j].to_pylist(), str), teaching(texts)
+                for x in np.unique(langs[teach]).tolist():
+                    code, _ = codes_of([texts[k] for k in np.flatnonzero(teach & (langs == x))])
                     parts = held.setdefault(x, [])
                     parts.append(np.unique(code, return_counts=True))
                     if len(parts) >= 16:
@@ -128,10 +135,19 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", names=
                 part = code[s : s + 100_000]
                 yield pa.record_batch([pa.repeat(pa.scalar(x), len(part)), pa.array(part, pa.int32()), pa.array(n[s : s + 100_000], pa.int64())], ["lang", "code", "n"])
 
-    found = docs.select((language(F.col(lang)) if names is None else names).alias("lang"), text).mapInArrow(run, "lang string, code int, n long")
+    found = docs.select(language(F.col(lang)).alias("lang"), text).mapInArrow(run, "lang string, code int, n long")
     return found.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
+def with_prior(counts: DataFrame, names: list[str], prior: int = PRIOR) -> DataFrame:
+    """counts of every language plus those of all languages, scaled to `prior` symbols at most and rounded."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, prior / max(total, 1))
+    pooled = counts.groupBy("code").agg(F.floor(F.sum("n") * share + 0.5).alias("n")).filter("n > 0")
+    every = pooled.select(F.explode(F.array(*[F.lit(x) for x in names])).alias("lang"), "code", "n")
+    return counts.unionByName(every).groupBy("lang", "code").agg(F.sum("n").alias("n"))
+
+
 # ---------------------------------------------------------------- model
 @dataclass
 class Level:
@@ -211,7 +227,7 @@ def unpacked(data: bytes) -> list[Level]:
 
 
 def fit(counts: DataFrame) -> DataFrame:
-    """(lang, size, model): one row a language, whose at most 2**24 counts meet in one task."""
+    """(lang, size, model): one row a language, whose at most 2**25 counts meet in one task."""
 
     def one(t: pa.Table) -> pa.Table:
         code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
@@ -281,8 +297,8 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def score_documents(docs: DataFrame, models: dict[str, bytes], doc_id: str = "doc_id", text: str = "text", lang: str = "lang", names=None) -> DataFrame:
-    """doc_id, th (hash of the text), lang, base counts and surprise: negative log probability of the text over its words."""
+def score_documents(docs: DataFrame, models: dict[str, bytes], doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """doc_id, th (hash of the text), lang, base counts, n_scored (symbols) and surprise: their mean negative log probability."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +307,7 @@ def score_documents(docs: DataFrame, models: dict[str, bytes], doc_id: str = "do
             for i, j, part in text_parts(b, 3):
                 counts = base_counts(part)
                 langs = np.array(b.column(2)[i:j].to_pylist(), str)
-                surprise, n = np.full(len(part), np.nan), counts["n_words"]
+                surprise, n = np.full(len(part), np.nan), np.zeros(len(part), np.int64)
                 for x in np.unique(langs).tolist():
                     own = np.flatnonzero(langs == x)
                     code, at = codes_of([part[k] for k in own])
@@ -299,13 +315,14 @@ def score_documents(docs: DataFrame, models: dict[str, bytes], doc_id: str = "do
                         if x not in ready:
                             ready[x] = unpacked(models[x])
                         total = np.concatenate(([0.0], np.cumsum(score(ready[x], code), dtype=np.float64)))
-                        some = (np.diff(at) > 0) & (n[own] > 0)
+                        n[own] = np.diff(at)
+                        some = (n[own] > 0) & (counts["n_words"][own] > 0)
                         surprise[own[some]] = -(total[at[1:]] - total[at[:-1]])[some] / n[own[some]]
                 cols = [pa.array(counts[c].astype(np.int64)) for c in COUNTS]
-                yield pa.record_batch([b.column(0)[i:j], b.column(1)[i:j], b.column(2)[i:j], *cols, pa.array(np.round(surprise, 6), pa.float64(), mask=np.isnan(surprise))], ["doc_id", "th", "lang", *COUNTS, "surprise"])
+                yield pa.record_batch([b.column(0)[i:j], b.column(1)[i:j], b.column(2)[i:j], *cols, pa.array(n), pa.array(np.round(surprise, 6), pa.float64(), mask=np.isnan(surprise))], ["doc_id", "th", "lang", *COUNTS, "n_scored", "surprise"])
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), (language(F.col(lang)) if names is None else names).alias("lang"), text)
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, th long, lang string, {', '.join(f'{c} long' for c in COUNTS)}, surprise double")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), language(F.col(lang)).alias("lang"), text)
+    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, th long, lang string, {', '.join(f'{c} long' for c in COUNTS)}, n_scored long, surprise double")
 
 
 def base_failed():
@@ -322,31 +339,39 @@ def quartiles(rows: DataFrame, value, width: float) -> DataFrame:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """lang, mid, a (scatter of one word) and wide, over all documents that pass the base rules."""
-    rows = scored.filter(~F.col("base_failed") & F.col("surprise").isNotNull())
-    mids = quartiles(rows, F.col("surprise"), 1 / BIN).select("lang", F.col("q2").alias("mid"))
-    near = rows.join(F.broadcast(mids), "lang")  # one row a language: two letters, so at most 677
-    spread = quartiles(near, (F.col("surprise") - F.col("mid")) * F.sqrt("n_words"), 10 / BIN)
+    """lang, mid, a (scatter of one symbol) and wide, over all documents that pass the base rules."""
+    rows = scored.filter(~F.col("base_failed") & F.col("surprise").isNotNull()).select("lang", "surprise", "n_scored")
+    both = rows.unionByName(rows.withColumn("lang", F.lit("")))  # '' is all languages together
+    pool = lambda t: t.filter("lang = ''").drop("lang")
+    shrunk = lambda own, pooled: (F.col("docs") * F.col(own) + SHRINK * F.col(pooled)) / (F.col("docs") + SHRINK)
+    # tables of one row a language: two letters, so at most 678
+    q = quartiles(both, F.col("surprise"), 1 / BIN).select("lang", "docs", F.col("q2").alias("own"))
+    mids = q.join(F.broadcast(pool(q).select(F.col("own").alias("pooled")))).select("lang", shrunk("own", "pooled").alias("mid"))
+    near = both.join(F.broadcast(mids), "lang")
     # 1.349: interquartile range of a normal distribution in standard deviations
-    return mids.join(spread, "lang").select("lang", "mid", ((F.col("q3") - F.col("q1")) / 1.349).alias("a"), (1 + 10 / F.col("docs")).alias("wide"))
+    d = quartiles(near, (F.col("surprise") - F.col("mid")) * F.sqrt("n_scored"), 10 / BIN).select("lang", "docs", ((F.col("q3") - F.col("q1")) / 1.349).alias("own"))
+    spread = d.join(F.broadcast(pool(d).select(F.col("own").alias("pooled")))).select("lang", shrunk("own", "pooled").alias("a"), (1 + 10 / F.col("docs")).alias("wide"))
+    return mids.join(spread, "lang")
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Every document's counts, surprise, perplexity, base_failed and kept."""
-    names = shared_languages(docs, lang)
-    models = stored(fit(count_ngrams(docs, text, lang, names)), "models")
-    groups = groups_of([(r["lang"], r["size"]) for r in models.select("lang", "size").collect()])
+    """Every document's counts, perplexity, base_failed and kept."""
+    names = sorted(r[0] for r in docs.select(language(F.col(lang)).alias("l")).distinct().collect())  # two letters: at most 677
+    counts = stored(count_ngrams(docs, text, lang), "ngrams")
+    models = stored(fit(with_prior(counts, names)), "models") if names else None
+    groups = groups_of([(r["lang"], r["size"]) for r in models.select("lang", "size").collect()]) if names else []
+    mine = language(F.col(lang))
     parts = []
     for k, group in enumerate(groups or [[]]):
         own = {r["lang"]: bytes(r["model"]) for r in models.filter(F.col("lang").isin(group)).collect()} if group else {}
-        mine = docs if len(groups) < 2 else docs.filter(names.isin(group) if k else ~names.isin([x for g in groups[1:] for x in g]))
-        parts.append(stored(score_documents(mine, own, doc_id, text, lang, names).withColumn("base_failed", base_failed()), "scores"))
-    discard(models)
+        rows = docs if len(groups) < 2 else docs.filter(mine.isin(group) if k else ~mine.isin([x for g in groups[1:] for x in g]))
+        parts.append(stored(score_documents(rows, own, doc_id, text, lang).withColumn("base_failed", base_failed()), "scores"))
+    discard(counts, *([models] if names else []))
     scored = parts[0]
     for x in parts[1:]:
         scored = scored.unionByName(x)
     out = scored.join(F.broadcast(bands(scored)), "lang", "left")
-    unit = F.col("wide") * F.sqrt(F.col("a") * F.col("a") / F.greatest("n_words", F.lit(1)) + F.pow(FLOOR * F.col("mid"), F.lit(2.0)))
+    unit = F.col("wide") * F.sqrt(F.col("a") * F.col("a") / F.greatest("n_scored", F.lit(1)) + F.pow(FLOOR * F.col("mid"), F.lit(2.0)))
     inside = F.col("surprise").between(F.col("mid") - LOW * unit, F.col("mid") + HIGH * unit)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
     return out.select("doc_id", "th", "lang", *COUNTS, "base_failed", F.round(F.exp("surprise"), 4).alias("perplexity"), kept.alias("kept"))
