@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col
+from gatefold.operators.sampling import draw_key, mark_first
 
 
 def nearest(features: list[str], centres: np.ndarray):
@@ -164,15 +165,16 @@ def silhouette(x: np.ndarray, lab: np.ndarray) -> float:
     return float(s.mean())
 
 
-def choose_k(cells: DataFrame, features: list[str], group: str, reference: str, key: str, population: str = "population_label", ks: tuple[int, ...] = (2, 3, 4, 5, 6), min_ref: int = 150, sample_n: int = 1500, seed: int = 42) -> DataFrame:
-    """population, k, mean_silhouette, chosen: k by silhouette on a bounded draw (sample_n) of reference cells."""
-    from gatefold.operators.sampling import draw_key
-
+def _reference(cells: DataFrame, group: str, reference: str, population: str, key: str, min_ref: int, sample_n: int, seed: int) -> DataFrame:
+    """Reference cells of populations of at least min_ref of them (_n), sample_n a population in hash order."""
     ref = cells.filter((col(group) == reference) & col(population).isNotNull())
-    w = Window.partitionBy(population).orderBy(draw_key(seed, key), key)
     n = ref.groupBy(population).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_ref)
-    # a limit on row_number is a top-k inside each task before the shuffle
-    ref = ref.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample_n).join(n, population)
+    return mark_first(ref.join(n, population), [population], draw_key(seed, key), key, F.lit(sample_n), "_in").filter("_in")
+
+
+def choose_k(cells: DataFrame, features: list[str], group: str, reference: str, key: str, population: str = "population_label", ks: tuple[int, ...] = (2, 3, 4, 5, 6), min_ref: int = 150, sample_n: int = 1500, seed: int = 42) -> DataFrame:
+    """population, k, mean_silhouette, chosen: k by silhouette on a bounded draw (sample_n) of reference cells."""
+    ref = _reference(cells, group, reference, population, key, min_ref, sample_n, seed)
 
     def fit(pdf):
         import pandas as pd
@@ -191,11 +193,7 @@ def subclusters(cells: DataFrame, features: list[str], group: str, reference: st
     Fits run in one task a population on at most sample_n reference cells; the assignment is an
     expression over broadcast centres, one small array a population.
     """
-    from gatefold.operators.sampling import draw_key
-
-    ref = cells.filter((col(group) == reference) & col(population).isNotNull())
-    n = ref.groupBy(population).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_ref)
-    ref = ref.withColumn("_r", F.row_number().over(Window.partitionBy(population).orderBy(draw_key(seed, key), key))).filter(F.col("_r") <= sample_n).join(n, population)
+    ref = _reference(cells, group, reference, population, key, min_ref, sample_n, seed)
 
     def fit(pdf):
         import pandas as pd

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatefold.functions.numeric import col
-from gatefold.operators.polygons import POLYGON, Level, apply_strategy, inside, polygon_rows, rank_markers
-from gatefold.operators.sampling import draw_key, largest
+from gatefold.functions.numeric import all_of, col
+from gatefold.functions.storage import cut
+from gatefold.operators.polygons import POLYGON, Level, inside, polygon_rows, rank_markers
+from gatefold.operators.sampling import draw_key, largest, mark_first
 
 FIXED, STEEP = 4, 800.0
+#: Membership stays this far from 0 and 1, so that one cell far from the gate costs a bounded amount.
+CLAMP = 1e-3
+LAMBDAS = (0.0, 0.5, 1.0, 2.0, 4.0, 8.0)
 
 
 def planes(theta: np.ndarray, fixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -26,12 +30,11 @@ def objective(theta: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarra
     w, b, free = planes(theta, fixed)
     z = np.clip(steep * (x @ w.T + b), -700, 700)
     logs = -np.logaddexp(0, -z)  # log sigmoid
-    lp = np.minimum(logs.sum(1), -1e-12)
-    p = np.exp(lp)
-    q = np.maximum(1 - p, 1e-12)
+    inner = (1 - 2 * CLAMP) * np.exp(logs.sum(1))
+    p = CLAMP + inner
     n = weight.sum()
-    loss = -(weight * (y * lp + (1 - y) * np.log(q))).sum() / n
-    dlp = -(weight * (y - (1 - y) * p / q)) / n  # d loss / d log p
+    loss = -(weight * np.log(np.where(y > 0, p, 1 - p))).sum() / n
+    dlp = -(weight * np.where(y > 0, 1 / p, -1 / (1 - p))) * inner / n  # d loss / d log membership
     dz = dlp[:, None] * (1 - np.exp(logs)) * steep
     gb, gw = dz.sum(0), dz.T @ x
     d = w @ centre + b
@@ -121,8 +124,11 @@ def f1_of(hit: np.ndarray, y: np.ndarray, total: float | None = None) -> tuple[f
     return float(2 * p * r / (p + r) if p + r else 0.0), float(p), float(r)
 
 
-def learn_gate(x: np.ndarray, y: np.ndarray, n_planes: int = 8, lambdas=(0, 0.5, 1, 2, 4, 8), holdout: float = 0.3, seed: int = 42, total: float | None = None, min_n: int = 20) -> dict | None:
-    """A polygon on two markers: {polygon, f1, precision, recall, lam}, or None without enough cells of either kind."""
+def learn_gate(x: np.ndarray, y: np.ndarray, n_planes: int = 8, lambdas=LAMBDAS, holdout: float = 0.3, seed: int = 42, total: float | None = None, min_n: int = 20, refine: bool = True) -> dict | None:
+    """A polygon on two markers: {polygon, f1, precision, recall, lam}, or None without enough cells of either kind.
+
+    refine: after the lambdas, try half a step to either side of the best.
+    """
     y = np.asarray(y, float)
     if y.sum() < min_n or (1 - y).sum() < min_n:
         return None
@@ -163,8 +169,7 @@ def learn_gate(x: np.ndarray, y: np.ndarray, n_planes: int = 8, lambdas=(0, 0.5,
 
     runs = [fit(v) for v in lambdas]
     best = max(runs, key=lambda r: r[0])
-    step = max(np.diff(sorted(lambdas)), default=0) / 2
-    for v in {max(0.0, best[3] - step), best[3] + step}:
+    for v in beside(best[3]) if refine else ():
         r = fit(v)
         best = r if r[0] > best[0] else best
     if not len(best[4]):
@@ -172,38 +177,89 @@ def learn_gate(x: np.ndarray, y: np.ndarray, n_planes: int = 8, lambdas=(0, 0.5,
     return {"polygon": best[4] * span + lo, "f1": best[0], "precision": best[1], "recall": best[2], "lam": best[3]}
 
 
-def bounded(df: DataFrame, target: str, key: str, columns: list[str], max_cells: int, seed: int) -> pd.DataFrame:
-    """At most max_cells rows in hash order, the documented bound of a gate fit."""
-    y = F.coalesce(col(target), F.lit(False)).cast("int").alias("_y")
-    return df.select(key, *[c for c in columns if c != key], y).orderBy(draw_key(seed, key), key).limit(max_cells).toPandas()
+def beside(lam: float) -> list[float]:
+    """The lambdas of the second search, around the best of the first."""
+    step = max(np.diff(LAMBDAS)) / 2
+    return sorted({max(0.0, lam - step), lam + step})
+
+
+FIT = "target string, lam double, f1 double, precision double, recall double, px array<double>, py array<double>"
+
+
+def _fits(sample: DataFrame, seed: int) -> list:
+    """One task a target and lambda of sample (target, lam, total, x, y, hit): gates, the better first."""
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "x", "y"])
+        lam, total = float(pdf["lam"].iloc[0]), pdf["total"].iloc[0]
+        hit = pdf["hit"].to_numpy(float)
+        g = learn_gate(pdf[["x", "y"]].to_numpy(), hit, lambdas=(lam,), seed=seed, total=None if np.isnan(total) else total * hit.sum(), refine=False)
+        if g is None:
+            return pd.DataFrame(columns=["target", "lam", "f1", "precision", "recall", "px", "py"])
+        return pd.DataFrame({"target": [pdf["target"].iloc[0]], "lam": [lam], **{k: [g[k]] for k in ("f1", "precision", "recall")}, "px": [g["polygon"][:, 0].tolist()], "py": [g["polygon"][:, 1].tolist()]})
+
+    # a few dozen rows: targets by lambdas
+    return sorted(sample.groupBy("target", "lam").applyInPandas(fit, FIT).collect(), key=lambda r: (r["target"], -r["f1"], r["lam"]))
 
 
-def explain(df: DataFrame, target: str, markers: list[str], key: str, max_depth: int = 4, min_gain: float = 0.02, max_cells: int = 20_000, seed: int = 42) -> tuple[list[Level], list[dict]]:
-    """A sequence of polygon gates that isolates target cells: ranked markers, a fit, the cells inside go on.
+def explain_targets(df: DataFrame, label: str, targets: list[str], markers: list[str], key: str, max_depth: int = 4, min_gain: float = 0.02, max_cells: int = 20_000, seed: int = 42) -> dict[str, tuple[list[Level], list[dict]]]:
+    """For each target (a value of label) a sequence of polygon gates that isolates its cells, all targets a depth at a time.
 
-    Ranking and gate membership run over all rows in Spark; only a fit sees a bounded sample.
+    A round ranks the markers of every open target in one pass over all rows inside its gates so far, draws at most max_cells
+    of them a target (in hash order, the documented bound of a fit), and fits every target and lambda in a task of its own.
+    A target closes when a gate gains less than min_gain in F1 or no two markers are left.
     """
-    levels: list[Level] = []
-    report: list[dict] = []
-    left, best, total = list(markers), 0.0, None
-    now = df
-    n_target = df.filter(col(target)).count()
+    found: dict[str, tuple[list[Level], list[dict]]] = {t: ([], []) for t in targets}
+    best, left = dict.fromkeys(targets, 0.0), {t: list(markers) for t in targets}
+    # one row a cell and open target, with the columns that any target may rank
+    base = cut(df.select(F.col(key).alias("_key"), col(label).cast("string").alias("_label"), *[col(m).cast("double").alias(m) for m in markers]), "cells")
+    n_target = {r["_label"]: r["count"] for r in base.filter(F.col("_label").isin(targets)).groupBy("_label").count().collect()}  # one row a target
+    open_ = [t for t in targets if len(markers) >= 2]
     for depth in range(1, max_depth + 1):
-        ranked = [r["marker"] for r in rank_markers(now, left, target).orderBy(F.desc("score"), "marker").limit(2).collect()] if len(left) >= 2 else []
-        if len(ranked) < 2:
+        if not open_:
             break
-        s = bounded(now, target, key, ranked, max_cells, seed)
-        y = s["_y"].to_numpy()
-        total = n_target / max(1, now.filter(col(target)).count()) * y.sum() if levels else None
-        g = learn_gate(s[ranked].to_numpy(float), y, seed=seed, total=total)
-        if g is None or g["f1"] < best + min_gain:
+        inner = F.array(*[F.when(all_of([inside(v.marker_x, v.marker_y, v.vertices) for v in found[t][0]]) if found[t][0] else F.lit(True), F.lit(t)) for t in open_])
+        rows = base.withColumn("target", F.explode(F.filter(inner, lambda t: t.isNotNull()))).withColumn("hit", F.coalesce(F.col("_label") == F.col("target"), F.lit(False)))
+        scores: dict[str, list[str]] = {t: [] for t in open_}
+        for r in rank_markers(rows, markers, "hit", by=["target"]).orderBy("target", F.desc("score"), "marker").collect():  # targets by markers
+            if r["marker"] in left[r["target"]]:
+                scores[r["target"]].append(r["marker"])
+        open_ = [t for t in open_ if len(scores[t]) >= 2]
+        if not open_:
             break
-        best = g["f1"]
-        levels.append(Level(*ranked, tuple(map(tuple, g["polygon"].tolist()))))
-        report.append({"depth": depth, "marker_x": ranked[0], "marker_y": ranked[1], "f1": g["f1"], "precision": g["precision"], "recall": g["recall"], "lam": float(g["lam"])})
-        now = apply_strategy(df, levels).filter("in_gate")
-        left = [m for m in left if m not in ranked]
-    return levels, report
+        axis = lambda i: F.coalesce(*[F.when(F.col("target") == t, F.col(scores[t][i])) for t in open_])  # noqa: B023, E731
+        alive = {r["target"]: r["n"] for r in rows.filter("hit").groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # targets lost in earlier gates still count as missed
+        share = F.coalesce(*[F.when(F.col("target") == t, F.lit(n_target[t] / max(1, alive.get(t, 0)) if found[t][0] else None).cast("double")) for t in open_])
+        narrow = rows.filter(F.col("target").isin(open_)).select("target", "_key", axis(0).alias("x"), axis(1).alias("y"), "hit", share.alias("total"))
+        drawn = mark_first(narrow, ["target"], draw_key(seed, "_key"), "_key", F.lit(max_cells), "_in").filter("_in").withColumn("h", draw_key(seed, "_key"))
+        drawn = cut(drawn.select("target", "x", "y", "hit", "total", "h"), "drawn")
+        first = _fits(drawn.withColumn("lam", F.explode(F.array(*[F.lit(v) for v in LAMBDAS]))), seed)
+        top = {r["target"]: r for r in reversed(first)}
+        if top:
+            near = F.coalesce(*[F.when(F.col("target") == t, F.array(*[F.lit(v) for v in beside(r["lam"])])) for t, r in top.items()])
+            for r in reversed(_fits(drawn.withColumn("lam", F.explode(near)), seed)):
+                if r["f1"] > top[r["target"]]["f1"]:
+                    top[r["target"]] = r
+        going = []
+        for t in open_:
+            g = top.get(t)
+            if g is None or g["f1"] < best[t] + min_gain:
+                continue
+            best[t] = g["f1"]
+            levels, report = found[t]
+            levels.append(Level(scores[t][0], scores[t][1], tuple(zip(g["px"], g["py"], strict=True))))
+            report.append({"depth": depth, "marker_x": scores[t][0], "marker_y": scores[t][1], "f1": g["f1"], "precision": g["precision"], "recall": g["recall"], "lam": g["lam"]})
+            left[t] = [m for m in left[t] if m not in scores[t][:2]]
+            going.append(t)
+        open_ = [t for t in going if len(left[t]) >= 2]
+    return found
+
+
+def explain(df: DataFrame, target: str, markers: list[str], key: str, **options) -> tuple[list[Level], list[dict]]:
+    """The strategy of one target, a Boolean column."""
+    named = df.withColumn("_named", F.when(F.coalesce(col(target), F.lit(False)), F.lit("target")).otherwise("other"))
+    return explain_targets(named, "_named", ["target"], markers, key, **options)["target"]
 
 
 def transferability(df: DataFrame, target: str, markers: tuple[str, str], donor: str, key: str, min_donors: int = 3, max_donors: int = 8, max_cells: int = 20_000, seed: int = 42) -> DataFrame | None:
@@ -225,8 +281,8 @@ def transferability(df: DataFrame, target: str, markers: tuple[str, str], donor:
             neg = min(neg, max_cells - pos)
         take[f] = (neg, pos)
     # the bound of a fold's training rows, by label; no label of a donor can give more than it
-    pool = d.withColumn("r", F.row_number().over(Window.partitionBy("d", "t").orderBy("h", "x", "y"))).filter(F.col("r") <= max_cells)
-    folds = pool.withColumn("fold", F.explode(F.array(*[F.lit(x) for x in names]))).filter("fold <> d").drop("r")
+    pool = mark_first(d, ["d", "t"], F.col("h"), "x", F.lit(max_cells), "_in").filter("_in").drop("_in")
+    folds = pool.withColumn("fold", F.explode(F.array(*[F.lit(x) for x in names]))).filter("fold <> d")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         f = pdf["fold"].iloc[0]
@@ -253,7 +309,7 @@ def transferability(df: DataFrame, target: str, markers: tuple[str, str], donor:
 def explain_labels(df: DataFrame, label: str, markers: list[str], key: str, max_labels: int = 6, min_cells: int = 200, seed: int = 42) -> dict[str, tuple[list[Level], list[dict]]]:
     """Gate strategies of the largest labels."""
     names = [r[label] for r in largest(df.filter(col(label).isNotNull()), label, max_labels, min_cells).collect()]
-    return {n: explain(df.withColumn("_target", F.coalesce(col(label) == n, F.lit(False))), "_target", markers, key, seed=seed) for n in names}
+    return explain_targets(df, label, [str(n) for n in names], markers, key, seed=seed)
 
 
 PROPOSALS = "target string, depth int, marker_x string, marker_y string, f1 double, precision double, recall double, lam double"
@@ -276,7 +332,7 @@ def explain_unmatched(cells: DataFrame, features: list[str], per_cluster: DataFr
         return None
     names = [r["cluster"] for r in open_.orderBy(F.desc("n_cells"), "cluster").limit(max_clusters).collect()]
     have = [f for f in features if f in cells.columns]
-    found = {str(k): explain(cells.withColumn("_target", F.coalesce(col(cluster) == F.lit(k), F.lit(False))), "_target", have, key, seed=seed, **options) for k in names}
+    found = explain_targets(cells, cluster, [str(k) for k in names], have, key, seed=seed, **options)
     summary, polygons = _tables(cells.sparkSession, found)
     about = per_cluster.select(F.col("cluster").cast("string").alias("target"), "dominant_gate_label", F.col("purity_pct").alias("cluster_purity_pct"))
     return summary.join(F.broadcast(about), "target"), polygons, max(0, n - max_clusters)  # one row a cluster
@@ -284,11 +340,11 @@ def explain_unmatched(cells: DataFrame, features: list[str], per_cluster: DataFr
 
 def explain_external(cells: DataFrame, label: str, markers: list[str], key: str, donor: str = "sample_id", max_labels: int = 6, min_cells: int = 200, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Strategies of the largest external labels: summary, polygons, and how well a gate carries over to unseen donors."""
-    found = {str(k): v for k, v in explain_labels(cells, label, markers, key, max_labels, min_cells, seed).items()}
+    found = explain_labels(cells, label, markers, key, max_labels, min_cells, seed)
     transfer = None
     for name, (levels, _) in found.items():
         if levels:
-            t = transferability(cells.withColumn("_target", F.coalesce(col(label) == name, F.lit(False))), "_target", (levels[0].marker_x, levels[0].marker_y), donor, key, seed=seed)
+            t = transferability(cells.withColumn("_target", F.coalesce(col(label).cast("string") == name, F.lit(False))), "_target", (levels[0].marker_x, levels[0].marker_y), donor, key, seed=seed)
             if t is not None:
                 t = t.withColumn("target", F.lit(name))
                 transfer = t if transfer is None else transfer.unionByName(t)

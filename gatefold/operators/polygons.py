@@ -54,15 +54,16 @@ def gate_metrics(df: DataFrame, gate: str, target: str, n_target_total: int | No
     return n.select("tp", "n_in", "n_target", F.coalesce(p, F.lit(0.0)).alias("precision"), F.coalesce(r, F.lit(0.0)).alias("recall"), F.coalesce(f, F.lit(0.0)).alias("f1"))
 
 
-def rank_markers(df: DataFrame, markers: list[str], target: str, min_n: int = 5) -> DataFrame:
-    """marker, score: mean squared difference of (median, 1st, 99th percentile) between target and other cells, values scaled to [0, 1]."""
+def rank_markers(df: DataFrame, markers: list[str], target: str, min_n: int = 5, by: list[str] | None = None) -> DataFrame:
+    """by (if any), marker, score: mean squared difference of (median, 1st, 99th percentile) between target and other cells, values scaled to [0, 1]."""
     t = F.coalesce(col(target), F.lit(False))
-    long = df.select(t.alias("t"), F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).cast("double").alias("x")) for m in markers])).alias("r")).select("t", "r.*").filter(finite("x"))
+    by = by or []
+    long = df.select(*by, t.alias("t"), F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).cast("double").alias("x")) for m in markers])).alias("r")).select(*by, "t", "r.*").filter(finite("x"))
     q = lambda c: F.percentile(F.when(c, F.col("x")), F.array(F.lit(0.5), F.lit(0.01), F.lit(0.99)))
-    s = long.groupBy("marker").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), q(F.col("t")).alias("a"), q(~F.col("t")).alias("b"), F.sum(F.col("t").cast("long")).alias("n1"), F.sum((~F.col("t")).cast("long")).alias("n0"))
+    s = long.groupBy(*by, "marker").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), q(F.col("t")).alias("a"), q(~F.col("t")).alias("b"), F.sum(F.col("t").cast("long")).alias("n1"), F.sum((~F.col("t")).cast("long")).alias("n0"))
     # percentiles commute with the scaling, so no second pass is needed
     d = F.aggregate(F.zip_with("a", "b", lambda a, b: ((a - b) / (F.col("hi") - F.col("lo"))) * ((a - b) / (F.col("hi") - F.col("lo")))), F.lit(0.0), lambda u, v: u + v) / 3.0
-    return s.filter((F.col("hi") > F.col("lo")) & (F.col("n1") >= min_n) & (F.col("n0") >= min_n)).select("marker", d.alias("score"))
+    return s.filter((F.col("hi") > F.col("lo")) & (F.col("n1") >= min_n) & (F.col("n0") >= min_n)).select(*by, "marker", d.alias("score"))
 
 
 # ---------------------------------------------------------------- vertex tables

@@ -79,38 +79,38 @@ def intermediate_bounds(events: DataFrame, thresholds: DataFrame, spec: Spec, sa
     return density_valley(up, [sample, "marker"], "x", settings).filter(F.col("cut").isNotNull()).select(sample, "marker", F.col("cut").alias("threshold"))
 
 
-def _test(m: str, d: str, at: dict[str, Column] | None = None) -> Column:
+def _test(m: str, d: str, at: dict[str, Column] | None = None, up: dict[str, Column] | None = None) -> Column:
     limit = (at or {}).get(m, col(thr(m)))
     if d == ABOVE:
         return col(m) > limit
     if d == BELOW:
         return col(m) < limit
-    return (col(m) > limit) & (col(m) < col(upper(m)))
+    return (col(m) > limit) & (col(m) < (up or {}).get(m, col(upper(m))))
 
 
-def _usable(m: str, d: str, have: set[str]) -> Column:
+def _usable(m: str, d: str, have: set[str], up: dict[str, Column] | None = None) -> Column:
     if m not in have:
         return F.lit(False)
-    return col(thr(m)).isNotNull() & (col(upper(m)).isNotNull() if d == BETWEEN else F.lit(True))
+    return col(thr(m)).isNotNull() & ((up or {}).get(m, col(upper(m))).isNotNull() if d == BETWEEN else F.lit(True))
 
 
-def availability(spec: dict, have: set[str]) -> Column:
+def availability(spec: dict, have: set[str], up: dict[str, Column] | None = None) -> Column:
     direct, some = requirements(spec)
-    ok = [_usable(m, d, have) for m, d in direct.items()]
+    ok = [_usable(m, d, have, up) for m, d in direct.items()]
     if some:
-        ok.append(any_of([_usable(m, d, have) for m, d in some.items()]))
+        ok.append(any_of([_usable(m, d, have, up) for m, d in some.items()]))
     return all_of(ok)
 
 
-def membership(spec: dict, have: set[str], at: dict[str, Column] | None = None) -> Column:
-    """Null where the population can't be scored, else whether the event belongs to it; at: thresholds in place of a marker's own."""
+def membership(spec: dict, have: set[str], at: dict[str, Column] | None = None, up: dict[str, Column] | None = None) -> Column:
+    """Null where the population can't be scored, else whether the event belongs to it; at, up: thresholds and upper bounds in place of a marker's own."""
     direct, some = requirements(spec)
     if any(m not in have for m in direct) or (some and not any(m in have for m in some)):
         return F.lit(None).cast("boolean")
-    parts = [F.coalesce(_test(m, d, at), F.lit(False)) for m, d in direct.items()]
+    parts = [F.coalesce(_test(m, d, at, up), F.lit(False)) for m, d in direct.items()]
     if some:
-        parts.append(any_of([F.coalesce(_test(m, d, at), F.lit(False)) for m, d in some.items() if m in have]))
-    return F.when(availability(spec, have), all_of(parts))
+        parts.append(any_of([F.coalesce(_test(m, d, at, up), F.lit(False)) for m, d in some.items() if m in have]))
+    return F.when(availability(spec, have, up), all_of(parts))
 
 
 def score(events: DataFrame, thresholds: DataFrame, spec: Spec, parent: str, sample: str = "sample_id", bounds: DataFrame | None = None, prefix: str = "is_") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.quantiles import order_bin
+from gatefold.functions.storage import cut
 
 
 def draw_key(seed: str | int, *columns: str) -> Column:
@@ -59,18 +60,42 @@ def plan_subsample(counts: DataFrame, sample: str = "sample_id", n: str = "n", c
     return t.select(sample, F.when(F.col("_total") > total_cap, scaled).otherwise(F.col("take")).cast("long").alias("take"))
 
 
+#: Leading hex digits of a hash that select: rows are even over 16 ** DIGITS bins at any size.
+DIGITS = 3
+
+
+def mark_first(df: DataFrame, groups: list[str], digest: Column, key: str, take: Column, out: str, reads: tuple[str, ...] = ()) -> DataFrame:
+    """df with out: whether a row is among the first `take` of its group in the order of digest and key.
+
+    digest is a hex hash, take an expression of n (rows of the group) and of columns that the group decides (reads).  Rows are counted by the first
+    digits of their hash; those before the bin that holds the place `take` are in, those after it out, and only
+    the bin's own rows, one of 16 ** DIGITS of the group, are put in order.
+    """
+    d = df.withColumns({"_h": digest, "_b": F.substring(digest, 1, DIGITS)})
+    bins = d.groupBy(*groups, *reads, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    by = Window.partitionBy(*groups)
+    upto = bins.withColumns({"_upto": F.sum("_c").over(by.orderBy("_b")), "n": F.sum("_c").over(by)}).withColumn("_take", take)
+    edge = upto.filter((F.col("_upto") >= F.col("_take")) | (F.col("_upto") == F.col("n"))).groupBy(*groups).agg(F.min(F.struct("_b", (F.col("_take") - F.col("_upto") + F.col("_c")).alias("left"))).alias("_e"))
+    limits = cut(edge.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_e._b").alias("_edge"), F.col("_e.left").alias("_left")), "limits")
+    match = F.lit(True)
+    for i, g in enumerate(groups):
+        match = match & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    placed = d.join(limits, match)
+    row = F.row_number().over(Window.partitionBy(*[f"_g{i}" for i in range(len(groups))]).orderBy("_h", key))
+    far = placed.filter("_b <> _edge").withColumn(out, F.col("_b") < F.col("_edge"))
+    near = placed.filter("_b = _edge").withColumn(out, row <= F.col("_left"))
+    return far.unionByName(near).select(*df.columns, out)
+
+
 def draw(df: DataFrame, quota: DataFrame, sample: str, key: str, seed: str | int = 42) -> DataFrame:
-    """The first `take` rows of each sample in hash order; row_number with a limit plans a per-partition top-k first."""
-    d = df.join(quota, sample).withColumn("_h", draw_key(seed, sample, key))
-    w = Window.partitionBy(sample).orderBy("_h", key)
-    return d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("take")).drop("_h", "_r", "take")
+    """The first `take` rows of each sample in hash order."""
+    d = df.join(quota.select(sample, F.col("take").alias("_quota")), sample)
+    return mark_first(d, [sample], draw_key(seed, sample, key), key, F.col("_quota"), "_in", ("_quota",)).filter("_in").select(*df.columns)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, holdout: float = 0.3, seed: str | int = 42) -> DataFrame:
     """df with is_test: the first share of each label in hash order."""
-    w = Window.partitionBy(label)
-    d = df.withColumn("_h", draw_key(seed, key)).withColumn("_r", F.row_number().over(w.orderBy("_h", key))).withColumn("_n", F.count(F.lit(1)).over(w))
-    return d.withColumn("is_test", F.col("_r") <= F.floor(F.col("_n") * F.lit(holdout))).drop("_h", "_r", "_n")
+    return mark_first(df, [label], draw_key(seed, key), key, F.floor(F.col("n") * F.lit(holdout)), "is_test")
 
 
 def largest(df: DataFrame, label: str, n: int, min_size: int = 1) -> DataFrame:

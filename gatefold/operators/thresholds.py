@@ -15,6 +15,7 @@ def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame |
 
     Priority: config (keys, cfg_value), the density valley unless it lies below the control's quantile,
     the control's quantile (value, and any of the keys; over min_control values), the group's own fallback quantile.
+    A control with a column ctrl (and all keys) brings its quantiles.
     """
     x = col(value)
     t = density_valley(values, keys, value, settings, (fallback_q,), written).select(*keys, "cut", F.col("q0").alias("fallback"))
@@ -22,7 +23,9 @@ def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame |
         t = t.join(config.select(*keys, "cfg_value"), keys, "left")
     else:
         t = t.withColumn("cfg_value", F.lit(None).cast("double"))
-    if control is not None:
+    if control is not None and "ctrl" in control.columns:
+        t = t.join(control.select(*keys, "ctrl"), keys, "left")
+    elif control is not None:
         own_keys = [k for k in keys if k in control.columns]
         c = quantiles(control, own_keys, x, [control_q]).filter(F.col("n") > min_control).select(*own_keys, F.col("q")[0].alias("ctrl"))
         # without keys of its own the control is one row for all groups
@@ -32,6 +35,18 @@ def resolve(values: DataFrame, keys: list[str], value: str, config: DataFrame |
     return t.select(*keys, *decide())
 
 
+def control_quantiles(long: DataFrame, qc: DataFrame, sample: str = "sample_id", panel: str = "panel", q: float = 0.995, min_control: int = 100) -> DataFrame:
+    """sample, marker, ctrl: the quantile of each panel's control, for all other samples of the panel.
+
+    long: (sample, marker, value) of single cells; qc: (sample, panel, qc_status).  The control of a panel is its first sample, in
+    the order of names, that was declared or taken for one; a sample that failed is none.
+    """
+    first = qc.filter("qc_status = 'control'").groupBy(panel).agg(F.min(sample).alias("_control"))
+    own = long.join(first.select(F.col("_control").alias(sample), panel), sample)
+    c = quantiles(own, [panel, "marker"], "value", [q]).filter(F.col("n") > min_control).select(panel, "marker", F.col("q")[0].alias("ctrl"))
+    return qc.select(sample, panel).join(first, panel).filter(F.col(sample) != F.col("_control")).join(c, panel).select(sample, "marker", "ctrl")
+
+
 def decide() -> list:
     """threshold, source, needs_review from cfg_value, cut, ctrl and fallback."""
     cfg, cut, ctrl = F.col("cfg_value"), F.col("cut"), F.col("ctrl")

@@ -206,39 +206,46 @@ def pool_cofactor(by_sample: dict[str, float], max_samples: int = 8, warn_ratio:
 # ---------------------------------------------------------------- compensation, scaling, alignment
 def compensate(df: DataFrame, channels: list[str], spill: list[list[float]]) -> DataFrame:
     """Channels times the inverse of the spillover matrix; returned as given if it isn't a usable square matrix."""
-    m = np.array(spill, float)
-    have = [c for c in channels if c in df.columns]
-    if len(have) < 2 or m.ndim != 2 or m.shape != (len(channels), len(channels)) or not np.isfinite(m).all():
-        return df
-    j = [channels.index(c) for c in have]
-    sub = m[np.ix_(j, j)]
-    if abs(np.linalg.det(sub)) < 1e-12:
-        return df
-    inv = np.linalg.inv(sub)
-    total = lambda k: sum((col(c) * float(inv[i, k]) for i, c in enumerate(have) if inv[i, k] != 0), F.lit(0.0))
-    return df.withColumns({c: total(k) for k, c in enumerate(have)})
-
-
-def scale_features(df: DataFrame, features: list[str], method: str = "robust", suffix: str = "_z") -> DataFrame:
-    """(x - median) / MAD (sd if the MAD is 0), z-scores or values as they are; non-finite scaled values are 0, constant features go.
-
-    Parameters come from two small aggregates and enter the plan as literals.
-    """
+    return compensate_by(df.withColumn("_spill", F.lit("")), "_spill", {"": (channels, spill)}).drop("_spill")
+
+
+def compensate_by(df: DataFrame, key: str, matrices: dict[str, tuple[list[str], list[list[float]]]]) -> DataFrame:
+    """df with each row's channels compensated by the matrix that its key names; rows of other keys stay as they are."""
+    out = {}
+    for k, (channels, spill) in matrices.items():
+        m = np.array(spill, float)
+        have = [c for c in channels if c in df.columns]
+        if len(have) < 2 or m.ndim != 2 or m.shape != (len(channels), len(channels)) or not np.isfinite(m).all():
+            continue
+        j = [channels.index(c) for c in have]
+        sub = m[np.ix_(j, j)]
+        if abs(np.linalg.det(sub)) < 1e-12:
+            continue
+        inv = np.linalg.inv(sub)
+        for i, c in enumerate(have):
+            total = sum((col(x) * float(inv[n, i]) for n, x in enumerate(have) if inv[n, i] != 0), F.lit(0.0))
+            out[c] = F.when(F.col(key) == k, total).otherwise(out.get(c, col(c)))
+    return df.withColumns(out) if out else df
+
+
+def scale_parameters(df: DataFrame, features: list[str], method: str = "robust") -> list[tuple[str, float, float]]:
+    """(feature, centre, width) from two small aggregates: median and MAD (sd if the MAD is 0), mean and sd, or 0 and 1; constant features go."""
     if method not in ("robust", "zscore", "none"):
         raise ValueError(f"unknown scaling {method}")
     clean = [F.when(finite(c), col(c)) for c in features]
     one = df.agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{i}") for i, x in enumerate(clean)], *[F.avg(x).alias(f"a{i}") for i, x in enumerate(clean)], *[F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(clean)]).first()
     live = [i for i in range(len(features)) if one[f"s{i}"] and one[f"s{i}"] > 0]
     mad = df.agg(*[F.percentile(F.abs(clean[i] - one[f"m{i}"]), F.lit(0.5)).alias(f"d{i}") for i in live]).first() if live and method == "robust" else None
+    at = {"robust": lambda i: (one[f"m{i}"], 1.4826 * mad[f"d{i}"] or one[f"s{i}"]), "zscore": lambda i: (one[f"a{i}"], one[f"s{i}"]), "none": lambda i: (0.0, 1.0)}[method]
+    return [(features[i], *map(float, at(i))) for i in live]
+
+
+def scale_features(df: DataFrame, features: list[str], method: str = "robust", suffix: str = "_z", parameters: list[tuple[str, float, float]] | None = None) -> DataFrame:
+    """df with (x - centre) / width for every feature of the parameters, by default its own; non-finite scaled values are 0."""
     out = {}
-    for i in live:
-        centre, width = 0.0, 1.0
-        if method == "robust":
-            centre, width = one[f"m{i}"], 1.4826 * mad[f"d{i}"] or one[f"s{i}"]
-        elif method == "zscore":
-            centre, width = one[f"a{i}"], one[f"s{i}"]
-        z = (col(features[i]) - centre) / width
-        out[features[i] + suffix] = F.when(finite(z), z).otherwise(0.0)
+    for f, centre, width in parameters if parameters is not None else scale_parameters(df, features, method):
+        z = (col(f) - centre) / width
+        out[f + suffix] = F.when(finite(z), z).otherwise(0.0)
     return df.withColumns(out) if out else df
 
 

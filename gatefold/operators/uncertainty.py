@@ -6,14 +6,15 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import col, finite
-from gatefold.operators.populations import membership, requirements, upper, wide_thresholds
+from gatefold.functions.quantiles import quantiles
+from gatefold.functions.storage import cut
+from gatefold.operators.populations import BETWEEN, membership, requirements, upper, wide_thresholds
 from gatefold.operators.populations import thr as thr_name
-from gatefold.operators.sampling import draw_key
-from gatefold.operators.valley import setting_grid, valley_numpy
+from gatefold.operators.valley import INTERMEDIATE, Valley, density_valley, narrow, search, setting_grid
 
 FIELDS = "u_sampling double, u_method double, u_combined double, valley_rel_depth double, bootstrap_valley_rate double, n_parent_events long, basis string"
 
@@ -23,28 +24,69 @@ def seed_of(seed: int, *parts: str) -> int:
     return int.from_bytes(hashlib.md5("|".join([str(seed), *parts]).encode()).digest()[:4], "big")
 
 
-def of_values(x: np.ndarray, source: str, n_parent: int, boots: int = 100, seed: int = 42, fallback_q: float = 0.90) -> dict:
-    """Uncertainty of one threshold from (a bounded sample of) its parent's values."""
-    x = np.asarray(x, float)
-    x = x[np.isfinite(x)]
-    out = {"u_sampling": None, "u_method": None, "u_combined": None, "valley_rel_depth": None, "bootstrap_valley_rate": None, "n_parent_events": n_parent, "basis": ""}
+#: Bins of a group's fine histogram, and the quantiles that it spans; values beyond count in the outer bins.
+FINE, SPAN = 8192, (0.0005, 0.9995)
+
+
+def fine_histograms(values: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """keys, n, lo, width and counts (bin, count) of all finite values: partial aggregates, one row a group."""
+    x = col(value)
+    d = narrow(values.filter(finite(x)), [*keys, x.alias("_x")])
+    r = quantiles(d, keys, "_x", list(SPAN)).select(*keys, "n", F.col("q")[0].alias("lo"), ((F.col("q")[1] - F.col("q")[0]) / FINE).alias("width"))
+    r = cut(r, "spans")
+    place = F.when(F.col("width") > 0, F.floor((F.col("_x") - F.col("lo")) / F.col("width"))).otherwise(0)
+    bins = d.join(r, keys).groupBy(*keys, F.greatest(F.least(place, F.lit(FINE - 1)), F.lit(0)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    return r.join(bins.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("counts")), keys)
+
+
+def quantile_of(counts: np.ndarray, q: float) -> float:
+    """The place (in bins) below which the share q of a histogram lies, even inside a bin."""
+    run = np.concatenate(([0.0], np.cumsum(counts, dtype=float)))
+    return float(np.interp(q * run[-1], run, np.arange(len(run))))
+
+
+def valley_of(counts: np.ndarray, s: Valley = Valley()) -> tuple[float | None, float | None]:
+    """The cut (in bins of a fine histogram) and its depth: the search of the valley on counts that are gathered into its bins."""
+    n = counts.sum()
+    if n < s.min_n:
+        return None, None
+    lo, hi = quantile_of(counts, s.low_q), quantile_of(counts, s.high_q)
+    if hi <= lo:
+        return None, None
+    run = np.concatenate(([0.0], np.cumsum(counts, dtype=float)))
+    edges = np.linspace(lo, hi, s.bins + 1)
+    coarse = np.diff(np.interp(edges, np.arange(len(run)), run))
+    v, rel, _ = search(coarse, s)
+    return (None, None) if v is None else (float(lo + (v + 0.5) * (hi - lo) / s.bins), rel)
+
+
+def of_histogram(counts: np.ndarray, lo: float, width: float, source: str, boots: int = 100, seed: int = 42, max_events: int = 20_000, fallback_q: float = 0.90) -> dict:
+    """Uncertainty of one threshold from the histogram of its parent's values.
+
+    A bootstrap sample of binned events is a multinomial draw of their bins, so all events take part and none has to be
+    moved.  A draw has as many events as the group, at most max_events: the spread is that of a threshold from so many.
+    """
+    n = int(counts.sum())
+    out = {"u_sampling": None, "u_method": None, "u_combined": None, "valley_rel_depth": None, "bootstrap_valley_rate": None, "n_parent_events": n, "basis": ""}
     if source == "config":
         return out | {"u_sampling": 0.0, "u_method": 0.0, "u_combined": 0.0, "basis": "fixed by configuration"}
     if source.startswith("control"):
         return out | {"basis": "set by the control, not by this sample"}
-    if len(x) < 500:
+    if n < 500:
         return out | {"basis": "fewer than 500 events"}
     rng = np.random.default_rng(seed)
+    draws = (rng.multinomial(min(n, max_events), counts / n) for _ in range(boots))
+    place = lambda v: None if v is None else lo + width * v
     if source == "quantile_fallback":
-        cuts = [np.quantile(rng.choice(x, len(x)), fallback_q) for _ in range(boots)]
-        out |= {"u_sampling": float(np.std(cuts, ddof=1)), "u_method": float(np.std([np.quantile(x, q) for q in (0.85, 0.90, 0.95)], ddof=1)), "basis": "quantile fallback"}
+        cuts = [place(quantile_of(d, fallback_q)) for d in draws]
+        out |= {"u_sampling": float(np.std(cuts, ddof=1)), "u_method": float(np.std([place(quantile_of(counts, q)) for q in (0.85, 0.90, 0.95)], ddof=1)), "basis": "quantile fallback"}
     else:
-        _, out["valley_rel_depth"] = valley_numpy(x)
-        cuts = [c for c in (valley_numpy(rng.choice(x, len(x)))[0] for _ in range(boots)) if c is not None]
+        _, out["valley_rel_depth"] = valley_of(counts)
+        cuts = [place(v) for v, _ in map(valley_of, draws) if v is not None]
         out["bootstrap_valley_rate"] = len(cuts) / boots
         if len(cuts) >= max(10, 0.33 * boots):
             out["u_sampling"] = float(np.std(cuts, ddof=1))
-        other = [c for c in (valley_numpy(x, s)[0] for s in setting_grid()) if c is not None]
+        other = [place(v) for v, _ in (valley_of(counts, s) for s in setting_grid()) if v is not None]
         if len(other) >= 3:
             out["u_method"] = float(np.std(other, ddof=1))
         out["basis"] = "valley"
@@ -53,50 +95,100 @@ def of_values(x: np.ndarray, source: str, n_parent: int, boots: int = 100, seed:
     return out
 
 
-def thresholds(values: DataFrame, thr: DataFrame, key: str, sample: str = "sample_id", boots: int = 100, seed: int = 42, max_events: int = 20_000) -> DataFrame:
-    """(sample, marker) of values (sample, marker, key, value) with the uncertainty of its threshold.
+def thresholds(values: DataFrame, thr: DataFrame, sample: str = "sample_id", boots: int = 100, seed: int = 42, max_events: int = 20_000) -> DataFrame:
+    """(sample, marker) of values (sample, marker, value) with the uncertainty of its threshold, from one histogram a group."""
+    kind = dict(values.dtypes)[sample]
+    h = fine_histograms(values, [sample, "marker"]).join(thr.select(sample, "marker", "threshold", "source"), [sample, "marker"])
 
-    A group's sample is bounded by max_events before it reaches its task: the values of least hash, by a
-    top-k inside each partition first.
-    """
-    w = Window.partitionBy(sample, "marker").orderBy("_h", key)
-    d = values.filter(finite("value")).withColumn("_h", draw_key(seed, sample, "marker", key))
-    n = values.filter(finite("value")).groupBy(sample, "marker").agg(F.count(F.lit(1)).alias("_n"))
-    d = d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_events).join(n, [sample, "marker"]).join(thr.select(sample, "marker", "threshold", "source"), [sample, "marker"])
+    def fit(it):
+        for pdf in it:
+            rows = []
+            for r in pdf.to_dict("records"):
+                counts = np.zeros(FINE, np.int64)
+                for b in r["counts"]:
+                    counts[b["bin"]] = b["c"]
+                u = of_histogram(counts, r["lo"], r["width"], r["source"], boots, seed_of(seed, str(r[sample]), r["marker"]), max_events)
+                rows.append({sample: r[sample], "marker": r["marker"], "threshold": r["threshold"], "source": r["source"], **u})
+            yield pd.DataFrame(rows, columns=[sample, "marker", "threshold", "source", *(f.split(" ")[0] for f in FIELDS.split(", "))])
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        s, m = str(pdf[sample].iloc[0]), pdf["marker"].iloc[0]
-        u = of_values(pdf["value"].to_numpy(), pdf["source"].iloc[0], int(pdf["_n"].iloc[0]), boots, seed_of(seed, s, m))
-        return pd.DataFrame([{sample: pdf[sample].iloc[0], "marker": m, "threshold": pdf["threshold"].iloc[0], "source": pdf["source"].iloc[0], **u}])
+    # a bootstrap is the work here, not its row, so that rows are dealt out one by one
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = h.select(sample, "marker", "threshold", "source", "lo", "width", "counts").repartition(tasks, sample, "marker")
+    return rows.mapInPandas(fit, f"{sample} {kind}, marker string, threshold double, source string, {FIELDS}")
 
-    kind = dict(values.dtypes)[sample]
-    return d.select(sample, "marker", "value", "threshold", "source", "_n").groupBy(sample, "marker").applyInPandas(fit, f"{sample} {kind}, marker string, threshold double, source string, {FIELDS}")
+
+PARENT = "parent_CD45"
 
 
-def frequency_uncertainty(events: DataFrame, thr: DataFrame, u: DataFrame, spec: dict, parent: str, sample: str = "sample_id") -> DataFrame:
-    """sample, population, term, u_pct_points: half the spread of a frequency when one threshold moves by its uncertainty.
+def frequency_uncertainty(events: DataFrame, thr: DataFrame, u: DataFrame, spec: dict, parent: str, sample: str = "sample_id", bounds: DataFrame | None = None, gate: tuple[str, str, DataFrame] | None = None) -> DataFrame:
+    """sample, population, term, u_pct_points: half the spread of a frequency when one threshold moves down and up by its uncertainty.
 
-    All displaced thresholds are counted in one pass over the events: each population is scored with every marker it
-    reads moved up and down, as columns of one aggregation.
+    The upper bounds of intermediate populations (bounds) are found again above every displaced threshold, and gate = (parent's
+    parent, marker, table of sample, threshold and u_combined) displaces the parent's own cut, which moves every population's cells
+    and what they are a share of: the term parent_CD45.  A term needs a positive uncertainty; a population that can't be
+    scored after a displacement has none.  All displaced cuts are counted in one pass over the events, as columns of one aggregation.
     """
     have = sorted(m for m in {m for s in spec.values() for part in requirements(s) for m in part} if m in events.columns)
     wide = wide_thresholds(thr, have, sample).join(wide_thresholds(u.withColumn("threshold", F.col("u_combined")), have, sample, name=lambda m: f"u_{m}"), sample, "left")
-    wide = wide.withColumns({upper(m): F.lit(None).cast("double") for m in have})
+    wide = wide.join(wide_thresholds(bounds, have, sample, name=upper), sample, "left") if bounds is not None else wide.withColumns({upper(m): F.lit(None).cast("double") for m in have})
+    steps = {"0": 0, "-": -1, "+": 1}
+    inside = {"0": F.coalesce(col(parent), F.lit(False))}
+    if gate:
+        live, marker, cuts = gate
+        g = cuts.select(sample, F.col("threshold").alias("_gate"), F.when(F.col("u_combined") > 0, F.col("u_combined")).alias("_gate_u"))
+        wide = wide.join(g, sample, "left")
+        inside |= {s: F.coalesce(col(live) & (col(marker) > F.col("_gate") + k * F.col("_gate_u")), F.lit(False)) for s, k in (("-", -1), ("+", 1))}
+    wide = cut(wide, "displaced")
+    middle = list(dict.fromkeys(m for s in spec.values() for part in requirements(s) for m, d in part.items() if d == BETWEEN and m in have))
+    names = {}  # (marker, scenario) -> column of the bound that is found again
+    if middle:
+        scenarios = [(m, s, "0", steps[s]) for m in middle for s in "-+"] + ([(m, f"p{s}", s, 0) for m in middle for s in "-+"] if gate else [])
+        hit = lambda m, p, k: inside[p] & (col(m) > (col(thr_name(m)) + k * col(f"u_{m}") if k else col(thr_name(m))))
+        rows = F.array(*[F.when(hit(m, p, k), F.struct(F.lit(m).alias("marker"), F.lit(s).alias("scenario"), col(m).alias("x"))) for m, s, p, k in scenarios])
+        need = list(dict.fromkeys([sample, *middle, parent, *([gate[0], gate[1]] if gate else [])]))
+        long = events.select(*[col(c).alias(c) for c in need]).join(wide, sample).select(sample, F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select(sample, "r.*")
+        found = density_valley(long, [sample, "marker", "scenario"], "x", INTERMEDIATE).filter(F.col("cut").isNotNull())
+        names = {(m, s): f"_up_{i}" for i, (m, s, _, _) in enumerate(scenarios)}
+        again = found.groupBy(sample).agg(*[F.max(F.when((F.col("marker") == m) & (F.col("scenario") == s), F.col("cut"))).alias(c) for (m, s), c in names.items()])
+        wide = cut(wide.join(again, sample, "left"), "displaced")
     d = events.join(wide, sample, "left")
-    inside = F.coalesce(col(parent), F.lit(False))
-    use = [(p, m) for p, s in spec.items() for m in have if any(m in part for part in requirements(s))]
-    count = lambda p, m, sign: F.sum((inside & membership(spec[p], set(have), {m: col(thr_name(m)) + sign * col(f"u_{m}")})).cast("long"))
-    aggs = [count(p, m, sign).alias(f"_{i}_{k}") for i, (p, m) in enumerate(use) for k, sign in enumerate((-1, 1))]
-    known = [F.max(col(f"u_{m}")).alias(f"_u_{i}") for i, m in enumerate(have)]
-    n = d.groupBy(sample).agg(F.sum(inside.cast("long")).alias("_n"), *known, *aggs)
-    rows = F.array(*[F.struct(F.lit(m).alias("term"), F.lit(p).alias("population"), F.col(f"_u_{have.index(m)}").alias("u"), (F.abs(F.col(f"_{i}_1") - F.col(f"_{i}_0")) / 2.0).alias("half")) for i, (p, m) in enumerate(use)])
-    e = n.select(sample, "_n", F.explode(rows).alias("r")).filter(F.col("r.u").isNotNull())
-    return e.select(sample, F.col("r.term").alias("term"), F.col("r.population").alias("population"), (100.0 * F.col("r.half") / F.greatest("_n", F.lit(1))).alias("u_pct_points"))
-
-
-def combine(budget: DataFrame, sample: str = "sample_id") -> DataFrame:
-    """sample, population, u_pct_points (in quadrature) and u_n_terms."""
-    return budget.groupBy(sample, "population").agg(F.sqrt(F.sum(F.col("u_pct_points") * F.col("u_pct_points"))).alias("u_pct_points"), F.count("u_pct_points").alias("u_n_terms"))
+
+    def counted(p: str, m: str | None, s: str) -> Column:
+        """Cells of a population with marker m's cut, or the parent's if m is None, moved."""
+        at = {m: col(thr_name(m)) + steps[s] * col(f"u_{m}")} if m else {}
+        up = {x: F.col(names[x, s if m else f"p{s}"]) for x in middle if (x == m or not m)}
+        return F.sum((inside["0" if m else s] & membership(spec[p], set(have), at, up)).cast("long"))
+
+    reads = {p: [m for m in have if any(m in part for part in requirements(s))] for p, s in spec.items()}
+    use = [(p, m) for p in spec for m in reads[p]] + ([(p, None) for p in spec] if gate else [])
+    aggs = [counted(p, m, s).alias(f"_{i}{k}") for i, (p, m) in enumerate(use) for k, s in enumerate("-+")]
+    total = {s: F.sum(c.cast("long")) for s, c in inside.items()}
+    known = [F.max(col(f"u_{m}")).alias(f"_u_{i}") for i, m in enumerate(have)] + ([F.max("_gate_u").alias("_gate_u")] if gate else [])
+    n = d.groupBy(sample).agg(*[c.alias(f"_n{k}") for k, c in enumerate(total.values())], *known, *aggs)
+    pct = lambda i, k, of: 100.0 * F.col(f"_{i}{k}") / F.greatest(F.col(f"_n{of}"), F.lit(1))
+
+    def term(i: int, p: str, m: str | None) -> Column:
+        both = (1, 2) if m is None else (0, 0)  # the parents of the two displaced counts
+        half = F.abs(pct(i, 1, both[1]) - pct(i, 0, both[0])) / 2.0
+        moved = (F.col("_n1") > 0) & (F.col("_n2") > 0) & F.col("_gate_u").isNotNull() if m is None else F.col(f"_u_{have.index(m)}") > 0
+        return F.struct(F.lit(m or PARENT).alias("term"), F.lit(p).alias("population"), F.when(moved, half).alias("half"))
+
+    e = n.select(sample, F.explode(F.array(*[term(i, p, m) for i, (p, m) in enumerate(use)])).alias("r")).filter(F.col("r.half").isNotNull())
+    return e.select(sample, F.col("r.term").alias("term"), F.col("r.population").alias("population"), F.col("r.half").alias("u_pct_points"))
+
+
+def missing_terms(spec: dict, u: DataFrame, sample: str = "sample_id") -> DataFrame:
+    """sample, population, n_terms_missing: markers of a population whose threshold has no uncertainty."""
+    good = u.filter(F.col("u_combined") > 0).groupBy(sample).agg(F.collect_set("marker").alias("_m"))
+    every = u.select(sample).distinct().join(good, sample, "left")
+    rows = [F.struct(F.lit(p).alias("population"), F.size(F.array_except(F.array(*[F.lit(m) for m in sorted({m for part in requirements(s) for m in part})]), F.coalesce("_m", F.array().cast("array<string>")))).alias("n_terms_missing")) for p, s in spec.items()]
+    return every.select(sample, F.explode(F.array(*rows)).alias("r")).select(sample, "r.*")
+
+
+def combine(budget: DataFrame, sample: str = "sample_id", missing: DataFrame | None = None) -> DataFrame:
+    """sample, population, u_pct_points (in quadrature) and u_n_terms; n_terms_missing, if that table is given."""
+    out = budget.groupBy(sample, "population").agg(F.sqrt(F.sum(F.col("u_pct_points") * F.col("u_pct_points"))).alias("u_pct_points"), F.count("u_pct_points").alias("u_n_terms"))
+    return out.join(missing, [sample, "population"], "left") if missing is not None else out
 
 
 def annotate(stats: DataFrame, freq_u: DataFrame, is_share: bool = True) -> DataFrame:

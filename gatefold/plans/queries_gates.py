@@ -11,12 +11,13 @@ from gatefold.functions.storage import cut, storage_root
 from gatefold.operators import embedding, gate_learning, layout, neighbours, polygons, populations, ranks, uncertainty
 from gatefold.operators.polygons import Level
 from gatefold.operators.transforms import Transform
+from gatefold.operators.valley import INTERMEDIATE
 from gatefold.plans import figures
 from gatefold.plans.inputs import CELLS_SQL, SUPPLIER_SQL, cells, embedding_columns, supplier_values, table
-from gatefold.plans.queries_gating import _MFI, _SCORED, POPS, SPEC, _scored, _thresholds, r6
+from gatefold.plans.queries_gating import _MFI, _SCORED, POPS, SPEC, _scored, _thresholds, r6, valley_sql
 from gatefold.plans.registry import query
 from gatefold.sources import events as ev
-from gatefold.sources import fcs, metadata
+from gatefold.sources import fcs, fcs_source, metadata
 
 TRIANGLE = ((10.0, 0.5), (45.0, 2.5), (20.0, 9.5))
 
@@ -95,9 +96,9 @@ def _(spark, sf):
 # ---------------------------------------------------------------- uncertainty and embedding
 @query("bootstrap_uncertainty")
 def _(spark, sf):
-    c = cells(spark, sf).select(F.col("grp").alias("sample_id"), F.lit("m1").alias("marker"), F.col("m1").alias("value"), F.xxhash64("*").alias("key"))
+    c = cells(spark, sf).select(F.col("grp").alias("sample_id"), F.lit("m1").alias("marker"), F.col("m1").alias("value"))
     t = c.select("sample_id", "marker").distinct().withColumn("threshold", F.lit(11.0)).withColumn("source", F.lit("valley"))
-    return uncertainty.thresholds(c, t, "key")
+    return uncertainty.thresholds(c, t)
 
 
 @query("frequency_uncertainty", f"""
@@ -113,6 +114,30 @@ def _(spark, sf):
     return b.select("sample_id", "term", r6("u_pct_points"))
 
 
+@query("frequency_uncertainty_displaced", f"""
+WITH {CELLS_SQL}, c AS (SELECT grp AS sample_id, m1, m2, m3, ls = 'O' AS live FROM cells), t AS (SELECT sample_id, round(quantile_cont(m1, 0.02), 6) AS t1 FROM c GROUP BY 1),
+mv AS (SELECT * FROM (VALUES ('-', -1, 0), ('+', 1, 0), ('p-', 0, -1), ('p+', 0, 1)) AS v(s, k, pk)),
+up AS (SELECT sample_id || s AS key, m1 FROM c JOIN t USING (sample_id) CROSS JOIN mv WHERE live AND m3 > 3.5 + pk AND m1 > t1 + k * 0.25),
+{valley_sql('key', 'm1', 'up', INTERMEDIATE)},
+hi AS (SELECT g.key, g.lo + (ok.v - 0.5) * g.w AS hi FROM g JOIN ok ON ok.key = g.key AND ok.r = 1),
+n AS (SELECT c.sample_id, s, sum((live AND m3 > 3.5 + pk)::INT) AS n, sum((live AND m3 > 3.5 + pk AND m1 > t1 + k * 0.25 AND m1 < hi AND m2 > 20)::INT) AS mid, sum((live AND m3 > 3.5 + pk AND m1 > t1 + k * 0.25)::INT) AS high
+      FROM c JOIN t USING (sample_id) CROSS JOIN mv JOIN hi ON hi.key = c.sample_id || s GROUP BY 1, 2),
+m2 AS (SELECT c.sample_id, sum((live AND m3 > 3.5)::INT) AS n, sum((live AND m3 > 3.5 AND m1 > t1 AND m1 < 11.5 AND m2 > 15)::INT) AS a, sum((live AND m3 > 3.5 AND m1 > t1 AND m1 < 11.5 AND m2 > 25)::INT) AS b FROM c JOIN t USING (sample_id) GROUP BY 1),
+p AS (SELECT sample_id, CASE WHEN s IN ('-', '+') THEN 'm1' ELSE 'parent_CD45' END AS term, unnest(['mid', 'high']) AS population, unnest([100.0 * mid / n, 100.0 * high / n]) AS pct FROM n)
+SELECT sample_id, population, term, round((max(pct) - min(pct)) / 2, 6) AS u_pct_points FROM p GROUP BY ALL UNION ALL SELECT sample_id, 'mid', 'm2', round(50.0 * (a - b) / n, 6) FROM m2
+""")
+def _(spark, sf):
+    c = cells(spark, sf).select(F.col("grp").alias("sample_id"), "m1", "m2", "m3", (F.col("ls") == "O").alias("live"), ((F.col("ls") == "O") & (F.col("m3") > 3.5)).alias("parent"))
+    t1 = c.groupBy("sample_id").agg(F.round(F.percentile("m1", F.lit(0.02)), 6).alias("threshold"))
+    rows = F.array(F.struct(F.lit("m1").alias("marker"), F.col("threshold"), F.lit(0.25).alias("u_combined")), F.struct(F.lit("m2").alias("marker"), F.lit(20.0).alias("threshold"), F.lit(5.0).alias("u_combined")))
+    t = cut(t1.select("sample_id", F.explode(rows).alias("r")).select("sample_id", "r.*"))
+    one = t.select("sample_id").distinct()
+    bounds = one.select("sample_id", F.lit("m1").alias("marker"), F.lit(11.5).alias("threshold"))
+    gate = one.select("sample_id", F.lit(3.5).alias("threshold"), F.lit(1.0).alias("u_combined"))
+    b = uncertainty.frequency_uncertainty(c, t, t, {"mid": {"m1": "intermediate", "m2": "above"}, "high": {"m1": "above"}}, "parent", bounds=bounds, gate=("live", "m3", gate))
+    return b.select("sample_id", "population", "term", r6("u_pct_points"))
+
+
 @query("pca_embedding")
 def _(spark, sf):
     e = embedding_columns(spark, sf, 6)
@@ -192,10 +217,11 @@ def _(spark, sf):
 @query("fcs_round_trip", "SELECT event_type AS grp, count(*) AS n, round(sum(round(value, 2)), 2) AS total FROM events GROUP BY 1")
 def _(spark, sf):
     e = table(spark, sf, "events").select("event_type", F.col("event_id").alias("event_index"), F.round("value", 2).alias("value"), F.col("user_id").cast("double").alias("user"))
-    files = fcs.export(e, "event_type", ["value", "user"]).select(F.col("group").alias("path"), F.col("fcs").alias("content"))
-    back = fcs.read_files(files, ["value"])
-    v = F.round(F.try_element_at("values", F.lit("value")), 2)
-    return back.groupBy(F.col("file").alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(v), 2).alias("total"))
+    path = f"{storage_root(spark)}/fcs-{uuid.uuid4().hex}"
+    fcs_source.export_files(e, path, ["value", "user"], ["event_type"], ("event_index",))
+    back = fcs.open_scan(spark, fcs.listed(spark, path), ["value"], ())
+    name = F.regexp_extract("file", r"event_type_([^/]+)[.]fcs$", 1)
+    return back.groupBy(name.alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round("value", 2)), 2).alias("total"))
 
 
 @query("category_codes", "SELECT doc_id, CAST(dense_rank() OVER (ORDER BY lang) AS DOUBLE) AS code FROM documents")

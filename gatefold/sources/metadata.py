@@ -114,8 +114,12 @@ class SampleMapError(ValueError):
 def load_sample_map(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
     """file, sample_id, patient_id, is_control and others; a missing, repeated or uncovered file is an error."""
     d = read_table(spark, path)
+    d = d.toDF(*[c.strip().lower() for c in d.columns])
     if "file" not in d.columns:
         raise SampleMapError("the sample map needs a column 'file'")
+    d = d.withColumn("file", F.regexp_extract(F.trim("file"), r"([^/\\]+)$", 1))
+    if "sample_id" not in d.columns:
+        d = d.withColumn("sample_id", F.regexp_replace("file", r"(?i)[.]fcs$", ""))
     twice = [r[0] for r in d.groupBy("file").count().filter("count > 1").select("file").limit(5).collect()]
     if twice:
         raise SampleMapError(f"files twice in the sample map: {twice}")
@@ -124,11 +128,15 @@ def load_sample_map(spark: SparkSession, path: str, files: DataFrame | None = No
         if gone:
             raise SampleMapError(f"files without a row in the sample map: {gone}")
     if "is_control" in d.columns:
-        v = F.lower(F.trim("is_control"))
-        d = d.withColumn("is_control", F.when(v.isin("true", "t", "1", "yes", "y"), True).when(v.isin("false", "f", "0", "no", "n"), False))
+        d = d.withColumn("is_control", truth("is_control"))
     return d
 
 
+def truth(column: str) -> Column:
+    """Whether a cell says yes; nothing, or anything else, is no."""
+    return F.coalesce(F.lower(F.trim(F.col(column).cast("string"))).isin("true", "t", "1", "yes", "y"), F.lit(False))
+
+
 def sample_map_template(files: DataFrame) -> DataFrame:
     return files.select("file", F.regexp_replace("file", r"(?i)[.]fcs$", "").alias("sample_id"), *[F.lit("").alias(c) for c in ("patient_id", "timepoint", "is_control", "well", "panel")])
 
@@ -274,6 +282,7 @@ class RunConfig:
     uncertainty_max_events: int = 20_000
     correct_batch: bool = False
     batch_max_cramers_v: float = 0.6
+    force_batch_correction: bool = False
     fail_on_drift: bool = False
     pool_samples: int = 8
     min_cells: int = 20
@@ -288,10 +297,21 @@ class RunConfig:
     n_clusters: int = 12
     som_side: int = 10
     subclusters: bool = True
+    n_neighbors: int = 30
+    min_dist: float = 0.3
+    umap_epochs: int = 200
     mixing_k: int = 30
     mixing_permutations: int = 20
     explain_clusters: bool = True
     max_explained: int = 4
+    explain_max_depth: int = 4
+    external_max_labels: int = 6
+    differential_state: bool = True
+    heatmaps: bool = True
+    compositional: bool = True
+    confounding: bool = True
+    threshold_drift: bool = True
+    figures: bool = True
     external_labels_min_match: int = 100
     export_fcs: bool = False
     export_gating_ml: bool = True

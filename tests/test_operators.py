@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gatefold.operators import clusters, compositional, conformance, diagnostics, embedding, gate_learning, gates, polygons, populations, ranks, sampling, thresholds, uncertainty
+from gatefold.operators.valley import INTERMEDIATE, setting_grid, valley_numpy
 
 MARKERS, POPS = ["CD3", "CD4", "CD8", "CD19"], ["CD4 T", "CD8 T", "B"]
 SPEC = {"T": {"CD3": "above"}, "CD4 T": {"CD3": "above", "CD4": "above", "CD8": "below"}, "lymph": {"any_of": {"CD3": "above", "CD19": "above"}}, "mid": {"CD4": "intermediate"}, "gone": {"CD99": "above"}}
@@ -351,6 +355,36 @@ def test_gate_beats_the_bounding_box():
     assert gate_learning.learn_gate(x, np.zeros(3000)) is None
 
 
+def test_loss_is_clamped():
+    """One far cell costs at most -log(clamp), and the gradient is that of the loss."""
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(60, 2)), (rng.random(60) < 0.5).astype(float)
+    fixed = np.array([[1, 0], [0, 1], [-1, 0], [0, -1]], float)
+    theta = np.concatenate([rng.normal(size=3), rng.normal(1, 0.2, 7)])
+    of = lambda t, pts=x, lab=y, steep=9.0: gate_learning.objective(t, pts, lab, np.ones(len(lab)), fixed, np.zeros(2), steep, 0.7)
+    loss, grad = of(theta)
+    step = 1e-6 * np.eye(len(theta))
+    assert np.allclose(grad, [(of(theta + s)[0] - of(theta - s)[0]) / 2e-6 for s in step], atol=1e-5)
+    far = [gate_learning.objective(theta, np.array([[d, 0.0]]), np.ones(1), np.ones(1), fixed, np.zeros(2), 80.0, 0.0)[0] for d in (50.0, 5000.0)]
+    assert far[0] == far[1] == pytest.approx(-np.log(gate_learning.CLAMP))
+
+
+def test_strategies_of_several_labels_at_once(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(1500):
+        k = i % 3
+        centre = ([5, 1, 1, 1], [1, 5, 1, 5], [1, 1, 1, 1])[k]
+        rows.append((i, "xyz"[k], *map(float, rng.normal(centre, 0.5))))
+    df = spark.createDataFrame(rows, "key long, label string, A double, B double, C double, D double")
+    both = gate_learning.explain_targets(df, "label", ["x", "y"], ["A", "B", "C", "D"], "key")
+    for t in ("x", "y"):
+        levels, report = both[t]
+        alone = gate_learning.explain(df.withColumn("t", F.col("label") == t), "t", ["A", "B", "C", "D"], "key")
+        assert levels and report[0]["f1"] > 0.97 and [r["marker_x"] for r in report] == [r["marker_x"] for r in alone[1]]
+        assert report[0]["f1"] == pytest.approx(alone[1][0]["f1"], abs=0.03)
+
+
 def test_strategy_labels_and_transfer(spark):
     rng = np.random.default_rng(11)
     rows = []
@@ -388,15 +422,77 @@ def test_gating_ml(spark):
 
 
 # ---------------------------------------------------------------- uncertainty, conformance, sampling
+def fine(x):
+    """The histogram of one group as fine_histograms() counts it."""
+    lo, hi = np.quantile(x, uncertainty.SPAN)
+    width = (hi - lo) / uncertainty.FINE
+    at = np.clip(np.floor((x - lo) / width), 0, uncertainty.FINE - 1).astype(int) if width > 0 else np.zeros(len(x), int)
+    return np.bincount(at, minlength=uncertainty.FINE), lo, width
+
+
 def test_shallow_valleys_are_less_certain():
     from test_functions import bimodal
 
-    deep, shallow = (uncertainty.of_values(bimodal(g, 3000), "valley", 6000, 30) for g in (7, 2.6))
+    of = lambda x, source, **k: uncertainty.of_histogram(*fine(np.asarray(x, float)), source, **k)
+    deep, shallow = (of(bimodal(g, 3000), "valley", boots=30) for g in (7, 2.6))
     assert (deep["u_sampling"] or 0) < (shallow["u_combined"] or 9)
-    assert uncertainty.of_values(bimodal(5), "config", 10)["u_combined"] == 0
-    assert uncertainty.of_values(bimodal(5), "control_q995", 10)["u_combined"] is None
-    assert uncertainty.of_values(np.ones(10), "valley", 10)["basis"].startswith("fewer")
-    assert uncertainty.of_values(np.random.default_rng(1).normal(size=2000), "quantile_fallback", 2000, 30)["u_combined"] > 0
+    assert of(bimodal(5), "config")["u_combined"] == 0
+    assert of(bimodal(5), "control_q995")["u_combined"] is None
+    assert of(np.ones(10), "valley")["basis"].startswith("fewer")
+    assert of(np.random.default_rng(1).normal(size=2000), "quantile_fallback", boots=30)["u_combined"] > 0
+
+
+@pytest.mark.parametrize("cap", [20_000, 1000])
+def test_bootstrap_of_counts_spreads_like_one_of_events(spark, cap):
+    """Against resampled values, for a valley and for a quantile, with as many events a draw."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 1, 3000), rng.normal(5, 1, 2500)])
+    one = rng.normal(0, 1, 4000)
+    m = min(cap, len(x))
+    cuts = [c for c in (valley_numpy(rng.choice(x, m))[0] for _ in range(300)) if c is not None]
+    high = [np.quantile(rng.choice(one, min(cap, len(one))), 0.9) for _ in range(300)]
+    rows = [("S", "A", float(v)) for v in x] + [("S", "B", float(v)) for v in one] + [("S", "B", None)]
+    thr = spark.createDataFrame([("S", "A", 2.0, "valley"), ("S", "B", 1.0, "quantile_fallback")], "sample_id string, marker string, threshold double, source string")
+    got = {r.marker: r for r in uncertainty.thresholds(spark.createDataFrame(rows, "sample_id string, marker string, value double"), thr, boots=300, max_events=cap).collect()}
+    assert got["A"].u_sampling == pytest.approx(np.std(cuts, ddof=1), rel=0.25)
+    assert got["B"].u_sampling == pytest.approx(np.std(high, ddof=1), rel=0.25)
+    other = [c for c in (valley_numpy(x, s)[0] for s in setting_grid()) if c is not None]
+    assert got["A"].u_method == pytest.approx(np.std(other, ddof=1), abs=0.05)
+    assert (got["A"].n_parent_events, got["B"].n_parent_events) == (5500, 4000)
+
+
+def test_displaced_cuts_equal_scoring_again(spark):
+    """An intermediate bound found again above each displaced cut, and a parent that moves, against numpy."""
+    rng = np.random.default_rng(6)
+    n = 9000
+    a = np.concatenate([rng.normal(c, 0.5, n // 3) for c in (0, 4, 8)])
+    b, p = rng.normal(2, 1, n), rng.normal(3, 1, n)
+    live = rng.random(n) < 0.9
+    t, u, cut, cut_u = {"A": 2.0, "B": 2.0}, {"A": 0.6, "B": 0.3}, 2.5, 0.2
+    spec = {"mid": {"A": "intermediate", "B": "above"}, "up": {"A": "above"}, "low": {"B": "below"}}
+
+    def pct(t, parent):
+        hi = valley_numpy(a[parent & (a > t["A"])], INTERMEDIATE)[0]
+        hits = {"mid": (a > t["A"]) & (a < hi) & (b > t["B"]), "up": a > t["A"], "low": b < t["B"]}
+        return {k: 100 * (v & parent).sum() / parent.sum() for k, v in hits.items()}
+
+    parent = live & (p > cut)
+    want = {}
+    for m, names in (("A", ("mid", "up")), ("B", ("mid", "low"))):
+        lo, hi = (pct(t | {m: t[m] + s * u[m]}, parent) for s in (-1, 1))
+        want |= {(k, m): abs(hi[k] - lo[k]) / 2 for k in names}
+    lo, hi = (pct(t, live & (p > cut + s * cut_u)) for s in (-1, 1))
+    want |= {(k, uncertainty.PARENT): abs(hi[k] - lo[k]) / 2 for k in spec}
+    ev = spark.createDataFrame([("S", *map(float, r), bool(l), bool(q)) for *r, l, q in zip(a, b, p, live, parent, strict=True)], "sample_id string, A double, B double, P double, live boolean, parent boolean")
+    thr = spark.createDataFrame([("S", m, t[m], u[m]) for m in "AB"], "sample_id string, marker string, threshold double, u_combined double")
+    gate = spark.createDataFrame([("S", cut, cut_u)], "sample_id string, threshold double, u_combined double")
+    bounds = populations.intermediate_bounds(ev, thr, spec, parent="parent")
+    got = uncertainty.frequency_uncertainty(ev, thr, thr, spec, "parent", bounds=bounds, gate=("live", "P", gate))
+    rows = {(r.population, r.term): r.u_pct_points for r in got.collect()}
+    assert rows.keys() == want.keys() and all(rows[k] == pytest.approx(v, abs=1e-6) for k, v in want.items())
+    none = thr.withColumn("u_combined", F.when(F.col("marker") == "A", F.col("u_combined")))
+    miss = {r.population: (r.u_n_terms, r.n_terms_missing) for r in uncertainty.combine(uncertainty.frequency_uncertainty(ev, thr, none, spec, "parent", bounds=bounds, gate=("live", "P", gate)), missing=uncertainty.missing_terms(spec, none)).collect()}
+    assert miss == {"mid": (2, 1), "up": (2, 0), "low": (1, 1)}
 
 
 def test_uncertainty_seed_depends_on_names_alone():
@@ -428,6 +524,21 @@ def test_draws_do_not_depend_on_partitions(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 28
 
 
+def test_draws_put_only_one_bin_in_order(spark):
+    """The same rows as ranking all of a group, while no window sorts events before the filter on their bin."""
+    df = spark.range(20_000).select((F.col("id") % 3).alias("s"), "id")
+    q = spark.createDataFrame([(0, 1), (1, 2500), (2, 10**6)], "s long, take long")
+    got = sampling.draw(df, q, "s", "id")
+    r = F.row_number().over(Window.partitionBy("s").orderBy(sampling.draw_key(42, "s", "id"), "id"))
+    want = df.withColumn("r", r).join(q, "s").filter("r <= take").select("s", "id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window [row_number()") :]
+    assert plan.count("Window [") == 1 and re.search(r"Filter .*_b#\d+ = _edge#\d+|Join Inner, .*_b#\d+ = _edge#\d+", window)
+    none = sampling.draw(df, q.limit(0), "s", "id")
+    assert none.count() == 0 and sampling.stratified_split(df, "s", "id", 0.25).filter("is_test").count() == 3 * 1666
+
+
 @pytest.mark.parametrize(("n", "cap"), [(10, 25), (100, 7), (101, 50), (5, 1)])
 def test_systematic_cap(spark, n, cap):
     got = sorted(r.id for r in sampling.systematic_cap(spark.range(n).select(F.lit("s").alias("s"), "id"), "s", "id", cap).collect())

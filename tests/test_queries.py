@@ -138,3 +138,83 @@ def test_stream_scores_landed_samples(spark, tmp_path):
     q = score_stream(stream_samples(spark, f"{tmp_path}/in", df.schema, 1), thr, {"T": {"CD3": "above"}}, "parent", lambda d, e: seen.update({r.sample_id: r.pct_of_cd45_pos for r in d.collect()}), f"{tmp_path}/ck")
     q.awaitTermination(120)
     assert seen == {"A": 50.0, "B": 50.0}
+
+
+def test_pipeline_controls_panels_and_unmapped_samples(spark, tmp_path):
+    """A planted cohort: an unstained control, a second panel, a sample without a row, per-file spillover."""
+    from gatefold.plans import pipeline
+    from gatefold.sources import metadata
+    from gatefold.sources.metadata import RunConfig
+
+    rng = np.random.default_rng(21)
+    rows, n = [], 3000
+    for s in range(7):
+        fsc = rng.lognormal(11, 0.2, n)
+        stained = s < 6
+        high = lambda share: np.where(rng.random(n) < share, rng.lognormal(9, 0.3, n), rng.lognormal(4, 0.4, n))
+        cd45 = high(0.9) if stained else rng.lognormal(4, 0.4, n)
+        cd3 = rng.lognormal(6, 0.3, n) if stained else rng.lognormal(4, 0.4, n)  # one mode: only a control can place its cut
+        cd4 = high(0.5) if s not in (4, 5) else [None] * n  # two samples lack a marker: another panel
+        for i, v in enumerate(zip(fsc, fsc * rng.normal(0.56, 0.01, n), rng.lognormal(9, 0.3, n), cd45, cd3, cd4, strict=True)):
+            rows.append((f"S{s}", i, *[None if x is None else float(x) for x in v]))
+    schema = "sample_id string, event_index long, `FSC-A` double, `FSC-H` double, `SSC-A` double, CD45 double, CD3 double, CD4 double"
+    ev = spark.createDataFrame(rows, schema).cache()
+    cfg = RunConfig(populations={"T": {"CD3": "above"}, "CD4": {"CD4": "above"}}, cofactor=150.0, embedding=False, clusters=False, uncertainty=False, figures=False, fail_on_drift=True)
+    plain = spark.createDataFrame([(f"S{s}", "ab"[s % 2]) for s in range(7)], "sample_id string, cohort string")
+    done = pipeline.run(ev, cfg, plain, ["CD45", "CD3", "CD4"])
+    qc = {r.sample_id: r for r in done.tables["staining_qc"].collect()}
+    assert qc["S6"].qc_status == "control" and qc["S6"].is_control and all(qc[f"S{s}"].included for s in range(6))  # undeclared, so taken for a control
+    assert qc["S6"].panel == "panel_1" and qc["S4"].panel == qc["S5"].panel == "panel_2"
+    src = {(r.sample_id, r.marker): (r.source, r.threshold) for r in done.tables["thresholds_used"].collect()}
+    assert src["S0", "CD3"][0] == "control_q995" and src["S4", "CD3"][0] == "quantile_fallback" and src["S0", "CD4"][0] == "valley"
+    limit = np.arcsinh(np.array([r[6] for r in rows if r[0] == "S6"]) / 150)
+    assert abs(src["S0", "CD3"][1] - np.quantile(limit, 0.995)) < 0.15  # the control's single cells
+    assert src["S6", "CD3"][0] != "control_q995"
+    base = pipeline.baseline_of(done)
+    assert {(r.panel, r.marker) for r in base["markers"].collect()} >= {("panel_1", "CD3"), ("panel_2", "CD3")}
+    # declared a sample: failed, and no reference
+    declared = plain.withColumn("is_control", F.lit(None).cast("boolean"))
+    again = pipeline.run(ev, cfg, declared, ["CD45", "CD3", "CD4"], baseline={"markers": base["markers"].withColumn("median_threshold", F.col("median_threshold") + 9), "populations": base["populations"]})
+    assert {r.sample_id: r.qc_status for r in again.tables["staining_qc"].collect()}["S6"] == "failed"
+    assert {r.source for r in again.tables["thresholds_used"].filter("marker = 'CD3' and sample_id <> 'S6'").collect()} == {"quantile_fallback"}
+    again.save(f"{tmp_path}/out")  # everything is saved before drift is an error
+    with pytest.raises(pipeline.conformance.DriftError):
+        again.raise_on_drift()
+    with pytest.raises(metadata.SampleMapError, match="S3"):
+        pipeline.run(ev, cfg, plain.filter("sample_id <> 'S3'"), ["CD45", "CD3", "CD4"])
+
+
+def test_command_line_from_files(spark, tmp_path):
+    """Event files with a spillover keyword and dates, a sample map, a saved layout that a second run uses."""
+    from gatefold.plans import pipeline
+    from gatefold.sources import fcs, metadata
+
+    rng = np.random.default_rng(22)
+    (tmp_path / "in").mkdir()
+    ch = [("FSC-A", ""), ("FSC-H", ""), ("SSC-A", ""), ("B1-A", "CD45"), ("B2-A", "CD3"), ("B3-A", "CD4")]
+    for s in range(4):
+        n = 2500
+        fsc = rng.lognormal(11, 0.2, n)
+        high = lambda share: np.where(rng.random(n) < share, rng.lognormal(9, 0.3, n), rng.lognormal(4, 0.4, n))  # noqa: B023, E731
+        clean = np.column_stack([fsc, fsc * rng.normal(0.56, 0.01, n), rng.lognormal(9, 0.3, n), high(0.9), high(0.5), high(0.5)])
+        mixed = clean.copy()
+        mixed[:, 5] += 0.2 * clean[:, 4]
+        (tmp_path / "in" / f"s{s}.fcs").write_bytes(fcs.write(ch, mixed, {"$DATE": f"0{1 + s % 2}-JAN-2024", "$SPILLOVER": "2,B2-A,B3-A,1,0.2,0,1"}))
+    (tmp_path / "map.csv").write_text("File,sample_id,cohort\n" + "".join(f"s{s}.fcs,S{s},{'HC' if s < 2 else 'X'}\n" for s in range(4)))
+    (tmp_path / "run.yaml").write_text("populations:\n  T: {CD3: above}\n  CD4 T: {CD3: above, CD4: above}\ncofactor: 150\ncells_per_sample: 150\nclusters: false\nuncertainty_boot: 12\numap_epochs: 20\nmin_group_n: 2\n")
+    common = ["--events", f"file://{tmp_path}/in", "--config", f"{tmp_path}/run.yaml", "--markers", "CD45,CD3,CD4", "--cd45", "CD45"]
+    assert pipeline.main([*common, "--samples", f"{tmp_path}/map.csv", "--outdir", f"{tmp_path}/one", "--save-umap-model", f"{tmp_path}/model", "--export-events", f"{tmp_path}/cells", "--no-explain-clusters"]) == 0
+    t = pipeline.load_session(spark, f"{tmp_path}/one", ["cells", "batch_group_confounding", "population_frequencies", "uncertainty_budget", "figure_marker_curves", "figure_overlay"])
+    assert {"umap_1", "umap_2"} <= set(t["cells"].columns) and t["cells"].filter("umap_1 is null").count() == 0 and t["batch_group_confounding"].count() == 1
+    share = {(r.sample_id, r.population): r.pct_of_cd45_pos for r in t["population_frequencies"].collect()}
+    assert all(20 < share[f"S{s}", "CD4 T"] < 30 for s in range(4))  # 25 %, if compensated
+    assert t["uncertainty_budget"].filter("term = 'parent_CD45'").count() > 0
+    assert len(list((tmp_path / "cells").glob("*.fcs"))) == 4 + 2 + 1
+    assert pipeline.main([*common, "--samples", f"{tmp_path}/map.csv", "--outdir", f"{tmp_path}/two", "--umap-model", f"{tmp_path}/model", "--no-figures", "--no-uncertainty"]) == 0
+    both = t["cells"].select("sample_id", "event_index", "umap_1").join(pipeline.load_session(spark, f"{tmp_path}/two", ["cells"])["cells"].select("sample_id", "event_index", F.col("umap_1").alias("again")), ["sample_id", "event_index"])
+    assert both.count() == 600 and both.filter("abs(umap_1 - again) > 1e-6").count() == 0
+    assert pipeline.main([*common, "--samples", "none", "--write-sample-map", f"{tmp_path}/template"]) == 0
+    assert spark.read.option("header", True).csv(f"{tmp_path}/template").count() == 4
+    (tmp_path / "short.csv").write_text("file,sample_id\ns0.fcs,S0\n")
+    with pytest.raises(metadata.SampleMapError):
+        pipeline.main([*common, "--samples", f"{tmp_path}/short.csv", "--outdir", f"{tmp_path}/none"])

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gatefold.sources import events, fcs, metadata
+from gatefold.sources import events, fcs, fcs_source, metadata
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +61,42 @@ def test_scan_prunes_and_caps(spark, folder):
     assert events.event_files(spark, folder).count() == 3
 
 
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    x = np.random.default_rng(3).integers(0, 5000, (1003, 3)).astype(float)
+    (tmp_path / "one.fcs").write_bytes(fcs.write([("FSC-A", ""), ("BL1-A", "CD3"), ("BL2-A", "CD4")], x))
+    path = [f"file://{tmp_path}/one.fcs"]
+    whole = fcs.open_scan(spark, path, ["CD4"], (), events_per_task=100)
+    assert whole.rdd.getNumPartitions() == 11 and whole.columns == ["file", "event_index", "CD4"]
+    assert [(r.event_index, r.CD4) for r in whole.orderBy("event_index").collect()] == [(i + 1, v) for i, v in enumerate(x[:, 2].tolist())]
+    some = fcs.open_scan(spark, path, ["CD4"], (), max_events=50, events_per_task=100)
+    assert sorted(r.event_index for r in some.collect()) == (fcs.systematic(1003, 50) + 1).tolist()
+    (tmp_path / "none.fcs").write_bytes(fcs.write([("BL1-A", "CD3")], np.zeros((0, 1))))
+    assert fcs.open_scan(spark, [f"{tmp_path}/none.fcs"], ["CD3"], ()).count() == 0
+
+
+def test_export_streams_samples_groups_and_all(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(f"S {s}", i, "ab"[s % 2] if s < 3 else None, float(np.float32(rng.normal())), None if i == 5 else float(i)) for s in range(4) for i in range(200)]
+    df = spark.createDataFrame(rows, "sample_id string, event_index long, group string, x double, y double").orderBy(F.rand(2))
+    fcs_source.export_files(df, f"{tmp_path}/out", ["x", "y"], ["sample_id", "group", None])
+    names = sorted(f.name for f in (tmp_path / "out").iterdir())
+    assert names == ["all.fcs", "group_a.fcs", "group_b.fcs", "group_unassigned.fcs", *[f"sample_id_S_{s}.fcs" for s in range(4)]]
+    kw, y = fcs.parse((tmp_path / "out/sample_id_S_1.fcs").read_bytes())
+    want = np.array([[r[3], r[4] or 0.0] for r in rows if r[0] == "S 1"])
+    assert (y == want).all() and kw["$TOT"] == "200" and int(kw["$P2R"]) >= 199
+    every = fcs.parse((tmp_path / "out/all.fcs").read_bytes())[1]
+    assert (every == np.array([[r[3], r[4] or 0.0] for r in rows])).all()
+    assert len(fcs.parse((tmp_path / "out/group_a.fcs").read_bytes())[1]) == 400
+
+
+def test_failed_exports_leave_nothing(spark, tmp_path):
+    df = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0)], "sample_id string, event_index long, x double")
+    bad = df.withColumn("x", F.when(F.col("event_index") == 2, F.raise_error(F.lit("broken")).cast("double")).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="broken"):
+        fcs_source.export_files(bad, f"{tmp_path}/out", ["x"])
+    assert not [f for f in (tmp_path / "out").glob("*.fcs")]
+
+
 def test_panels(spark):
     d = spark.createDataFrame([("s2", "b", 1), ("s1", "a", 2), ("s2", "a", 3), ("s3", "a", 4), ("s3", "b", 4)], "sample_id string, symbol string, seen long")
     got = {r.sample_id: (r.marker_set, r.panel_i) for r in events.fingerprint_panels(d, "seen").collect()}
