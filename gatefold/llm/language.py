@@ -46,9 +46,13 @@ def presence(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted n-grams of all texts, and where those of each text and order start: n-gram c of order n is (n - 1) << BITS | c."""
     raw = PLAIN[np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)]
     edge = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    keep = np.ones(len(raw), bool)
-    keep[1:] = (raw[1:] != 32) | (raw[:-1] != 32)
-    keep[edge] = True  # the blanks between texts
+    blank = raw == 32
+    first = np.flatnonzero(blank & ~np.concatenate(([False], blank[:-1])))
+    last = np.flatnonzero(blank & ~np.concatenate((blank[1:], [False])))
+    keep = ~blank
+    # of blanks in a row the first stays, of those at the ends of a text the one between texts
+    keep[first[np.searchsorted(edge, first) == np.searchsorted(edge, last, "right")]] = True
+    keep[edge] = True
     at = (np.cumsum(keep) - 1)[edge]
     raw = raw[keep].astype(np.uint32)
     code = [raw]

@@ -200,7 +200,7 @@ def repeated_tail(doc_id: Column, text: Column) -> Column:
 
     def place(x: Column) -> Column:
         n = F.size(x["w"]).cast("long")
-        a = x["g"] % n
+        a = x["g"] % F.greatest(n, F.lit(1))
         return F.struct(x["w"].alias("w"), n.alias("n"), a.alias("a"), (F.floor((n - a) / (3 + x["g"] % 8)) + 1).alias("p"))
 
     def tail(x: Column) -> Column:
