@@ -10,6 +10,7 @@ import argparse
 import datetime as dt
 import json
 import logging
+import time
 from dataclasses import replace
 from pathlib import Path
 
@@ -61,7 +62,8 @@ class Run:
         return self.tables[name]
 
     def attempt(self, name: str, make) -> None:
-        """An optional analysis: its failure is noted and changes nothing else."""
+        """An optional analysis: its failure is noted and changes nothing else; the manifest has the seconds it took."""
+        began = time.perf_counter()
         try:
             df = make()
             if df is not None:
@@ -69,6 +71,7 @@ class Run:
         except Exception as e:  # noqa: BLE001
             LOG.warning("%s skipped: %s", name, e)
             self.manifest.data["skipped"][name] = str(e)[:300]
+        self.manifest.data.setdefault("seconds", {})[name] = round(time.perf_counter() - began, 1)
 
     def save_layout(self, path: str) -> None:
         """Keep this run's layout for later ones; a run that placed its cells in a saved one has none of its own."""
