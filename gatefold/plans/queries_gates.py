@@ -59,14 +59,25 @@ def _(spark, sf):
     return polygons.rank_markers(e, ["e0", "e1", "e2", "e3"], "t").select("marker", r6("score"))
 
 
-@query("polygon_densify", """
-WITH v AS (SELECT * FROM (VALUES (1, 10.0, 0.5), (2, 45.0, 2.5), (3, 20.0, 9.5)) AS t(i, x, y)), n AS (SELECT i, x, y, coalesce(lead(x) OVER (ORDER BY i), 10.0) AS nx, coalesce(lead(y) OVER (ORDER BY i), 0.5) AS ny FROM v)
-SELECT 'g' AS label, CAST((i - 1) * 4 + k + 1 AS INTEGER) AS vertex, round(x + k / 4.0 * (nx - x), 6) AS x_transformed, round(y + k / 4.0 * (ny - y), 6) AS y_transformed,
-       round(sinh(x / 10 + k / 4.0 * (nx - x) / 10) * 150, 4) AS x_linear FROM n, range(0, 4) AS r(k)
+#: One triangle a region over its cells: two corners of the data's box and a point between.
+_SHAPES = f"""{CELLS_SQL}, box AS (SELECT grp, round(min(m1), 6) AS x0, round(max(m1), 6) AS x1, min(m2) AS y0, max(m2) AS y1 FROM cells GROUP BY 1),
+v AS (SELECT grp AS label, unnest([1, 2, 3]) AS i, unnest([x0, x1, x0]) AS x, unnest([y0, y0, y1]) AS y FROM box),
+n AS (SELECT *, coalesce(lead(x) OVER w, first(x) OVER w) AS nx, coalesce(lead(y) OVER w, first(y) OVER w) AS ny FROM v WINDOW w AS (PARTITION BY label ORDER BY i))"""
+
+
+def _shapes(spark, sf):
+    box = cells(spark, sf).groupBy("grp").agg(F.round(F.min("m1"), 6).alias("x0"), F.round(F.max("m1"), 6).alias("x1"), F.min("m2").alias("y0"), F.max("m2").alias("y1"))
+    corner = F.array(*[F.struct(F.lit(i).alias("vertex"), F.col(x).alias("x_transformed"), F.col(y).cast("double").alias("y_transformed")) for i, (x, y) in enumerate((("x0", "y0"), ("x1", "y0"), ("x0", "y1")), 1)])
+    return box.select(F.col("grp").alias("label"), F.lit(1).alias("depth"), F.lit("m1").alias("marker_x"), F.lit("m2").alias("marker_y"), F.explode(corner).alias("r")).select("label", "depth", "marker_x", "marker_y", "r.*")
+
+
+@query("polygon_densify", f"""
+WITH {_SHAPES}
+SELECT label, CAST((i - 1) * 4 + k + 1 AS INTEGER) AS vertex, round(x + k / 4.0 * (nx - x), 6) AS x_transformed, round(y + k / 4.0 * (ny - y), 6) AS y_transformed,
+       round(sinh((x + k / 4.0 * (nx - x)) / 10) * 150, 4) AS x_linear FROM n, range(0, 4) AS r(k)
 """)
 def _(spark, sf):
-    p = spark.createDataFrame(polygons.polygon_rows("g", [Level("a", "b", TRIANGLE)]), polygons.POLYGON)
-    d = polygons.densify(p, 4).withColumn("x_linear", Transform("arcsinh", 150.0).inverse(F.col("x_transformed") / 10))
+    d = polygons.densify(_shapes(spark, sf), 4).withColumn("x_linear", Transform("arcsinh", 150.0).inverse(F.col("x_transformed") / 10))
     return d.select("label", "vertex", r6("x_transformed"), r6("y_transformed"), F.round("x_linear", 4).alias("x_linear"))
 
 
@@ -75,10 +86,22 @@ def _learnable(spark, sf):
     return cells(spark, sf).withColumn("key", F.xxhash64("sample_id", "m1", "m2", "m4")).withColumn("target", (F.col("m2") + 4 * F.col("m4") > 50) & (F.col("m2") < 45))
 
 
-@query("learn_convex_gate")
+@query("learn_convex_gate", f"""
+WITH {CELLS_SQL}, t AS (SELECT count(*) FILTER (m2 + 4 * m4 > 50 AND m2 < 45) AS n FROM cells)
+SELECT 1 AS depth, 'm2' AS marker_x, 'm4' AS marker_y, true AS finds_targets, true AS leaves_others, true AS in_the_box FROM t WHERE n > 20
+""")
 def _(spark, sf):
-    levels, report = gate_learning.explain(_learnable(spark, sf), "target", ["m1", "m2", "m3", "m4"], "key")
-    return spark.createDataFrame(report, "depth int, marker_x string, marker_y string, f1 double, precision double, recall double, lam double")
+    """The planted corner is found: its markers, over 95 % of its cells, under 5 % others, by a polygon inside the data's box."""
+    c = _learnable(spark, sf)
+    levels, report = gate_learning.explain(c, "target", ["m1", "m2", "m3", "m4"], "key")
+    rows = [(r["depth"], r["marker_x"], r["marker_y"], x, y) for r, v in zip(report, levels, strict=True) for x, y in v.vertices]
+    p = spark.createDataFrame(rows, "depth int, marker_x string, marker_y string, x double, y double").groupBy("depth", "marker_x", "marker_y").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    box = c.agg(*[f(m).alias(f"{m}{k}") for m in ("m2", "m4") for k, f in enumerate((F.min, F.max))])
+    wide = lambda a, b: 0.05 * (F.col(b) - F.col(a))
+    inside = (F.col("x0") >= F.col("m20") - wide("m20", "m21")) & (F.col("x1") <= F.col("m21") + wide("m20", "m21")) & (F.col("y0") >= F.col("m40") - wide("m40", "m41")) & (F.col("y1") <= F.col("m41") + wide("m40", "m41"))
+    m = polygons.gate_metrics(polygons.apply_strategy(c, levels), "in_gate", "target")  # over all cells
+    one = p.join(F.broadcast(box)).join(F.broadcast(m))  # one row each
+    return one.select("depth", "marker_x", "marker_y", (F.col("recall") > 0.95).alias("finds_targets"), (F.col("precision") > 0.95).alias("leaves_others"), inside.alias("in_the_box"))
 
 
 @query("gate_transferability")
@@ -86,11 +109,21 @@ def _(spark, sf):
     return gate_learning.transferability(_learnable(spark, sf), "target", ("m2", "m4"), "sample_id", "key")
 
 
-@query("gating_ml_export")
+@query("gating_ml_export", f"""
+WITH {_SHAPES} SELECT label, count(*) AS n_vertices, round(sum(sinh(x + k / 4.0 * (nx - x)) * 150), 1) AS x_total FROM n, range(0, 4) AS r(k) GROUP BY label
+""")
 def _(spark, sf):
-    p = spark.createDataFrame(polygons.polygon_rows("g", [Level("a", "b", TRIANGLE), Level("c", "d", TRIANGLE)]), polygons.POLYGON)
-    rows = [r.asDict() for r in polygons.linear_table(p, Transform("arcsinh", 150.0)).collect()]
-    return spark.createDataFrame([(polygons.gating_ml(rows),)], "xml string")
+    """The written text, read back: each gate's vertices and the sum of their first coordinates."""
+    import xml.etree.ElementTree as ET
+
+    rows = [r.asDict() for r in polygons.linear_table(_shapes(spark, sf), Transform("arcsinh", 150.0)).collect()]  # a gate a region
+    out = []
+    for gate in ET.fromstring(polygons.gating_ml(rows)):
+        at = [[float(c.get(f"{{{polygons.TYPES}}}value")) for c in v] for v in gate.iter(f"{{{polygons.GATING}}}vertex")]
+        out.append((gate.get(f"{{{polygons.GATING}}}id"), len(at), sum(x for x, _ in at)))
+    names = [r["label"] for r in sorted(rows, key=lambda r: (r["label"], r["vertex"])) if r["vertex"] == 1]
+    label = lambda i: next(n for n in names if n.replace(" ", "_") in i.replace(" ", "_"))
+    return spark.createDataFrame([(label(i), n, round(t, 1)) for i, n, t in out], "label string, n_vertices long, x_total double")
 
 
 # ---------------------------------------------------------------- uncertainty and embedding
@@ -138,11 +171,16 @@ def _(spark, sf):
     return b.select("sample_id", "population", "term", r6("u_pct_points"))
 
 
-@query("pca_embedding")
+@query("pca_embedding", """
+WITH e AS (SELECT list_transform(embedding[1:6], lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings) SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered, true AS of_largest_spread FROM e
+""")
 def _(spark, sf):
-    e = embedding_columns(spark, sf, 6)
-    m = embedding.fit_pca(e, [f"e{i}" for i in range(6)])
-    return embedding.project(e, m).select("vec_id", "pc_1", "pc_2")
+    """What makes two axes principal ones: centred, uncorrelated, in the order of their spread, which no scaled feature exceeds."""
+    names = [f"e{i}" for i in range(6)]
+    p = embedding.project(embedding_columns(spark, sf, 6), embedding.fit_pca(embedding_columns(spark, sf, 6), names))
+    v1, v2 = F.var_samp("pc_1"), F.var_samp("pc_2")
+    # features are scaled to a variance of 1, and the first axis has at least theirs
+    return p.agg(F.count(F.lit(1)).alias("n"), ((F.abs(F.avg("pc_1")) < 1e-9) & (F.abs(F.avg("pc_2")) < 1e-9)).alias("centred"), (F.abs(F.corr("pc_1", "pc_2")) < 1e-6).alias("uncorrelated"), (v1 >= v2).alias("ordered"), (v1 >= 1 - 1e-9).alias("of_largest_spread"))
 
 
 @query("nearest_neighbours", """
@@ -188,19 +226,30 @@ def _(spark, sf):
 
 
 @query("unpivot_absolute_counts", """
-SELECT sample_key, population, CAST(cells_per_ul AS DOUBLE) AS cells_per_ul FROM (VALUES ('S1', 'T', 1.2), ('S1', 'B', 0.25), ('S2', 'T', 0.9)) AS t(sample_key, population, cells_per_ul)
+WITH w AS (SELECT s_suppkey, s_acctbal AS t, CASE WHEN s_suppkey % 4 <> 0 THEN floor(s_acctbal / 4) END AS b FROM supplier WHERE s_suppkey % 9 <> 0)
+SELECT 'S' || s_suppkey AS sample_key, population, round(value / 1000.0, 6) AS cells_per_ul FROM (SELECT s_suppkey, unnest(['T', 'B']) AS population, unnest([t, b]) AS value FROM w) WHERE value IS NOT NULL
 """)
 def _(spark, sf):
-    raw = spark.createDataFrame([("S1", "", "1200", "250,0"), ("", None, None, None), ("S2", "", "900", "")], "`sample` string, `in 1 mL blood` string, T string, B string")
+    """A count sheet of text cells: a unit column, blank samples and cells, decimal commas."""
+    k = F.col("s_suppkey")
+    text = lambda c: F.regexp_replace(F.format_string("%.2f", c), "[.]", ",")
+    raw = table(spark, sf, "supplier").select(
+        F.when(k % 9 == 0, "").otherwise(F.concat(F.lit("S"), k.cast("string"))).alias("sample"), F.lit("").alias("in 1 mL blood"), text(F.col("s_acctbal")).alias("T"),
+        F.when(k % 4 == 0, " ").otherwise(F.floor(F.col("s_acctbal") / 4).cast("string")).alias("B"),
+    )
     return metadata.unpivot_counts(raw, "sample").select("sample_key", "population", r6("cells_per_ul"))
 
 
 @query("date_order_inference", """
-SELECT * FROM (VALUES ('13/02/2001', '2001-02-13'), ('03/04/99', '1999-04-03'), ('2002-12-31', '2002-12-31'), ('garbage', NULL), ('31.12.2010', '2010-12-31')) AS t(raw, parsed)
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 6 THEN strftime(o_orderdate, '%Y-%m-%d') END AS parsed FROM orders
 """)
 def _(spark, sf):
-    d = spark.createDataFrame([("13/02/2001",), ("03/04/99",), ("2002-12-31",), ("garbage",), ("31.12.2010",)], "raw string")
-    return metadata.parse_dates(d, "raw", dt.date(2020, 1, 1), "d").select("raw", F.col("d").cast("string").alias("parsed"))
+    """Order dates as people write them: ISO, day first with slashes, dots and two-digit years, month names, and no date at all."""
+    o, d = F.col("o_orderkey"), F.col("o_orderdate")
+    forms = ["yyyy-MM-dd", "dd/MM/yyyy", "d.M.yyyy", "dd-MM-yy", "d MMM yyyy", "MMMM d, yyyy"]
+    raw = F.coalesce(*[F.when(o % 7 == i, F.date_format(d, f)) for i, f in enumerate(forms)], F.lit("unknown"))
+    t = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit(" "), raw).alias("raw"))
+    return metadata.parse_dates(t, "raw", dt.date(2020, 1, 1), "d").select("o_orderkey", F.col("d").cast("string").alias("parsed"))
 
 
 @query("sample_ids", """

@@ -455,11 +455,18 @@ def _(spark, sf):
 
 
 @query("spec_changes", """
-SELECT * FROM (VALUES ('B', 'added', NULL, 'm2=above'), ('C', 'removed', 'm3=above', NULL), ('A', 'redefined', 'm1=above', 'm1=above; m2=below')) AS t(population, change, baseline_definition, current_definition)
+WITH d AS (SELECT user_id % 40 AS population, event_type AS marker, avg(value) FILTER (event_id % 2 = 0) AS a, avg(value) FILTER (event_id % 2 = 1) AS b FROM events GROUP BY 1, 2),
+f AS (SELECT population, string_agg(marker || '=' || CASE WHEN a > 49 THEN 'above' ELSE 'below' END, '; ' ORDER BY marker) FILTER (a IS NOT NULL AND abs(a - 49) > 9) AS was, string_agg(marker || '=' || CASE WHEN b > 49 THEN 'above' ELSE 'below' END, '; ' ORDER BY marker) FILTER (b IS NOT NULL AND abs(b - 49) > 9) AS now FROM d GROUP BY 1)
+SELECT 'P' || population AS population, CASE WHEN was IS NULL THEN 'added' WHEN now IS NULL THEN 'removed' ELSE 'redefined' END AS change, was AS baseline_definition, now AS current_definition FROM f WHERE was IS DISTINCT FROM now
 """)
 def _(spark, sf):
-    was = conformance.fingerprint({"A": {"m1": "above"}, "C": {"m3": "above"}, "D": {"m4": "below"}})
-    rows = conformance.spec_changes({"A": {"m2": "below", "m1": "above"}, "B": {"m2": "above"}, "D": {"m4": "below"}}, was)
+    """Definitions from the means of either half of the events: markers far from the middle are in them."""
+    e = table(spark, sf, "events").select((F.col("user_id") % 40).alias("p"), F.col("event_type").alias("m"), (F.col("event_id") % 2).alias("half"), "value")
+    mean = e.groupBy("p", "m", "half").agg(F.avg("value").alias("x")).filter(F.abs(F.col("x") - 49) > 9)
+    halves: tuple[dict, dict] = ({}, {})
+    for r in mean.collect():  # at most 40 populations by the event types
+        halves[r["half"]].setdefault(f"P{r['p']}", {})[r["m"]] = "above" if r["x"] > 49 else "below"
+    rows = conformance.spec_changes(halves[1], conformance.fingerprint(halves[0]))
     return spark.createDataFrame(rows, "population string, change string, baseline_definition string, current_definition string")
 
 

@@ -223,3 +223,35 @@ def test_command_line_from_files(spark, tmp_path):
     (tmp_path / "short.csv").write_text("file,sample_id\ns0.fcs,S0\n")
     with pytest.raises(metadata.SampleMapError):
         pipeline.main([*common, "--samples", f"{tmp_path}/short.csv", "--outdir", f"{tmp_path}/none"])
+
+
+def test_stream_of_conformance_keeps_state(spark, tmp_path):
+    """A sample that lands in parts ends with the cut of all its events; the baseline tells which marker drifted."""
+    from gatefold.operators.uncertainty import valley_of
+    from gatefold.streaming import conformance as sc
+    from gatefold.streaming.landing import stream_samples
+
+    rng = np.random.default_rng(4)
+    two = lambda at: np.concatenate([rng.normal(at, 0.5, 1500), rng.normal(at + 3, 0.5, 1500)])
+    data = {"A": (two(1), two(1)), "B": (two(1), two(7))}
+    schema = "sample_id string, CD3 double, CD4 double"
+    for part in range(3):
+        rows = [(s, float(x[i]), None if i == 0 else float(y[i])) for s, (x, y) in data.items() for i in range(part, 3000, 3)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    base = spark.createDataFrame([("panel_1", "CD3", 2.5, 0.4), ("panel_1", "CD4", 2.5, 0.4)], "panel string, marker string, median_threshold double, mad_threshold double")
+    events = stream_samples(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, 1)
+    seen: list = []
+    out = sc.against_baseline(sc.running_cuts(events, ["CD3", "CD4"]), base)
+    q = out.writeStream.outputMode("update").foreachBatch(lambda d, e: seen.extend((e, r) for r in d.collect())).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    q.stop()
+    assert q.exception() is None and len({e for e, _ in seen}) == 3
+    last = {(r.sample_id, r.marker): r for e, r in sorted(seen, key=lambda x: x[0])}
+    assert [r.n for e, r in sorted(seen, key=lambda x: x[0]) if (r.sample_id, r.marker) == ("A", "CD3")] == [1000, 2000, 3000]
+    assert last["A", "CD4"].n == 2999
+    for (s, m), r in last.items():
+        x = data[s][("CD3", "CD4").index(m)]
+        x = x[1:] if m == "CD4" else x
+        counts = np.bincount(np.clip(np.floor((x - sc.LOW) / (sc.HIGH - sc.LOW) * sc.BINS), 0, sc.BINS - 1).astype(int), minlength=sc.BINS)
+        assert r.cut == sc.LOW + (sc.HIGH - sc.LOW) / sc.BINS * valley_of(counts)[0]
+    assert {k: r.verdict for k, r in last.items()} == {("A", "CD3"): "pass", ("A", "CD4"): "pass", ("B", "CD3"): "pass", ("B", "CD4"): "fail"}
