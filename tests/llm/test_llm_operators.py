@@ -341,6 +341,49 @@ def test_role_repair_is_cheapest():
             assert cost == cheapest(roles, chat), roles
 
 
+def shortest(roles, chat):
+    """The least cost by Dijkstra's search over (turns taken, last role)."""
+    import heapq
+
+    todo, done = [(0, 0, "", None)], set()
+    while todo:
+        cost, i, _, state = heapq.heappop(todo)
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        if i == len(roles) and state == chat.FINAL:
+            return cost
+        for to in chat.ROLES:
+            if to in chat.NEXT[state]:
+                heapq.heappush(todo, (cost + chat.INSERT, i, to, to))
+            if i < len(roles):
+                c = chat.relabel_cost(roles[i], to)
+                if to in chat.NEXT[state]:
+                    heapq.heappush(todo, (cost + c, i + 1, to, to))
+                if to == state:
+                    heapq.heappush(todo, (cost + c + chat.MERGE, i + 1, to, to))
+
+
+def test_longer_role_repairs_are_cheapest():
+    """Random conversations of 4 to 8 turns: the least cost, which the returned turns have, and their rendered text."""
+    from gatefold.llm import chat
+
+    rng = random.Random(14)
+    for _ in range(1500):
+        roles = [rng.choice((*chat.ROLES, None, "bot")) for _ in range(rng.randint(4, 8))]
+        cost, out = chat.repair([(r, f"<{k}>") for k, r in enumerate(roles)])
+        assert cost == shortest(roles, chat), roles
+        assert chat.legal([r for r, _, _ in out])
+        paid, taken = 0, []
+        for role, text, how in out:
+            own = [int(k) for k in re.findall(r"<(\d+)>", text)]
+            paid += chat.INSERT if how == "insert" else chat.MERGE * (len(own) - 1) + sum(chat.relabel_cost(roles[k], role) for k in own)
+            taken += own
+        assert paid == cost and taken == list(range(len(roles)))
+        turns = re.findall(re.escape(chat.OPEN) + r"(\w+)\n(.*?)" + re.escape(chat.CLOSE), chat.render(out), re.S)
+        assert turns == [(r, t) for r, t, _ in out]
+
+
 def test_role_repair_of_odd_tables(spark):
     """Nothing, clashing extra columns, long texts, and turns without a conversation, each of which stands alone."""
     from gatefold.llm.chat import repair_conversations
