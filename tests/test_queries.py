@@ -190,7 +190,7 @@ def test_pipeline_controls_panels_and_unmapped_samples(spark, tmp_path):
 
 
 def test_command_line_from_files(spark, tmp_path):
-    """Event files with a spillover keyword and dates, a sample map, a saved layout that a second run uses."""
+    """Event files with a spillover keyword and dates, a sample map, a saved layout, exported files."""
     from gatefold.plans import pipeline
     from gatefold.sources import fcs, metadata
 
@@ -217,9 +217,6 @@ def test_command_line_from_files(spark, tmp_path):
     assert t["uncertainty_budget"].filter("term = 'parent_CD45'").count() > 0
     kept = {(r.sample_id, r.group) for r in t["cells"].select("sample_id", "group").distinct().collect()}  # samples whose staining passes
     assert len(kept) >= 2 and len(list((tmp_path / "cells").glob("*.fcs"))) == len(kept) + len({g for _, g in kept}) + 1
-    assert pipeline.main([*common, "--samples", f"{tmp_path}/map.csv", "--outdir", f"{tmp_path}/two", "--umap-model", f"{tmp_path}/model", "--no-figures", "--no-uncertainty"]) == 0
-    both = t["cells"].select("sample_id", "event_index", "umap_1").join(pipeline.load_session(spark, f"{tmp_path}/two", ["cells"])["cells"].select("sample_id", "event_index", F.col("umap_1").alias("again")), ["sample_id", "event_index"])
-    assert both.count() == t["cells"].count() and both.filter("abs(umap_1 - again) > 1e-6").count() == 0
     assert pipeline.main([*common, "--samples", "none", "--write-sample-map", f"{tmp_path}/template"]) == 0
     assert spark.read.option("header", True).csv(f"{tmp_path}/template").count() == 4
     (tmp_path / "short.csv").write_text("file,sample_id\ns0.fcs,S0\n")
