@@ -167,7 +167,7 @@ def _(spark, sf):
     one = t.select("sample_id").distinct()
     bounds = one.select("sample_id", F.lit("m1").alias("marker"), F.lit(11.5).alias("threshold"))
     gate = one.select("sample_id", F.lit(3.5).alias("threshold"), F.lit(1.0).alias("u_combined"))
-    b = uncertainty.frequency_uncertainty(c, t, t, {"mid": {"m1": "intermediate", "m2": "above"}, "high": {"m1": "above"}}, "parent", bounds=bounds, gate=("live", "m3", gate))
+    b = uncertainty.frequency_uncertainty(c, t, t, {"mid": {"m1": "intermediate", "m2": "above"}, "high": {"m1": "above"}}, "parent", bounds=bounds, gate=("live", "m3", gate), lone=True)
     return b.select("sample_id", "population", "term", r6("u_pct_points"))
 
 

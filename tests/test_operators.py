@@ -495,6 +495,26 @@ def test_displaced_cuts_equal_scoring_again(spark):
     assert miss == {"mid": (2, 1), "up": (2, 0), "low": (1, 1)}
 
 
+def test_displacement_without_a_bound_is_no_count_of_zero(spark):
+    """The parent's lower cut lets cells in that fill the valley above A's cut: only one displacement finds a bound again."""
+    rng = np.random.default_rng(7)
+    a = np.concatenate([rng.normal(4, 0.5, 3000), rng.normal(8, 0.5, 3000), rng.normal(6, 1.2, 30_000), np.full(50, 5.0)])
+    # the wide mode lies between the parent's displaced cut and its own, the last cells outside of every parent
+    p = np.concatenate([np.full(6000, 3.0), np.full(30_000, 2.0), np.full(50, 1.0)])
+    assert valley_numpy(a[:6000], INTERMEDIATE)[0] and valley_numpy(a[:36_000], INTERMEDIATE)[0] is None
+    ev = spark.createDataFrame([("S", float(x), float(y), True, bool(y > 2.4)) for x, y in zip(a, p, strict=True)], "sample_id string, A double, P double, live boolean, parent boolean")
+    thr = spark.createDataFrame([("S", "A", 0.5, 0.1)], "sample_id string, marker string, threshold double, u_combined double")
+    gate = spark.createDataFrame([("S", 2.4, 0.5)], "sample_id string, threshold double, u_combined double")
+    bounds = spark.createDataFrame([("S", "A", 6.0)], "sample_id string, marker string, threshold double")
+    spec = {"mid": {"A": "intermediate"}, "up": {"A": "above"}, "other": {"B": "above"}}
+    of = lambda **k: {(r.population, r.term): r.u_pct_points for r in uncertainty.frequency_uncertainty(ev, thr, thr, spec, "parent", bounds=bounds, gate=("live", "P", gate), **k).collect()}
+    got = of()
+    # mid has no term of the parent, and a population of an absent marker has none at all
+    assert got.keys() == {("mid", "A"), ("up", "A"), ("up", uncertainty.PARENT)}
+    both = of(lone=True)
+    assert both[("mid", uncertainty.PARENT)] == both[("up", uncertainty.PARENT)] == 0 and both[("mid", "A")] == got["mid", "A"]
+
+
 def test_uncertainty_seed_depends_on_names_alone():
     assert uncertainty.seed_of(1, "a", "b") == uncertainty.seed_of(1, "a", "b") != uncertainty.seed_of(1, "b", "a")
 
