@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from gatefold.functions.numeric import col, finite
 from gatefold.functions.storage import cut
 
-#: Bins of one power of two; rows of a table of wanted bins that may be broadcast.
-STEPS, BROADCAST_ROWS = 256, 100_000
+#: Bins of one power of two; rows of a table of wanted bins that may be broadcast, and that are named in a filter before its join.
+STEPS, BROADCAST_ROWS, NAMED_ROWS = 256, 100_000, 500
 
 
 def order_bin(x: Column) -> Column:
@@ -37,6 +37,8 @@ def order_statistics(df: DataFrame, keys: list[str], value: Column | str, positi
     if rows := mixed.count():
         join_keys = [*keys, "_q_b"]
         side = mixed.select(*join_keys)
+        if rows <= NAMED_ROWS:
+            d = d.filter(F.col("_q_b").isin([r["_q_b"] for r in side.select("_q_b").distinct().collect()]))
         again = d.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, join_keys).groupBy(*join_keys, "_q_x").agg(F.count(F.lit(1)).alias("_q_c"))
         again = again.withColumn("_q_in", F.sum("_q_c").over(Window.partitionBy(*join_keys).orderBy("_q_x"))).join(mixed.select(*join_keys, "n", "_q_before", "_q_want"), join_keys)
         last = F.col("_q_before") + F.col("_q_in")

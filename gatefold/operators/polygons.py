@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.numeric import all_of, col, finite
+from gatefold.functions.quantiles import quantiles
 from gatefold.operators.transforms import Transform
 
 
@@ -59,8 +60,10 @@ def rank_markers(df: DataFrame, markers: list[str], target: str, min_n: int = 5,
     t = F.coalesce(col(target), F.lit(False))
     by = by or []
     long = df.select(*by, t.alias("t"), F.explode(F.array(*[F.struct(F.lit(m).alias("marker"), col(m).cast("double").alias("x")) for m in markers])).alias("r")).select(*by, "t", "r.*").filter(finite("x"))
-    q = lambda c: F.percentile(F.when(c, F.col("x")), F.array(F.lit(0.5), F.lit(0.01), F.lit(0.99)))
-    s = long.groupBy(*by, "marker").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), q(F.col("t")).alias("a"), q(~F.col("t")).alias("b"), F.sum(F.col("t").cast("long")).alias("n1"), F.sum((~F.col("t")).cast("long")).alias("n0"))
+    q = quantiles(long, [*by, "marker", "t"], "x", [0.5, 0.01, 0.99, 0.0, 1.0])
+    of = lambda c, v: F.max(F.when(c, v))
+    three, t, n = F.slice("q", 1, 3), F.col("t"), F.col("n")
+    s = q.groupBy(*by, "marker").agg(F.min(F.col("q")[3]).alias("lo"), F.max(F.col("q")[4]).alias("hi"), of(t, three).alias("a"), of(~t, three).alias("b"), of(t, n).alias("n1"), of(~t, n).alias("n0"))
     # percentiles commute with the scaling, so no second pass is needed
     d = F.aggregate(F.zip_with("a", "b", lambda a, b: ((a - b) / (F.col("hi") - F.col("lo"))) * ((a - b) / (F.col("hi") - F.col("lo")))), F.lit(0.0), lambda u, v: u + v) / 3.0
     return s.filter((F.col("hi") > F.col("lo")) & (F.col("n1") >= min_n) & (F.col("n0") >= min_n)).select(*by, "marker", d.alias("score"))

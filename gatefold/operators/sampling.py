@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatefold.functions.quantiles import order_bin
-from gatefold.functions.storage import cut
+from gatefold.functions.storage import cut, remove
 
 
 def draw_key(seed: str | int, *columns: str) -> Column:
@@ -87,6 +87,25 @@ def mark_first(df: DataFrame, groups: list[str], digest: Column, key: str, take:
     return far.unionByName(near).select(*df.columns, out)
 
 
+def draw_counted(df: DataFrame, group: str, sizes: dict[str, int], digest: Column, key: str, take: int, out: str) -> DataFrame:
+    """The rows that mark_first would mark, with out, their digest, where the sizes of all groups are known: one pass instead of three.
+
+    A hash below its expected place and some has the wanted rows nearly always; a group that has too few below its bound gets
+    a bound four times as high, up to all its rows.
+    """
+    room = {g: (take + 6 * take**0.5 + 16) / max(1, n) for g, n in sizes.items()}
+    while True:
+        below = F.coalesce(*[F.when(F.col(group) == g, F.lit(True) if r >= 1 else F.substring(digest, 1, 8) < f"{int(r * 16**8):08x}") for g, r in room.items()], F.lit(False))
+        near = cut(df.filter(below).withColumn(out, digest), "near")
+        have = {r[group]: r["count"] for r in near.groupBy(group).count().collect()}  # one row a group
+        short = [g for g, r in room.items() if r < 1 and have.get(g, 0) < take]
+        if not short:
+            break
+        room |= {g: 4 * room[g] for g in short}
+        remove(near)
+    return near.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(out, key))).filter(F.col("_r") <= take).drop("_r")
+
+
 def draw(df: DataFrame, quota: DataFrame, sample: str, key: str, seed: str | int = 42) -> DataFrame:
     """The first `take` rows of each sample in hash order."""
     d = df.join(quota.select(sample, F.col("take").alias("_quota")), sample)

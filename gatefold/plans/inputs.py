@@ -10,15 +10,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def cells(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem as cells: nations are samples, regions are groups, m1 has two modes, m2 to m4 one."""
+def cells(spark: SparkSession, sf: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """lineitem as cells: nations are samples, regions are groups, m1 has two modes, m2 to m4 one; also: further columns of lineitem."""
     t = lambda n: table(spark, sf, n)
     li = t("lineitem").join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     li = li.join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     shift = F.when(F.col("l_returnflag") == "R", 3.0).otherwise(0.0)
     return li.select(
         F.col("n_name").alias("sample_id"), F.col("r_name").alias("grp"), F.round(F.log("l_extendedprice") + shift, 9).alias("m1"), F.col("l_quantity").alias("m2"),
-        F.round(F.col("l_discount") * 100, 6).alias("m3"), F.round(F.col("l_tax") * 100, 6).alias("m4"), F.col("l_returnflag").alias("rf"), F.col("l_linestatus").alias("ls"),
+        F.round(F.col("l_discount") * 100, 6).alias("m3"), F.round(F.col("l_tax") * 100, 6).alias("m4"), F.col("l_returnflag").alias("rf"), F.col("l_linestatus").alias("ls"), *also,
     )
 
 

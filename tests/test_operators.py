@@ -385,6 +385,30 @@ def test_strategies_of_several_labels_at_once(spark):
         assert report[0]["f1"] == pytest.approx(alone[1][0]["f1"], abs=0.03)
 
 
+def test_learnable_keys_are_of_lines(spark, tmp_path):
+    """Lines of equal values have keys of their own: a draw by values took all copies of a few hundred cells, and the gate missed targets."""
+    from gatefold.plans.queries_gates import _learnable
+
+    src = "/root/testdata/sf0.001"
+    for t in ("supplier", "nation", "region"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    li = spark.read.parquet(f"{src}/lineitem.parquet")
+    li.unionByName(li.withColumn("l_orderkey", F.col("l_orderkey") + 10_000_000)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert _learnable(spark, f"{tmp_path}").select("key").distinct().count() == 2 * li.count()
+
+
+def test_draw_of_counted_groups_equals_mark_first(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 8 == 0, "b").when(F.col("id") < 20, "c").otherwise("a").alias("g"), "id")
+    sizes = {r.g: r["count"] for r in df.groupBy("g").count().collect()}
+    digest = sampling.draw_key(3, "id")
+    for n in (40, 900):
+        want = sampling.mark_first(df, ["g"], digest, "id", F.lit(n), "_in").filter("_in").select("g", "id")
+        assert sorted(sampling.draw_counted(df, "g", sizes, digest, "id", n, "h").select("g", "id").collect()) == sorted(want.collect())
+    # sizes that are too large make bounds too low at first
+    many = {g: 50 * n for g, n in sizes.items()}
+    assert sorted(sampling.draw_counted(df, "g", many, digest, "id", 40, "h").select("g", "id").collect()) == sorted(sampling.mark_first(df, ["g"], digest, "id", F.lit(40), "_in").filter("_in").select("g", "id").collect())
+
+
 def test_strategy_labels_and_transfer(spark):
     rng = np.random.default_rng(11)
     rows = []
