@@ -700,6 +700,19 @@ def test_passages_of_very_many_contexts(spark, monkeypatch):
         assert got == dict(enumerate(want))
 
 
+def test_passages_of_over_fifty_words_go_from_400_bytes_on(spark):
+    """A passage of 399 bytes repeats no string of 400, however many words and documents it has."""
+    from gatefold.llm.suffix_dedup import cut_repeats
+
+    rng = random.Random(21)
+    short, long = (pseudo(rng, 200)[:n] for n in (399, 400))
+    assert min(len(short.split()), len(long.split())) > 50
+    texts = [f"{pseudo(rng, 90)}{k}{p}{9 - k}{pseudo(rng, 90)}" for p in (short, long) for k in range(4)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in cut_repeats(frame(spark, list(enumerate(texts)))).collect()}
+    assert got == dict(enumerate(brute_cut(texts, 400)))
+    assert [got[i][1:3] for i in range(8)] == [(0, 0)] * 4 + [(400, 1)] * 4
+
+
 def test_kept_text_is_whole_characters(spark):
     from gatefold.llm.suffix_dedup import cut_repeats
 
